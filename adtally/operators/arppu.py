@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import numeric as num, time as tm
 from ..functions.rules import first_match
 from ..functions.text import brand_from_website, format_from_sub_id
-from .common import most_frequent, paid_only, paying_deposits
+from .common import most_frequent, paid_only, paying_deposits, salted_join
 
 USER, TS = "external_user_id", "event_date"
 UNKNOWN = "Unknown"
@@ -61,7 +61,7 @@ def by_attributes(events: DataFrame, spend: DataFrame, websites: WebsitePatterns
              F.sum("converted_amount").alias("_revenue"))
     )
     formats = publisher_format(spend).withColumnRenamed("format", "_spend_format")
-    rows = per_user.join(formats, "publisher_id", "left").withColumn(
+    rows = salted_join(per_user, formats, ["publisher_id"]).withColumn(
         "format", F.coalesce("_spend_format", "_sub_format"))
 
     splits = [column for _, column in BREAKDOWNS]

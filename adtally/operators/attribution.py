@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import numeric as num, text, time as tm
-from .common import last_per_key
+from .common import last_per_key, salted_join
 
 BRAND, TS = "advertiser", "event_date"
 WebsitePatterns = Sequence[tuple[str, Sequence[str]]]
@@ -47,14 +47,14 @@ def fill_from_mapping(events: DataFrame, mapping: DataFrame, link: str = "event_
     """Brand from a mapping by event, user or network id, optionally also by day.
 
     ``replace`` overwrites a brand already set; without it only gaps are filled.  The
-    mapping has one row per key, so events never multiply; the events keep their rows
-    and only their key columns meet the mapping.
+    mapping has one row per key, so events never multiply, and a user with very many
+    events is spread over several tasks.
     """
     by_day = "day" in mapping.columns
     keyed = mapping.select(
         F.col("link").alias(link), *([F.col("day").alias("_day")] if by_day else []), F.col("brand").alias("_brand"))
     rows = events.withColumn("_day", F.to_date(TS)) if by_day else events
-    joined = rows.join(keyed, [link] + (["_day"] if by_day else []), "left")
+    joined = salted_join(rows, keyed, [link] + (["_day"] if by_day else []))
     usable = F.when(tm.within(F.col(TS), start, end, end_bound), F.col("_brand"))
     first, second = (usable, F.col(BRAND)) if replace else (F.col(BRAND), usable)
     return joined.withColumn(BRAND, F.coalesce(first, second)).select(events.columns)

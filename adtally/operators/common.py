@@ -69,6 +69,25 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     return df.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+SALTS = 16
+
+
+def salted_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left",
+                salts: int = SALTS) -> DataFrame:
+    """Join ``rows`` with a ``lookup`` that has one row per key, where a key may be hot.
+
+    The rows of a key are dealt to ``salts`` parts by a hash of their other columns, and
+    the lookup is repeated for each part.  Shuffling on (key, part) also gives both sides
+    an exchange of their own, which adaptive execution needs to split a part still too
+    large; a lookup that comes from a ``groupBy`` on the key would not have one.
+    """
+    keys = list(keys)
+    spread = [F.col(c) for c in rows.columns if c not in keys] or [F.lit(0)]
+    part = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    repeated = lookup.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_part", part).join(repeated, [*keys, "_part"], how).drop("_part")
+
+
 def scalar(df: DataFrame) -> Column:
     """A one-row, one-column frame as an uncorrelated scalar subquery."""
     return df.scalar()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import numeric as num, time as tm
 from .arppu import UNKNOWN, publisher_format
-from .common import DEPOSIT, deposits, paid_only, paying_deposits
+from .common import DEPOSIT, deposits, paid_only, salted_join
 from .ranking import exact_percentile
 
 USER, TS, AMOUNT = "external_user_id", "event_date", "converted_amount"
@@ -157,7 +157,7 @@ def by_format(events: DataFrame, spend: DataFrame) -> DataFrame:
     reduced = paying_events(events).groupBy(USER, "publisher_id", F.col("advertiser").alias("brand")).agg(
         F.count(F.lit(1)).alias("_k"), F.sum(AMOUNT).alias("_v"))
     formats = publisher_format(spend).filter(F.col("format").isNotNull())
-    per_user = reduced.join(formats, "publisher_id").groupBy(USER, "format", "brand").agg(
+    per_user = salted_join(reduced, formats, ["publisher_id"], "inner").groupBy(USER, "format", "brand").agg(
         F.sum("_k").alias("_n"), F.sum("_v").alias("_sum"))
     users, revenue = F.count(USER), F.sum("_sum")
     return per_user.groupBy("format", "brand").agg(
