@@ -110,7 +110,7 @@ def _spend_rows(spark: SparkSession, path, glob: str) -> DataFrame:
         rows = lines.join(headers, "file_path")
 
     def parse(layout: str, part: DataFrame) -> DataFrame:
-        names = [n.strip().strip('"').lstrip("﻿") for n in layout.split(",")]
+        names = [n.strip().strip('"').lstrip("\ufeff") for n in layout.split(",")]
         schema = ", ".join(f"c{i} STRING" for i in range(len(names)))
         cells = part.withColumn("_c", F.from_csv("line", schema))
         cell = lambda name: F.trim(F.col(f"_c.c{names.index(name)}"))

@@ -27,7 +27,7 @@ def csv_results(df: DataFrame, path: str, single_file: bool = False, byte_order_
     """Results as CSV.  ``single_file`` is meant for summaries only."""
     if byte_order_mark:
         first = df.columns[0]
-        df = df.withColumnRenamed(first, "﻿" + first)
+        df = df.withColumnRenamed(first, "\ufeff" + first)
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
