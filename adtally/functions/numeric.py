@@ -24,12 +24,12 @@ def ratio_floor_one(numerator: Column, denominator: Column) -> Column:
 
 
 def percent(part: Column, whole: Column) -> Column:
-    return (ratio(part, whole) * 100).cast(_RATIO)
+    return ratio(part * 100, whole)
 
 
 def percent_change(new: Column, old: Column) -> Column:
     """Growth in percent; an old value of zero counts as one."""
-    return ((ratio_floor_one(new, old) - 1) * 100).cast(_RATIO)
+    return (ratio_floor_one(new * 100, old) - 100).cast(_RATIO)
 
 
 def half_up(value: Column, places: int) -> Column:

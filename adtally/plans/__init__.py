@@ -1 +1,11 @@
 """Report plans over the star-schema tables, each with its SQL twin."""
+
+from __future__ import annotations
+
+
+def catalog() -> dict:
+    """All registered reports by name."""
+    from . import bid_reports, deposit_reports, reactivation_reports  # noqa: F401  they register their reports
+    from .registry import REPORTS
+
+    return REPORTS

@@ -141,7 +141,7 @@ def _spend_sql(name: str, period: str, column: str) -> str:
          CASE pid % 6 WHEN 0 THEN 'POP' WHEN 1 THEN 'PUSH' WHEN 2 THEN 'VIDEO' WHEN 3 THEN 'BANNER'
                       WHEN 4 THEN 'NATIVE' ELSE 'OTHER' END fmt,
          round(CAST(q / greatest(n, 1) AS DECIMAL(28,10)), 3) cpa
-  FROM (SELECT l_suppkey % 41 pid, {period} {column}, count(*) n, sum(CAST(l_quantity AS BIGINT)) q
+  FROM (SELECT l_suppkey % 41 pid, {period} AS {column}, count(*) n, sum(CAST(l_quantity AS BIGINT)) q
         FROM lineitem GROUP BY ALL))"""
 
 
