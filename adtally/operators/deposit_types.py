@@ -156,10 +156,10 @@ def efficiency_advice(comparison: DataFrame, min_spend: int = 100, min_deps: int
                       high_deps: int = 5000, medium_deps: int = 2000) -> DataFrame:
     """Bid advice from cost against the paid average; cost per deposit weighs three of five."""
     paid = comparison.filter((F.col("spend_new") > min_spend) & (F.col("publisher_id") != 0))
-    average = lambda column: scalar(paid.agg(num.ratio(F.sum("spend_new"), F.sum(column))))
     weights = [("total_cpa_new", "total_deps_new", 3), ("ftd_cpa_new", "ftd_new", 1), ("rd_cpa_new", "rd_new", 1)]
-    parts = [_off_average(F.col(cpa), average(n)) * w for cpa, n, w in weights]
-    rows = paid.filter(F.col("total_deps_new") >= min_deps).select(
+    averages = paid.agg(F.struct(*[num.ratio(F.sum("spend_new"), F.sum(n)).alias(cpa) for cpa, n, _ in weights]))
+    parts = [_off_average(F.col(cpa), F.col(f"_average.{cpa}")) * w for cpa, _, w in weights]
+    rows = paid.filter(F.col("total_deps_new") >= min_deps).withColumn("_average", scalar(averages)).select(
         "publisher_id", "publisher_name", "spend_new", "total_deps_new", "total_cpa_new", "ftd_cpa_new",
         "rd_cpa_new", ((parts[0] + parts[1] + parts[2]) / 5).cast("decimal(28,8)").alias("efficiency_score"),
         "deps_change_pct", "ftd_cpa_change", "rd_cpa_change")

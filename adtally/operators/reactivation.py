@@ -273,13 +273,13 @@ def publisher_recommendations(profile: DataFrame, top: int = 20, high_volume: in
                               low_volume: int = 50) -> DataFrame:
     """Bid advice for the ``top`` publishers by volume, from their long-inactive share."""
     long_, short = SEGMENTS[-1], SEGMENTS[0]
-    average = lambda s: scalar(paid_averages(profile).select(_pct(s)))
-    best = profile.orderBy(F.desc("total"), F.asc("publisher_id")).limit(top)
-    diffs = best.select(
+    averages = paid_averages(profile)
+    best = (profile.orderBy(F.desc("total"), F.asc("publisher_id")).limit(top)
+            .withColumn("_average", scalar(averages.select(F.struct("*")))))
+    off = lambda s: F.col(_pct(s)) - F.col("_average").getField(_pct(s))
+    diffs = best.filter(F.col("publisher_id") != 0).select(
         "publisher_id", "total", F.col(_pct(long_)).alias("long_pct"),
-        (F.col(_pct(long_)) - average(long_)).alias("long_diff"),
-        (F.col(_pct(short)) - average(short)).alias("short_diff"),
-    ).filter(F.col("publisher_id") != 0)
+        off(long_).alias("long_diff"), off(short).alias("short_diff"))
     return _advise(diffs, high_volume, low_volume).orderBy(F.desc("quality_score"), "publisher_id")
 
 

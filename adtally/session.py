@@ -35,6 +35,8 @@ def local_session(app: str = "adtally", cores: int | str = "*", memory: str = "8
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Recording the caller of every column expression costs more than the expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
