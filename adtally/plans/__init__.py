@@ -5,7 +5,8 @@ from __future__ import annotations
 
 def catalog() -> dict:
     """All registered reports by name."""
-    from . import bid_reports, deposit_reports, reactivation_reports  # noqa: F401  they register their reports
+    from . import (arppu_reports, bid_reports, campaign_reports, deposit_reports,  # noqa: F401  they register
+                   insight_reports, quality_reports, reactivation_reports, split_test_reports)
     from .registry import REPORTS
 
     return REPORTS

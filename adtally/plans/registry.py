@@ -60,14 +60,19 @@ def report(name: str, sql: str | None = None, uses: str = "") -> Callable[[Plan]
     return register
 
 
+def _clean(expression: str, places: int) -> str:
+    """A quotient without the last digits, where double noise would decide a tie."""
+    return f"CAST({expression} AS DECIMAL(38,{min(places + 4, 10)}))"
+
+
 def dec(expression: str, places: int = 6) -> str:
     """SQL for a fraction rounded half up to ``places``, as a double."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,10)), {places}) AS DOUBLE)"
+    return f"CAST(round({_clean(expression, places)}, {places}) AS DOUBLE)"
 
 
 def even(expression: str, places: int) -> str:
     """SQL for a fraction rounded half to even, as a double."""
-    return f"CAST(round_even(CAST({expression} AS DECIMAL(38,10)), {places}) AS DOUBLE)"
+    return f"CAST(round_even({_clean(expression, places)}, {places}) AS DOUBLE)"
 
 
 def big(expression: str) -> str:
