@@ -93,7 +93,7 @@ def _spend(spark: SparkSession, sf_dir: str, period, name: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("deposits_reported"),
                  F.sum(F.col("l_quantity").cast("bigint")).cast("decimal(15,2)").alias("spend"))
             .withColumn("publisher_name", label))
-    cost = num.half_up(num.ratio_floor_one(F.col("spend"), F.col("deposits_reported")), 3)
+    cost = num.half_even(num.ratio_floor_one(F.col("spend"), F.col("deposits_reported")), 3)
     return rows.withColumns({"format": text.ad_format(F.col("publisher_name")), "current_cpa": cost})
 
 
@@ -153,7 +153,7 @@ def _spend_sql(name: str, period: str, column: str) -> str:
                         WHEN 4 THEN '-NATIVE' ELSE '' END pname,
          CASE pid % 6 WHEN 0 THEN 'POP' WHEN 1 THEN 'PUSH' WHEN 2 THEN 'VIDEO' WHEN 3 THEN 'BANNER'
                       WHEN 4 THEN 'NATIVE' ELSE 'OTHER' END fmt,
-         round(CAST(q / greatest(n, 1) AS DECIMAL(28,10)), 3) cpa
+         round_even(CAST(q / greatest(n, 1) AS DECIMAL(28,10)), 3) cpa
   FROM (SELECT l_suppkey % 41 pid, {period} AS {column}, count(*) n, sum(CAST(l_quantity AS BIGINT)) q
         FROM lineitem GROUP BY ALL))"""
 

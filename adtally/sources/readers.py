@@ -82,12 +82,16 @@ MAX_LAYOUTS = 100
 
 
 def _export_lines(spark: SparkSession, path, glob: str) -> DataFrame:
-    """Lines with their file name; bytes that are not UTF-8 are read as Latin-1, line by line."""
-    lines = spark.read.option("pathGlobFilter", glob).text(path)
+    """Lines with their file; bytes that are not UTF-8 are read as Latin-1, line by line.
+
+    ``file_name`` is the folder's name where Spark itself wrote the part files.
+    """
+    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
     latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     value = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(latin)
-    return lines.select(value.alias("line"), F.col("_metadata.file_path").alias("file_path"),
-                        F.col("_metadata.file_name").alias("file_name"))
+    path_ = F.col("_metadata.file_path")
+    name = F.regexp_extract(F.regexp_replace(path_, r"/part-[^/]*$", ""), r"([^/]+)$", 1)
+    return lines.select(value.alias("line"), path_.alias("file_path"), name.alias("file_name"))
 
 
 def _spend_rows(spark: SparkSession, path, glob: str) -> DataFrame:

@@ -31,14 +31,28 @@ def csv_results(df: DataFrame, path: str, single_file: bool = False, byte_order_
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
+def _as_stored(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the column types the table at ``path`` already has, so its files agree."""
+    try:
+        stored = {f.name: f.dataType for f in df.sparkSession.read.parquet(path).schema.fields}
+    except AnalysisException:
+        return df  # first write
+    return df.select([F.col(c).cast(stored[c]) if c in stored and c not in keys else F.col(c) for c in df.columns])
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _as_stored(df, path, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+
 
+def read_table(spark: SparkSession, path: str, like: DataFrame | None = None, merge_schema: bool = False) -> DataFrame:
+    """A stored table; before its first write an empty frame shaped ``like`` another.
 
-def read_table(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
-    """A stored table; before its first write an empty frame shaped ``like`` another."""
+    The types of ``like`` also decide how partition values, such as sheet ids, are read.
+    ``merge_schema`` collects columns that only some files have, which opens every file.
+    """
     try:
-        return spark.read.parquet(path)
+        reader = spark.read if like is None else spark.read.schema(like.schema)
+        return reader.option("mergeSchema", merge_schema).parquet(path)
     except AnalysisException:
         if like is None:
             raise
@@ -52,7 +66,7 @@ def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     columns, so a partition neither ends up in one task nor in one file per task.
     """
     spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    (df.repartition(*keys, spread).write.mode("overwrite")
+    (_as_stored(df, path, keys).repartition(*keys, spread).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
 
 
