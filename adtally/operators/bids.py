@@ -52,16 +52,16 @@ def target_cpa(spend: DataFrame, keys: Sequence[str] = ("format",),
     sums = spend.groupBy(*keys).agg(
         when("spend").alias("_rs"), when("deposits_reported").alias("_rd"),
         F.sum("spend").alias("_s"), F.sum("deposits_reported").alias("_d"))
-    reference = F.when(F.col("_rd") > 0, num.ratio(F.col("_rs"), F.col("_rd")))
-    everyone = F.when(F.col("_d") > 0, num.ratio(F.col("_s"), F.col("_d")))
-    sums = sums.withColumns({"_reference": F.when(reference > 0, reference), "_everyone": everyone})
+    share = F.lit(TARGET_SHARE).cast("decimal(2,1)")
+    aim = lambda cost, deposits: F.when(deposits > 0, num.ratio(cost * share, deposits))
+    sums = sums.withColumns({"_reference": aim(F.when(F.col("_rs") > 0, F.col("_rs")), F.col("_rd")),
+                             "_everyone": aim(F.col("_s"), F.col("_d"))})
     fallback = F.col("_everyone")
     if null_key_blocks:
         nameless = sums.filter(F.col(keys[0]).isNull() & F.col("_reference").isNotNull())
         blocked = nameless.agg((F.count(F.lit(1)) > 0).alias("b")).scalar()
         fallback = F.when(~blocked, fallback)
-    share = F.lit(TARGET_SHARE).cast("decimal(2,1)")
-    target = (F.coalesce(F.col("_reference"), fallback) * share).cast("decimal(28,10)")
+    target = F.coalesce(F.col("_reference"), fallback)
     source = F.when(F.col("_reference").isNotNull(), "reference").when(target.isNotNull(), "all")
     return sums.select(*keys, target.alias("target_cpa"), source.otherwise("none").alias("target_source"))
 

@@ -17,12 +17,17 @@ _DAYS = "decimal(18,10)"
 
 
 def depositors_in_period(events: DataFrame, start: tm.Day, end: tm.Day,
-                         end_bound: str = tm.END_OF_DAY, null_users: bool = False) -> DataFrame:
+                         end_bound: str = tm.END_OF_DAY, null_users: bool = False,
+                         users: DataFrame | None = None) -> DataFrame:
     """One row per user with a deposit in the period: its first one, and the last before it.
 
     Nothing in the period can precede the period's own first deposit, so the previous
     deposit is simply the latest one before ``start``.  That makes it a single
     aggregation per user instead of a self-join.
+
+    ``users`` limits the result to listed ids.  The semi join is written directly on the
+    aggregation: Spark moves it below when the list is small enough to broadcast, and
+    otherwise joins the already reduced rows.
     """
     ts = F.col(TS)
     per_user = (
@@ -31,8 +36,10 @@ def depositors_in_period(events: DataFrame, start: tm.Day, end: tm.Day,
         .groupBy(F.col(USER).alias("user_id"))
         .agg(F.min(F.when(tm.at_or_after(ts, start), ts)).alias("first_deposit"),
              F.max(F.when(~tm.at_or_after(ts, start), ts)).alias("_prev"))
-        .filter(F.col("first_deposit").isNotNull())
     )
+    if users is not None:
+        per_user = per_user.join(users.select(F.col(users.columns[0]).cast("string").alias("user_id")), "user_id", "left_semi")
+    per_user = per_user.filter(F.col("first_deposit").isNotNull())
     # The rows without a user id are no single person, so they have no previous deposit.
     previous = F.when(F.col("user_id").isNotNull(), F.col("_prev"))
     return per_user.select("user_id", "first_deposit", previous.alias("prev_deposit_date"))
@@ -170,21 +177,11 @@ def period_totals(events: DataFrame, start: tm.Day, end: tm.Day,
     )
 
 
-def _listed(events: DataFrame, users: DataFrame, start, end, end_bound) -> DataFrame:
-    """Depositors that are on the list.
-
-    Written after the aggregation: Spark moves the semi join below it when the list is
-    small enough to broadcast, and otherwise joins the already reduced rows.
-    """
-    ids = users.select(F.col(users.columns[0]).cast("string").alias("user_id"))
-    return depositors_in_period(events, start, end, end_bound).join(ids, "user_id", "left_semi")
-
-
 def list_detail(events: DataFrame, users: DataFrame, start: tm.Day, end: tm.Day,
                 end_bound: str = tm.END_OF_DAY) -> DataFrame:
     """Returning depositors on a user list, with fractional days."""
-    rows = _listed(events, users, start, end, end_bound).filter(F.col("prev_deposit_date").isNotNull())
-    return _with_days(rows)
+    rows = depositors_in_period(events, start, end, end_bound, users=users)
+    return _with_days(rows.filter(F.col("prev_deposit_date").isNotNull()))
 
 
 def list_report(events: DataFrame, users: DataFrame, start: tm.Day, end: tm.Day,
@@ -196,8 +193,7 @@ def list_report(events: DataFrame, users: DataFrame, start: tm.Day, end: tm.Day,
 def list_totals(events: DataFrame, users: DataFrame, start: tm.Day, end: tm.Day,
                 end_bound: str = tm.END_OF_DAY) -> DataFrame:
     """Size of the list, returning users on it, the others, and the returning share."""
-    found = (_listed(events, users, start, end, end_bound)
-             .agg(F.count("prev_deposit_date").alias("n")))
+    found = depositors_in_period(events, start, end, end_bound, users=users).agg(F.count("prev_deposit_date"))
     listed = users.agg(F.count(F.lit(1)).alias("users_in_list"))
     n, back = F.col("users_in_list"), F.col("reactivations")
     return (listed.withColumn("reactivations", scalar(found))

@@ -25,7 +25,12 @@ _COEF = "CAST(CASE WHEN cpa > 0 AND t > 0 THEN greatest(least(t / cpa, 3.0), 0.1
 _LABEL = """CASE WHEN NOT (cpa > 0 AND coalesce(t, 0) > 0) THEN 'NO_DATA' WHEN k >= 1.3 THEN 'RAISE' WHEN k >= 1.1 THEN 'RAISE_SLIGHTLY'
   WHEN k >= 0.9 THEN 'KEEP' WHEN k >= 0.7 THEN 'LOWER_SLIGHTLY' WHEN k >= 0.4 THEN 'LOWER' ELSE 'DISABLE' END"""
 _OUT = f"""pid publisher_id, pname publisher_name, fmt "format", {dbl('spend')} spend, {dbl('cpa')} current_cpa,
-  {dec('coalesce(t, 0)')} target_cpa_format, {dec('k')} coefficient, {dec('(k - 1) * 100')} change_pct, {_LABEL} recommendation"""
+  {dec('coalesce(t, 0)', 4)} target_cpa_format, {dec('k', 4)} coefficient, {dec('(k - 1) * 100', 4)} change_pct, {_LABEL} recommendation"""
+
+
+def _shown(rows):
+    """Fractions to four places."""
+    return rows.withColumns({c: num.half_up(F.col(c), 4) for c in ("target_cpa_format", "coefficient", "change_pct")})
 
 
 @report("bd1_target_cpa", f"""WITH p AS (SELECT * FROM ps WHERE month = '{MONTH}' AND pid <> 0 AND spend >= 50), {_target('tg', 'p')}
@@ -38,29 +43,29 @@ def _(spark, d):
 r AS (SELECT *, {_COEF} k FROM p LEFT JOIN tg USING (fmt))
 SELECT month, deps deposits_reported, {_OUT} FROM r""", "ps")
 def _(spark, d):
-    return bids.coefficients(bids.period_spend(frames.publisher_spend(spark, d), "month", MONTH, "1998-01"))
+    return _shown(bids.coefficients(bids.period_spend(frames.publisher_spend(spark, d), "month", MONTH, "1998-01")))
 
 
 @report("bd2_coefficients_null_key", f"""WITH p AS (SELECT * REPLACE (CASE WHEN fmt <> 'OTHER' THEN fmt END AS fmt) FROM ps WHERE month = '{MONTH}' AND pid <> 0),
-{_target('tg', 'p')}, r AS (SELECT * REPLACE (CASE WHEN src = 'reference' THEN t END AS t) FROM p LEFT JOIN tg USING (fmt)), q AS (SELECT *, {_COEF} k FROM r)
+{_target('tg', 'p')}, r AS (SELECT * REPLACE (CASE WHEN src = 'reference' OR NOT EXISTS (SELECT 1 FROM marked_tg WHERE fmt IS NULL) THEN t END AS t) FROM p LEFT JOIN tg USING (fmt)), q AS (SELECT *, {_COEF} k FROM r)
 SELECT month, deps deposits_reported, {_OUT} FROM q""", "ps")
 def _(spark, d):
     spend = bids.period_spend(frames.publisher_spend(spark, d), "month", MONTH, MONTH, min_spend=None)
     spend = spend.withColumn("format", F.nullif("format", F.lit("OTHER")))
-    return bids.coefficients(spend, null_key_blocks=True)
+    return _shown(bids.coefficients(spend, null_key_blocks=True))
 
 
 @report("bd3_coefficients_day", f"""WITH p AS (SELECT * FROM pd WHERE date BETWEEN DATE '1997-11-01' AND DATE '1997-11-30' AND pid <> 0 AND spend >= 50), {_target('tg', 'p')},
 r AS (SELECT *, {_COEF} k FROM p LEFT JOIN tg USING (fmt))
 SELECT date, deps deposits_reported, {_OUT} FROM r""", "pd")
 def _(spark, d):
-    return bids.coefficients(bids.period_spend(frames.publisher_spend_daily(spark, d), "date", "1997-11-01", "1997-11-30"))
+    return _shown(bids.coefficients(bids.period_spend(frames.publisher_spend_daily(spark, d), "date", "1997-11-01", "1997-11-30")))
 
 
 @report("bd3_coefficients_day_open_range", f"""WITH p AS (SELECT * FROM pd WHERE pid <> 0 AND spend >= 50), {_target('tg', 'p')},
 r AS (SELECT *, {_COEF} k FROM p LEFT JOIN tg USING (fmt)) SELECT date, deps deposits_reported, {_OUT} FROM r""", "pd")
 def _(spark, d):
-    return bids.coefficients(bids.period_spend(frames.publisher_spend_daily(spark, d), "date"))
+    return _shown(bids.coefficients(bids.period_spend(frames.publisher_spend_daily(spark, d), "date")))
 
 
 _MODE = """mode_brand AS (SELECT pid, month, adv FROM (SELECT pid, strftime(ts, '%Y-%m') AS month, adv, count(*) n FROM ue
@@ -77,7 +82,7 @@ def _(spark, d):
 @report("bd4_coefficients_brand", f"""WITH {_BRANDED}, {_target('tg', 'p', 'fmt, brand')}, r AS (SELECT *, {_COEF} k FROM p LEFT JOIN tg USING (fmt, brand))
 SELECT month, brand, deps deposits_reported, {_OUT} FROM r""", "ue ps")
 def _(spark, d):
-    return bids.coefficients_by_brand(frames.publisher_spend(spark, d), frames.user_events(spark, d), "2000-01", "brand_a")
+    return _shown(bids.coefficients_by_brand(frames.publisher_spend(spark, d), frames.user_events(spark, d), "2000-01", "brand_a"))
 
 
 _SEEN = """seen AS (SELECT pid, count(*) n, count(*) FILTER (WHERE ts = f) ftd, count(*) FILTER (WHERE ts > f) rd
@@ -94,13 +99,13 @@ r AS (SELECT p.*, t, coalesce(n, 0) n, coalesce(ftd, 0) ftd, coalesce(rd, 0) rd,
       FROM p LEFT JOIN tg USING (fmt) LEFT JOIN seen USING (pid) WHERE spend > 50 AND pid <> 0)
 SELECT month, deps deposits_reported, n total_deps, ftd, rd, {_OUT} FROM r""", "ue ps")
 def _(spark, d):
-    return bids.coefficients_with_deposits(*_month(spark, d))
+    return _shown(bids.coefficients_with_deposits(*_month(spark, d)))
 
 
 @report("bd5_coefficients_spend_only", f"""WITH p AS (SELECT * FROM ps WHERE month = '{MONTH}' AND pid <> 0 AND spend > 50), {_target('tg', 'p')},
 r AS (SELECT *, {_COEF} k FROM p LEFT JOIN tg USING (fmt)) SELECT month, deps deposits_reported, {_OUT} FROM r""", "ps")
 def _(spark, d):
-    return bids.coefficients(bids.period_spend(frames.publisher_spend(spark, d), "month", MONTH, MONTH, 50, above=True))
+    return _shown(bids.coefficients(bids.period_spend(frames.publisher_spend(spark, d), "month", MONTH, MONTH, 50, above=True)))
 
 
 _ROUNDED = f"""WITH p AS (SELECT * FROM ps WHERE month = '{MONTH}'), {_target('tg', 'p')}, {_SEEN},
@@ -145,4 +150,4 @@ def _(spark, d):
 @report("bd7_coefficients_all_months", f"""WITH p AS (SELECT * FROM ps WHERE pid <> 0 AND spend >= 50), {_target('tg', 'p')},
 r AS (SELECT *, {_COEF} k FROM p LEFT JOIN tg USING (fmt)) SELECT month, deps deposits_reported, {_OUT} FROM r""", "ps")
 def _(spark, d):
-    return bids.coefficients(bids.period_spend(frames.publisher_spend(spark, d), "month"))
+    return _shown(bids.coefficients(bids.period_spend(frames.publisher_spend(spark, d), "month")))

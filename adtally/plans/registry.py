@@ -62,7 +62,7 @@ def report(name: str, sql: str | None = None, uses: str = "") -> Callable[[Plan]
 
 def _clean(expression: str, places: int) -> str:
     """A quotient without the last digits, where double noise would decide a tie."""
-    return f"CAST({expression} AS DECIMAL(38,{min(places + 4, 10)}))"
+    return f"CAST({expression} AS DECIMAL(38,{min(places + 6, 10)}))"
 
 
 def dec(expression: str, places: int = 6) -> str:

@@ -72,6 +72,7 @@ def test_filters_reach_the_files(spark, tmp_path):
     from adtally.plans import frames
     from adtally.sources import writers as wr
 
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
     path = str(tmp_path / "events")
     wr.copy_table(frames.user_events(spark, SF), path)
     stored = spark.read.parquet(path)
@@ -84,7 +85,7 @@ def test_filters_reach_the_files(spark, tmp_path):
 def test_listed_users_are_filtered_before_the_shuffle(spark):
     """A short list is broadcast and applied below the aggregation."""
     plan = plan_of(QUERIES["rx6_user_list_report"](spark, SF))
-    assert plan.index("partial_min") < plan.index("LeftSemi")
+    assert plan.index("partial_min") < plan.index("LeftSemi")  # plans print from the top down
 
 
 def test_top_k_is_limited_before_the_shuffle(spark):
