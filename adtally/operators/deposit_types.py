@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import numeric as num, time as tm
 from ..functions.rules import Rule, action_of, priority_of
@@ -34,6 +34,21 @@ def deposit_types(events: DataFrame, start: tm.Day | None = None, end: tm.Day |
     return rows.join(first, [USER, TS], "left").withColumn("deposit_type", kind).drop("_first")
 
 
+def numbered_deposits(events: DataFrame) -> DataFrame:
+    """Deposits with their ordinal in the user's history, by time and then event id.
+
+    Deposits are numbered within a day slot only; the count of the user's earlier slots,
+    taken over one row per slot, is added.  So no task sorts a whole history.
+    """
+    rows = deposits(events).withColumn("_slot", tm.day_number(F.col(TS)))
+    slots = rows.groupBy(USER, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(USER).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.select(USER, "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(USER, "_slot").orderBy(TS, "event_id"))
+    return (rows.join(slots, [USER, "_slot"])
+            .withColumn("deposit_number", F.col("_before") + within).drop("_slot", "_before"))
+
+
 def publisher_stats(events: DataFrame, start: tm.Day, end: tm.Day,
                     end_bound: str = tm.END_OF_DAY, null_users_are_rd: bool = False) -> DataFrame:
     """Deposits, FTD, RD and RD rate per publisher.

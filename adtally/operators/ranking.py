@@ -2,9 +2,10 @@
 
 ``PERCENT_RANK`` and ``PERCENTILE_CONT`` need, for each distinct value, how many
 rows of the group lie below it.  A window over the group would put all its rows
-into one task.  Here the values are whole numbers whose bits form a tree with
-2^16 children per node: counts are summed up the tree, then running totals are
-taken among siblings and carried down, so no window holds more than 65,536 rows.
+into one task.  Here the values are whole numbers whose bits form a tree of three
+levels: counts are summed up the tree, then running totals are taken among siblings
+and carried down.  A window holds at most the 2^22 possible siblings, two numbers
+each, however many rows the group has.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_BITS = 16
+_BITS = 22
 
 
 def counts_below(values: DataFrame, group: Sequence[str], value: str, count: str) -> DataFrame:
@@ -25,7 +26,7 @@ def counts_below(values: DataFrame, group: Sequence[str], value: str, count: str
     group = list(group)
     keep = values.columns
     node = lambda depth: f"_node{depth}"
-    depths = 64 // _BITS
+    depths = -(-64 // _BITS)
 
     # Arithmetic shifts keep the order of negative values.
     levels = [values.withColumn(node(0), F.col(value)).withColumn(

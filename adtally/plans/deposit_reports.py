@@ -29,6 +29,13 @@ def _(spark, d):
     return rows.select("event_id", "external_user_id", "publisher_id", "event_date", "converted_amount", "deposit_type")
 
 
+for _src, _frame in (("ue", frames.user_events), ("be", frames.behaviour_events)):
+    @report(f"wn3_deposit_numbers_{_src}", f"""SELECT event_id, uid external_user_id, ts event_date, row_number() OVER (PARTITION BY uid ORDER BY ts, event_id) deposit_number
+FROM {_src} WHERE event_type = 'deposit'""", _src)
+    def _(spark, d, frame=_frame):
+        return dp.numbered_deposits(frame(spark, d)).select("event_id", "external_user_id", "event_date", "deposit_number")
+
+
 _STATS_OUT = f"SELECT pid publisher_id, n total_deps, ftd, rd, {dbl('rate')} rd_rate FROM m"
 
 

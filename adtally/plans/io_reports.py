@@ -276,6 +276,14 @@ def _(spark, d):
     return wr.read_table(spark, path).select("cohort_start", "users_count", F.round("arppu", 2).alias("arppu"))
 
 
+@report("snk9_monthly_rollup", f"""SELECT pid publisher_id, pname publisher_name, fmt "format", strftime(date, '%Y-%m') AS month, {big('sum(deps)')} deposits_reported,
+  {dbl('sum(spend)')} spend, {dec('sum(spend) / sum(deps)', 3)} current_cpa FROM pd WHERE pid <> 0 GROUP BY ALL""", "pd")
+def _(spark, d):
+    path = scratch_path(spark, "monthly-spend")
+    wr.roll_up_spend(frames.publisher_spend_daily(spark, d), path)
+    return wr.read_table(spark, path)
+
+
 # --- streams ----------------------------------------------------------------
 
 

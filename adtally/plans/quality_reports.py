@@ -117,12 +117,6 @@ def _(spark, d):
     return dq.spend_by_month(frames.publisher_spend(spark, d))
 
 
-@report("snk9_monthly_rollup", f"""SELECT pid publisher_id, pname publisher_name, fmt "format", strftime(date, '%Y-%m') AS month, {big('sum(deps)')} deposits_reported,
-  {dbl('sum(spend)')} spend, {dec('sum(spend) / sum(deps)', 3)} current_cpa FROM pd WHERE pid <> 0 GROUP BY ALL""", "pd")
-def _(spark, d):
-    return at.monthly_from_daily(frames.publisher_spend_daily(spark, d))
-
-
 # --- attribution ------------------------------------------------------------
 
 

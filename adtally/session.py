@@ -26,6 +26,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_for(spark: SparkSession, shuffle_bytes: int, partition_bytes: int = 192 << 20) -> SparkSession:
+    """Choose enough shuffle partitions for a job that moves about ``shuffle_bytes``.
+
+    Adaptive execution merges partitions that turn out small, so too many cost little
+    while too few would spill: 20 TB gives about 109,000 of 192 MiB.
+    """
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shuffle_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 << 20))
+    return spark
+
+
 def local_session(app: str = "adtally", cores: int | str = "*", memory: str = "8g",
                   shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and benchmarks."""

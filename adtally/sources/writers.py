@@ -121,7 +121,8 @@ def insert_or_ignore(target: DataFrame, batch: DataFrame, order: Sequence[Column
     """
     keyed = batch.filter(F.col("event_id").isNotNull())
     new = first_per_key(keyed, ["event_id"], order)
-    known = target.select("event_id").filter(F.col("event_id").isNotNull()).distinct()
+    # Looked up from the batch's side: a small batch is broadcast and the table only scanned.
+    known = target.select("event_id").join(new.select("event_id"), "event_id", "left_semi").distinct()
     return (new.join(known, "event_id", "left_anti").select(batch.columns)
             .unionByName(batch.filter(F.col("event_id").isNull())))
 
@@ -138,11 +139,13 @@ def merged(target: DataFrame, batch: DataFrame, order: Sequence[Column] = ()) ->
     return kept.select(target.columns).unionByName(new.select(target.columns))
 
 
-def upsert_events(batch: DataFrame, path: str, order: Sequence[Column] = ()) -> None:
+def upsert_events(batch: DataFrame, path: str, order: Sequence[Column] = (),
+                  since_month: str | None = None) -> None:
     """Merge a batch into the event table, rewriting only the months it touches.
 
     Those are the months of the new rows and of the old rows they replace.  Running the
-    same batch again gives the same table.
+    same batch again gives the same table.  Finding the old rows reads the event ids of
+    the whole table, unless ``since_month`` promises that no older month holds any.
     """
     spark = batch.sparkSession
     events = schemas.conform(batch, schemas.USER_EVENTS)
@@ -151,6 +154,8 @@ def upsert_events(batch: DataFrame, path: str, order: Sequence[Column] = ()) ->
                             order or [F.col("event_date")])).write.parquet(new_path)
     new = spark.read.parquet(new_path)
     target = read_table(spark, path, new)
+    if since_month is not None:
+        target = target.filter(F.col(MONTH) >= since_month)
     # Months are few; the event rows themselves stay on the executors.
     replaced = target.select("event_id", MONTH).join(new.select("event_id"), "event_id", "left_semi")
     months = sorted(set(_values(new, MONTH)) | set(_values(replaced, MONTH)))

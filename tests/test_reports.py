@@ -43,7 +43,7 @@ def test_report_equals_sql(spark, db, name):
     assert rows_of(df.columns, map(tuple, df.collect())) == rows_of(names, cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(WRITES) or n.startswith("snk9")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(WRITES)))
 def test_plan_shape(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "ExistingRDD"):
