@@ -28,13 +28,12 @@ def _event_files(spark, d, pixel: bool = False, name: str = "events-csv") -> str
     """The orders as an upper-case event export."""
     columns = rd.PIXEL_COLUMNS if pixel else rd.EVENT_COLUMNS
     events = frames.user_events(spark, d)
-    number = F.col("event_id").cast("bigint")
     written = F.concat(F.date_format("event_date", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
-    cells = {"event_date": F.when(~F.lit(pixel) | (number % 10 != 0), written),
+    cells = {"event_date": F.when(~F.lit(pixel) | (F.col("campaign_id") != 3), written),
              "advertiser_id": F.when(F.col("advertiser") == "brand_a", 1).when(F.col("advertiser") == "brand_b", 2)}
     out = [cells.get(c, F.col(c) if c in events.columns else F.lit(None)).cast("string").alias(h) for h, c in columns.items()]
-    # Every tenth pixel row has only its own event time.
-    late = [F.when(number % 10 == 0, written).otherwise(F.lit("not a time")).alias(rd.LATE_TIME)] if pixel else []
+    # The pixel rows of one campaign have only their own event time.
+    late = [F.when(F.col("campaign_id") == 3, written).otherwise(F.lit("not a time")).alias(rd.LATE_TIME)] if pixel else []
     path = scratch_path(spark, name)
     events.select(*out, *late).write.option("header", True).csv(path)
     return path
@@ -167,7 +166,7 @@ def _(spark, d):
     counts = rx.gaps(frames.user_events(spark, d)).groupBy("inactivity_period").agg(F.count(F.lit(1)).alias("reactivations_count"))
     wr.csv_results(counts, path, single_file=True, byte_order_mark=True)
     back = spark.read.option("header", True).csv(path)
-    return back.toDF(*[c.lstrip("﻿") for c in back.columns]).withColumn("reactivations_count", F.col("reactivations_count").cast("bigint"))
+    return back.toDF(*[c.lstrip("\ufeff") for c in back.columns]).withColumn("reactivations_count", F.col("reactivations_count").cast("bigint"))
 
 
 @report("snk2_append", f"SELECT strftime(date, '%Y-%m') AS month, 2 * count(*) AS n, {dbl('2 * sum(spend)')} spend FROM pd GROUP BY 1", "pd")
@@ -211,19 +210,21 @@ def _(spark, d):
 
 
 def _batches(spark, d):
-    """Stored events, and a batch that corrects some (with repeats), moves some to another month, and adds the rest."""
+    """Stored events, and a batch that corrects one brand's (with outdated repeats), moves one
+    campaign's to another month, and adds those without a brand."""
     events = frames.user_events(spark, d)
-    number = F.col("event_id").cast("bigint")
-    stored = events.filter(number % 3 != 0)
-    changed = (events.filter(number % 3 != 1).withColumn("converted_amount", F.col("converted_amount") + 1)
-               .withColumn("event_date", F.when(number % 30 == 2, F.col("event_date") + F.expr("INTERVAL '40' DAY")).otherwise(F.col("event_date"))))
+    brand = F.col("advertiser")
+    stored = events.filter(brand.isNotNull())
+    later = F.when(F.col("campaign_id") == 2, F.col("event_date") + F.expr("INTERVAL '40' DAY")).otherwise(F.col("event_date"))
+    changed = (events.filter(brand.isNull() | (brand == "brand_b"))
+               .withColumns({"converted_amount": F.col("converted_amount") + 1, "event_date": later}))
     outdated = changed.withColumn("converted_amount", F.lit(5)).withColumn("event_date", F.col("event_date") - F.expr("INTERVAL '1' DAY"))
     return stored, changed.unionByName(outdated)
 
 
-_MERGED = """SELECT strftime(t, '%Y-%m') AS event_month, count(*) events, count(DISTINCT event_id) ids, {total} revenue FROM (
-  SELECT event_id, CASE WHEN k % 30 = 2 THEN ts + INTERVAL 40 DAY ELSE ts END t, CASE WHEN k % 3 <> 1 THEN amt + 1 ELSE amt END a
-  FROM (SELECT *, CAST(event_id AS BIGINT) k FROM ue)) GROUP BY 1""".format(total=dbl("sum(a)"))
+_CORRECTED = "(adv IS NULL OR adv = 'brand_b')"
+_MERGED = f"""SELECT strftime(t, '%Y-%m') AS event_month, count(*) events, count(DISTINCT event_id) ids, {dbl('sum(a)')} revenue FROM (
+  SELECT event_id, CASE WHEN cid = 2 AND {_CORRECTED} THEN ts + INTERVAL 40 DAY ELSE ts END t, CASE WHEN {_CORRECTED} THEN amt + 1 ELSE amt END a FROM ue) GROUP BY 1"""
 
 
 def _by_month(table):
@@ -241,8 +242,8 @@ def _(spark, d):
     return _by_month(wr.read_table(spark, path))
 
 
-@report("snk6_insert_or_ignore", f"""SELECT strftime(ts, '%Y-%m') AS event_month, count(*) events, {dbl('sum(a)')} revenue FROM (
-  SELECT ts, CASE WHEN k % 3 = 0 THEN amt + 1 ELSE amt END a FROM (SELECT *, CAST(event_id AS BIGINT) k FROM ue)) GROUP BY 1""", "ue")
+@report("snk6_insert_or_ignore", f"""SELECT strftime(t, '%Y-%m') AS event_month, count(*) events, {dbl('sum(a)')} revenue FROM (
+  SELECT CASE WHEN cid = 2 AND adv IS NULL THEN ts + INTERVAL 40 DAY ELSE ts END t, CASE WHEN adv IS NULL THEN amt + 1 ELSE amt END a FROM ue) GROUP BY 1""", "ue")
 def _(spark, d):
     path = scratch_path(spark, "events-table")
     stored, batch = _batches(spark, d)
@@ -288,17 +289,17 @@ def _(spark, d):
 
 
 def _two_drops(spark, d) -> str:
-    """Two drops of pixel files with one event in five in both."""
+    """Two drops of pixel files with one campaign in both."""
     path = scratch_path(spark, "landing")
     files = _event_files(spark, d, pixel=True, name="drop-source")
     rows = spark.read.option("header", True).csv(files)
-    number = F.col("EVENT_ID").cast("bigint") % 5
-    for drop in (number <= 2, number >= 2):
+    campaign = F.col("CAMPAIGN_ID").cast("bigint")
+    for drop in (campaign <= 6, campaign >= 6):
         rows.filter(drop).write.mode("append").option("header", True).csv(path)
     return path
 
 
-@report("str1_incremental_append", f"SELECT strftime(ts, '%Y-%m') AS event_month, {big('sum(CASE WHEN CAST(event_id AS BIGINT) % 5 = 2 THEN 2 ELSE 1 END)')} events FROM ue GROUP BY 1", "ue")
+@report("str1_incremental_append", f"SELECT strftime(ts, '%Y-%m') AS event_month, {big('sum(CASE WHEN cid = 6 THEN 2 ELSE 1 END)')} events FROM ue GROUP BY 1", "ue")
 def _(spark, d):
     landing, table, checkpoint = _two_drops(spark, d), scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
     for _ in range(2):  # the second run finds nothing new

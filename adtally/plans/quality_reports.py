@@ -79,11 +79,11 @@ def _(spark, d):
     return dq.duplicates(rows, ["source_sheet_id", "attribution_type", "event_day", "campaignid"])
 
 
-@report("dq4_missing_dates", """WITH s AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM ue WHERE pid = 7)
+@report("dq4_missing_dates", """WITH s AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM ue)
 SELECT CAST(date AS DATE) AS date FROM (SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) date FROM s)
 WHERE CAST(date AS DATE) NOT IN (SELECT date FROM s)""", "ue")
 def _(spark, d):
-    return dq.missing_dates(frames.user_events(spark, d).filter(F.col("publisher_id") == 7))
+    return dq.missing_dates(frames.user_events(spark, d))
 
 
 @report("dq5_key_overlap", """SELECT (SELECT count(DISTINCT o_orderkey) FROM orders) left_keys, (SELECT count(DISTINCT l_orderkey) FROM lineitem) right_keys,
@@ -160,8 +160,8 @@ def _(spark, d):
 
 
 def _mapping(spark, d, link, day=None):
-    """A brand per link from every fourth order; several orders may name the same link."""
-    source = frames.user_events(spark, d).filter(F.col("event_id").cast("bigint") % 4 == 0).select(
+    """A brand per link from the events that have none; several of them may name the same link."""
+    source = frames.user_events(spark, d).filter(F.col("advertiser").isNull()).select(
         F.col(link).alias("k"), F.col("event_date").cast("string").alias("day"),
         F.when(F.col("publisher_id") % 2 == 0, " BRAND_a ").otherwise("Brand_B").alias("Advertiser"))
     return at.brand_mapping(source, "k", "Advertiser", day, frames.BRANDS)
@@ -169,7 +169,7 @@ def _mapping(spark, d, link, day=None):
 
 def _map_sql(key: str, day: bool = False) -> str:
     extra = ", CAST(ts AS DATE) dd" if day else ""
-    return f"mp AS (SELECT {key} k{extra}, max(CASE WHEN pid % 2 = 0 THEN 'brand_a' ELSE 'brand_b' END) b FROM ue WHERE CAST(event_id AS BIGINT) % 4 = 0 GROUP BY ALL)"
+    return f"mp AS (SELECT {key} k{extra}, max(CASE WHEN pid % 2 = 0 THEN 'brand_a' ELSE 'brand_b' END) b FROM ue WHERE adv IS NULL GROUP BY ALL)"
 
 
 for _key, _link, _sql in [("event", "event_id", "event_id"), ("user", "external_user_id", "uid")]:
@@ -178,7 +178,7 @@ for _key, _link, _sql in [("event", "event_id", "event_id"), ("user", "external_
         return _by_brand(at.fill_from_mapping(frames.user_events(spark, d), _mapping(spark, d, link), link))
 
 
-@report("att9_map_by_network_id", """WITH w AS (SELECT o_custkey c, max(CASE WHEN o_orderkey % 41 % 2 = 0 THEN 'brand_a' ELSE 'brand_b' END) b FROM orders WHERE o_orderkey % 4 = 0 GROUP BY 1)
+@report("att9_map_by_network_id", """WITH w AS (SELECT o_custkey c, max(CASE WHEN o_orderkey % 41 % 2 = 0 THEN 'brand_a' ELSE 'brand_b' END) b FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
 SELECT coalesce(b, CASE o_orderkey % 3 WHEN 1 THEN 'brand_a' WHEN 2 THEN 'brand_b' END) advertiser, count(*) events, count(DISTINCT o_custkey) users
 FROM orders LEFT JOIN w ON c = o_custkey GROUP BY 1""")
 def _(spark, d):

@@ -62,11 +62,10 @@ def read_table(spark: SparkSession, path: str, like: DataFrame | None = None, me
 def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Overwrite the partitions that occur in ``df`` and leave the others.
 
-    Rows are gathered by partition and dealt to several tasks each by a hash of their
-    columns, so a partition neither ends up in one task nor in one file per task.
+    The rebalance hint gathers rows by partition and lets adaptive execution cut a large
+    partition into several tasks and files of a sensible size.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    (_as_stored(df, path, keys).repartition(*keys, spread).write.mode("overwrite")
+    (_as_stored(df, path, keys).hint("rebalance", *keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
 
 
@@ -94,8 +93,10 @@ def replace_period(df: DataFrame, path: str, period: str, mode: str = "partition
     spark = df.sparkSession
     if mode == "range":
         new = _values(df, period)
-        stored = _values(read_table(spark, path, df), period)
-        stale = [v for v in stored if new and min(new) <= v <= max(new) and v not in new]
+        if not new:
+            return
+        spanned = read_table(spark, path, df).filter(F.col(period).between(min(new), max(new)))
+        stale = [v for v in _values(spanned, period) if v not in new]
         replace_partitions(df, path, [period])
         _drop_partitions(spark, path, [f"{period}={v}" for v in stale])
     else:

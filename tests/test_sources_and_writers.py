@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from adtally import schemas
 from adtally.operators import attribution as at, quality as dq
-from adtally.session import scratch_path, shared_dir
+from adtally.session import scratch_path, shared_dir, size_for
 from adtally.sources import readers as rd, writers as wr
 from adtally.streaming import ingest
 
@@ -152,6 +152,15 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_shuffle_partitions_follow_the_size(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        size_for(spark, 192 << 30)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1024"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_upsert(spark, events, tmp_path):
     path = str(tmp_path / "t")
     row = lambda i, d, a: {"event_id": i, "event_date": d, "converted_amount": a}
@@ -208,7 +217,7 @@ def test_csv_with_byte_order_mark(spark, tmp_path):
     path = tmp_path / "out"
     wr.csv_results(spark.createDataFrame([(1,)], "a int"), str(path), single_file=True, byte_order_mark=True)
     (part,) = path.glob("part-*.csv")
-    assert part.read_bytes() == "﻿a\n1\n".encode()
+    assert part.read_bytes() == "\ufeffa\n1\n".encode()
 
 
 # --- streams ----------------------------------------------------------------
