@@ -18,7 +18,7 @@ CURRENT_ORDER = ["POP", "BANNER", "VIDEO", "PUSH", "NATIVE"]
 LEGACY_ORDER = ["BANNER", "VIDEO", "PUSH", "POP", "NATIVE"]
 
 # Extra spellings of a format, and PUSH inside a longer word.
-_ALSO = {"PUSH": "IN-PAGE|INPAGE"}
+_ALSO = {"PUSH": ["IN-PAGE", "INPAGE"]}
 _INNER_PUSH = {"current": "[A-Z]PUSH[A-Z]", "legacy": "^[A-Z]*PUSH|PUSH[A-Z]"}
 
 
@@ -30,7 +30,7 @@ def publisher_id(label: Column) -> Column:
 def _word_pattern(fmt: str, boundary: str) -> str:
     """``fmt`` next to a dash, before a space, or at the end of the name."""
     forms = [f"-{fmt}{boundary}", f"{fmt}-", rf"{fmt}\s", f"{fmt}$"]
-    return "|".join(forms + ([_ALSO[fmt]] if fmt in _ALSO else []))
+    return "|".join(forms + _ALSO.get(fmt, []))
 
 
 def ad_format(name: Column, rules: str = "current") -> Column:
@@ -42,7 +42,11 @@ def ad_format(name: Column, rules: str = "current") -> Column:
     upper = F.upper(F.coalesce(name, F.lit("")))
     cases = []
     for fmt in order:
-        test = upper.rlike(_word_pattern(fmt, boundary))
+        # Most names lack the letters altogether, which is cheaper to see than the pattern.
+        possible = upper.contains(fmt)
+        for spelling in _ALSO.get(fmt, []):
+            possible = possible | upper.contains(spelling)
+        test = possible & upper.rlike(_word_pattern(fmt, boundary))
         if fmt == "PUSH":
             test = test & ~upper.rlike(_INNER_PUSH[rules])
         cases.append((test, fmt))

@@ -198,6 +198,15 @@ def _(spark, d):
     return rows.withColumn("efficiency_vs_format", num.half_up(rows.efficiency_vs_format, 4))
 
 
+@report("dp7_advice_counts", f"""{_FORMAT},
+mean AS (SELECT fmt, sum(spend) / sum(n) m FROM sig WHERE fmt <> 'OTHER' GROUP BY fmt),
+s AS (SELECT sig.*, CAST((tc / m - 1) * 100 AS DECIMAL(38,8)) score FROM sig JOIN mean USING (fmt)),
+a AS (SELECT fmt, {_advice_sql(15, 25, 'score', 'n', 6, 4, 3)} FROM s)
+SELECT fmt "format", recommendation, priority, count(*) publishers FROM a GROUP BY ALL""", "ue ps")
+def _(spark, d):
+    return dp.advice_counts(dp.format_advice(_costs(spark, d, NEW), high_deps=6, medium_deps=4, observe_below=3), ["format"])
+
+
 @report("dp8_format_summary", f"""{_FORMAT},
 g AS (SELECT fmt, count(*) k, round_even(sum(spend), 0) sp, sum(n) n, sum(ftd) ftd, sum(rd) rd FROM sig GROUP BY fmt)
 SELECT fmt "format", k publishers, {dbl('sp')} total_spend, {big('n')} total_deps, {big('ftd')} ftd, {big('rd')} rd, {even('sp / n', 3)} avg_total_cpa,

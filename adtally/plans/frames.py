@@ -94,7 +94,8 @@ def _spend(spark: SparkSession, sf_dir: str, period, name: str) -> DataFrame:
                  F.sum(F.col("l_quantity").cast("bigint")).cast("decimal(15,2)").alias("spend"))
             .withColumn("publisher_name", label))
     cost = num.half_even(num.ratio_floor_one(F.col("spend"), F.col("deposits_reported")), 3)
-    return rows.withColumns({"format": text.ad_format(F.col("publisher_name")), "current_cpa": cost})
+    stored_format = _pick(pid % 6, [f or text.OTHER for f in NAME_FORMATS])
+    return rows.withColumns({"format": stored_format, "current_cpa": cost})
 
 
 def publisher_spend(spark: SparkSession, sf_dir: str) -> DataFrame:

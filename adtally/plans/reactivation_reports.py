@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import time as tm
 from ..functions.segments import SEGMENTS
-from ..operators import reactivation as rx
+from ..operators import deposit_types as dp, reactivation as rx
 from . import frames
 from .registry import big, dbl, dec, even, report
 
@@ -180,7 +180,7 @@ def _(spark, d):
     return rx.paid_averages(rx.publisher_profile(frames.user_events(spark, d), START, END))
 
 
-@report("rx7_recommendations", f"""WITH {_publisher_people('ue', START, "ts < TIMESTAMP '1998-04-01'")},
+_ADVICE = f"""WITH {_publisher_people('ue', START, "ts < TIMESTAMP '1998-04-01'")},
 mean AS (SELECT CAST(sum(s4) * 100.0 / sum(total) AS DECIMAL(38,10)) l, CAST(sum(s0) * 100.0 / sum(total) AS DECIMAL(38,10)) s FROM prof WHERE pid <> 0),
 best AS (SELECT *, round_even(CAST(s4 * 100.0 / total AS DECIMAL(38,10)), 1) lp, round_even(CAST(s0 * 100.0 / total AS DECIMAL(38,10)), 1) sp
          FROM prof ORDER BY total DESC, pid LIMIT 20),
@@ -191,12 +191,31 @@ SELECT pid publisher_id, total, {dbl('lp')} long_pct, {dec('ld')} long_diff, {de
        WHEN ld <= -1 AND total >= 20 THEN 'LOWER_20_30' WHEN ld <= -0.5 AND total >= 10 THEN 'LOWER_10_15'
        WHEN total < 10 THEN 'OBSERVE' ELSE 'KEEP' END recommendation,
   CASE WHEN abs(ld) >= 1 AND total >= 20 THEN 'HIGH' WHEN abs(ld) >= 0.5 AND total >= 10 THEN 'MEDIUM' ELSE 'LOW' END priority
-FROM gap""", "ue")
-def _(spark, d):
+FROM gap"""
+
+
+def _advice(spark, d):
     profile = rx.publisher_profile(frames.user_events(spark, d), START, END)
     return rx.publisher_recommendations(profile, top=20, high_volume=20, low_volume=10)
 
 
+@report("rx7_recommendations", _ADVICE, "ue")
+def _(spark, d):
+    return _advice(spark, d)
+
+
+@report("rx7_advice_counts", f"WITH a AS ({_ADVICE}) SELECT recommendation, priority, count(*) publishers FROM a GROUP BY ALL", "ue")
+def _(spark, d):
+    return dp.advice_counts(_advice(spark, d))
+
+
+@report("rx7_best_and_worst", f"""WITH a AS ({_ADVICE}) SELECT publisher_id, side FROM (
+  SELECT publisher_id, 'lowest' side, row_number() OVER (ORDER BY quality_score, publisher_id) k FROM a
+  UNION ALL SELECT publisher_id, 'highest', row_number() OVER (ORDER BY quality_score DESC, publisher_id) FROM a) WHERE k <= 5""", "ue")
+def _(spark, d):
+    return dp.extremes(_advice(spark, d), "quality_score", 5).select("publisher_id", "side")
+
+
 CONTROLS = {"aug": ("1997-08-01", "1997-08-31"), "sep": ("1997-09-01", "1997-09-30"), "oct": ("1997-10-01", "1997-10-31")}
 TARGET = {"nov": ("1997-11-01", "1997-11-30")}
 _MONTHS = {**CONTROLS, **TARGET}
