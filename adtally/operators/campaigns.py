@@ -64,7 +64,7 @@ def attribution_comparison(campaigns: DataFrame, strict: bool = True) -> DataFra
 
 def _per(column: str, factor: int = 1) -> Column:
     """Spend per unit of ``column`` times ``factor``, to cents; NULL without units."""
-    exact = num.ratio(F.col("total_spend"), F.col(column)) * factor
+    exact = num.ratio(F.col("total_spend") * factor, F.col(column))
     return F.when(F.col(column) > 0, num.half_up(exact, 2))
 
 
@@ -102,7 +102,7 @@ def simple_analysis(campaigns: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def _safe(numerator: str, denominator: str, factor: int = 1) -> Column:
-    return num.ratio(F.sum(numerator), F.sum(denominator)) * factor
+    return num.ratio(F.sum(numerator) * factor, F.sum(denominator))
 
 
 def metrics() -> dict[str, Column]:

@@ -95,11 +95,11 @@ def rd_rate_advice(stats: DataFrame, min_total: int = 100) -> DataFrame:
     ).orderBy(F.desc("rd_diff"), "publisher_id")
 
 
-def _side_by_side(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Full join of two months on the publisher, missing numbers as zero."""
-    pick = lambda df, tag: df.select("publisher_id", *[F.col(c).alias(f"{c}_{tag}") for c in columns])
-    both = pick(old, "old").join(pick(new, "new"), "publisher_id", "full")
-    return both.na.fill(0, [c for c in both.columns if c != "publisher_id"])
+def _side_by_side(old: DataFrame, new: DataFrame, columns: Sequence[str], labels: Sequence[str] = ()) -> DataFrame:
+    """Full join of two months on the publisher, missing numbers as zero, labels of the new one."""
+    pick = lambda df, tag, *extra: df.select("publisher_id", *extra, *[F.col(c).alias(f"{c}_{tag}") for c in columns])
+    both = pick(old, "old").join(pick(new, "new", *labels), "publisher_id", "full")
+    return both.na.fill(0, [f"{c}_{tag}" for c in columns for tag in ("old", "new")])
 
 
 def compare_months(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -150,8 +150,7 @@ def with_cost(stats: DataFrame, spend: DataFrame) -> DataFrame:
 def compare_costs(old: DataFrame, new: DataFrame) -> DataFrame:
     """Two months of :func:`with_cost`; the name is that of the new month."""
     numbers = ["total_deps", "ftd", "rd", "spend", "ftd_cpa", "rd_cpa", "total_cpa", "rd_rate"]
-    names = new.select("publisher_id", "publisher_name")
-    both = _side_by_side(old, new, numbers).join(names, "publisher_id", "left")
+    both = _side_by_side(old, new, numbers, ["publisher_name"])
     col = lambda name, tag: F.col(f"{name}_{tag}")
     diff = lambda name: col(name, "new") - col(name, "old")
     growth = lambda name: num.half_even(num.percent_change(col(name, "new"), col(name, "old")), 1)
