@@ -96,10 +96,15 @@ def rd_rate_advice(stats: DataFrame, min_total: int = 100) -> DataFrame:
 
 
 def _side_by_side(old: DataFrame, new: DataFrame, columns: Sequence[str], labels: Sequence[str] = ()) -> DataFrame:
-    """Full join of two months on the publisher, missing numbers as zero, labels of the new one."""
+    """Two months per publisher, missing numbers as zero, labels of the new one.
+
+    A union and one aggregation in place of a full join; rows without a publisher meet too.
+    """
     pick = lambda df, tag, *extra: df.select("publisher_id", *extra, *[F.col(c).alias(f"{c}_{tag}") for c in columns])
-    both = pick(old, "old").join(pick(new, "new", *labels), "publisher_id", "full")
-    return both.na.fill(0, [f"{c}_{tag}" for c in columns for tag in ("old", "new")])
+    numbers = [f"{c}_{tag}" for c in columns for tag in ("old", "new")]
+    both = pick(old, "old").unionByName(pick(new, "new", *labels), allowMissingColumns=True)
+    return both.groupBy("publisher_id").agg(
+        *[F.max(c).alias(c) for c in labels], *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in numbers])
 
 
 def compare_months(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -50,6 +50,12 @@ def test_month_comparison_fills_missing_publishers(events):
     assert got == {1: (1, 0, -1, -100.0), 2: (0, 3, 3, 200.0)}
 
 
+def test_months_meet_without_a_publisher(events):
+    stats = lambda day: dp.publisher_stats(events([{"external_user_id": day, "event_date": day}]), day, day)
+    (row,) = dp.compare_months(stats("2024-02-02"), stats("2024-03-02")).collect()
+    assert (row.publisher_id, row.total_deps_old, row.total_deps_new, row.deps_change) == (None, 1, 1, 0)
+
+
 def test_cost_of_nothing_is_the_whole_spend(events, spend):
     stats = dp.publisher_stats(events([{"external_user_id": "a", "publisher_id": 1, "event_date": "2024-03-02"}]), "2024-03-01", "2024-03-31")
     row = dp.with_cost(stats, spend([(1, "(1) A-POP", "POP", "2024-03", 5, "80.50")])).first()
