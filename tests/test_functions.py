@@ -21,7 +21,7 @@ def test_format_names(values):
 
 
 def test_rule_order_decides(values):
-    both = ["(1) A-POP-BANNER", "(2) B-PUSH-POP", "RealPush-X"]
+    both = ["(1) A-POP-BANNER", "(2) B-PUSH-POP", "AlphaPush-X"]
     assert values(both, text.ad_format) == ["POP", "POP", "PUSH"]
     # The older rules test BANNER first, and refuse a name that starts with letters up to PUSH.
     assert values(both, lambda c: text.ad_format(c, "legacy")) == ["BANNER", "PUSH", "OTHER"]
