@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import configure
-from . import chat, decontaminate, mixing, shards
+from ..session import configure, scratch_path
+from . import archives, chat, decontaminate, mixing, shards
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -99,3 +99,9 @@ items AS (SELECT id, count(*) n_items, string_agg(item, ',' ORDER BY item) list
 SELECT s.id doc_id, len(ws)::BIGINT n_words, coalesce(n_hit, 0)::BIGINT n_hit, coalesce(n_items, 0)::BIGINT n_items,
        sha256(coalesce(list, '')) items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) contaminated
 FROM split s LEFT JOIN words USING (id) LEFT JOIN items USING (id) WHERE side = 'd'"""
+
+
+@_query
+def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through ARC and WARC files, equal payloads stored once."""
+    return archives.pages_through_warc(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc")).drop("url")
