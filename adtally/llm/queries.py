@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure, scratch_path
-from . import archives, chat, decontaminate, mixing, shards
+from . import archives, chat, decontaminate, jaccard, mixing, shards
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -105,3 +105,24 @@ FROM split s LEFT JOIN words USING (id) LEFT JOIN items USING (id) WHERE side =
 def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages through ARC and WARC files, equal payloads stored once."""
     return archives.pages_through_warc(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc")).drop("url")
+
+
+@_query
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by shingle similarity of 0.85 and more."""
+    return jaccard.linked_documents(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op5_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) i FROM w WHERE len(ws) > 0)),
+n AS (SELECT w.doc_id, count(g) n_shingles FROM w LEFT JOIN s USING (doc_id) GROUP BY 1),
+meet AS (SELECT a.doc_id x, b.doc_id y, count(*) c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM meet JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+          WHERE 100 * c >= 85 * (p.n_shingles + q.n_shingles - c)),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least_ AS (SELECT x doc_id, min(y) y FROM reach GROUP BY 1)
+SELECT doc_id, n_shingles, least(doc_id, coalesce(y, doc_id)) component_id FROM n LEFT JOIN least_ USING (doc_id)"""
