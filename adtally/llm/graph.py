@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import scratch_path
 
 
-def _fixed(df: DataFrame, name: str) -> DataFrame:
+def fixed(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again, which cuts its lineage."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -44,7 +46,7 @@ def components(links: DataFrame) -> DataFrame:
     and small stars take turns until nothing changes; each state is written to the shared
     folder, so a lost executor costs one step.
     """
-    now = _fixed(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = fixed(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                  .filter(F.col("a") != F.col("b")).distinct(), "links")
     seen = None
     while True:
@@ -52,6 +54,50 @@ def components(links: DataFrame) -> DataFrame:
         if state == seen:
             break
         seen = state
-        now = _fixed(_rewired(_rewired(now, True), False), "links")
+        now = fixed(_rewired(_rewired(now, True), False), "links")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
+
+
+def ranked(rows: DataFrame) -> DataFrame:
+    """Rows (k, fp, ...) of the groups k with at least two different nodes fp, each once, ranked by node.
+
+    A group is streamed by the window, in the order of the sort that the shuffle needs anyway.
+    """
+    group = Window.partitionBy("k")
+    shared = rows.withColumns({"_lo": F.min("fp").over(group), "_hi": F.max("fp").over(group)}).filter("_lo < _hi")
+    return shared.drop("_lo", "_hi").withColumn("rank", F.dense_rank().over(group.orderBy("fp"))).distinct()
+
+
+def resolved(members: DataFrame, verified: Callable[[DataFrame], DataFrame], near: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Components of the nodes of groups whose members are candidates for links.
+
+    ``members`` are (k, fp, n, rank) as :func:`ranked` gives them, stored; ``verified`` keeps
+    the true ones of the pairs (a, b), and may add columns; ``near`` is a cheap test on
+    na and nb.  At first only the first member of a group is paired with the others.  While
+    its untested members lie in several components, the next 8, 64, ... members take that
+    part, so that all pairs that could still join two components are tested in the end.
+    Returns (fp, component) and the verified pairs.
+    """
+    links = labels = None
+    tested, hubs = 0, 1
+    while True:
+        if labels is None:
+            left = members.withColumn("c", F.col("fp"))
+        else:
+            left = (members.filter(F.col("rank") > tested).join(labels, "fp", "left")
+                    .withColumn("c", F.coalesce("component", "fp")))
+            # Groups whose untested members are all in one component are done.
+            open_ = left.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("k")
+            left = fixed(left.join(open_, "k", "left_semi"), "open-groups")
+            if left.limit(1).count() == 0:
+                return labels, links
+        one = left.filter(F.col("rank") <= tested + hubs).select(
+            "k", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("rank").alias("ra"))
+        two = left.select("k", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("rank").alias("rb"))
+        test = (F.col("ra") < F.col("rb")) & (F.col("ca") != F.col("cb"))
+        pairs = one.join(two, "k").filter(test if near is None else test & near).select("a", "b").distinct()
+        new = fixed(verified(pairs), "links")
+        links = new if links is None else links.unionAll(new)
+        labels = components(links).withColumnRenamed("node", "fp")
+        tested, hubs = tested + hubs, hubs * 8

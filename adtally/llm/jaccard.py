@@ -13,10 +13,8 @@ from how often segments are small, since small subsets are shared by chance.  A
 leaves out its small segments while enough others remain for the principle to hold; m
 is chosen such that nearly all records can.
 
-Records are sets, not documents: documents with equal sets are one record.  Only the
-smallest member of a key group is paired with the others at first.  While members of a
-group remain in different components, further members take the part of the smallest,
-until no untested pair could join two components; no link is lost.
+Records are sets, not documents: documents with equal sets are one record.  How
+candidates become components without pairing whole groups is told in ``graph.resolved``.
 """
 
 from __future__ import annotations
@@ -27,11 +25,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.common import salted_join
-from ..session import scratch_path
-from .graph import components
+from .graph import fixed, ranked, resolved
 from .words import SPACED, Hasher, mixed, shingles
 
 WORDS = 4
@@ -226,12 +223,6 @@ def _verified(pairs: DataFrame, contents: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
     """Per document: key, n_shingles, component_id (smallest key reachable by links, or its own).
 
@@ -243,42 +234,20 @@ def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", r
     they are equal or linked to, if any.  Other columns are ignored.
     """
     narrow = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
-    sets = _written(_sets(narrow, rule), "shingle-sets")
+    sets = fixed(_sets(narrow, rule), "shingle-sets")
     filled = sets.filter("n > 0")
     if filled.groupBy("fp").agg(F.min("fp2").alias("a"), F.max("fp2").alias("b")).filter("a != b").limit(1).count():
         raise RuntimeError("two different sets have one fingerprint; no result would be exact")
     bands = {r["band"]: r["count"] for r in filled.groupBy("band").count().collect()}  # some 150 at most
     grids = {b: allocate(rule, b, bands.get(b, 0) + bands.get(b + 1, 0)) for b in {*bands, *(b - 1 for b in bands)} if b >= 0}
 
-    group = Window.partitionBy("k")
-    shared = (_keys(narrow, rule, grids).withColumns({"lo": F.min("fp").over(group), "hi": F.max("fp").over(group)})
-              .filter("lo < hi").select("k", "fp", "n"))
-    members = _written(shared.withColumn("rank", F.dense_rank().over(group.orderBy("fp"))).distinct(), "shingle-members")
+    members = fixed(ranked(_keys(narrow, rule, grids)), "shingle-members")
     wanted = members.select("fp").distinct()
     owners = filled.filter("key IS NOT NULL").join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("key").alias("key"))
-    contents = _written(_contents(narrow.join(owners, "key").select("text", "fp"), rule), "shingle-contents")
-
-    links = labels = None
-    tested, hubs = 0, 1
-    while True:
-        state = members if labels is None else members.join(labels, "fp", "left")
-        state = state.withColumn("c", F.col("fp") if labels is None else F.coalesce("component", "fp"))
-        left = state.filter(F.col("rank") > tested)
-        if labels is not None:
-            # Groups whose untested members are all in one component are done.
-            open_ = left.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("k")
-            left = _written(left.join(open_, "k", "left_semi"), "shingle-open")
-            if left.limit(1).count() == 0:
-                break
-        one = left.filter(F.col("rank") <= tested + hubs).select(
-            "k", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("rank").alias("ra"))
-        two = left.select("k", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("rank").alias("rb"))
-        near = (F.greatest("na", "nb") * rule.least <= F.least("na", "nb") * 100) & (F.col("ra") < F.col("rb")) & (F.col("ca") != F.col("cb"))
-        pairs = one.join(two, "k").filter(near).select("a", "b").distinct()
-        new = _written(_verified(pairs, contents, rule), "shingle-links")
-        links = new if links is None else links.unionAll(new)
-        labels = components(links).withColumnRenamed("node", "fp")
-        tested, hubs = tested + hubs, hubs * 8
+    contents = fixed(_contents(narrow.join(owners, "key").select("text", "fp"), rule), "shingle-contents")
+
+    near = F.greatest("na", "nb") * rule.least <= F.least("na", "nb") * 100
+    labels, _ = resolved(members, lambda pairs: _verified(pairs, contents, rule), near)
 
     named = filled.join(labels, "fp", "left").withColumn("c", F.coalesce("component", "fp")).select("key", "n", "c")
     least = named.groupBy("c").agg(F.min("key").alias("least"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure, scratch_path
-from . import archives, chat, decontaminate, jaccard, mixing, shards
+from . import archives, chat, decontaminate, jaccard, mixing, passages, shards
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -126,3 +126,9 @@ links AS (SELECT x, y FROM meet JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id =
 reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
 least_ AS (SELECT x doc_id, min(y) y FROM reach GROUP BY 1)
 SELECT doc_id, n_shingles, least(doc_id, coalesce(y, doc_id)) component_id FROM n LEFT JOIN least_ USING (doc_id)"""
+
+
+@_query
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the class of those that repeat passages of 50 words and more."""
+    return passages.repeated_passages(_table(spark, sf_dir, "documents")).drop("spans")
