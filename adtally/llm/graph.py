@@ -69,12 +69,13 @@ def ranked(rows: DataFrame) -> DataFrame:
     return shared.drop("_lo", "_hi").withColumn("rank", F.dense_rank().over(group.orderBy("fp"))).distinct()
 
 
-def resolved(members: DataFrame, verified: Callable[[DataFrame], DataFrame], near: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def resolved(members: DataFrame, verified: Callable[[DataFrame], DataFrame], near: Column | None = None,
+             once: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Components of the nodes of groups whose members are candidates for links.
 
     ``members`` are (k, fp, n, rank) as :func:`ranked` gives them, stored; ``verified`` keeps
     the true ones of the pairs (a, b), and may add columns; ``near`` is a cheap test on
-    na and nb.  At first only the first member of a group is paired with the others.  While
+    na and nb; groups for which ``once`` holds have the first step only.  At first only the first member of a group is paired with the others.  While
     its untested members lie in several components, the next 8, 64, ... members take that
     part, so that all pairs that could still join two components are tested in the end.
     Returns (fp, component) and the verified pairs.
@@ -85,7 +86,8 @@ def resolved(members: DataFrame, verified: Callable[[DataFrame], DataFrame], nea
         if labels is None:
             left = members.withColumn("c", F.col("fp"))
         else:
-            left = (members.filter(F.col("rank") > tested).join(labels, "fp", "left")
+            more = members.filter(F.col("rank") > tested)
+            left = ((more if once is None else more.filter(~once)).join(labels, "fp", "left")
                     .withColumn("c", F.coalesce("component", "fp")))
             # Groups whose untested members are all in one component are done.
             open_ = left.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("k")

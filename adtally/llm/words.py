@@ -9,49 +9,65 @@ import numpy as np
 
 def _kept(keep) -> bytes:
     """A byte table that lower-cases A-Z and turns bytes that are no part of a word into spaces."""
-    return bytes(ord(chr(b).lower()) if 65 <= b <= 90 else b if keep(b) else 32 for b in range(256))
+    return bytes(b + 32 if 65 <= b <= 90 else b if keep(b) else 32 for b in range(256))
 
 
 # The two meanings of a word, over UTF-8: runs of letters, digits and all beyond ASCII,
 # [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing; and runs of anything but [\x20\x09-\x0D].
 ALNUM = _kept(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
-SPACED = _kept(lambda b: True)
+SPACED = _kept(lambda b: not 9 <= b <= 13)
 PIECE = 1 << 20
-REMEMBERED = 1 << 18
-_SPACE = frozenset(b" \t\n\x0b\x0c\r")
+_FACTOR = 0xD6E8FEB86659FD93
 
 
-def pieces(text: str, table: bytes, size: int = PIECE) -> Iterator[list[bytes]]:
-    """The words of ``text``, lower-cased (A-Z), some ``size`` bytes at a time."""
+def _cut(text: str, table: bytes, size: int) -> Iterator[bytes]:
+    """The text with spaces between words, some ``size`` bytes at a time and never within a word."""
     data = text.encode("utf-8", "surrogatepass").translate(table)
     start = 0
     while start < len(data):
         stop = start + size
-        while stop < len(data) and data[stop - 1] not in _SPACE:
-            stop += 1
-        yield data[start:stop].split()
+        if stop < len(data):
+            stop = data.find(b" ", stop)
+            stop = len(data) if stop < 0 else stop
+        yield data[start:stop]
         start = stop
 
 
-class Hasher:
-    """64-bit hashes of words; those of frequent words are remembered, up to a bound."""
+def pieces(text: str, table: bytes, size: int = PIECE) -> Iterator[list[bytes]]:
+    """The words of ``text``, lower-cased (A-Z), some ``size`` bytes at a time."""
+    return (part.split() for part in _cut(text, table, size))
 
-    def __init__(self, seed: int = 0) -> None:
-        import xxhash
 
-        self._hash, self._seed, self._known = xxhash.xxh64_intdigest, seed, {}
+class Hasher:
+    """64-bit hashes of words: a polynomial in the bytes, each byte standing for a random number.
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self._known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = self._hash(w, self._seed)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    The sums of all words of a piece come from one running sum over its bytes.
+    """
 
-    def text(self, text: str | None, table: bytes) -> np.ndarray:
+    def __init__(self, seed: int = 0) -> None:
+        self._numbers = mixed(np.arange(1, 257, dtype=np.uint64) + np.uint64(seed * 1000))
+        self._powers = self._inverse = np.ones(1, np.uint64)
+
+    def _grow(self, size: int) -> None:
+        if size >= len(self._powers):
+            size = max(size + 1, 1 << 16)
+            grown = lambda f: np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, f, np.uint64)]))
+            self._powers, self._inverse = grown(_FACTOR), grown(pow(_FACTOR, -1, 1 << 64))
+
+    def _piece(self, data: bytes) -> np.ndarray:
+        codes = np.frombuffer(data, np.uint8)
+        inside = np.concatenate([[False], codes != 32, [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        start, stop = edges[0::2], edges[1::2]
+        self._grow(len(codes))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self._numbers[codes] * self._powers[:len(codes)])])
+        return mixed((sums[stop] - sums[start]) * self._inverse[start])
+
+    def text(self, text: str | None, table: bytes, size: int = PIECE) -> np.ndarray:
         """The hashes of all words of a text in order."""
-        parts = [self(w) for w in pieces(text or "", table)]
+        parts = [self._piece(part) for part in _cut(text or "", table, size)]
+        if len(parts) == 1:
+            return parts[0]
         return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
 
