@@ -130,3 +130,31 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     taken = F.aggregate("blocks", F.lit(0).cast("bigint"), lambda a, p: a + (p["stop"] - p["start"]) * p["copies"])
     return rows.select(F.col("key").alias(key), "size", F.col("source").alias(source), "source_size", "target",
                        taken.alias("taken"), "blocks", *(["row"] if carry else []))
+
+
+def taken_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars", **settings) -> DataFrame:
+    """The mix as documents: the columns of ``docs``, a row per document and pass that takes some of it.
+
+    The first pass has the blocks taken at all, the second those taken twice.  A text taken
+    whole is left as it is; else it is the taken words with the white space between them,
+    blocks that do not touch being put apart by a line feed.  ``chars`` is counted anew.
+    """
+    rows = mix(docs, key=key, text=text, carry=True, **settings)
+    passes = rows.select("row", "size", "blocks", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("pass"))
+    passes = passes.withColumn("blocks", F.filter("blocks", lambda b: b["copies"] >= F.col("pass"))).filter(F.size("blocks") > 0)
+    names = docs.columns
+    flat = passes.select(*[F.col("row")[c].alias(c) for c in names], "size", F.col("blocks.start").alias("starts"),
+                         F.col("blocks.stop").alias("stops"))
+    whole = F.aggregate(F.zip_with("stops", "starts", lambda a, b: a - b), F.lit(0).cast("bigint"), lambda t, x: t + x) == F.col("size")
+    # Every word with the white space before it, so that a run of words is a run of pieces.
+    pieces = F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    spans = F.zip_with("starts", "stops", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    runs = F.aggregate(spans, F.array().cast("array<struct<a:bigint,b:bigint>>"), lambda t, s: F.when(
+        F.try_element_at(t, F.lit(-1))["b"] == s["a"], F.concat(F.slice(t, 1, F.size(t) - 1), F.array(F.struct(
+            F.try_element_at(t, F.lit(-1))["a"].alias("a"), s["b"].alias("b"))))).otherwise(F.concat(t, F.array(s))))
+    flat = flat.withColumns({"_p": F.when(~whole, pieces), "_r": F.when(~whole, runs)})
+    cut = F.array_join(F.transform("_r", lambda r: F.ltrim(F.array_join(F.slice(F.col("_p"), (r["a"] + 1).cast("int"), (r["b"] - r["a"]).cast("int")), ""))), "\n")
+    done = F.when(whole, F.col(text)).otherwise(cut)
+    kind = docs.schema[chars].dataType if chars in names else None
+    return flat.withColumn("_t", done).select(*[
+        F.col("_t").alias(c) if c == text else F.length("_t").cast(kind).alias(c) if c == chars else F.col(c) for c in names])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure, scratch_path
-from . import archives, chat, decontaminate, jaccard, mixing, passages, shards
+from . import archives, chains, chat, decontaminate, jaccard, mixing, neighbours, passages, quality, shards
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -132,3 +132,37 @@ SELECT doc_id, n_shingles, least(doc_id, coalesce(y, doc_id)) component_id FROM
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the class of those that repeat passages of 50 words and more."""
     return passages.repeated_passages(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+@_query
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every 20th vector."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+@_query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a network fitted on labelled ones that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+CATEGORIES = ["unfit", "toxic"]
+
+
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents with the chain's probabilities: of low quality first, then of being toxic."""
+    marked = labels.select("doc_id", (1 - F.col("quality")).alias("unfit"), "toxic")
+    texts = docs.select("doc_id", "text")
+    return chains.score(texts, chains.train(texts, marked, CATEGORIES), CATEGORIES)
+
+
+@_query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the probabilities of a classifier chain and its verdict."""
+    scored = toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", F.col("unfit").alias("unfit_score"), F.col("toxic").alias("toxic_score"),
+                         (F.col("toxic") >= 0.5).cast("int").alias("predicted"))

@@ -54,14 +54,19 @@ class Hasher:
             grown = lambda f: np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, f, np.uint64)]))
             self._powers, self._inverse = grown(_FACTOR), grown(pow(_FACTOR, -1, 1 << 64))
 
-    def _piece(self, data: bytes) -> np.ndarray:
+    def _piece(self, data: bytes, beginnings: tuple[int, ...] = ()) -> np.ndarray:
         codes = np.frombuffer(data, np.uint8)
         inside = np.concatenate([[False], codes != 32, [False]])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         start, stop = edges[0::2], edges[1::2]
         self._grow(len(codes))
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self._numbers[codes] * self._powers[:len(codes)])])
-        return mixed((sums[stop] - sums[start]) * self._inverse[start])
+        whole = mixed((sums[stop] - sums[start]) * self._inverse[start])
+        parts = [whole]
+        for n in beginnings:
+            at = start[stop - start > n]
+            parts.append(mixed((sums[at + n] - sums[at]) * self._inverse[at] + np.uint64(n)))
+        return np.concatenate(parts) if beginnings else whole
 
     def text(self, text: str | None, table: bytes, size: int = PIECE) -> np.ndarray:
         """The hashes of all words of a text in order."""
@@ -70,6 +75,11 @@ class Hasher:
             return parts[0]
         return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
+    def with_beginnings(self, text: str | None, table: bytes, beginnings: tuple[int, ...], size: int = PIECE) -> np.ndarray:
+        """The hashes of all words and of the first bytes of longer ones, in no order."""
+        parts = [self._piece(part, beginnings) for part in _cut(text or "", table, size)]
+        return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+
 
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values (the finaliser of splitmix64)."""
