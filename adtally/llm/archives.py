@@ -3,7 +3,7 @@
 An ARC file starts with a version block whose body names the version: records of version 1
 have a header line of five fields, those of version 2 one of ten, the last of which is the
 length of the document that follows.  Each record gets a WARC identifier derived from its
-place and content, a type from its URL, a timestamp and SHA-1 digests.  Of records with equal
+place and content, a type from its document, a timestamp and SHA-1 digests.  Of records with equal
 payloads the first is a response; the others become revisits that refer to it and keep the
 HTTP header only.
 
@@ -132,7 +132,7 @@ def parse_arc(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes, bool]]:
         end = data.find(b"\n", at)
         end = len(data) if end < 0 else end
         line = data[at:end].decode("utf-8", "replace").rstrip("\r")
-        first = line.startswith("filedesc://")
+        first = at == 0 and line.startswith("filedesc://")
         # The version is known only from the block's body; its own line is of either kind.
         options = FIELDS.values() if first else [names]
         cells = next((c for o in options if len(c := line.rsplit(" ", len(o) - 1)) == len(o) and c[-1].isdigit()
@@ -165,12 +165,12 @@ def convert(archives: DataFrame, payloads: bool = True) -> DataFrame:
         for offset, header, document, truncated in parse_arc(data or b""):
             uri = None if header["URL"] == "-" else header["URL"]
             head, payload = b"", document
-            if document.startswith(b"HTTP/") and (uri is None or re.match("https?:", uri, re.I)):
+            if document.startswith(b"HTTP/"):
                 kind, content = "response", "application/http; msgtype=response"
                 cut = document.find(b"\r\n\r\n")
                 cut = len(document) if cut < 0 else cut + 4
                 head, payload = document[:cut], document[cut:]
-            elif uri is not None and uri.startswith("filedesc:"):
+            elif offset == 0 and uri is not None and uri.startswith("filedesc:"):
                 kind, content = "warcinfo", "application/warc-fields"
                 uri, payload = None, f"software: adtally\r\nformat: WARC File Format 1.0\r\ndescription: {name}\r\n".encode()
             else:
