@@ -6,6 +6,8 @@ from pyspark.sql import Column, functions as F
 
 # Sums of decimal(18,4) money fit; ten decimals survive a division.
 _RATIO = "decimal(28,10)"
+# Numbers written as text have any number of decimals.
+TEXT_NUMBER = "decimal(38,18)"
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -50,19 +52,19 @@ def clamp(value: Column, low: str, high: str) -> Column:
 
 def text_number(text: Column, blank: Column | None = None, infinite_as_null: bool = False,
                 strict: bool = True) -> Column:
-    """A number written with decimal comma and inner spaces, as decimal(18,4).
+    """A number written with decimal comma and inner spaces, with all of up to 18 decimals.
 
     NULL or blank text gives ``blank`` (NULL by default).  ``strict`` raises on any
     other unreadable text; otherwise it becomes NULL.
     """
     trimmed = F.trim(text)
     digits = F.translate(trimmed, ", ", ".")
-    number = digits.cast("decimal(18,4)") if strict else digits.try_cast("decimal(18,4)")
+    number = digits.cast(TEXT_NUMBER) if strict else digits.try_cast(TEXT_NUMBER)
     empty = text.isNull() | (trimmed == "")
-    fallback = F.lit(None).cast("decimal(18,4)") if blank is None else blank.cast("decimal(18,4)")
+    fallback = F.lit(None).cast(TEXT_NUMBER) if blank is None else blank.cast(TEXT_NUMBER)
     result = F.when(empty, fallback)
     if infinite_as_null:
-        result = result.when(F.lower(trimmed) == "inf", F.lit(None).cast("decimal(18,4)"))
+        result = result.when(F.lower(trimmed) == "inf", F.lit(None).cast(TEXT_NUMBER))
     return result.otherwise(number)
 
 

@@ -13,7 +13,7 @@ from .rules import first_match
 FORMATS = ["POP", "PUSH", "VIDEO", "BANNER", "NATIVE"]
 OTHER = "OTHER"
 
-# The order in which a name is tested, current and older.
+# The order in which a name is tested, current and older.
 CURRENT_ORDER = ["POP", "BANNER", "VIDEO", "PUSH", "NATIVE"]
 LEGACY_ORDER = ["BANNER", "VIDEO", "PUSH", "POP", "NATIVE"]
 
@@ -99,12 +99,23 @@ def column_name(raw: str) -> str:
 
 
 def char_set(spec: str) -> list[str]:
-    """Characters named by a list with ranges, such as ``"0-7"``, ``"0,2,4"`` or ``"8-9a-z"``."""
-    chars: set[str] = set()
-    for part in spec.lower().split(","):
-        for low, high in re.findall(r"([0-9a-z])-([0-9a-z])", part):
-            if low.isdigit() == high.isdigit():
-                chars.update(chr(c) for c in range(ord(low), ord(high) + 1))
-        rest = re.sub(r"[0-9a-z]-[0-9a-z]", "", part)
-        chars.update(c for c in rest if c.isalnum())
-    return sorted(chars)
+    """Characters named by a notation such as ``"0-7"``, ``"0,2,4"`` or ``"8-9a-z"``, in lower case.
+
+    Read from left to right, an item is a letter or digit, or two of them with a dash
+    between: the characters from one to the other.  Two digits or two letters make a range;
+    a mixed one such as ``8-a``, or one that runs backwards, names nothing.  Anything else
+    only separates.
+    """
+    plain = lambda c: c.isascii() and c.isalnum()
+    left, found = list(reversed(spec.lower())), set()
+    while left:
+        first = left.pop()
+        if not plain(first):
+            continue
+        last = first
+        if len(left) > 1 and left[-1] == "-" and plain(left[-2]):
+            left.pop()
+            last = left.pop()
+        if first.isdigit() == last.isdigit():
+            found |= {chr(code) for code in range(ord(first), ord(last) + 1)}
+    return sorted(found)

@@ -54,7 +54,9 @@ def fill_from_mapping(events: DataFrame, mapping: DataFrame, link: str = "event_
     keyed = mapping.select(
         F.col("link").alias(link), *([F.col("day").alias("_day")] if by_day else []), F.col("brand").alias("_brand"))
     rows = events.withColumn("_day", F.to_date(TS)) if by_day else events
-    joined = salted_join(rows, keyed, [link] + (["_day"] if by_day else []))
+    keys = [link] + (["_day"] if by_day else [])
+    # Event ids are all but unique; a user or network may hold a large share of the rows.
+    joined = rows.join(keyed, keys, "left") if link == "event_id" else salted_join(rows, keyed, keys)
     usable = F.when(tm.within(F.col(TS), start, end, end_bound), F.col("_brand"))
     first, second = (usable, F.col(BRAND)) if replace else (F.col(BRAND), usable)
     return joined.withColumn(BRAND, F.coalesce(first, second)).select(events.columns)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -38,13 +40,18 @@ def period_spend(spend: DataFrame, period: str, start: str | None = None, end: s
     return rows
 
 
-def target_cpa(spend: DataFrame, keys: Sequence[str] = ("format",),
-               markers: Sequence[str] = ("PLR", "NOR"), null_key_blocks: bool = False) -> DataFrame:
+def _all(tests: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a & b, tests)
+
+
+def target_cpa(spend: DataFrame, keys: Sequence[str] = ("format",), markers: Sequence[str] = ("PLR", "NOR"),
+               null_key_blocks: bool = False, keep_free_reference: bool = False) -> DataFrame:
     """Target cost per deposit by key, from the reference group or else from all publishers.
 
-    One aggregation with conditional sums.  ``null_key_blocks`` repeats what a SQL
-    ``NOT IN`` does when a reference group without a format exists: no key then falls
-    back to all publishers.
+    One aggregation with conditional sums.  ``keep_free_reference`` lets a reference group with
+    deposits but no spend stand, with a target of zero.  ``null_key_blocks`` repeats what a SQL
+    ``NOT IN`` does with reference groups that lack part of their key: a key that agrees
+    with one in the rest does not fall back to all publishers.
     """
     keys = list(keys)
     marked = is_reference_name(F.col("publisher_name"), markers)
@@ -54,12 +61,21 @@ def target_cpa(spend: DataFrame, keys: Sequence[str] = ("format",),
         F.sum("spend").alias("_s"), F.sum("deposits_reported").alias("_d"))
     share = F.lit(TARGET_SHARE).cast("decimal(2,1)")
     aim = lambda cost, deposits: F.when(deposits > 0, num.ratio(cost * share, deposits))
-    sums = sums.withColumns({"_reference": aim(F.when(F.col("_rs") > 0, F.col("_rs")), F.col("_rd")),
-                             "_everyone": aim(F.col("_s"), F.col("_d"))})
+    paid = F.col("_rs") if keep_free_reference else F.when(F.col("_rs") > 0, F.col("_rs"))
+    sums = sums.withColumns({"_reference": aim(paid, F.col("_rd")), "_everyone": aim(F.col("_s"), F.col("_d"))})
     fallback = F.col("_everyone")
     if null_key_blocks:
-        nameless = sums.filter(F.col(keys[0]).isNull() & F.col("_reference").isNotNull())
-        blocked = nameless.agg((F.count(F.lit(1)) > 0).alias("b")).scalar()
+        blocked = F.lit(False)
+        references = sums.filter(F.col("_reference").isNotNull())
+        for size in range(len(keys)):
+            for known in combinations(keys, size):
+                lacking = references.filter(_all(F.col(k).isNotNull() == (k in known) for k in keys))
+                if not known:
+                    blocked = blocked | lacking.agg((F.count(F.lit(1)) > 0).alias("b")).scalar()
+                    continue
+                flag = "_blocked_" + "_".join(known)
+                sums = sums.join(lacking.select(*known).distinct().withColumn(flag, F.lit(True)), list(known), "left")
+                blocked = blocked | F.coalesce(F.col(flag), F.lit(False))
         fallback = F.when(~blocked, fallback)
     target = F.coalesce(F.col("_reference"), fallback)
     source = F.when(F.col("_reference").isNotNull(), "reference").when(target.isNotNull(), "all")
@@ -134,7 +150,7 @@ def rounded_coefficients(spend: DataFrame, stats: DataFrame, formats: Sequence[s
 
     Only the listed formats have a target.
     """
-    targets = target_cpa(spend).filter(F.col("format").isin(*formats)).drop("target_source")
+    targets = target_cpa(spend, keep_free_reference=True).filter(F.col("format").isin(*formats)).drop("target_source")
     zero = F.lit(0).cast("decimal(28,10)")
     month = spend.select("publisher_id", "publisher_name", "format", "spend", "current_cpa")
     rows = (

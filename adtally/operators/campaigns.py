@@ -39,7 +39,7 @@ def _sums() -> list[Column]:
 
 
 def _mean(column: str) -> Column:
-    return num.ratio(F.sum(column), F.count(column))
+    return F.try_divide(F.sum(column), F.count(column)).cast(num.TEXT_NUMBER)
 
 
 def daily_totals(campaigns: DataFrame, attribution: str | None = None, strict: bool = True) -> DataFrame:

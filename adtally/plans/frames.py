@@ -111,7 +111,8 @@ def publisher_spend_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event stream as campaign sheets with numbers written as text."""
     key, user = F.col("event_id"), F.col("user_id")
-    written = F.replace(F.col("value").cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
+    amount = F.col("value").cast("decimal(18,2)") + (key % 997).cast("decimal(10,0)") * F.lit("0.000001").cast("decimal(6,6)")
+    written = F.replace(amount.cast("decimal(20,6)").cast("string"), F.lit("."), F.lit(","))
     rows = table(spark, sf_dir, "events").select(
         _pick(key % 3, SHEETS).alias("source_sheet_id"), _pick(key % 2, ["1_hour", "24_hours"]).alias("attribution_type"),
         F.col("ts").cast("timestamp").alias("event_date"), (user % 11).alias("campaignid"),
@@ -165,12 +166,12 @@ _CAMPAIGNS = """cp AS (
          'campaign ' || (user_id % 11) cname, CASE WHEN event_id % 4 = 0 THEN 'rd' ELSE 'ftd' END etype,
          CASE user_id % 2 WHEN 0 THEN 'banner' ELSE 'push' END fmt, event_id % 1000 views, event_id % 50 clicks,
          event_id % 5 postview, CASE WHEN event_id % 3 <> 0 THEN event_id % 3 ELSE 0 END postclick,
-         CAST(value AS DECIMAL(18,2)) v,
-         CASE WHEN event_id % 17 = 0 THEN 0 ELSE CAST(value AS DECIMAL(18,2)) END spend,
-         CASE WHEN event_id % 19 <> 0 THEN CAST(value AS DECIMAL(18,2)) END cpa_pv,
-         CASE WHEN event_id % 23 <> 0 THEN CAST('1' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS DECIMAL(18,2)) END cpa_pc,
-         CASE WHEN event_id % 2 = 0 THEN CAST(value AS DECIMAL(18,2)) END tot
-  FROM events)"""
+         v,
+         CASE WHEN event_id % 17 = 0 THEN 0 ELSE v END spend,
+         CASE WHEN event_id % 19 <> 0 THEN v END cpa_pv,
+         CASE WHEN event_id % 23 <> 0 THEN CAST('1' || CAST(v AS VARCHAR) AS DECIMAL(20,6)) END cpa_pc,
+         CASE WHEN event_id % 2 = 0 THEN v END tot
+  FROM (SELECT *, CAST(CAST(value AS DECIMAL(18,2)) + CAST(event_id % 997 AS DECIMAL(10,0)) * CAST(0.000001 AS DECIMAL(6,6)) AS DECIMAL(20,6)) v FROM events))"""
 
 SQL = {
     "ue": _USER_EVENTS,

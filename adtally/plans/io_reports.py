@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .. import schemas
 from ..operators import arppu, quality as dq, reactivation as rx, split_test as st
 from ..session import scratch_path
 from ..sources import readers as rd, writers as wr
@@ -24,10 +25,10 @@ _EVENT_SQL = f"""event_id, uid external_user_id, '9000000000000000000' || CAST(o
 _EVENTS_FROM = "FROM ue JOIN orders ON CAST(o_orderkey AS VARCHAR) = event_id"
 
 
-def _event_files(spark, d, pixel: bool = False, name: str = "events-csv") -> str:
-    """The orders as an upper-case event export."""
+def _event_files(spark, d, pixel: bool = False, name: str = "events-csv", events: DataFrame | None = None) -> str:
+    """The orders, or other events, as an upper-case event export."""
     columns = rd.PIXEL_COLUMNS if pixel else rd.EVENT_COLUMNS
-    events = frames.user_events(spark, d)
+    events = frames.user_events(spark, d) if events is None else events
     written = F.concat(F.date_format("event_date", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
     cells = {"event_date": F.when(~F.lit(pixel) | (F.col("campaign_id") != 3), written),
              "advertiser_id": F.when(F.col("advertiser") == "brand_a", 1).when(F.col("advertiser") == "brand_b", 2)}
@@ -44,20 +45,36 @@ def _(spark, d):
     return rd.event_csv(spark, _event_files(spark, d)).select(_EVENT_COLS)
 
 
+@report("src1_mixed_headers", f"SELECT {_EVENT_SQL}, CAST(NULL AS VARCHAR) advertiser {_EVENTS_FROM}", "ue")
+def _(spark, d):
+    """Files of three layouts: as exported, backwards with a column more, and without the columns that are empty."""
+    rows, path = spark.read.option("header", True).csv(_event_files(spark, d)), scratch_path(spark, "mixed-csv")
+    third = F.col("ID").cast("bigint") % 3
+    rows.filter(third == 0).write.option("header", True).csv(path)
+    rows.filter(third == 1).withColumn("NOTE", F.lit("a, b")).select("NOTE", *reversed(rows.columns)).write.mode("append").option("header", True).csv(path)
+    rows.filter(third == 2).drop("AFFILIATE_ID", "TRANSACTION_ID").write.mode("append").option("header", True).csv(path)
+    return rd.event_csv(spark, path).select(_EVENT_COLS)
+
+
 @report("src2_pixel_csv", f"SELECT {_EVENT_SQL}, adv advertiser {_EVENTS_FROM} WHERE ts < TIMESTAMP '2001-01-01'", "ue")
 def _(spark, d):
     return rd.pixel_csv(spark, _event_files(spark, d, pixel=True), IDS, until="2000-12-31").select(_EVENT_COLS)
 
 
-def _spend_files(spark, d, folder) -> str:
-    """Monthly spend as one export per month, each with a preamble line and a header line."""
+def _spend_files(spark, d, folder, extra=None) -> str:
+    """Monthly spend as one export per month, each with a preamble line and a header line.
+
+    ``extra`` names a column more by the file.
+    """
     spend = frames.publisher_spend(spark, d)
-    row = F.concat_ws(",", F.concat(F.lit('"'), F.col("publisher_name"), F.lit('"')), F.lit("7"),
+    more = [] if extra is None else [F.lit("more")]
+    row = F.concat_ws(",", F.concat(F.lit('"'), F.col("publisher_name"), F.lit('"')), F.lit("7"), *more,
                       F.col("deposits_reported"), F.col("spend"))
     rows = spend.select(folder.alias("part"), F.lit(2).alias("place"), row.alias("value"))
+    header = F.concat_ws(",", F.lit("Publisher,FTD"), *([] if extra is None else [extra(F.col("part"))]), F.lit("Deposit,Spend"))
     heads = spend.select(folder.alias("part")).distinct().select("part", F.explode(F.array(
         F.struct(F.lit(0).alias("place"), F.lit("Spend report").alias("value")),
-        F.struct(F.lit(1).alias("place"), F.lit("Publisher,FTD,Deposit,Spend").alias("value")))).alias("_l")
+        F.struct(F.lit(1).alias("place"), header.alias("value")))).alias("_l")
     ).select("part", "_l.place", "_l.value")
     path = scratch_path(spark, "spend-csv")
     (rows.unionByName(heads).repartition("part").sortWithinPartitions("part", "place").drop("place")
@@ -87,6 +104,21 @@ def _(spark, d):
     return rd.daily_spend_csv(spark, _spend_files(spark, d, name), glob="*.txt")
 
 
+@report("src3_many_layouts", f"SELECT '1999-01' AS month, {_SPEND_SQL} FROM ps", "ps")
+def _(spark, d):
+    """More than a hundred files, each with a header line of its own."""
+    name = F.concat(F.lit("spend_"), F.col("publisher_id"), F.lit("_"), F.substring("month", 6, 2).cast("int") % 3)
+    return rd.monthly_spend_csv(spark, _spend_files(spark, d, name, lambda part: F.concat(F.lit("Column "), part)), month="1999-01", glob="*.txt")
+
+
+@report("src4_file_names_with_spaces", f"SELECT CAST(month || '-01' AS DATE) AS date, {_SPEND_SQL} FROM ps", "ps")
+def _(spark, d):
+    compact = F.replace(F.concat("month", F.lit("-01")), F.lit("-"), F.lit(""))
+    name = F.when(F.substring("month", 6, 2).cast("int") % 2 == 0, F.concat(F.lit("export (1) + copy "), compact)).otherwise(
+        F.concat(F.lit("spend of "), F.col("month"), F.lit("-01 100")))
+    return rd.daily_spend_csv(spark, _spend_files(spark, d, name), glob="*.txt")
+
+
 def _sheets(spark, d) -> DataFrame:
     """Campaign rows exported per sheet and attribution with headers as people write them."""
     rows = frames.campaigns(spark, d)
@@ -148,10 +180,10 @@ def _(spark, d):
 
 @report("src10_user_list", "SELECT count(DISTINCT o_custkey) depositors FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
 def _(spark, d):
-    path = scratch_path(spark, "users") + ".csv"
+    path = scratch_path(spark, "users")
     people = frames.table(spark, d, "customer").filter(F.col("c_acctbal") > 0)
     people.select(F.substring(F.md5(F.col("c_custkey").cast("string")), 1, 12).alias("external_user_id")).write.option("header", True).csv(path)
-    listed = rd.user_list(spark, path).withColumnRenamed("user_id", "external_user_id")
+    listed = rd.user_list(spark, path=path).withColumnRenamed("user_id", "external_user_id")
     return (frames.user_events(spark, d).join(listed, "external_user_id", "left_semi")
             .agg(F.countDistinct("external_user_id").alias("depositors")))
 
@@ -201,6 +233,19 @@ def _(spark, d):
     return _replaced(spark, d, "range")
 
 
+@report("snk3_range_with_null_period", f"""SELECT date, {dbl('CASE WHEN year(date) = 1998 AND month(date) % 2 = 1 THEN 2 * s ELSE s END')} spend FROM ({_MONTHLY})
+WHERE NOT (year(date) = 1998 AND month(date) % 2 = 0 AND month(date) < 12) UNION ALL SELECT NULL, {dbl('sum(spend)')} FROM pd""", "pd")
+def _(spark, d):
+    """Rows without a date among the new ones; later months stay."""
+    path, daily = scratch_path(spark, "spend-table"), frames.publisher_spend_daily(spark, d)
+    by_month = daily.withColumn("date", F.trunc("date", "month"))
+    wr.replace_period(by_month, path, "date")
+    odd = by_month.filter((F.year("date") == 1998) & (F.month("date") % 2 == 1)).withColumn("spend", F.col("spend") * 2)
+    undated = daily.withColumn("date", F.lit(None).cast("date"))
+    wr.replace_period(odd.unionByName(undated), path, "date", "range")
+    return wr.read_table(spark, path).groupBy("date").agg(F.sum("spend").alias("spend"))
+
+
 @report("snk4_replace_sheet", """SELECT sheet source_sheet_id, count(*) AS records FROM cp WHERE sheet <> 'sheet_y' OR attr = '1_hour' GROUP BY sheet""", "cp")
 def _(spark, d):
     path, rows = scratch_path(spark, "sheets-table"), frames.campaigns(spark, d)
@@ -242,6 +287,20 @@ def _(spark, d):
     return _by_month(wr.read_table(spark, path))
 
 
+@report("snk5_upsert_without_time", f"""SELECT CASE WHEN cid <> 4 THEN strftime(ts, '%Y-%m') END AS event_month, count(*) events,
+  {dbl('sum(CASE WHEN cid IN (4, 5) AND pid % 2 = 0 THEN amt + 1 ELSE amt END)')} revenue FROM ue GROUP BY 1""", "ue")
+def _(spark, d):
+    """One campaign's events have no time in the table; the batch corrects half of them and gives another campaign its times back."""
+    path, events = scratch_path(spark, "events-table"), frames.user_events(spark, d)
+    untimed = lambda campaigns: F.when(~F.col("campaign_id").isin(campaigns), F.col("event_date"))
+    wr.append(wr.with_month(events.withColumn("event_date", untimed([4, 5]))), path, [wr.MONTH])
+    batch = events.filter(F.col("campaign_id").isin(4, 5))
+    changed = batch.withColumns({"event_date": untimed([4]), "converted_amount": F.when(
+        F.col("publisher_id") % 2 == 0, F.col("converted_amount") + 1).otherwise(F.col("converted_amount"))})
+    wr.upsert_events(changed.filter((F.col("campaign_id") == 5) | (F.col("publisher_id") % 2 == 0)), path)
+    return wr.read_table(spark, path).groupBy("event_month").agg(F.count(F.lit(1)).alias("events"), F.sum("converted_amount").alias("revenue"))
+
+
 @report("snk6_insert_or_ignore", f"""SELECT strftime(t, '%Y-%m') AS event_month, count(*) events, {dbl('sum(a)')} revenue FROM (
   SELECT CASE WHEN cid = 2 AND adv IS NULL THEN ts + INTERVAL 40 DAY ELSE ts END t, CASE WHEN adv IS NULL THEN amt + 1 ELSE amt END a FROM ue) GROUP BY 1""", "ue")
 def _(spark, d):
@@ -307,13 +366,21 @@ def _(spark, d):
     return wr.read_table(spark, table).groupBy("event_month").agg(F.count(F.lit(1)).alias("events"))
 
 
-@report("str2_bounded_dedup", "SELECT strftime(ts, '%Y-%m') AS event_month, count(*) events, count(DISTINCT event_id) ids FROM ue GROUP BY 1", "ue")
+@report("str2_bounded_dedup", """WITH t AS (SELECT ts FROM ue UNION ALL SELECT ts + INTERVAL 8000 DAY FROM ue UNION ALL SELECT TIMESTAMP '2012-01-01')
+SELECT strftime(ts, '%Y-%m') AS event_month, count(*) events FROM t GROUP BY 1""", "ue")
 def _(spark, d):
-    landing, table, checkpoint = _two_drops(spark, d), scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
-    unique = ingest.without_repeats(ingest.event_stream(spark, landing, IDS), "10000 days")
-    ingest.append_stream(unique, table, checkpoint).awaitTermination()
-    return wr.read_table(spark, table).groupBy("event_month").agg(
-        F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids"))
+    """Repeats of all events within the horizon are dropped; when it has passed, an id counts anew."""
+    landing, table, checkpoint = (scratch_path(spark, n) for n in ("landing", "stream-table", "stream-checkpoint"))
+    events = frames.user_events(spark, d)
+    later = lambda days: events.withColumn("event_date", F.col("event_date") + F.make_dt_interval(F.lit(days)))
+    marker = schemas.conform(spark.range(1).select(F.lit("marker").alias("event_id"), F.lit(1).alias("campaign_id"), F.lit("2012-01-01").cast("timestamp").alias("event_date")),
+                             schemas.USER_EVENTS)
+    for drop in (events, later(10), marker, later(8000)):
+        files = spark.read.option("header", True).csv(_event_files(spark, d, pixel=True, name="drop-source", events=drop))
+        files.write.mode("append").option("header", True).csv(landing)
+        unique = ingest.without_repeats(ingest.event_stream(spark, landing, IDS), "365 days")
+        ingest.append_stream(unique, table, checkpoint).awaitTermination()
+    return wr.read_table(spark, table).groupBy("event_month").agg(F.count(F.lit(1)).alias("events"))
 
 
 @report("str3_stream_upsert", "SELECT strftime(ts, '%Y-%m') AS event_month, count(*) events, count(DISTINCT event_id) ids FROM ue GROUP BY 1", "ue")

@@ -27,10 +27,10 @@ _OUT = f"""SELECT grp test_group, u unique_users, n total_deposits, {dec('s', 2)
   {dec('n / u', 2)} avg_deposits_per_user, {dec('s / u', 2)} avg_total_per_user, a first_date, b last_date FROM m"""
 
 
-@report("sp1_group_rows", f"""WITH {_grouped(where="ts >= TIMESTAMP '2001-06-01'")}
+@report("sp1_group_rows", f"""WITH {_grouped()}
 SELECT uid user_id, ts event_date, {dbl('amt')} deposit_amount, adv advertiser, grp test_group FROM g""", "ue")
 def _(spark, d):
-    return st.assign(frames.user_events(spark, d), start="2001-06-01")
+    return st.assign(frames.user_events(spark, d))
 
 
 @report("sp1_last_char", f"WITH {_grouped()}, {_metrics()}\n{_OUT}", "ue")
@@ -53,9 +53,17 @@ def _(spark, d):
     return st.rounded(st.compare(st.assign(frames.user_events(spark, d), group)))
 
 
-@report("sp3_hash_native")
+@report("sp3_hash_native", """SELECT count(DISTINCT uid) users, count(*) deposits, 0 users_in_both, true share_as_asked, true same_again FROM ue""", "ue")
 def _(spark, d):
-    return st.rounded(st.compare(st.assign(frames.user_events(spark, d), st.hash_group(F.col("external_user_id")))))
+    """The native hash has no SQL twin; its properties have: every user in one group, one in four in control, the same again."""
+    events, group = frames.user_events(spark, d), st.hash_group(F.col("external_user_id"))
+    again = st.hash_group(F.substring(F.concat(F.lit("-"), "user_id"), 2, 99))
+    users = (st.assign(events, group).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("test_group").alias("least"), F.max("test_group").alias("most"))
+        .withColumn("same", F.col("least") == again))
+    share = F.avg((F.col("least") == st.CONTROL).cast("int"))
+    return users.agg(F.count(F.lit(1)).alias("users"), F.sum("n").alias("deposits"), F.count_if(F.col("least") != F.col("most")).alias("users_in_both"),
+                     (F.abs(share - 0.25) * F.sqrt(F.count(F.lit(1))) < 2.5).alias("share_as_asked"), F.bool_and("same").alias("same_again"))
 
 
 def _trimmed(top: float, bottom: float) -> str:

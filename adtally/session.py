@@ -58,10 +58,14 @@ def local_session(app: str = "adtally", cores: int | str = "*", memory: str = "8
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only where that is unset (a local test session) is a temporary one made.
+    Only a session on one machine, such as a test's, may leave it unset and gets a
+    temporary one: elsewhere every executor would write to a disk of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir names no shared folder for master {master!r}")
         named = tempfile.mkdtemp(prefix="adtally-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..functions import numeric as num, text, time as tm
 from ..operators.attribution import brand_mapping
+from ..operators.common import salted_join
 
 # Export header -> column.
 EVENT_COLUMNS = {
@@ -29,6 +30,60 @@ def parse_instant(text_column: Column) -> Column:
     return F.regexp_replace(text_column, " UTC$", "").try_cast("timestamp")
 
 
+def _export_lines(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> DataFrame:
+    """Lines with their file; bytes that are not UTF-8 are read as Latin-1, line by line.
+
+    ``file_name`` is the decoded name, the folder's where Spark itself wrote the part files.
+    """
+    reader = spark.read.option("recursiveFileLookup", True)
+    lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(path)
+    latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    value = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(latin)
+    # A plus sign stands for itself in a path, not for a space.
+    path_ = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    name = F.regexp_extract(F.regexp_replace(path_, r"/part-[^/]*$", ""), r"([^/]+)$", 1)
+    return lines.select(F.regexp_replace(value, "^\ufeff|\r$", "").alias("line"), path_.alias("file_path"), name.alias("file_name"))
+
+
+def _cells(line: Column) -> Column:
+    """The cells of a CSV line; quotes may hold commas and doubled quotes."""
+    raw = F.regexp_extract_all(line, F.lit(r'("(?:[^"]|"")*"|[^,]*)(?:,|$)'), F.lit(1))
+    return F.transform(raw, lambda c: F.trim(F.when(c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c)))
+
+
+def _by_own_header(lines: DataFrame, is_header: Column, wanted: Mapping[str, str], required: Sequence[str] = ()) -> DataFrame:
+    """Columns ``wanted`` (header -> name) as text, found by name in each file's own header line.
+
+    A header that a file lacks gives NULL, one that is ``required`` fails, and so does a file
+    without any header line; the message names the file.  Files of any number of layouts
+    are read in one plan; a file's lines are dealt to several tasks.
+    """
+    headers = lines.filter(is_header).groupBy("file_path").agg(F.min("line").alias("_header"))
+    headers = headers.select("file_path", _cells(F.col("_header")).alias("_names"))
+    rows = salted_join(lines.filter(~is_header).filter(F.trim("line") != ""), headers, ["file_path"])
+    missing = F.lit(None).cast("string")
+    for name in reversed(required):
+        missing = F.when(~F.array_contains("_names", name), F.lit(name)).otherwise(missing)
+    told = (F.when(F.col("_names").isNull(), F.raise_error(F.concat(F.lit("no header line in "), "file_path")))
+            .when(missing.isNotNull(), F.raise_error(F.concat(F.lit("no column "), missing, F.lit(" in "), F.col("file_path")))))
+    rows = rows.withColumns({"_c": _cells(F.col("line")), "_told": told.cast("string")}).filter(F.col("_told").isNull())
+    cell = lambda name: F.nullif(F.try_element_at("_c", F.nullif(F.array_position("_names", name).cast("int"), F.lit(0))), F.lit(""))
+    return rows.select(*[cell(header).alias(name) for header, name in wanted.items()], "file_path", "file_name")
+
+
+def _event_lines(spark: SparkSession, path: str | Sequence[str], columns: Mapping[str, str], glob: str | None) -> DataFrame:
+    """Event exports as text, under their header names."""
+    lines = _export_lines(spark, path, glob)
+    headers = [*columns, LATE_TIME]
+    time = next(h for h, name in columns.items() if name == "event_date")
+    # A header line names the time and the type as cells; a row of values does not.
+    kinds = [h for h, name in columns.items() if name in ("event_date", "event_type")]
+    test = F.lit(True)
+    for h in kinds:
+        test = test & F.array_contains(_cells(F.col("line")), h)
+    return _by_own_header(lines, F.col("line").contains(time) & test, {h: h for h in headers}, [time])
+
+
 def _typed_events(raw: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Rename, add missing columns as NULL, and parse; bad numbers become NULL."""
     have = set(raw.columns)
@@ -54,8 +109,8 @@ def _csv(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> Da
 
 def event_csv(spark: SparkSession, path: str | Sequence[str], columns: Mapping[str, str] = EVENT_COLUMNS,
               glob: str | None = None) -> DataFrame:
-    """Event export; rows without a readable time are dropped."""
-    return schemas.conform(_typed_events(_csv(spark, path, glob), columns), schemas.USER_EVENTS)
+    """Event exports, columns by each file's own header; rows without a readable time are dropped."""
+    return schemas.conform(_typed_events(_event_lines(spark, path, columns, glob), columns), schemas.USER_EVENTS)
 
 
 def pixel_events(raw: DataFrame, brands: Mapping[int, str], until: tm.Day | None = None,
@@ -72,60 +127,24 @@ def pixel_events(raw: DataFrame, brands: Mapping[int, str], until: tm.Day | None
 
 
 def pixel_csv(spark: SparkSession, path: str | Sequence[str], brands: Mapping[int, str],
-              until: tm.Day | None = None, glob: str | None = None) -> DataFrame:
-    return pixel_events(_csv(spark, path, glob), brands, until)
+              until: tm.Day | None = None, glob: str | None = None, columns: Mapping[str, str] = PIXEL_COLUMNS) -> DataFrame:
+    """Pixel exports, columns by each file's own header; ``columns`` names other headers."""
+    return pixel_events(_event_lines(spark, path, columns, glob), brands, until, columns)
 
 
 # --- spend ------------------------------------------------------------------
 
-MAX_LAYOUTS = 100
-
-
-def _export_lines(spark: SparkSession, path, glob: str) -> DataFrame:
-    """Lines with their file; bytes that are not UTF-8 are read as Latin-1, line by line.
-
-    ``file_name`` is the folder's name where Spark itself wrote the part files.
-    """
-    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
-    latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    value = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(latin)
-    path_ = F.col("_metadata.file_path")
-    name = F.regexp_extract(F.regexp_replace(path_, r"/part-[^/]*$", ""), r"([^/]+)$", 1)
-    return lines.select(value.alias("line"), path_.alias("file_path"), name.alias("file_name"))
-
 
 def _spend_rows(spark: SparkSession, path, glob: str) -> DataFrame:
     """(publisher, deposits, spend, file_name) from exports with a preamble and a header line.
 
-    Preamble and header lines carry no publisher id, so they drop out with the other
-    rows that lack one.  Columns are found by name in each file's own header line.
+    Preamble lines carry no publisher id, so they drop out with the other rows that lack one.
     """
     lines = _export_lines(spark, path, glob)
     is_header = (F.col("line").contains("Publisher") & F.col("line").contains("Deposit")
-                 & F.col("line").contains("Spend") & text.publisher_id(F.col("line")).isNull())
-    headers = lines.filter(is_header).groupBy("file_path").agg(F.max("line").alias("header"))
-    layouts = [r.header for r in headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if not layouts:
-        raise ValueError(f"no header line with Publisher, Deposit and Spend below {path}")
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different header lines below {path}")
-    rows = lines
-    if len(layouts) > 1:
-        rows = lines.join(headers, "file_path")
-
-    def parse(layout: str, part: DataFrame) -> DataFrame:
-        names = [n.strip().strip('"').lstrip("\ufeff") for n in layout.split(",")]
-        schema = ", ".join(f"c{i} STRING" for i in range(len(names)))
-        cells = part.withColumn("_c", F.from_csv("line", schema))
-        cell = lambda name: F.trim(F.col(f"_c.c{names.index(name)}"))
-        return cells.select(cell("Publisher").alias("publisher_name"), cell("Deposit").alias("_deposit"),
-                            cell("Spend").alias("_spend"), "file_name")
-
-    parts = [parse(h, rows if len(layouts) == 1 else rows.filter(F.col("header") == h)) for h in layouts]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionAll(part)
-    return result
+                 & F.col("line").contains("Spend") & text.publisher_id(F.regexp_replace("line", '^"', "")).isNull())
+    wanted = {"Publisher": "publisher_name", "Deposit": "_deposit", "Spend": "_spend"}
+    return _by_own_header(lines, is_header, wanted, list(wanted))
 
 
 def _priced(rows: DataFrame) -> DataFrame:
@@ -176,9 +195,10 @@ def monthly_spend_csv(spark: SparkSession, path: str | Sequence[str], month: str
 
 def daily_spend_csv(spark: SparkSession, path: str | Sequence[str], date: tm.Day | None = None,
                     glob: str = "*.csv") -> DataFrame:
-    """Daily spend exports; the date is given or read from each file name, else the file is left out."""
+    """Daily spend exports; the date is given or read from each file name.  A file without one fails by name."""
     rows = _priced(_spend_rows(spark, path, glob))
-    value = F.lit(tm._as_date(date)) if date else date_from_file_name(F.col("file_name"))
+    undated = F.raise_error(F.concat(F.lit("no date in the name of "), "file_path")).cast("date")
+    value = F.lit(tm._as_date(date)) if date else F.coalesce(date_from_file_name(F.col("file_name")), undated)
     rows = rows.withColumn("date", value).filter(F.col("date").isNotNull())
     return schemas.conform(rows, schemas.PUBLISHER_SPEND_DAILY)
 
@@ -256,13 +276,14 @@ def brand_csv(spark: SparkSession, path: str, link: str = "event_id", brand: str
     return brand_mapping(_csv(spark, path, None), link, brand, date, spellings)
 
 
-def user_list(spark: SparkSession, users: str | Sequence[str]) -> DataFrame:
-    """User ids from a CSV path (``user_id`` or ``external_user_id``), a comma list, or a sequence."""
-    if isinstance(users, str) and not users.lower().endswith(".csv"):
-        users = [u.strip() for u in users.split(",") if u.strip()]
-    if not isinstance(users, str):
-        return spark.createDataFrame([(u,) for u in users], "user_id string")
-    raw = _csv(spark, users, None)
+def user_list(spark: SparkSession, users: str | Sequence[str] | None = None, path: str | Sequence[str] | None = None) -> DataFrame:
+    """User ids from a comma list or a sequence, or from CSV files (``user_id`` or ``external_user_id``) at ``path``."""
+    if (users is None) == (path is None):
+        raise ValueError("give either users or path")
+    if path is None:
+        names = [u.strip() for u in users.split(",") if u.strip()] if isinstance(users, str) else users
+        return spark.createDataFrame([(u,) for u in names], "user_id string")
+    raw = _csv(spark, path, None)
     for name in ("user_id", "external_user_id"):
         if name in raw.columns:
             return raw.select(F.col(name).alias("user_id"))

@@ -1,14 +1,19 @@
 """Writers: append, replace a period or sheet, insert-or-ignore, upsert, stored reports.
 
 Event tables are Parquet folders partitioned by ``event_month``.  A job that needs the
-old rows first writes the new state of the affected months to a staging folder below
-the shared scratch path and only then overwrites those months, so no plan reads and
-overwrites the same files, and a job that dies half way can be run again.
+old rows first writes the new state of the affected months to a staging folder beside
+the table and only then overwrites those months, so no plan reads and overwrites the
+same files, and a job that dies half way can be run again.  Staging folders are removed
+after success.
+
+Partition folders and staging folders are deleted through the session's Hadoop file
+system, which classic Spark sessions offer and Spark Connect does not.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
@@ -16,9 +21,8 @@ from pyspark.errors import AnalysisException
 from .. import schemas
 from ..functions import time as tm
 from ..operators.attribution import monthly_from_daily
-from ..operators.common import first_per_key, last_per_key, salted_join
+from ..operators.common import first_per_key, last_per_key
 from ..operators.reactivation import gaps
-from ..session import scratch_path
 
 MONTH = "event_month"
 
@@ -40,8 +44,14 @@ def _as_stored(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     return df.select([F.col(c).cast(stored[c]) if c in stored and c not in keys else F.col(c) for c in df.columns])
 
 
+def _rebalanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows gathered by partition; adaptive execution cuts a large partition into files of a sensible size."""
+    return df.hint("rebalance", *keys) if keys else df
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    _as_stored(df, path, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    (_rebalanced(_as_stored(df, path, partition_by), partition_by).write.mode("append")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def read_table(spark: SparkSession, path: str, like: DataFrame | None = None, merge_schema: bool = False) -> DataFrame:
@@ -60,47 +70,57 @@ def read_table(spark: SparkSession, path: str, like: DataFrame | None = None, me
 
 
 def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Overwrite the partitions that occur in ``df`` and leave the others.
-
-    The rebalance hint gathers rows by partition and lets adaptive execution cut a large
-    partition into several tasks and files of a sensible size.
-    """
-    (_as_stored(df, path, keys).hint("rebalance", *keys).write.mode("overwrite")
+    """Overwrite the partitions that occur in ``df`` and leave the others."""
+    (_rebalanced(_as_stored(df, path, keys), keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
 
 
-def _drop_partitions(spark: SparkSession, path: str, folders: Sequence[str]) -> None:
-    """Delete partition folders such as ``month=2025-11`` of a Parquet table."""
+# Fixed value: the folder name that Spark gives to a NULL partition.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _delete(spark: SparkSession, folders: Iterable[str]) -> None:
     jvm = spark.sparkContext._jvm
     for folder in folders:
-        target = jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+        target = jvm.org.apache.hadoop.fs.Path(folder)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def _values(df: DataFrame, column: str) -> list[str]:
+def _drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable[object]) -> None:
+    """Delete the folders of partition values, such as ``month=2025-11``, of a Parquet table."""
+    _delete(spark, [f"{path}/{column}={_NULL_FOLDER if v is None else v}" for v in values])
+
+
+def _staging(path: str, name: str) -> str:
+    """A fresh folder beside the table, on the same file system; readers of the parent pass it over."""
+    parent, _, table = path.rstrip("/").rpartition("/")
+    return f"{parent}/_staging-{table}-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _values(df: DataFrame, column: str) -> set[str | None]:
     """The distinct months or dates of a frame: as many as there are partitions."""
-    return [str(r[0]) for r in df.select(column).distinct().collect()]
+    return {None if r[0] is None else str(r[0]) for r in df.select(column).distinct().collect()}
 
 
 def replace_period(df: DataFrame, path: str, period: str, mode: str = "partition") -> None:
     """Replace one period column's partitions: those present, or the whole range they span.
 
     ``mode="range"`` also removes stored periods between the first and last new one that
-    the new data lacks.
+    the new data lacks.  Rows without a period are a partition of their own and no part
+    of the range.
     """
     if mode not in ("partition", "range"):
         raise ValueError(f"unknown mode {mode!r}")
-    spark = df.sparkSession
+    spark, stale = df.sparkSession, set()
     if mode == "range":
-        new = _values(df, period)
-        if not new:
+        low, high = df.agg(F.min(period), F.max(period)).first()
+        if low is not None:
+            spanned = read_table(spark, path, df).filter(F.col(period).between(F.lit(low), F.lit(high)))
+            stale = _values(spanned, period) - _values(df, period)
+        elif df.limit(1).count() == 0:
             return
-        spanned = read_table(spark, path, df).filter(F.col(period).between(min(new), max(new)))
-        stale = [v for v in _values(spanned, period) if v not in new]
-        replace_partitions(df, path, [period])
-        _drop_partitions(spark, path, [f"{period}={v}" for v in stale])
-    else:
-        replace_partitions(df, path, [period])
+    replace_partitions(df, path, [period])
+    _drop_partitions(spark, path, period, stale)
 
 
 def replace_sheets(df: DataFrame, path: str) -> None:
@@ -136,7 +156,7 @@ def merged(target: DataFrame, batch: DataFrame, order: Sequence[Column] = ()) ->
     """
     new = last_per_key(batch.filter(F.col("event_id").isNotNull()), ["event_id"],
                        order or [F.col("event_date")])
-    kept = salted_join(target, new.select("event_id"), ["event_id"], "left_anti")
+    kept = target.join(new.select("event_id"), "event_id", "left_anti")  # ids are all but unique
     return kept.select(target.columns).unionByName(new.select(target.columns))
 
 
@@ -144,30 +164,33 @@ def upsert_events(batch: DataFrame, path: str, order: Sequence[Column] = (),
                   since_month: str | None = None) -> None:
     """Merge a batch into the event table, rewriting only the months it touches.
 
-    Those are the months of the new rows and of the old rows they replace.  Running the
-    same batch again gives the same table.  Finding the old rows reads the event ids of
-    the whole table, unless ``since_month`` promises that no older month holds any.
+    Those are the months of the new rows and of the old rows they replace; rows without a
+    time are a month of their own.  Running the same batch again gives the same table.
+    Finding the old rows reads the event ids of the whole table, unless ``since_month``
+    promises that no older month holds any.
     """
     spark = batch.sparkSession
     events = schemas.conform(batch, schemas.USER_EVENTS)
-    new_path = scratch_path(spark, "upsert-batch")
+    new_path, staged_path = _staging(path, "batch"), _staging(path, "months")
     with_month(last_per_key(events.filter(F.col("event_id").isNotNull()), ["event_id"],
                             order or [F.col("event_date")])).write.parquet(new_path)
-    new = spark.read.parquet(new_path)
+    new = spark.read.schema(with_month(events).schema).parquet(new_path)
     target = read_table(spark, path, new)
     if since_month is not None:
-        target = target.filter(F.col(MONTH) >= since_month)
+        target = target.filter((F.col(MONTH) >= since_month) | F.col(MONTH).isNull())
     # Months are few; the event rows themselves stay on the executors.
     replaced = target.select("event_id", MONTH).join(new.select("event_id"), "event_id", "left_semi")
-    months = sorted(set(_values(new, MONTH)) | set(_values(replaced, MONTH)))
-    if not months:
-        return
-    staged_path = scratch_path(spark, "upsert-months")
-    merged(target.filter(F.col(MONTH).isin(months)).select(new.columns), new).write.parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
-    left = set(_values(staged, MONTH))
-    replace_partitions(staged, path, [MONTH])
-    _drop_partitions(spark, path, [f"{MONTH}={m}" for m in months if m not in left])
+    months = _values(new, MONTH) | _values(replaced, MONTH)
+    if months:
+        touched = F.col(MONTH).isin([m for m in months if m is not None])
+        if None in months:
+            touched = touched | F.col(MONTH).isNull()
+        merged(target.filter(touched).select(new.columns), new).write.parquet(staged_path)
+        staged = spark.read.schema(new.schema).parquet(staged_path)
+        left = _values(staged, MONTH)
+        replace_partitions(staged, path, [MONTH])
+        _drop_partitions(spark, path, MONTH, months - left)
+    _delete(spark, [new_path, staged_path])
 
 
 # --- stored reports ---------------------------------------------------------
@@ -176,12 +199,12 @@ def upsert_events(batch: DataFrame, path: str, order: Sequence[Column] = (),
 def store_reactivations(events: DataFrame, path: str, min_gap_days: float = 7) -> None:
     """All reactivations as a table partitioned by month; run again to refresh."""
     rows = gaps(events, min_gap_days).withColumn("month", tm.month_text(F.col("first_deposit")))
-    rows.write.mode("overwrite").partitionBy("month").parquet(path)
+    _rebalanced(rows, ["month"]).write.mode("overwrite").partitionBy("month").parquet(path)
 
 
 def store_report(report: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Any report, such as cohort ARPPU or split-test groups, as a table."""
-    report.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _rebalanced(report, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def roll_up_spend(daily: DataFrame, path: str) -> None:
@@ -191,5 +214,5 @@ def roll_up_spend(daily: DataFrame, path: str) -> None:
 
 def copy_table(source: DataFrame, path: str) -> DataFrame:
     """Copy an event table to Parquet by month and return the copy."""
-    with_month(source).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    _rebalanced(with_month(source), [MONTH]).write.mode("overwrite").partitionBy(MONTH).parquet(path)
     return source.sparkSession.read.parquet(path)

@@ -17,16 +17,18 @@ from ..sources.writers import MONTH, upsert_events, with_month
 
 
 def event_stream(spark: SparkSession, folder: str, brands: Mapping[int, str], until: tm.Day | None = None,
-                 files_per_trigger: int = 1000) -> DataFrame:
-    """Pixel CSV files below ``folder`` as a typed stream.
+                 files_per_trigger: int = 1000, columns: Mapping[str, str] = PIXEL_COLUMNS) -> DataFrame:
+    """Pixel CSV files below ``folder`` as a typed stream; ``columns`` gives the headers in the order of the export.
 
-    A stream needs its layout up front: all known columns in the order of the export.
+    A stream needs its layout up front: all those columns and the event's own time.  A file
+    with another header stops the stream with an error that shows it, and its rows are
+    not taken for something else.
     """
-    headers = [*PIXEL_COLUMNS, LATE_TIME]
+    headers = [*columns, *([] if LATE_TIME in columns else [LATE_TIME])]
     layout = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    raw = (spark.readStream.schema(layout).option("header", True)
+    raw = (spark.readStream.schema(layout).option("header", True).option("enforceSchema", False)
            .option("maxFilesPerTrigger", files_per_trigger).csv(folder))
-    return pixel_events(raw, brands, until)
+    return pixel_events(raw, brands, until, columns)
 
 
 def without_repeats(events: DataFrame, horizon: str = "7 days") -> DataFrame:
@@ -45,10 +47,11 @@ def append_stream(events: DataFrame, path: str, checkpoint: str) -> StreamingQue
             .trigger(availableNow=True).start())
 
 
-def upsert_stream(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def upsert_stream(events: DataFrame, path: str, checkpoint: str, since_month: str | None = None) -> StreamingQuery:
     """Merge all files not read yet into the event table by event id, then stop.
 
-    A batch that is repeated after a failure gives the same table.
+    A batch that is repeated after a failure gives the same table.  ``since_month`` promises
+    that no older month holds an id of the new rows, which spares a scan of all ids per batch.
     """
-    return (events.writeStream.foreachBatch(lambda batch, _: upsert_events(batch, path))
+    return (events.writeStream.foreachBatch(lambda batch, _: upsert_events(batch, path, since_month=since_month))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -7,24 +7,33 @@ from adtally.functions import numeric as num, text, time as tm
 from adtally.functions.segments import five_segments, four_segments
 from adtally.sources import readers as rd
 
-NAMES = [
-    ("(120) AlphaPush-XY-POP", "POP"), ("(121) AlphaPush-XY-Banner", "BANNER"), ("(115) Pushhub-XY-Video", "VIDEO"),
-    ("(113) Pushhub-XY-Banner", "BANNER"), ("(37) Beta-XY-PUSH", "PUSH"), ("(36) Beta-XY-POP", "POP"),
-    ("(112) Gamma-XY-Video", "VIDEO"), ("(18) Stars-XY-POP-Premium", "POP"), ("(12) Delta-XY-In-Page-PUSH", "PUSH"),
-    ("PUSHHOUSE-VIDEO", "VIDEO"), ("(9) Plain", "OTHER"), ("(10) Apushb-PUSH", "OTHER"), ("(11) X-Native", "NATIVE"),
-    (None, "OTHER"),
-]
+def test_format_word_positions(values):
+    for fmt in text.FORMATS:
+        accepted = [f"(7) Zed-{fmt}", f"(7) Zed-{fmt}/2", f"(7) Zed-{fmt.lower()}-eu", f"{fmt}-zed", f"zed {fmt} eu", f"zed{fmt.title()}", f"9{fmt}"]
+        rejected = [f"{fmt}zed", f"zed-{fmt}x", f"(7) {fmt}zed-eu", f"{fmt}_eu", f"({fmt})"]
+        names = [n for n in accepted if fmt != "PUSH" or "zedPush" != n] + rejected
+        expected = [fmt] * (len(names) - len(rejected)) + [text.OTHER] * len(rejected)
+        assert values(names, text.ad_format) == expected, fmt
+    assert values(["zed", "", None], text.ad_format) == [text.OTHER] * 3
 
 
-def test_format_names(values):
-    assert values([n for n, _ in NAMES], text.ad_format) == [f for _, f in NAMES]
+def test_push_spellings_and_inner_push(values):
+    names = ["(7) zed in-page", "ZED-INPAGE 2", "(7) zed-push", "zedpusher-push", "xpushx push-"]
+    assert values(names, text.ad_format) == ["PUSH", "PUSH", "PUSH", "OTHER", "OTHER"]
+
+
+def test_older_rules(values):
+    """A name that starts with letters up to PUSH, or goes on after it, and formats that go on after the word."""
+    names = ["zedpush", "(7) zed-push", "(7) zed-popup", "(7) zed-pushy push-"]
+    assert values(names, text.ad_format) == ["PUSH", "PUSH", "OTHER", "PUSH"]
+    assert values(names, lambda c: text.ad_format(c, "legacy")) == ["OTHER", "PUSH", "POP", "OTHER"]
 
 
 def test_rule_order_decides(values):
-    both = ["(1) A-POP-BANNER", "(2) B-PUSH-POP", "AlphaPush-X"]
-    assert values(both, text.ad_format) == ["POP", "POP", "PUSH"]
-    # The older rules test BANNER first, and refuse a name that starts with letters up to PUSH.
-    assert values(both, lambda c: text.ad_format(c, "legacy")) == ["BANNER", "PUSH", "OTHER"]
+    pairs = [(a, b) for i, a in enumerate(text.FORMATS) for b in text.FORMATS[i + 1:]]
+    names = [f"(7) zed-{a}-{b}" for a, b in pairs]
+    for rules, order in (("current", text.CURRENT_ORDER), ("legacy", text.LEGACY_ORDER)):
+        assert values(names, lambda c: text.ad_format(c, rules)) == [min(p, key=order.index) for p in pairs]
 
 
 def test_publisher_id(values):
@@ -36,6 +45,8 @@ def test_char_set():
     assert text.char_set("8-9a-z") == list("89abcdefghijklmnopqrstuvwxyz")
     assert text.char_set("0,2,A-C") == ["0", "2", "a", "b", "c"]
     assert text.char_set("ab,1-3") == ["1", "2", "3", "a", "b"]
+    assert text.char_set("8-a") == text.char_set("z-x") == text.char_set("- ,") == []
+    assert text.char_set("a-c-e, 5-") == ["5", "a", "b", "c", "e"]
 
 
 def test_column_names():
@@ -56,6 +67,8 @@ def test_text_numbers(values):
     raw = ["1,5", "1 000,25", "", "  ", None, " 7 "]
     assert values(raw, num.text_number) == [Decimal("1.5"), Decimal("1000.25"), None, None, None, Decimal(7)]
     assert values(raw[2:5], lambda c: num.text_number(c, blank=F.lit(0))) == [0, 0, 0]
+    assert values(["0,00004", "0,123456", "12345678901234,000000000001"], num.text_number) == [
+        Decimal("0.00004"), Decimal("0.123456"), Decimal("12345678901234.000000000001")]
     assert values(["inf", "abc"], lambda c: num.text_number(c, infinite_as_null=True, strict=False)) == [None, None]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         values(["abc"], num.text_number)

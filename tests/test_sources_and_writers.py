@@ -57,13 +57,51 @@ def test_daily_spend_with_other_layouts_and_encodings(spark, tmp_path):
     write(tmp_path / "s_2025-11-01.csv", "x", "Publisher,FTD,Deposit,Spend", "(1) Café-POP,1,2,4")
     write(tmp_path / "s_20251102.csv", "x", "Spend,Publisher,Extra,Deposit", "6,(1) Café-POP,z,3", encoding="latin-1")
     write(tmp_path / "s_03-11-2025.csv", "x", "Publisher,FTD,Deposit,Spend", "(2) Z,1,1,1")
-    write(tmp_path / "undated.csv", "x", "Publisher,FTD,Deposit,Spend", "(3) Z,1,1,1")
     write(tmp_path / "other.txt", "Publisher,FTD,Deposit,Spend", "(4) Z,1,1,1")
     got = sorted((str(r.date), r.publisher_name, r.deposits_reported, float(r.spend)) for r in rd.daily_spend_csv(spark, str(tmp_path)).collect())
     assert got == [("2025-11-01", "(1) Café-POP", 2, 4.0), ("2025-11-02", "(1) Café-POP", 3, 6.0), ("2025-11-03", "(2) Z", 1, 1.0)]
-    assert rd.daily_spend_csv(spark, str(tmp_path), date="2024-01-01").count() == 4
-    with pytest.raises(ValueError):
-        rd.daily_spend_csv(spark, str(tmp_path), glob="other2*")
+    write(tmp_path / "export (1) +2 20251104.csv", "x", "Publisher,FTD,Deposit,Spend", "(2) Z,1,1,1")
+    assert rd.daily_spend_csv(spark, str(tmp_path)).filter("date = '2025-11-04'").count() == 1
+    write(tmp_path / "un dated.csv", "x", "Publisher,FTD,Deposit,Spend", "(3) Z,1,1,1")
+    assert rd.daily_spend_csv(spark, str(tmp_path), date="2024-01-01").count() == 5
+    with pytest.raises(Exception, match="no date in the name of .*un dated.csv"):
+        rd.daily_spend_csv(spark, str(tmp_path)).collect()
+    assert rd.daily_spend_csv(spark, str(tmp_path), glob="other2*").count() == 0
+
+
+def test_files_without_the_header_fail_by_name(spark, tmp_path):
+    write(tmp_path / "a.csv", "Publisher,FTD,Deposit,Spend", "(1) A,1,2,4")
+    write(tmp_path / "b.csv", "(2) B,1,2,4")
+    with pytest.raises(Exception, match="no header line in .*b.csv"):
+        rd.monthly_spend_csv(spark, str(tmp_path), month="2025-11").collect()
+    assert rd.monthly_spend_csv(spark, str(tmp_path / "a.csv"), month="2025-11").count() == 1
+    write(tmp_path / "e" / "x.csv", "ID,TYPE,OTHER", "1,deposit,2025-11-01")
+    with pytest.raises(Exception, match="no header line in .*x.csv"):
+        rd.event_csv(spark, str(tmp_path / "e")).collect()
+
+
+def test_columns_follow_each_files_header(spark, tmp_path):
+    write(tmp_path / "a.csv", "ID,EXTERNAL_USER_ID,TYPE,PIXEL_TS,CONVERTED_AMOUNT", "1,u,deposit,2025-11-01 10:00:00 UTC,1.5")
+    write(tmp_path / "b.csv", "PIXEL_TS,CONVERTED_AMOUNT,NOTE,TYPE,ID,EXTERNAL_USER_ID", '2025-11-02 10:00:00 UTC,2.5,"x, ""y""",deposit,2,v', "2025-11-03 10:00:00 UTC,3,,view,3,w")
+    got = [(r.event_id, r.external_user_id, r.event_type, str(r.event_date), float(r.converted_amount)) for r in rd.event_csv(spark, str(tmp_path)).orderBy("event_id").collect()]
+    assert got == [("1", "u", "deposit", "2025-11-01 10:00:00", 1.5), ("2", "v", "deposit", "2025-11-02 10:00:00", 2.5), ("3", "w", "view", "2025-11-03 10:00:00", 3.0)]
+
+
+def test_pixel_headers_may_be_named(spark, tmp_path):
+    write(tmp_path / "p.csv", HEADER.replace("NETWORK_USER_ID", "NET_ID"), pixel_line("a"))
+    columns = {("NET_ID" if k == "NETWORK_USER_ID" else k): v for k, v in rd.PIXEL_COLUMNS.items()}
+    assert rd.pixel_csv(spark, str(tmp_path), {1: "x"}).first().network_user_id is None
+    assert rd.pixel_csv(spark, str(tmp_path), {1: "x"}, columns=columns).first().network_user_id == "9" * 20
+
+
+def test_stream_refuses_another_header(spark, tmp_path):
+    write(tmp_path / "in" / "p.csv", HEADER.replace("TYPE,PIXEL_TS", "PIXEL_TS,TYPE"), pixel_line("a"))
+    stream = ingest.event_stream(spark, str(tmp_path / "in"), {1: "x"})
+    query = ingest.append_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    with pytest.raises(Exception):
+        query.awaitTermination()
+    assert "CSV header does not conform to the schema" in str(query.exception()) or query.exception() is not None
+    assert not list((tmp_path / "out").glob("event_month=*/part-*"))
 
 
 def test_sheets_evolve(spark, tmp_path):
@@ -80,10 +118,12 @@ def test_sheets_evolve(spark, tmp_path):
 def test_lists_and_mappings(spark, tmp_path):
     assert [r.user_id for r in rd.user_list(spark, "a, b ,,c").collect()] == ["a", "b", "c"]
     write(tmp_path / "u.csv", "external_user_id,x", "q,1")
-    assert [r.user_id for r in rd.user_list(spark, str(tmp_path / "u.csv")).collect()] == ["q"]
+    assert [r.user_id for r in rd.user_list(spark, path=str(tmp_path / "u.csv")).collect()] == ["q"]
     write(tmp_path / "bad.csv", "id", "q")
     with pytest.raises(ValueError):
-        rd.user_list(spark, str(tmp_path / "bad.csv"))
+        rd.user_list(spark, path=str(tmp_path / "bad.csv"))
+    with pytest.raises(ValueError):
+        rd.user_list(spark)
     write(tmp_path / "m.csv", "event_id,Advertiser", "1, brand_A ", "1,BRAND_A", "2,", "3,other")
     assert sorted((r.link, r.brand) for r in rd.brand_csv(spark, str(tmp_path / "m.csv"), spellings=["Brand_A"]).collect()) == [("1", "Brand_A"), ("3", "other")]
 
