@@ -97,7 +97,8 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     if not len(words):
         return np.empty(0, np.uint64)
     width = min(n, len(words))
-    out = np.full(len(words) - width + 1, width, np.uint64)
+    count = len(words) - width + 1
+    out = np.full(count, width, np.uint64)
     for i in range(width):
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + words[i:len(words) - width + 1 + i])
-    return out
+        out += words[i:i + count] * np.uint64(pow(0x9E3779B97F4A7C15, i + 1, 1 << 64))
+    return mixed(out)
