@@ -59,14 +59,19 @@ def components(links: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
 
 
-def ranked(rows: DataFrame) -> DataFrame:
-    """Rows (k, fp, ...) of the groups k with at least two different nodes fp, each once, ranked by node.
+def shared(rows: DataFrame) -> DataFrame:
+    """The rows (k, fp, ...) of the groups k with at least two different nodes fp, each once.
 
     A group is streamed by the window, in the order of the sort that the shuffle needs anyway.
     """
     group = Window.partitionBy("k")
-    shared = rows.withColumns({"_lo": F.min("fp").over(group), "_hi": F.max("fp").over(group)}).filter("_lo < _hi")
-    return shared.drop("_lo", "_hi").withColumn("rank", F.dense_rank().over(group.orderBy("fp"))).distinct()
+    ends = rows.withColumns({"_lo": F.min("fp").over(group), "_hi": F.max("fp").over(group)})
+    return ends.filter("_lo < _hi").drop("_lo", "_hi").distinct()
+
+
+def ranked(rows: DataFrame) -> DataFrame:
+    """:func:`shared` rows with their ``rank`` in the group, by node."""
+    return shared(rows).withColumn("rank", F.dense_rank().over(Window.partitionBy("k").orderBy("fp")))
 
 
 def resolved(members: DataFrame, verified: Callable[[DataFrame], DataFrame], near: Column | None = None,

@@ -13,8 +13,11 @@ from how often segments are small, since small subsets are shared by chance.  A
 leaves out its small segments while enough others remain for the principle to hold; m
 is chosen such that nearly all records can.
 
-Records are sets, not documents: documents with equal sets are one record.  How
-candidates become components without pairing whole groups is told in ``graph.resolved``.
+Records are sets, not documents: documents with equal sets are one record.  In a
+key group, the member that meets most others, over all its keys, is paired with the rest
+first.  Groups whose members then still lie in several components are compared in full,
+block by block, on parity sketches: each shingle flips one bit, so two sets whose sketches
+differ in more than H bits are not similar, and only the other pairs are verified.
 """
 
 from __future__ import annotations
@@ -25,13 +28,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.common import salted_join
-from .graph import fixed, ranked, resolved
+from .graph import components, fixed, shared
 from .words import SPACED, Hasher, mixed, shingles
 
 WORDS = 4
+BLOCK = 4096  # members of a group compared by one task
 COMMON = 0.1  # share of a document taken to stand in many others, for the cost of chance candidates
 SEEN = 1 << 18
 
@@ -184,23 +188,72 @@ def _keys(docs: DataFrame, rule: Rule, grids: Mapping[int, Grid]) -> DataFrame:
     return docs.mapInArrow(emit, "k bigint, fp bigint, n bigint")
 
 
+def sketch(tokens: np.ndarray, rule: Rule) -> bytes:
+    """A parity bit for each of some buckets of shingles, 16 to 32 times as many as H, a power of two."""
+    words = max(1, rule.largest_difference(rule.band(len(tokens))) // 4)
+    bits = 64 << (words - 1).bit_length()
+    return np.packbits(np.bincount((mixed(tokens) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
 def _contents(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(fp, tokens) of documents that come with the fingerprint they should have."""
+    """(fp, tokens, bits) of documents that come with the fingerprint they should have."""
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            marks, tokens = [], []
-            for text, wanted in zip(batch.column(0), batch.column(1)):
-                s = shingle_set(hasher, text.as_py(), rule.words)
-                if fingerprints(s)[0] == wanted.as_py():  # else another text of a repeated id
-                    marks.append(wanted.as_py())
-                    tokens.append(s.tobytes())
-                if len(marks) >= 200:
-                    yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(tokens, pa.binary())], names=["fp", "tokens"])
-                    marks, tokens = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(tokens, pa.binary())], names=["fp", "tokens"])
-
-    return docs.mapInArrow(fetch, "fp bigint, tokens binary")
+            for i in range(0, batch.num_rows, 200):
+                marks, tokens, bits = [], [], []
+                for text, wanted in zip(batch.column(0)[i:i + 200], batch.column(1)[i:i + 200]):
+                    s = shingle_set(hasher, text.as_py(), rule.words)
+                    if fingerprints(s)[0] == wanted.as_py():  # else another text of a repeated id
+                        marks.append(wanted.as_py())
+                        tokens.append(s.tobytes())
+                        bits.append(sketch(s, rule))
+                yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(tokens, pa.binary()), pa.array(bits, pa.binary())],
+                                                 names=["fp", "tokens", "bits"])
+
+    return docs.mapInArrow(fetch, "fp bigint, tokens binary, bits binary")
+
+
+def near_pairs(names: np.ndarray, sizes: np.ndarray, labels: np.ndarray, blocks: np.ndarray, bits: list[bytes],
+               rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different labels that sizes and sketches allow to be similar; of two blocks, one member of each."""
+    width = min(map(len, bits))
+    rows = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in bits]  # buckets of a wider sketch fold onto a narrower
+    table = np.array([np.bitwise_xor.reduce(x, axis=0) for x in rows])
+    table = table.view(np.uint64)
+    one, two = [], []
+    first, second = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks == blocks.max())
+    for at in range(0, len(first), 32):
+        part = first[at:at + 32]
+        differ = np.bitwise_count(table[part, None] ^ table[None, second]).sum(axis=2, dtype=np.int64)
+        total = sizes[part, None] + sizes[None, second]
+        close = differ * (100 + rule.least) <= (100 - rule.least) * total
+        close &= np.maximum(sizes[part, None], sizes[None, second]) * rule.least <= np.minimum(sizes[part, None], sizes[None, second]) * 100
+        close &= labels[part, None] != labels[None, second]
+        i, j = np.nonzero(close)
+        a, b = names[part[i]], names[second[j]]
+        one.append(np.minimum(a, b))
+        two.append(np.maximum(a, b))
+    return np.concatenate(one), np.concatenate(two)
+
+
+def _compared(members: DataFrame, labels: DataFrame, contents: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of the groups whose members lie in several components, as :func:`near_pairs` allows them."""
+    state = members.join(labels, "fp", "left").withColumn("c", F.coalesce("component", "fp")).select("k", "fp", "n", "c")
+    open_ = state.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo < hi")
+    rows = state.join(open_.select("k", "size"), "k")
+    place = (F.row_number().over(Window.partitionBy("k").orderBy("fp")) - 1) / BLOCK
+    rows = rows.withColumn("block", F.floor(place)).join(contents.select("fp", "bits"), "fp")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("size") - 1) / BLOCK))))
+    rows = rows.select("k", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "fp", "n", "c", "block", "bits")
+
+    def compare(table: pa.Table) -> pa.Table:
+        column = lambda name: table.column(name).to_numpy()
+        a, b = near_pairs(column("fp"), column("n"), column("c"), column("block"), table.column("bits").to_pylist(), rule)
+        new = a != b
+        return pa.table({"a": pa.array(a[new], pa.int64()), "b": pa.array(b[new], pa.int64())})
+
+    return rows.groupBy("k", "low", "high").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def _verified(pairs: DataFrame, contents: DataFrame, rule: Rule) -> DataFrame:
@@ -241,13 +294,21 @@ def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", r
     bands = {r["band"]: r["count"] for r in filled.groupBy("band").count().collect()}  # some 150 at most
     grids = {b: allocate(rule, b, bands.get(b, 0) + bands.get(b + 1, 0)) for b in {*bands, *(b - 1 for b in bands)} if b >= 0}
 
-    members = fixed(ranked(_keys(narrow, rule, grids)), "shingle-members")
-    wanted = members.select("fp").distinct()
-    owners = filled.filter("key IS NOT NULL").join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("key").alias("key"))
+    members = fixed(shared(_keys(narrow, rule, grids)), "shingle-members")
+    meets = members.groupBy("fp").agg(F.count(F.lit(1)).alias("meets"))
+    owners = filled.filter("key IS NOT NULL").join(meets, "fp", "left_semi").groupBy("fp").agg(F.min("key").alias("key"))
     contents = fixed(_contents(narrow.join(owners, "key").select("text", "fp"), rule), "shingle-contents")
 
-    near = F.greatest("na", "nb") * rule.least <= F.least("na", "nb") * 100
-    labels, _ = resolved(members, lambda pairs: _verified(pairs, contents, rule), near)
+    # First each group's best-met member with the others.
+    by_meets = Window.partitionBy("k").orderBy(F.desc("meets"), "fp")
+    led = members.join(meets, "fp").select("fp", "n", F.first(F.struct("fp", "n")).over(by_meets).alias("lead"))
+    near = F.greatest("n", "lead.n") * rule.least <= F.least("n", "lead.n") * 100
+    pairs = led.filter((F.col("fp") != F.col("lead.fp")) & near).select(
+        F.least("fp", "lead.fp").alias("a"), F.greatest("fp", "lead.fp").alias("b")).distinct()
+    links = fixed(_verified(pairs, contents, rule), "shingle-links")
+    labels = components(links).withColumnRenamed("node", "fp")
+    more = fixed(_verified(_compared(members, labels, contents, rule), contents, rule), "shingle-links")
+    labels = components(links.unionAll(more)).withColumnRenamed("node", "fp")
 
     named = filled.join(labels, "fp", "left").withColumn("c", F.coalesce("component", "fp")).select("key", "n", "c")
     least = named.groupBy("c").agg(F.min("key").alias("least"))
