@@ -117,6 +117,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
                            F.pmod(F.xxhash64(F.lit(seed), "name", "shard"), F.greatest(n_blocks, F.lit(1))).alias("offset"))
     inside = (Window.partitionBy("name", "shard").orderBy(F.xxhash64("key", F.lit(seed)), "key", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
+    # Dealt by shard: else the exchange of the join by source would do, with a large source in one task.
+    rows = rows.repartition("name", "shard")
     rows = rows.withColumn("start", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(shards, ["name", "shard"])
 
     upto = lambda b: F.floor((b * F.col("quota") + F.col("offset")) / F.col("n_blocks"))
