@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -37,44 +38,55 @@ def deposit_types(events: DataFrame, start: tm.Day | None = None, end: tm.Day |
 def numbered_deposits(events: DataFrame) -> DataFrame:
     """Deposits with their ordinal in the user's history, by time and then event id.
 
-    Deposits are numbered within a day slot only; the count of the user's earlier slots,
-    taken over one row per slot, is added.  So no task sorts a whole history.
+    Deposits are numbered within a minute only.  The counts of the day's earlier minutes
+    and of the user's earlier days, each taken over one row per slot, are added, so no
+    task sorts a user's day or history.
     """
-    rows = deposits(events).withColumn("_slot", tm.day_number(F.col(TS)))
-    slots = rows.groupBy(USER, "_slot").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(USER).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.select(USER, "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy(USER, "_slot").orderBy(TS, "event_id"))
-    return (rows.join(slots, [USER, "_slot"])
-            .withColumn("deposit_number", F.col("_before") + within).drop("_slot", "_before"))
-
-
-def publisher_stats(events: DataFrame, start: tm.Day, end: tm.Day,
-                    end_bound: str = tm.END_OF_DAY, null_users_are_rd: bool = False) -> DataFrame:
-    """Deposits, FTD, RD and RD rate per publisher.
-
-    All deposits are counted by a plain aggregation; only those at a first instant pass
-    through the (user, instant) semi join.  RD is the rest of the deposits with a known
+    rows = deposits(events).withColumns({"_day": tm.day_number(F.col(TS)), "_minute": F.date_trunc("minute", TS)})
+    minutes = rows.groupBy(USER, "_day", "_minute").agg(F.count(F.lit(1)).alias("_n"))
+    days = minutes.groupBy(USER, "_day").agg(F.sum("_n").alias("_n"))
+    before = lambda keys, order: F.coalesce(F.sum("_n").over(
+        Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    days = days.select(USER, "_day", before([USER], "_day").alias("_days_before"))
+    minutes = minutes.select(USER, "_day", "_minute", before([USER, "_day"], "_minute").alias("_minutes_before"))
+    slots = minutes.join(days, [USER, "_day"]).select(USER, "_minute", (F.col("_days_before") + F.col("_minutes_before")).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(USER, "_minute").orderBy(TS, "event_id"))
+    # A hash of both: the join by user alone would do otherwise, with a busy user in one task.
+    return (rows.join(slots, [USER, "_minute"]).repartition(F.col(USER), F.col("_minute"))
+            .withColumn("deposit_number", F.col("_before") + within).drop("_day", "_minute", "_before"))
+
+
+def stats_by_period(events: DataFrame, periods: Mapping[str, tuple[tm.Day, tm.Day]], end_bound: str = tm.END_OF_DAY,
+                    null_users_are_rd: bool = False) -> DataFrame:
+    """Deposits, FTD, RD and RD rate per named period and publisher.
+
+    The events are read twice, for any number of periods: once for each user's first
+    instant, once for the rows of the periods, reduced to (period, publisher, user,
+    instant) and joined on (user, instant).  RD is the rest of the deposits with a known
     user (or of all deposits).
     """
-    rows = (deposits(events, null_users=True)
-            .filter(tm.within(F.col(TS), start, end, end_bound))
-            .select("publisher_id", USER, TS))
-    known = F.count(F.lit(1)) if null_users_are_rd else F.count(USER)
-    zero = F.lit(0).cast("bigint")
-    totals = rows.groupBy("publisher_id").agg(
-        F.count(F.lit(1)).alias("total_deps"), known.alias("_known"), zero.alias("ftd"))
-    firsts = (
-        rows.join(_first_instants(events, start, end, end_bound), [USER, TS], "left_semi")
-        .groupBy("publisher_id")
-        .agg(zero.alias("total_deps"), zero.alias("_known"), F.count(F.lit(1)).alias("ftd")))
-    sums = totals.unionByName(firsts).groupBy("publisher_id").agg(
-        *[F.sum(c).alias(c) for c in ("total_deps", "_known", "ftd")])
+    inside = lambda name: F.when(tm.within(F.col(TS), *periods[name], end_bound), F.lit(name))
+    named = F.filter(F.array(*[inside(name) for name in periods]), lambda x: x.isNotNull())
+    any_period = reduce(lambda a, b: a | b, [tm.within(F.col(TS), *p, end_bound) for p in periods.values()])
+    rows = (deposits(events, null_users=True).filter(any_period)
+            .select("publisher_id", USER, TS, F.explode(named).alias("period"))
+            .groupBy("period", "publisher_id", USER, TS).agg(F.count(F.lit(1)).alias("_n")))
+    first = deposits(events).groupBy(USER).agg(F.min(TS).alias(TS)).filter(any_period).withColumn("_first", F.lit(True))
+    known = F.sum("_n") if null_users_are_rd else F.sum(F.when(F.col(USER).isNotNull(), F.col("_n")))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    sums = rows.join(first, [USER, TS], "left").groupBy("period", "publisher_id").agg(
+        F.sum("_n").alias("total_deps"), zero(known).alias("_known"), zero(F.sum(F.when(F.col("_first"), F.col("_n")))).alias("ftd"))
     rd = (F.col("_known") - F.col("ftd"))
-    return sums.select("publisher_id", "total_deps", "ftd", rd.alias("rd"),
+    return sums.select("period", "publisher_id", "total_deps", "ftd", rd.alias("rd"),
                        num.half_even(num.percent(rd, F.col("total_deps")), 1).alias("rd_rate"))
 
 
+def publisher_stats(events: DataFrame, start: tm.Day, end: tm.Day,
+                    end_bound: str = tm.END_OF_DAY, null_users_are_rd: bool = False) -> DataFrame:
+    """:func:`stats_by_period` for one period."""
+    return stats_by_period(events, {"": (start, end)}, end_bound, null_users_are_rd).drop("period")
+
+
 def rd_rate_advice(stats: DataFrame, min_total: int = 100) -> DataFrame:
     """Bid advice from a publisher's RD rate against the paid average."""
     paid = stats.filter(F.col("publisher_id") != 0)
@@ -95,21 +107,30 @@ def rd_rate_advice(stats: DataFrame, min_total: int = 100) -> DataFrame:
     ).orderBy(F.desc("rd_diff"), "publisher_id")
 
 
-def _side_by_side(old: DataFrame, new: DataFrame, columns: Sequence[str], labels: Sequence[str] = ()) -> DataFrame:
+OLD, NEW = "old", "new"
+
+
+def _long(old: DataFrame, new: DataFrame | None) -> DataFrame:
+    """Two months as one frame with ``period`` old or new, as which ``old`` may come already."""
+    if new is None:
+        return old
+    return old.withColumn("period", F.lit(OLD)).unionByName(new.withColumn("period", F.lit(NEW)), allowMissingColumns=True)
+
+
+def _side_by_side(both: DataFrame, columns: Sequence[str], labels: Sequence[str] = ()) -> DataFrame:
     """Two months per publisher, missing numbers as zero, labels of the new one.
 
-    A union and one aggregation in place of a full join; rows without a publisher meet too.
+    One aggregation in place of a full join; rows without a publisher meet too.
     """
-    pick = lambda df, tag, *extra: df.select("publisher_id", *extra, *[F.col(c).alias(f"{c}_{tag}") for c in columns])
-    numbers = [f"{c}_{tag}" for c in columns for tag in ("old", "new")]
-    both = pick(old, "old").unionByName(pick(new, "new", *labels), allowMissingColumns=True)
+    of = lambda column, tag: F.max(F.when(F.col("period") == tag, F.col(column)))
     return both.groupBy("publisher_id").agg(
-        *[F.max(c).alias(c) for c in labels], *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in numbers])
+        *[of(c, NEW).alias(c) for c in labels],
+        *[F.coalesce(of(c, tag), F.lit(0)).alias(f"{c}_{tag}") for c in columns for tag in (OLD, NEW)])
 
 
-def compare_months(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Two months of :func:`publisher_stats` with the change in volume and RD rate."""
-    both = _side_by_side(old, new, ["total_deps", "ftd", "rd", "rd_rate"])
+def compare_months(old: DataFrame, new: DataFrame | None = None) -> DataFrame:
+    """Two months of :func:`publisher_stats`, or ``stats_by_period`` of old and new, with the change in volume and RD rate."""
+    both = _side_by_side(_long(old, new), ["total_deps", "ftd", "rd", "rd_rate"])
     a, b = F.col("total_deps_old"), F.col("total_deps_new")
     return both.withColumns({
         "deps_change": b - a,
@@ -141,21 +162,23 @@ def month_change_advice(comparison: DataFrame, min_deps: int = 1000, high_deps:
 
 
 def with_cost(stats: DataFrame, spend: DataFrame) -> DataFrame:
-    """Publisher statistics joined with one month of spend: cost per FTD, RD and deposit.
+    """Publisher statistics joined with a month of spend: cost per FTD, RD and deposit.
 
-    A zero count counts as one, so the cost is then the whole spend.
+    Where both frames have a ``period``, each meets its own.  A zero count counts as one,
+    so the cost is then the whole spend.
     """
-    month = spend.select("publisher_id", "publisher_name", "format", "spend")
+    keys = ["publisher_id", *(["period"] if "period" in stats.columns and "period" in spend.columns else [])]
+    month = spend.select(*keys, "publisher_name", "format", "spend")
     cost = F.col("spend")
     per = lambda column, places: num.half_even(num.ratio_floor_one(cost, F.col(column)), places)
-    return stats.join(month, "publisher_id", "left").withColumns({
+    return stats.join(month, keys, "left").withColumns({
         "ftd_cpa": per("ftd", 2), "rd_cpa": per("rd", 4), "total_cpa": per("total_deps", 3)})
 
 
-def compare_costs(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Two months of :func:`with_cost`; the name is that of the new month."""
+def compare_costs(old: DataFrame, new: DataFrame | None = None) -> DataFrame:
+    """Two months of :func:`with_cost`, apart or as one frame with old and new periods; the name is that of the new month."""
     numbers = ["total_deps", "ftd", "rd", "spend", "ftd_cpa", "rd_cpa", "total_cpa", "rd_rate"]
-    both = _side_by_side(old, new, numbers, ["publisher_name"])
+    both = _side_by_side(_long(old, new), numbers, ["publisher_name"])
     col = lambda name, tag: F.col(f"{name}_{tag}")
     diff = lambda name: col(name, "new") - col(name, "old")
     growth = lambda name: num.half_even(num.percent_change(col(name, "new"), col(name, "old")), 1)
@@ -252,7 +275,7 @@ def advice_counts(advice: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def extremes(advice: DataFrame, score: str, k: int) -> DataFrame:
-    """The ``k`` rows with the lowest and the ``k`` with the highest score."""
+    """The ``k`` rows with the lowest and the ``k`` with the highest score; each task keeps its own ``k`` before they meet."""
     low = advice.orderBy(F.asc(score), "publisher_id").limit(k).withColumn("side", F.lit("lowest"))
     high = advice.orderBy(F.desc(score), "publisher_id").limit(k).withColumn("side", F.lit("highest"))
     return low.unionByName(high)

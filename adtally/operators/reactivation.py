@@ -221,15 +221,14 @@ def _publisher_segments(events: DataFrame, start: tm.Day, end: tm.Day, end_bound
         .groupBy(USER, "publisher_id", slot)
         .agg(F.min(TS).alias("_first"), F.max(TS).alias("_last"))
     )
+    # The user's window sees one row per slot, whatever the number of publishers.
     user = Window.partitionBy(USER).orderBy("_slot")
+    slots = (reduced.groupBy(USER, "_slot").agg(F.min("_first").alias("_slot_first"), F.max("_last").alias("_slot_last"))
+             .withColumn("_earlier", F.max("_slot_last").over(user.rangeBetween(Window.unboundedPreceding, -1)))
+             .select(USER, "_slot", "_slot_first", "_earlier"))
     pair = Window.partitionBy(USER, "publisher_id").orderBy("_slot")
-    marked = (
-        reduced
-        .withColumn("_earlier", F.max("_last").over(user.rangeBetween(Window.unboundedPreceding, -1)))
-        .withColumn("_slot_first", F.min("_first").over(user.rangeBetween(0, 0)))
-        .withColumn("_same_pair_before", F.count(F.when(F.col("_slot") >= 0, 1)).over(
-            pair.rangeBetween(Window.unboundedPreceding, -1)))
-    )
+    marked = reduced.withColumn("_same_pair_before", F.count(F.when(F.col("_slot") >= 0, 1)).over(
+        pair.rangeBetween(Window.unboundedPreceding, -1))).join(slots, [USER, "_slot"])
     days = (F.when(F.col("_slot_first") < F.col("_first"), F.lit(0).cast("long"))
             .otherwise(tm.whole_days_between(F.col("_first"), F.col("_earlier"))))
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..functions import time as tm
 from ..operators import deposit_types as dp
 from . import frames
@@ -73,7 +75,7 @@ SELECT pid publisher_id, n0 total_deps_old, f0 ftd_old, r0 rd_old, {dbl('t0')} r
   {dbl('t1')} rd_rate_new, n1 - n0 deps_change, {dbl('up')} deps_change_pct, {dbl('t1 - t0')} rd_rate_change FROM c""", "ue")
 def _(spark, d):
     events = frames.user_events(spark, d)
-    return dp.compare_months(dp.publisher_stats(events, *OLD[:2]), dp.publisher_stats(events, *NEW[:2]))
+    return dp.compare_months(dp.stats_by_period(events, PERIODS))
 
 
 @report("dp4_month_advice", f"""WITH {_TWO}, {_CHANGE},
@@ -85,7 +87,7 @@ SELECT pid publisher_id, n1 deps, {dbl('up')} deps_change_pct, {dbl('t1 - t0')}
 FROM s""", "ue")
 def _(spark, d):
     events = frames.user_events(spark, d)
-    both = dp.compare_months(dp.publisher_stats(events, *OLD[:2]), dp.publisher_stats(events, *NEW[:2]))
+    both = dp.compare_months(dp.stats_by_period(events, PERIODS))
     return dp.month_change_advice(both, min_deps=2, high_deps=6, medium_deps=4)
 
 
@@ -98,6 +100,17 @@ def _cost(name: str, stats: str, month: str) -> str:
 _COSTS = f"{_TWO}, {_cost('oc', 'o', OLD[2])}, {_cost('wc', 'w', NEW[2])}"
 
 
+PERIODS = {dp.OLD: OLD[:2], dp.NEW: NEW[:2]}
+
+
+def _both_costs(spark, d):
+    """Both months in one frame."""
+    month = F.col("month")
+    period = F.when(month == OLD[2], dp.OLD).when(month == NEW[2], dp.NEW)
+    spend = frames.publisher_spend(spark, d).withColumn("period", period).filter("period IS NOT NULL")
+    return dp.with_cost(dp.stats_by_period(frames.user_events(spark, d), PERIODS), spend)
+
+
 def _costs(spark, d, month):
     stats = dp.publisher_stats(frames.user_events(spark, d), *month[:2])
     spend = frames.publisher_spend(spark, d)
@@ -126,7 +139,7 @@ SELECT pid publisher_id, pname publisher_name, {', '.join(f'{c}_{t}' for c in ('
   {dbl('total_deps_up')} deps_change_pct, {dbl('ftd_cpa_new - ftd_cpa_old')} ftd_cpa_change, {dbl('rd_cpa_new - rd_cpa_old')} rd_cpa_change
 FROM b""", "ue ps")
 def _(spark, d):
-    return dp.compare_costs(_costs(spark, d, OLD), _costs(spark, d, NEW))
+    return dp.compare_costs(_both_costs(spark, d))
 
 
 def _advice_sql(low: int, mid: int, score: str, n: str, high_n: int, mid_n: int, observe: int | None = None) -> str:
@@ -148,7 +161,7 @@ _EFFICIENCY_OUT = f"""SELECT pid publisher_id, pname publisher_name, {dbl('spend
 
 
 def _efficiency(spark, d):
-    both = dp.compare_costs(_costs(spark, d, OLD), _costs(spark, d, NEW))
+    both = dp.compare_costs(_both_costs(spark, d))
     return dp.efficiency_advice(both, min_deps=2, high_deps=5, medium_deps=3)
 
 
@@ -179,7 +192,7 @@ SELECT count(*) publishers, {', '.join(f'{dbl(f"sum(spend_{t})")} spend_{t}' for
   {', '.join(f'{big(f"sum({c}_{t})")} {c}_{t}' for c in ('total_deps', 'ftd', 'rd') for t in ('new', 'old'))}
 FROM b WHERE spend_new > 100 AND pid <> 0""", "ue ps")
 def _(spark, d):
-    return dp.paid_cost_totals(dp.compare_costs(_costs(spark, d, OLD), _costs(spark, d, NEW)))
+    return dp.paid_cost_totals(dp.compare_costs(_both_costs(spark, d)))
 
 
 _FORMAT = f"""WITH {_stats('w', *NEW[:2])}, {_cost('wc', 'w', NEW[2])},

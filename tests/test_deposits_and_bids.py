@@ -111,3 +111,39 @@ def test_five_levels_have_no_disable(events, spend):
     stats = dp.publisher_stats(events([{"external_user_id": "a", "publisher_id": p, "event_date": "2024-03-02"} for p in (2, 3)]), "2024-03-01", "2024-03-31")
     got = {r.publisher_id: (r.format, float(r.coefficient), r.recommendation) for r in bids.rounded_coefficients(df, stats).collect()}
     assert got == {2: ("POP", 0.1, "LOWER"), 3: ("OTHER", 1.0, "KEEP")}
+
+
+def test_free_reference_group(spend):
+    """A marked group with deposits but no spend keeps its target of zero where that is asked for."""
+    from adtally.operators import bids
+
+    rows = spend([(1, "(1) A-PLR-POP", "POP", "m", 4, "0"), (2, "(2) B-POP", "POP", "m", 4, "20")])
+    got = lambda **kw: [(float(r.target_cpa), r.target_source) for r in bids.target_cpa(rows, **kw).collect()]
+    assert got() == [(3.5 / 2, "all")]
+    assert got(keep_free_reference=True) == [(0.0, "reference")]
+
+
+def test_null_in_a_two_part_key_blocks_what_agrees_with_the_rest(spark):
+    from adtally.operators import bids
+
+    rows = [("POP", "z", "B", 2, 10), (None, "a", "A-PLR", 2, 10), ("POP", "a", "C", 2, 10), ("PUSH", None, "D", 2, 10)]
+    df = spark.createDataFrame(rows, "format string, brand string, publisher_name string, deposits_reported long, spend long")
+    got = {(r.format, r.brand): r.target_source for r in bids.target_cpa(df, ("format", "brand"), null_key_blocks=True).collect()}
+    assert got == {("POP", "z"): "all", (None, "a"): "reference", ("POP", "a"): "none", ("PUSH", None): "all"}
+
+
+def test_two_months_read_the_events_twice(spark, events):
+    """One scan for first instants, one for the rows of both months."""
+    import re
+
+    from adtally.operators import deposit_types as dp
+
+    path = __import__("tempfile").mkdtemp()
+    events([{"event_id": str(i), "external_user_id": f"u{i % 3}", "publisher_id": i % 2, "event_date": f"2025-1{i % 2}-0{1 + i % 5} 10:00:00",
+             "converted_amount": 1} for i in range(12)]).write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path)
+    both = dp.compare_months(dp.stats_by_period(stored, {dp.OLD: ("2025-10-01", "2025-10-31"), dp.NEW: ("2025-11-01", "2025-11-30")}))
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet", plan)) == 2
+    apart = dp.compare_months(dp.publisher_stats(stored, "2025-10-01", "2025-10-31"), dp.publisher_stats(stored, "2025-11-01", "2025-11-30"))
+    assert sorted(map(str, both.collect())) == sorted(map(str, apart.collect()))

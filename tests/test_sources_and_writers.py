@@ -294,3 +294,43 @@ def test_stream_upsert(spark, tmp_path):
     load()
     load()
     assert ids(spark, table) == [("a", "2025-12", 5.0), ("b", "2025-11", 1.0)]
+
+
+def test_rows_without_a_period_cost_no_others(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "date string, n int").withColumn("date", F.to_date("date"))
+    wr.replace_period(rows(("2025-01-01", 1), ("2025-02-01", 2), ("2025-03-01", 3), ("2025-09-01", 9)), path, "date")
+    wr.replace_period(rows(("2025-01-01", 10), ("2025-03-01", 30), (None, 5)), path, "date", "range")
+    read = lambda: sorted((str(r.date), r.n) for r in spark.read.parquet(path).collect())
+    assert read() == [("2025-01-01", 10), ("2025-03-01", 30), ("2025-09-01", 9), ("None", 5)]
+    wr.replace_period(rows((None, 6)), path, "date", "range")
+    wr.replace_period(rows((None, 6)).limit(0), path, "date", "range")
+    assert read() == [("2025-01-01", 10), ("2025-03-01", 30), ("2025-09-01", 9), ("None", 6)]
+
+
+def test_upsert_keeps_rows_without_a_time(spark, events, tmp_path):
+    path = str(tmp_path / "t")
+    wr.append(wr.with_month(events([{"event_id": "1"}, {"event_id": "2"}, {"event_id": "3", "event_date": "2025-01-01"}])), path, [wr.MONTH])
+    batch = events([{"event_id": "2", "converted_amount": 5}, {"event_id": "4"}])
+    for _ in range(2):
+        wr.upsert_events(batch, path)
+        got = sorted((r.event_id, r.event_month, r.converted_amount and float(r.converted_amount)) for r in spark.read.parquet(path).collect())
+        assert got == [("1", None, None), ("2", None, 5.0), ("3", "2025-01", None), ("4", None, None)]
+    wr.upsert_events(events([{"event_id": str(i), "event_date": "2025-02-01"} for i in (1, 2, 4)]), path)
+    assert sorted((r.event_id, r.event_month) for r in spark.read.parquet(path).collect()) == [("1", "2025-02"), ("2", "2025-02"), ("3", "2025-01"), ("4", "2025-02")]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]  # no staging left
+
+
+def test_a_shared_folder_is_asked_for_off_one_machine(spark, monkeypatch):
+    from adtally import session
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+        sparkContext = type("C", (), {"getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError):
+        session.shared_dir(Session())
