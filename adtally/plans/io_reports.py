@@ -119,9 +119,9 @@ def _(spark, d):
     return rd.daily_spend_csv(spark, _spend_files(spark, d, name), glob="*.txt")
 
 
-def _sheets(spark, d) -> DataFrame:
-    """Campaign rows exported per sheet and attribution with headers as people write them."""
-    rows = frames.campaigns(spark, d)
+def _sheet_files(spark, d) -> tuple[str, list[tuple[str, str, str]]]:
+    """Campaign rows exported per sheet and attribution with headers as people write them: the folder, and (file, sheet, attribution)."""
+    rows, root = frames.campaigns(spark, d), scratch_path(spark, "sheet-csv")
     sheets = []
     for sheet in frames.SHEETS:
         for attribution in ("1_hour", "24_hours"):
@@ -132,20 +132,36 @@ def _sheets(spark, d) -> DataFrame:
                 F.col("views").alias("Views"), F.col("clicks").alias("Clicks"), F.col("postview").alias("PostView"),
                 F.col("postclick").alias("PostClick"), F.col("spend").alias("Spend"), F.col("cpa_pv").alias("CPA PV"), F.col("cpa_pc").alias("CPA PC"),
                 *([F.col("total_spend").alias("Total Spend"), F.col("total_cpa").alias("Total CPA")] if attribution == "1_hour" else []))
-            path = scratch_path(spark, "sheet-csv")
-            export.write.option("header", True).csv(path)
-            sheets.append(rd.campaign_sheet(spark, path, sheet, attribution, "2024-02-01 00:00:00"))
-    return rd.combine_sheets(sheets)
+            export.write.option("header", True).csv(f"{root}/{sheet}-{attribution}")
+            sheets.append((f"{sheet}-{attribution}", sheet, attribution))
+    return root, sheets
+
+
+def _sheets(spark, d) -> DataFrame:
+    root, sheets = _sheet_files(spark, d)
+    return rd.combine_sheets([rd.campaign_sheet(spark, f"{root}/{name}", sheet, attribution, "2024-02-01 00:00:00") for name, sheet, attribution in sheets])
+
+
+_SHEETS_SQL = f"""SELECT sheet source_sheet_id, attr attribution_type, ts event_date, cid campaignid, cname campaign_name, etype event_type, fmt "format",
+  views, clicks, postview, nullif(postclick, 0) postclick, {dbl('spend')} spend, {dbl('cpa_pv')} cpa_pv, {dbl('cpa_pc')} cpa_pc, {dbl('tot')} total_spend FROM cp"""
 
 
-@report("src5_campaign_sheets", f"""SELECT sheet source_sheet_id, attr attribution_type, ts event_date, cid campaignid, cname campaign_name, etype event_type, fmt "format",
-  views, clicks, postview, nullif(postclick, 0) postclick, {dbl('spend')} spend, {dbl('cpa_pv')} cpa_pv, {dbl('cpa_pc')} cpa_pc, {dbl('tot')} total_spend FROM cp""", "cp")
+@report("src5_campaign_sheets", _SHEETS_SQL, "cp")
 def _(spark, d):
     from ..operators import campaigns as cm
 
     return cm.cleaned(rd.campaigns_from_sheets(_sheets(spark, d))).drop("total_cpa", "loaded_at")
 
 
+@report("src5_sheets_in_one_scan", _SHEETS_SQL, "cp")
+def _(spark, d):
+    from ..operators import campaigns as cm
+
+    root, sheets = _sheet_files(spark, d)
+    listed = spark.createDataFrame(sheets, "file_name string, source_sheet_id string, attribution_type string")
+    return cm.cleaned(rd.campaign_sheets(spark, root, listed, "2024-02-01 00:00:00")).drop("total_cpa", "loaded_at")
+
+
 @report("src6_observed_types", """SELECT * FROM (VALUES ('event_date', 'timestamp'), ('campaignid', 'bigint'), ('campaign_name', 'string'), ('event_type', 'string'), ('format', 'string'),
   ('views', 'bigint'), ('clicks', 'bigint'), ('postview', 'bigint'), ('postclick', 'decimal(38,10)'), ('spend', 'string'), ('cpa_pv', 'string'), ('cpa_pc', 'string'), ('total_spend', 'string'),
   ('total_cpa', 'string'), ('source_sheet_id', 'string'), ('attribution_type', 'string')) t("column", "type")""")

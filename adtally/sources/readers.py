@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -51,15 +51,16 @@ def _cells(line: Column) -> Column:
     return F.transform(raw, lambda c: F.trim(F.when(c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c)))
 
 
-def _by_own_header(lines: DataFrame, is_header: Column, wanted: Mapping[str, str], required: Sequence[str] = ()) -> DataFrame:
+def _by_own_header(lines: DataFrame, is_header: Column, wanted: Mapping[str, str], required: Sequence[str] = (),
+                   spelled: Callable[[Column], Column] = lambda name: name) -> DataFrame:
     """Columns ``wanted`` (header -> name) as text, found by name in each file's own header line.
 
-    A header that a file lacks gives NULL, one that is ``required`` fails, and so does a file
+    ``spelled`` normalises the header names.  A header that a file lacks gives NULL, one that is ``required`` fails, and so does a file
     without any header line; the message names the file.  Files of any number of layouts
     are read in one plan; a file's lines are dealt to several tasks.
     """
     headers = lines.filter(is_header).groupBy("file_path").agg(F.min("line").alias("_header"))
-    headers = headers.select("file_path", _cells(F.col("_header")).alias("_names"))
+    headers = headers.select("file_path", F.transform(_cells(F.col("_header")), spelled).alias("_names"))
     rows = salted_join(lines.filter(~is_header).filter(F.trim("line") != ""), headers, ["file_path"])
     missing = F.lit(None).cast("string")
     for name in reversed(required):
@@ -218,6 +219,28 @@ def campaign_sheet(spark: SparkSession, path: str | Sequence[str], sheet_id: str
     return rows.withColumns(origin)
 
 
+def campaign_sheets(spark: SparkSession, path: str | Sequence[str], sheets: DataFrame, loaded_at: str | None = None,
+                    glob: str = "*.csv") -> DataFrame:
+    """All exported sheets below a path in one scan, in the campaign layout; money stays text.
+
+    ``sheets`` has one row per file: file_name, source_sheet_id, attribution_type and, if it
+    likes, sheet_name.  Columns are found by each file's own header, in whatever spelling; a
+    file without one, or that is not listed, fails by name.
+    """
+    spelled = lambda name: F.regexp_replace(F.translate(F.lower(name), " -", "__"), "[^a-z0-9_]", "")
+    origin = [c for c in ("source_sheet_id", "attribution_type", "sheet_name") if c in sheets.columns]
+    texts = [f.name for f in schemas.CAMPAIGNS.fields if f.name not in (*origin, "loaded_at")]
+    lines = _export_lines(spark, path, glob)
+    names = F.transform(_cells(F.col("line")), spelled)
+    is_header = F.array_contains(names, "event_date") & F.array_contains(names, "campaignid")
+    rows = _by_own_header(lines, is_header, {c: c for c in texts}, ["event_date"], spelled)
+    listed = sheets.select("file_name", *origin, F.lit(True).alias("_listed"))
+    rows = rows.join(listed, "file_name", "left")
+    told = F.when(F.col("_listed").isNull(), F.raise_error(F.concat(F.lit("no sheet is listed for "), "file_path"))).cast("string")
+    stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
+    return campaigns_from_sheets(rows.withColumn("_told", told).filter(F.col("_told").isNull()).withColumn("loaded_at", stamp))
+
+
 def combine_sheets(sheets: Sequence[DataFrame]) -> DataFrame:
     """All sheets as one frame; a column some of them lack is NULL there."""
     result = sheets[0]
