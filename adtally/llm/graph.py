@@ -39,21 +39,24 @@ def _rewired(links: DataFrame, both_ways: bool) -> DataFrame:
     return new.filter(F.col("a") != F.col("b")).distinct()
 
 
+def _unfinished(links: DataFrame) -> bool:
+    ends = links.select(F.col("a").alias("x"), F.lit(1).alias("links"), F.lit(0).alias("linked")).unionAll(
+        links.select(F.col("b").alias("x"), F.lit(0).alias("links"), F.lit(1).alias("linked")))
+    nodes = ends.groupBy("x").agg(F.sum("links").alias("links"), F.max("linked").alias("linked"))
+    return bool(nodes.filter((F.col("links") > 1) | (F.col("links") == 1) & (F.col("linked") == 1)).limit(1).count())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of the links (a, b): the smallest node it is linked to.
 
     Links may repeat and go either way; those of a node to itself count for nothing.  Large
-    and small stars take turns until nothing changes; each state is written to the shared
-    folder, so a lost executor costs one step.
+    and small stars take turns until every node links to one other at most and none that is
+    linked to links on; each state is written to the shared folder, so a lost executor costs
+    one step.
     """
     now = fixed(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                 .filter(F.col("a") != F.col("b")).distinct(), "links")
-    seen = None
-    while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
+                .filter(F.col("a") != F.col("b")).distinct(), "links")
+    while _unfinished(now):
         now = fixed(_rewired(_rewired(now, True), False), "links")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
