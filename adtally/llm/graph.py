@@ -73,8 +73,11 @@ def shared(rows: DataFrame) -> DataFrame:
 
 
 def ranked(rows: DataFrame) -> DataFrame:
-    """:func:`shared` rows with their ``rank`` in the group, by node."""
-    return shared(rows).withColumn("rank", F.dense_rank().over(Window.partitionBy("k").orderBy("fp")))
+    """:func:`shared` rows with their ``rank`` in the group: the node that meets others under most keys comes first."""
+    rows = fixed(shared(rows), "groups")
+    meets = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("_meets"))
+    order = Window.partitionBy("k").orderBy(F.desc("_meets"), "fp")
+    return rows.join(meets, "fp").withColumn("rank", F.row_number().over(order)).drop("_meets")
 
 
 def resolved(members: DataFrame, verified: Callable[[DataFrame], DataFrame], near: Column | None = None,
@@ -84,7 +87,7 @@ def resolved(members: DataFrame, verified: Callable[[DataFrame], DataFrame], nea
     ``members`` are (k, fp, n, rank) as :func:`ranked` gives them, stored; ``verified`` keeps
     the true ones of the pairs (a, b), and may add columns; ``near`` is a cheap test on
     na and nb; groups for which ``once`` holds have the first step only.  At first only the first member of a group is paired with the others.  While
-    its untested members lie in several components, the next 8, 64, ... members take that
+    its untested members lie in several components, the next 64, 4096, ... members take that
     part, so that all pairs that could still join two components are tested in the end.
     Returns (fp, component) and the verified pairs.
     """
@@ -110,4 +113,4 @@ def resolved(members: DataFrame, verified: Callable[[DataFrame], DataFrame], nea
         new = fixed(verified(pairs), "links")
         links = new if links is None else links.unionAll(new)
         labels = components(links).withColumnRenamed("node", "fp")
-        tested, hubs = tested + hubs, hubs * 8
+        tested, hubs = tested + hubs, hubs * 64
