@@ -237,23 +237,48 @@ def near_pairs(names: np.ndarray, sizes: np.ndarray, labels: np.ndarray, blocks:
     return np.concatenate(one), np.concatenate(two)
 
 
-def _compared(members: DataFrame, labels: DataFrame, contents: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) of the groups whose members lie in several components, as :func:`near_pairs` allows them."""
-    state = members.join(labels, "fp", "left").withColumn("c", F.coalesce("component", "fp")).select("k", "fp", "n", "c")
+def _compared(led: DataFrame, labels: DataFrame, contents: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b), as :func:`near_pairs` allows them, of groups whose members lie in several components.
+
+    Groups are (k, fp, n, lead); the lead has been verified with all others and is left
+    out.  A task streams sorted blocks and holds two of one group at most.
+    """
+    state = led.filter("fp != lead").join(labels, "fp", "left").withColumn("c", F.coalesce("component", "fp")).select("k", "fp", "n", "c")
     open_ = state.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo < hi")
     rows = state.join(open_.select("k", "size"), "k")
     place = (F.row_number().over(Window.partitionBy("k").orderBy("fp")) - 1) / BLOCK
     rows = rows.withColumn("block", F.floor(place)).join(contents.select("fp", "bits"), "fp")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("size") - 1) / BLOCK))))
+    group = ["k", "low", "high"]
     rows = rows.select("k", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "fp", "n", "c", "block", "bits")
 
-    def compare(table: pa.Table) -> pa.Table:
-        column = lambda name: table.column(name).to_numpy()
-        a, b = near_pairs(column("fp"), column("n"), column("c"), column("block"), table.column("bits").to_pylist(), rule)
-        new = a != b
-        return pa.table({"a": pa.array(a[new], pa.int64()), "b": pa.array(b[new], pa.int64())})
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(parts: list[list]) -> tuple[np.ndarray, np.ndarray]:
+            a, b = near_pairs(*[np.concatenate(x) for x in list(zip(*parts))[:4]], [y for x in parts for y in x[4]], rule)
+            return a[a != b], b[a != b]
 
-    return rows.groupBy("k", "low", "high").applyInArrow(compare, "a bigint, b bigint").distinct()
+        open_parts, key = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = [batch.column(i).to_numpy() for i in range(7)]
+            bits, out = batch.column(7).to_pylist(), []
+            change = (np.diff(table[0]) != 0) | (np.diff(table[1]) != 0) | (np.diff(table[2]) != 0)
+            edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+            for start, stop in zip(edges, edges[1:]):
+                mine = tuple(int(table[i][start]) for i in range(3))
+                if mine != key and open_parts:
+                    out.append(found(open_parts))
+                    open_parts = []
+                key = mine
+                open_parts.append([*[table[i][start:stop] for i in range(3, 7)], bits[start:stop]])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b"])
+        if open_parts:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found(open_parts)], names=["a", "b"])
+
+    dealt = rows.repartition(*group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def _verified(pairs: DataFrame, contents: DataFrame, rule: Rule) -> DataFrame:
@@ -301,13 +326,14 @@ def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", r
 
     # First each group's best-met member with the others.
     by_meets = Window.partitionBy("k").orderBy(F.desc("meets"), "fp")
-    led = members.join(meets, "fp").select("fp", "n", F.first(F.struct("fp", "n")).over(by_meets).alias("lead"))
-    near = F.greatest("n", "lead.n") * rule.least <= F.least("n", "lead.n") * 100
-    pairs = led.filter((F.col("fp") != F.col("lead.fp")) & near).select(
-        F.least("fp", "lead.fp").alias("a"), F.greatest("fp", "lead.fp").alias("b")).distinct()
+    led = members.join(meets, "fp").select("k", "fp", "n", F.first("fp").over(by_meets).alias("lead"), F.first("n").over(by_meets).alias("lead_n"))
+    led = fixed(led, "shingle-groups")
+    near = F.greatest("n", "lead_n") * rule.least <= F.least("n", "lead_n") * 100
+    pairs = led.filter((F.col("fp") != F.col("lead")) & near).select(
+        F.least("fp", "lead").alias("a"), F.greatest("fp", "lead").alias("b")).distinct()
     links = fixed(_verified(pairs, contents, rule), "shingle-links")
     labels = components(links).withColumnRenamed("node", "fp")
-    more = fixed(_verified(_compared(members, labels, contents, rule), contents, rule), "shingle-links")
+    more = fixed(_verified(_compared(led, labels, contents, rule), contents, rule), "shingle-links")
     labels = components(links.unionAll(more)).withColumnRenamed("node", "fp")
 
     named = filled.join(labels, "fp", "left").withColumn("c", F.coalesce("component", "fp")).select("key", "n", "c")
