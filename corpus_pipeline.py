@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adtally.llm import decontaminate, jaccard, mixing, shards
-from adtally.llm.queries import toxicity as toxicity_scores
+from adtally.llm.queries import TOXIC, toxicity as toxicity_scores
 from adtally.session import configure, scratch_path
 
 SHARDS = 40
@@ -24,7 +24,7 @@ def _known(docs: DataFrame) -> DataFrame:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not find toxic."""
     scored = toxicity_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, scored.filter(F.col("toxic") >= 0.5).select("doc_id"))
+    return _without(docs, scored.filter(F.col("toxic") >= TOXIC).select("doc_id"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
