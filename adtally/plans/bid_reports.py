@@ -120,6 +120,19 @@ def _rounded(spark, d):
     return bids.rounded_coefficients(*_month(spark, d))
 
 
+@report("bd6_free_reference", f"""WITH p AS (SELECT *, CASE WHEN pid = 7 THEN 0 ELSE spend END sp FROM ps),
+m AS (SELECT fmt, month, sum(sp) / sum(deps) c FROM p WHERE NOT ({NO_MARKER}) GROUP BY ALL HAVING sum(deps) > 0),
+e AS (SELECT fmt, month, CASE WHEN sum(deps) > 0 THEN sum(sp) / sum(deps) END c FROM p GROUP BY ALL)
+SELECT fmt "format", e.month, {dec('0.7 * coalesce(m.c, e.c)')} target_cpa,
+  CASE WHEN m.c IS NOT NULL THEN 'reference' WHEN e.c IS NOT NULL THEN 'all' ELSE 'none' END target_source
+FROM e LEFT JOIN m USING (fmt, month)""", "ps")
+def _(spark, d):
+    """A marked publisher without spend keeps its group as the reference, with a target of zero."""
+    spend = frames.publisher_spend(spark, d)
+    free = spend.withColumn("spend", F.when(F.col("publisher_id") != 7, F.col("spend")).otherwise(F.lit(0).cast("decimal(15,2)")))
+    return bids.target_cpa(free, ("format", "month"), keep_free_reference=True)
+
+
 @report("bd6_rounded_coefficients", f"""{_ROUNDED}
 SELECT fmt "format", pid publisher_id, n total_deps, pname publisher_name, {dbl('spend')} spend, {dbl('cpa')} current_cpa, {dec('t')} target_cpa_format,
   {dbl('k')} coefficient, {even('(k - 1) * 100', 1)} change_pct, CASE WHEN k >= 1.3 THEN 'RAISE' WHEN k >= 1.1 THEN 'RAISE_SLIGHTLY'
