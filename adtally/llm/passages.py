@@ -128,19 +128,67 @@ def _cover(mark: np.ndarray, starts: np.ndarray, length: int) -> None:
     mark |= np.cumsum(change[:-1]) > 0
 
 
-def shared_passages(left: np.ndarray, right: np.ndarray, length: int, similar: float = SIMILAR) -> list[np.ndarray]:
+def _votes(left: np.ndarray, right: np.ndarray, size: tuple[int, int]) -> np.ndarray:
+    """How many pairs of equal tokens stand at each distance, from -size[0] on.
+
+    ``left`` and ``right`` are (token number, place) sorted by token.  Tokens of few pairs are
+    expanded some at a time, the others counted by the correlation of their places.
+    """
+    votes = np.zeros(sum(size) + 1, np.int64)
+    names, first, many = np.unique(left[0], return_index=True, return_counts=True)
+    low, high = np.searchsorted(right[0], names), np.searchsorted(right[0], names, side="right")
+    pairs = many * (high - low)
+    heavy = pairs > 64 * sum(size)
+    for i in np.flatnonzero(heavy).tolist():
+        width = 1 << (sum(size) + 1).bit_length()
+        one, two = np.zeros(width), np.zeros(width)
+        one[size[0] - left[1][first[i]:first[i] + many[i]]] = 1
+        two[right[1][low[i]:high[i]]] = 1
+        votes += np.rint(np.fft.irfft(np.fft.rfft(one) * np.fft.rfft(two), width)).astype(np.int64)[:len(votes)]
+    each = np.repeat(np.where(heavy, 0, high - low), many)  # partners of each left place
+    start, ends = np.repeat(low, many), np.cumsum(each)
+    at = 0
+    while at < len(each):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 20), side="right")))
+        mine = each[at:stop]
+        within = np.arange(mine.sum()) - np.repeat(np.cumsum(mine) - mine, mine)
+        votes += np.bincount(right[1][np.repeat(start[at:stop], mine) + within] - np.repeat(left[1][at:stop], mine) + size[0],
+                             minlength=len(votes))
+        at = stop
+    return votes
+
+
+def _common(left: np.ndarray, right: np.ndarray, shift: int, low: int, high: int, length: int) -> np.ndarray:
+    """Tokens that left[s:s + length] and right[s + shift:s + shift + length] have in common, each as often as in both.
+
+    For the starts s from ``low`` to ``high``; ``left`` and ``right`` are (token number, place).
+    """
+    name = np.concatenate([left[0], left[0], right[0], right[0]])
+    start = np.concatenate([left[1] - length + 1, left[1] + 1, right[1] - shift - length + 1, right[1] - shift + 1])
+    n, m = len(left[0]), len(right[0])
+    order = np.lexsort((start, name))
+    one = np.cumsum(np.repeat([1, -1, 0], [n, n, 2 * m])[order])  # every token's changes add up to nothing
+    two = np.cumsum(np.repeat([0, 1, -1], [2 * n, m, m])[order])
+    both = np.diff(np.minimum(one, two), prepend=0)
+    change = np.bincount(np.clip(start[order], low, high + 1) - low, weights=both, minlength=high - low + 2)
+    return np.cumsum(change)[:-1]
+
+
+def shared_passages(left: np.ndarray, right: np.ndarray, length: int, similar: float = SIMILAR,
+                    shifts: tuple[int, ...] = ()) -> list[np.ndarray]:
     """Which tokens of both documents lie in passages they share: two boolean arrays.
 
     Only subsequences of the left with enough tokens that the right has at all are looked
     at.  Exact repeats of ``length`` are found by a hash of each subsequence.  Elsewhere the
-    documents are aligned at the distances that an eighth of a passage's tokens agree on,
-    and subsequences at the same distance are compared there.
+    documents are aligned at the given ``shifts`` and at the distances that an eighth of a
+    passage's tokens agree on, wherever and however often they stand in the right, and
+    subsequences at the same distance are compared there.
     """
     marks = [np.zeros(len(left), bool), np.zeros(len(right), bool)]
     if min(len(left), len(right)) < length:
         return marks
     need = 2 * length * similar / (1 + similar) - 1e-9
-    values, at, times = np.unique(right, return_index=True, return_counts=True)
+    values, number = np.unique(right, return_inverse=True)
     near = np.minimum(np.searchsorted(values, left), len(values) - 1)
     there = values[near] == left
     sums = np.concatenate([[0], np.cumsum(there)])
@@ -150,27 +198,21 @@ def shared_passages(left: np.ndarray, right: np.ndarray, length: int, similar: f
     one, two = _window_hashes(left, length), _window_hashes(right, length)
     _cover(marks[0], np.flatnonzero(np.isin(one, two)), length)
     _cover(marks[1], np.flatnonzero(np.isin(two, one)), length)
-    # Tokens that stand in the right twice only count at equal distance.
-    once = there & (times[near] == 1)
     open_ = np.zeros(len(left), bool)
     _cover(open_, able, length)
-    places = np.flatnonzero(open_ & once & ~marks[0])
-    shifts, votes = np.unique(at[near[places]] - places, return_counts=True)
-    for shift in shifts[votes >= length // 8].tolist():
-        low, high = max(0, -shift), min(len(left), len(right) - shift)
-        if high - low < length:
+    size, votes = (len(left), len(right)), 0
+    for ours, theirs in ((~marks[0], True), (marks[0], ~marks[1])):  # exact repeats need no alignment with each other
+        mine, its = np.flatnonzero(open_ & there & ours), np.flatnonzero(np.ones(len(right), bool) & theirs)
+        mine, its = mine[np.argsort(near[mine], kind="stable")], its[np.argsort(number[its], kind="stable")]
+        votes = votes + _votes((near[mine], mine), (number[its], its), size)
+    mine = np.flatnonzero(open_ & there)
+    its = np.flatnonzero(np.isin(number, near[mine]))
+    found = (np.flatnonzero(votes >= length // 8) - len(left)).tolist()
+    for shift in dict.fromkeys([*shifts, *found]):
+        low, high = max(0, -shift), min(len(left), len(right) - shift) - length
+        if high < low:
             continue
-        equal = np.zeros(len(left), bool)
-        equal[low:high] = left[low:high] == right[low + shift:high + shift]
-        change = np.zeros(len(left) + 1, np.int64)
-        places = np.flatnonzero(equal | once)
-        other = np.where(equal[places], places, at[near[places]] - shift)
-        start = np.maximum(np.maximum(places, other) - length + 1, low)
-        stop = np.minimum(np.minimum(places, other), high - length)
-        real = start <= stop
-        np.add.at(change, start[real], 1)
-        np.add.at(change, stop[real] + 1, -1)
-        hits = np.flatnonzero(np.cumsum(change[:-1]) >= need)
+        hits = np.flatnonzero(_common((near[mine], mine), (number[its], its), shift, low, high, length) >= need) + low
         _cover(marks[0], hits, length)
         _cover(marks[1], hits + shift, length)
     return marks

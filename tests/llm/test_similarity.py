@@ -204,6 +204,40 @@ def test_shared_passages_of_repetitive_texts():
     assert not ps.shared_passages(words[:300], words[260:700], 46)[0].any()  # 40 in common
 
 
+def test_shared_passages_that_stand_twice_in_one_text():
+    random_ = np.random.default_rng(3)
+    new = lambda n: random_.integers(1, 1 << 62, n).astype(np.uint64)
+    passage = new(60)
+    close = passage.copy()
+    close[20:25] = new(5)
+    one, two = np.concatenate([new(80), close, new(70)]), np.concatenate([passage, new(200), passage])
+    for a, b in ((one, two), (two, one)):
+        left, right = ps.shared_passages(a, b, 46)
+        single, double = (left, right) if a is one else (right, left)
+        assert single[80:140].all() and double[:60].all() and double[260:].all()
+    one, two = np.concatenate([new(80), passage, new(70)]), np.concatenate([passage, new(200), close])  # one of them exact
+    for a, b in ((one, two), (two, one)):
+        double = ps.shared_passages(a, b, 46)[a is one]
+        assert double[:60].all() and double[260:].all()
+    # A token counts as often as both have it: one place in the right is no partner of 46 in the left.
+    assert not ps.shared_passages(np.full(200, 5, np.uint64), np.concatenate([new(100), np.full(1, 5, np.uint64), new(100)]), 46)[0].any()
+
+
+def test_votes_and_common_tokens_against_brute_force():
+    random_ = np.random.default_rng(5)
+    for n, m, kinds in ((60, 50, 12), (3000, 2500, 9), (40, 40, 1)):
+        left, right = random_.integers(0, kinds, n), random_.integers(0, kinds, m)
+        sort = lambda x: (np.sort(x, kind="stable"), np.argsort(x, kind="stable"))
+        votes = ps._votes(sort(left), sort(right), (n, m))
+        for shift in (-n + 1, -7, 0, 3, m - 1):
+            low, high = max(0, -shift), min(n, m - shift)
+            assert votes[shift + n] == (left[low:high] == right[low + shift:high + shift]).sum()
+            if high - low >= 9:
+                got = ps._common(sort(left), sort(right), shift, low, high - 9, 9)
+                count = lambda x: np.bincount(x, minlength=kinds)
+                assert got.tolist() == [np.minimum(count(left[s:s + 9]), count(right[s + shift:s + shift + 9])).sum() for s in range(low, high - 8)]
+
+
 def test_merged_spans(spark):
     rows = [([(5, 9), (1, 3), (2, 4), (9, 12)],), ([],), ([(4, 5)],)]
     got = spark.createDataFrame(rows, "s array<struct<start:long,stop:long>>").select(ps.merged(F.col("s")).alias("m")).collect()
