@@ -7,16 +7,16 @@ passage are never visited.  The subsequences of passage length that one window s
 begin in one interval of positions, and the intervals of a function tile the document.
 An interval join of the tilings of several functions gives the runs of subsequences that
 share all their min-hashes; these signatures, in a number of bands, are the keys by which
-documents meet.  The first band has all functions: an exact repeat of passage length always
+documents meet.  The first band has six functions: an exact repeat of passage length always
 shares such a signature, while a short common line hardly ever fills one.  Its groups are
-resolved until no link between components is missed.  The other bands have three functions
+resolved until no link between components is missed.  The other four bands have two functions
 each, for near repeats; there every member of a group is tested against the first.  A pair that meets is verified on the whole documents: a passage is a
 subsequence of full length whose tokens have a Jaccard similarity of 0.8 and more with
 those of its counterpart.
 
 Documents of equal words are one node.  A near repeat of one passage length at similarity
-0.8 meets its partner with a probability of three in four; longer passages and closer
-similarity raise it (0.9: 95 %).
+0.8 meets its partner with a probability of 98 %; longer passages and closer similarity
+raise it (0.9: 99.9 %).
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from .words import SPACED, Hasher, mixed, shingles
 
 WORDS = 5
 LENGTH = 50
-BANDS = ((0, 1, 2, 3, 4, 5), (0, 1, 2), (3, 4, 5))  # the functions of each; the first finds exact repeats
+BANDS = ((0, 1, 2, 3, 4, 5), (0, 1), (2, 3), (4, 5), (6, 7))  # the functions of each; the first finds exact repeats
 SIMILAR = 0.8
 GROUP = 1 << 17
 _PLACE = np.uint64((1 << 24) - 1)
