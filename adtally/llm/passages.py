@@ -8,11 +8,16 @@ begin in one interval of positions, and the intervals of a function tile the doc
 An interval join of the tilings of several functions gives the runs of subsequences that
 share all their min-hashes; these signatures, in a number of bands, are the keys by which
 documents meet.  The first band has six functions: an exact repeat of passage length always
-shares such a signature, while a short common line hardly ever fills one.  Its groups are
-resolved until no link between components is missed.  The other four bands have two functions
-each, for near repeats; there every member of a group is tested against the first.  A pair that meets is verified on the whole documents: a passage is a
-subsequence of full length whose tokens have a Jaccard similarity of 0.8 and more with
-those of its counterpart.
+shares such a signature, while a short common line hardly ever fills one.  The other four
+bands have two functions each, for near repeats.  A pair that meets is verified on the whole
+documents: a passage is a subsequence of full length whose tokens have a Jaccard similarity
+of 0.8 and more with those of its counterpart.
+
+Every member of a group is tested against the first.  Where that leaves some without a
+link, the members are compared with each other, block by block within tasks, on the tokens
+of the windows that have the signature: exact counts of common tokens leave few pairs to
+look at, and of those that are similar only as many are handed on as it takes to connect
+the components and to give each member a partner.
 
 Documents of equal words are one node.  A near repeat of one passage length at similarity
 0.8 meets its partner with a probability of 98 %; longer passages and closer similarity
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.common import salted_join
-from .graph import fixed, ranked, resolved
+from .graph import components, fixed, ranked
 from .words import SPACED, Hasher, mixed, shingles
 
 WORDS = 5
@@ -36,6 +41,9 @@ LENGTH = 50
 BANDS = ((0, 1, 2, 3, 4, 5), (0, 1), (2, 3), (4, 5), (6, 7))  # the functions of each; the first finds exact repeats
 SIMILAR = 0.8
 GROUP = 1 << 17
+BLOCK = 4096  # members of a group compared by one task
+STARTS = 16  # of the windows of one signature that are compared as one
+COMMON = 128  # windows; tokens of more are counted by a matrix product
 _PLACE = np.uint64((1 << 24) - 1)
 _SPREAD, _BACK = np.uint64(0x9E3779), np.uint64(pow(0x9E3779, -1, 1 << 24))
 
@@ -84,14 +92,10 @@ def tiling(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length: int,
     return begin[order], place[order]
 
 
-def signatures(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length: int,
-               bands: tuple[tuple[int, ...], ...] = BANDS) -> tuple[np.ndarray, np.ndarray]:
-    """(key, document number) of all signatures, each once per document; those of the first band are even.
-
-    ``first`` and ``last`` are the ends of the documents in ``tokens``, which lie in order.
-    """
+def _signed(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length: int,
+            bands: tuple[tuple[int, ...], ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(key, begin) of the intervals of starts that have one signature, for each band; those of the first band are even."""
     tiles = {f: tiling(tokens, first, last, length, f) for f in sorted({f for band in bands for f in band})}
-    keys, owners = [], []
     for number, band in enumerate(bands):
         cuts = np.unique(np.concatenate([tiles[f][0] for f in band]))
         if not len(cuts):
@@ -101,17 +105,50 @@ def signatures(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length:
             begin, place = tiles[f]
             token = tokens[place[np.searchsorted(begin, cuts, side="right") - 1]]
             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + token)
-        keys.append(key & ~np.uint64(1) | np.uint64(number > 0))
-        owners.append(np.searchsorted(first, cuts, side="right") - 1)
-    if not keys:
+        yield key & ~np.uint64(1) | np.uint64(number > 0), cuts
+
+
+def signatures(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length: int,
+               bands: tuple[tuple[int, ...], ...] = BANDS) -> tuple[np.ndarray, np.ndarray]:
+    """(key, document number) of all signatures, each once per document; those of the first band are even.
+
+    ``first`` and ``last`` are the ends of the documents in ``tokens``, which lie in order.
+    """
+    found = list(_signed(tokens, first, last, length, bands))
+    if not found:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    key, owner = np.concatenate(keys), np.concatenate(owners)
+    key = np.concatenate([k for k, _ in found])
+    owner = np.concatenate([np.searchsorted(first, cuts, side="right") - 1 for _, cuts in found])
     order = np.lexsort((key, owner))
     key, owner = key[order], owner[order]
     new = np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])])
     return key[new], owner[new]
 
 
+def windows(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length: int, keys: np.ndarray, owners: np.ndarray,
+            bands: tuple[tuple[int, ...], ...] = BANDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index into ``keys``, first token, token behind the last) of the subsequences that have one of these signatures.
+
+    ``owners`` are the documents' numbers.  Neighbours lie in one stretch, of ``STARTS`` starts at most.
+    """
+    named = lambda key, owner: mixed(key + mixed(owner.astype(np.uint64)))
+    wanted = named(keys, owners)
+    order = np.argsort(wanted)
+    wanted = wanted[order]
+    out = []
+    for key, cuts in _signed(tokens, first, last, length, bands):
+        owner = np.searchsorted(first, cuts, side="right") - 1
+        stop = np.minimum(np.append(cuts[1:], len(tokens)), last[owner] - length + 2)  # behind the last start
+        name = named(key, owner)
+        at = np.minimum(np.searchsorted(wanted, name), len(wanted) - 1)
+        mine = np.flatnonzero(wanted[at] == name)
+        many = -(-(stop[mine] - cuts[mine]) // STARTS)
+        mine, piece = np.repeat(mine, many), np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        low = cuts[mine] + piece * STARTS
+        out.append((order[at[mine]], low, np.minimum(low + STARTS, stop[mine]) + length - 1))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 3
+
+
 def _window_hashes(tokens: np.ndarray, length: int) -> np.ndarray:
     """One 64-bit hash of each subsequence of ``length`` tokens."""
     factor = 0x9E3779B97F4A7C15
@@ -174,15 +211,14 @@ def _common(left: np.ndarray, right: np.ndarray, shift: int, low: int, high: int
     return np.cumsum(change)[:-1]
 
 
-def shared_passages(left: np.ndarray, right: np.ndarray, length: int, similar: float = SIMILAR,
-                    shifts: tuple[int, ...] = ()) -> list[np.ndarray]:
+def shared_passages(left: np.ndarray, right: np.ndarray, length: int, similar: float = SIMILAR) -> list[np.ndarray]:
     """Which tokens of both documents lie in passages they share: two boolean arrays.
 
     Only subsequences of the left with enough tokens that the right has at all are looked
     at.  Exact repeats of ``length`` are found by a hash of each subsequence.  Elsewhere the
-    documents are aligned at the given ``shifts`` and at the distances that an eighth of a
-    passage's tokens agree on, wherever and however often they stand in the right, and
-    subsequences at the same distance are compared there.
+    documents are aligned at the distances that an eighth of a passage's tokens agree on,
+    wherever and however often they stand in the right, and subsequences at the same
+    distance are compared there.
     """
     marks = [np.zeros(len(left), bool), np.zeros(len(right), bool)]
     if min(len(left), len(right)) < length:
@@ -207,8 +243,7 @@ def shared_passages(left: np.ndarray, right: np.ndarray, length: int, similar: f
         votes = votes + _votes((near[mine], mine), (number[its], its), size)
     mine = np.flatnonzero(open_ & there)
     its = np.flatnonzero(np.isin(number, near[mine]))
-    found = (np.flatnonzero(votes >= length // 8) - len(left)).tolist()
-    for shift in dict.fromkeys([*shifts, *found]):
+    for shift in (np.flatnonzero(votes >= length // 8) - len(left)).tolist():
         low, high = max(0, -shift), min(len(left), len(right) - shift) - length
         if high < low:
             continue
@@ -218,6 +253,74 @@ def shared_passages(left: np.ndarray, right: np.ndarray, length: int, similar: f
     return marks
 
 
+def _counted(covers: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, counts) for some of ``first`` at a time: how many tokens each has in common with each of ``second``.
+
+    A token counts as often as both have it.
+    """
+    owner = np.repeat(np.arange(len(covers)), [len(x) for x in covers])
+    token = np.concatenate(covers)
+    order = np.lexsort((owner, token))
+    owner, token = owner[order], token[order]
+    place = np.arange(len(token))
+    begins = np.append(True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1]))
+    again = place - np.maximum.accumulate(np.where(begins, place, 0))  # its second occurrence is a token of its own
+    order = np.lexsort((owner, again, token))
+    owner, token, again = owner[order], token[order], again[order]
+    name = np.cumsum(np.append(True, (token[1:] != token[:-1]) | (again[1:] != again[:-1]))) - 1
+    many = np.bincount(name)
+    start = np.cumsum(many) - many
+    often = np.flatnonzero(many > COMMON)
+    column = np.full(len(many), -1)
+    column[often] = np.arange(len(often))
+    dense = np.zeros((len(covers), len(often)), np.float32)
+    at = column[name] >= 0
+    dense[owner[at], column[name[at]]] = 1
+    at = np.flatnonzero((many[name] > 1) & ~at)
+    at = at[np.argsort(owner[at], kind="stable")]  # of rarer tokens, by window
+    edges = np.searchsorted(owner[at], np.arange(len(covers) + 1))
+    column = np.full(len(covers), -1)
+    column[second] = np.arange(len(second))
+    for i in range(0, len(first), 256):
+        rows = first[i:i + 256]
+        counts = (dense[rows] @ dense[second].T).astype(np.int64)
+        mine = np.concatenate([at[edges[r]:edges[r + 1]] for r in rows])
+        row = np.repeat(np.arange(len(rows)), edges[rows + 1] - edges[rows])
+        times = many[name[mine]]
+        partner = np.repeat(start[name[mine]], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        target, row = column[owner[partner]], np.repeat(row, times)
+        counts += np.bincount((row * len(second) + target)[target >= 0], minlength=counts.size).reshape(counts.shape)
+        yield rows, counts
+
+
+def similar_windows(names: np.ndarray, labels: np.ndarray, alone: np.ndarray, blocks: np.ndarray, covers: list[np.ndarray],
+                    length: int, similar: float = SIMILAR) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of documents with similar windows: enough to connect their labels, and one for each that is ``alone``, if it has any.
+
+    ``names`` are the documents of the windows, whose tokens are ``covers``; of two blocks,
+    one member of each is paired.
+    """
+    need = 2 * length * similar / (1 + similar) - 1e-9
+    labels, done = labels.copy(), ~alone
+    first, second = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks == blocks.max())
+    one, two = [], []
+    for rows, counts in _counted(covers, first, second):
+        close = (counts >= need) & (names[rows, None] != names[None, second])
+        if len(first) == len(second) and first[0] == second[0]:
+            close &= rows[:, None] < second[None]
+        for i, found in zip(rows.tolist(), close):
+            others = second[found]
+            while len(others := others[(labels[others] != labels[i]) | ~done[others] | ~done[i]]):
+                j, others = int(others[0]), others[1:]
+                if shared_passages(covers[i], covers[j], length, similar)[0].any():
+                    one.append(names[i])
+                    two.append(names[j])
+                    labels[labels == labels[j]] = labels[i]
+                    done[i] = done[j] = True
+    a, b = np.array(one, np.int64), np.array(two, np.int64)
+    return np.minimum(a, b), np.maximum(a, b)
+
+
 def spans(marks: np.ndarray, words: int) -> list[dict[str, int]]:
     """Runs of marked tokens as spans of words."""
     edges = np.flatnonzero(np.diff(np.concatenate([[0], marks.astype(np.int8), [0]])))
@@ -241,8 +344,9 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Two documents are linked if they share a passage of ``length`` words, or one that is
     similar; class_id is the smallest key reachable by links, the document's own if there
-    are none.  n_links counts the other texts it was verified to share one with (as
-    many as it takes to connect its class, not all), spans are the words of these passages,
+    are none.  n_links counts the other texts it was verified to share one with (the best-met
+    one of each of its groups, and others as needed to connect its class or where it has no link
+    with that one, not all), spans are the words of these passages,
     n_repeated their number.  Documents of equal words are linked if they are long enough,
     with one span over all.  Words are lower-cased (A-Z) and split at white space.  Shorter
     and null texts link with nothing.  Repeated keys are one document for linking; a null
@@ -316,7 +420,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
                                              names=["a", "b", "left", "right"])
 
     sets = fixed(narrow.mapInArrow(measure, "key bigint, n bigint, fp bigint"), "passage-documents")
-    members = fixed(ranked(narrow.mapInArrow(emit, "k bigint, fp bigint")).withColumn("n", F.lit(0)), "passage-members")
+    members = fixed(ranked(narrow.mapInArrow(emit, "k bigint, fp bigint")), "passage-members")
     long = sets.filter(F.col("n") >= length)
     owners = (long.filter("key IS NOT NULL").join(members.select("fp").distinct(), "fp", "left_semi")
               .groupBy("fp").agg(F.min("key").alias("key")))
@@ -328,7 +432,79 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(
             check, f"a bigint, b bigint, left {_SPANS}, right {_SPANS}")
 
-    labels, links = resolved(members, verified, once=F.col("k") % 2 != 0)
+    def placed_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(docs: list[tuple[np.ndarray, list[dict]]]) -> pa.RecordBatch:
+            flat = np.concatenate([t for t, _ in docs])
+            last = np.cumsum([len(t) for t, _ in docs]) - 1
+            first = np.concatenate([[0], last[:-1] + 1])
+            wanted = [(w, i) for i, (_, ws) in enumerate(docs) for w in ws]
+            keys = np.array([w["k"] for w, _ in wanted], np.int64).view(np.uint64)
+            at, low, high = windows(flat, first, last, size, keys, np.array([i for _, i in wanted]))
+            rows = list({(i, flat[l:h].tobytes()): None for i, l, h in zip(at.tolist(), low.tolist(), high.tolist())})
+            names = [f.name for f in group]
+            return pa.RecordBatch.from_arrays([*[pa.array([wanted[i][0][n] for i, _ in rows], f.type) for n, f in zip(names, group)],
+                                               pa.array([x for _, x in rows], pa.binary())], names=[*names, "cover"])
+
+        group = [pa.field(n, pa.int64()) for n in ("k", "fp", "c", "alone", "block", "blocks")]
+        docs, total = [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                docs.append((np.frombuffer(batch.column(1)[i].as_buffer(), np.uint64), batch.column(0)[i].as_py()))
+                total += len(docs[-1][0])
+                if total >= GROUP:
+                    yield done(docs)
+                    docs, total = [], 0
+        if docs:
+            yield done(docs)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(parts: list[list]) -> tuple[np.ndarray, np.ndarray]:
+            names, labels_, alone, blocks = (np.concatenate(x) for x in list(zip(*parts))[:4])
+            return similar_windows(names, labels_, alone > 0, blocks, [np.frombuffer(y, np.uint64) for x in parts for y in x[4]], size, similar)
+
+        parts, key = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = [batch.column(i).to_numpy() for i in range(7)]
+            covers, out = batch.column(7).to_pylist(), []
+            change = (np.diff(table[0]) != 0) | (np.diff(table[1]) != 0) | (np.diff(table[2]) != 0)
+            edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+            for start, stop in zip(edges, edges[1:]):
+                mine = tuple(int(table[i][start]) for i in range(3))
+                if mine != key and parts:
+                    out.append(found(parts))
+                    parts = []
+                key = mine
+                parts.append([*[table[i][start:stop] for i in range(3, 7)], covers[start:stop]])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b"])
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found(parts)], names=["a", "b"])
+
+    # First each group's best-met member with the others.
+    leads = members.filter("rank = 1").select("k", F.col("fp").alias("lead"))
+    ends = F.least("fp", "lead").alias("a"), F.greatest("fp", "lead").alias("b")
+    led = fixed(members.filter("rank > 1").join(leads, "k").select("k", "fp", "rank", *ends), "passage-led")
+    links = fixed(verified(led.select("a", "b").distinct()), "passage-links")
+    labels = components(links).withColumnRenamed("node", "fp")
+
+    # Then the members of groups in which some have no link with it.
+    known = links.select("a", "b", F.lit(0).cast("bigint").alias("linked"))
+    state = led.join(known, ["a", "b"], "left").select("k", "fp", "rank", F.coalesce("linked", F.lit(1)).cast("bigint").alias("alone"))
+    open_ = state.groupBy("k").agg(F.max("alone").alias("any"), F.max("rank").alias("size")).filter("any > 0 AND size > 2")
+    block = lambda rank: F.floor((rank - 2) / BLOCK).cast("bigint")
+    rows = state.join(open_.select("k", block(F.col("size")).alias("blocks")), "k").join(labels, "fp", "left")
+    wanted = rows.groupBy("fp").agg(F.collect_list(F.struct(
+        "k", "fp", F.coalesce("component", "fp").alias("c"), "alone", block(F.col("rank")).alias("block"), "blocks")).alias("wanted"))
+    covers = wanted.join(contents, "fp").select("wanted", "tokens").mapInArrow(
+        placed_windows, "k bigint, fp bigint, c bigint, alone bigint, block bigint, blocks bigint, cover binary")
+    covers = covers.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), "blocks"))).select(
+        "k", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "fp", "c", "alone", "block", "cover")
+    dealt = covers.repartition("k", "low", "high").sortWithinPartitions("k", "low", "high")
+    more = dealt.mapInArrow(compare, "a bigint, b bigint").distinct().join(known, ["a", "b"], "left_anti")
+    links = links.unionAll(fixed(verified(more), "passage-links"))
+    labels = components(links).withColumnRenamed("node", "fp")
     sides = links.select(F.col("a").alias("fp"), F.col("left").alias("spans")).unionAll(
         links.select(F.col("b").alias("fp"), F.col("right").alias("spans")))
     # A text linked with very many others has as many rows of the same few spans.

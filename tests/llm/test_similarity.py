@@ -210,6 +210,51 @@ def test_passages(spark):
     assert ps.repeated_passages(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_near_repeats_around_a_common_line(spark):
+    """Pairs of near repeats whose signatures are mostly those of a line that many texts hold."""
+    r = random.Random(12)
+    line, rows = text(r, 43), []  # 39 tokens; 41 of 46 make a near repeat
+    pairs = 60
+    for _ in range(pairs):
+        one, two = text(r, 2), text(r, 4)
+        rows += [f"{text(r, 40)} {line} {one} x{edit} {two} {text(r, 40)}" for edit in (0, 1)]
+    rows += [f"{text(r, 60)} {line} {text(r, 60)}" for _ in range(60)]
+    got = {x.doc_id: x for x in ps.repeated_passages(spark.createDataFrame(list(enumerate(rows)), DOCS).repartition(3)).collect()}
+    assert all(x.class_id in (x.doc_id, x.doc_id // 2 * 2) and (x.doc_id < 2 * pairs or not x.spans) for x in got.values())
+    met = sum(got[2 * i + 1].class_id == 2 * i for i in range(pairs))
+    assert met >= 0.97 * pairs and sum(x.n_links for x in got.values()) == 2 * met
+
+
+@pytest.mark.parametrize("kinds", [30, 4000])
+def test_counts_of_common_tokens(kinds, monkeypatch):
+    monkeypatch.setattr(ps, "COMMON", 5)
+    random_ = np.random.default_rng(kinds)
+    covers = [random_.integers(0, kinds, int(random_.integers(46, 62))).astype(np.uint64) for _ in range(300)]
+    first, second = np.arange(270), np.arange(270, 300)
+    times = [np.bincount(x.astype(np.int64), minlength=kinds) for x in covers]
+    for rows, counts in ps._counted(covers, first, second):
+        assert counts.tolist() == [[int(np.minimum(times[i], times[j]).sum()) for j in second] for i in rows]
+
+
+def test_similar_windows_connect_all_that_are_similar():
+    random_ = np.random.default_rng(2)
+    new = lambda n: random_.integers(1, 1 << 62, n).astype(np.uint64)
+    bases = [new(55) for _ in range(6)]
+    covers, kind = [], []
+    for i in range(120):
+        x = bases[i % 6].copy()
+        x[:int(random_.integers(0, 8))] = 3
+        covers.append(x)
+        kind.append(i % 6)
+    names, blocks = np.arange(120), (np.arange(120) >= 60).astype(np.int64)
+    links = [p for low, high in ((0, 0), (0, 1), (1, 1)) for at in [np.isin(blocks, (low, high))]
+             for p in zip(*ps.similar_windows(names[at], names[at], np.ones(at.sum(), bool), blocks[at], [c for c, m in zip(covers, at) if m], 46))]
+    assert len(links) <= 3 * 120 and roots(range(120), links) == {i: i % 6 for i in range(120)}
+    one = np.zeros(120, np.int64)
+    a, b = ps.similar_windows(names, one, names == 7, 0 * blocks, covers, 46)
+    assert len(a) == 1 and 7 in (a[0], b[0])
+
+
 def test_shared_passages_of_repetitive_texts():
     words = np.arange(5000, dtype=np.uint64) * np.uint64(7919)
     same = np.full(3000, 5, np.uint64)
