@@ -195,23 +195,44 @@ def sketch(tokens: np.ndarray, rule: Rule) -> bytes:
     return np.packbits(np.bincount((mixed(tokens) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).tobytes()
 
 
-def _contents(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(fp, tokens, bits) of documents that come with the fingerprint they should have."""
+def _marked(docs: DataFrame, rule: Rule) -> DataFrame:
+    """The rows (row, text) as (row, fp) without the text; those without words have no fp."""
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            sets = [shingle_set(hasher, t.as_py(), rule.words) for t in batch.column(1)]
+            marks = [fingerprints(s)[0] if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.int64())], names=["row", "fp"])
+
+    return docs.mapInArrow(mark, f"row {docs.schema['row'].dataType.simpleString()}, fp bigint")
+
+
+def _contents(docs: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
+    """(fp, tokens, bits) of the sets ``wanted`` (fp), each once, whatever the keys of its documents."""
+    def first_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, seen = Hasher(), set()
+        for batch in batches:
+            kept, marks = [], []
+            for i, text in enumerate(batch.column(1)):
+                mark = fingerprints(shingle_set(hasher, text.as_py(), rule.words))[0]
+                if mark not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(mark)
+                    kept.append(i)
+                    marks.append(mark)
+            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), batch.column(1).take(pa.array(kept, pa.int64()))], names=["fp", "text"])
+
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
-                marks, tokens, bits = [], [], []
-                for text, wanted in zip(batch.column(0)[i:i + 200], batch.column(1)[i:i + 200]):
-                    s = shingle_set(hasher, text.as_py(), rule.words)
-                    if fingerprints(s)[0] == wanted.as_py():  # else another text of a repeated id
-                        marks.append(wanted.as_py())
-                        tokens.append(s.tobytes())
-                        bits.append(sketch(s, rule))
-                yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(tokens, pa.binary()), pa.array(bits, pa.binary())],
-                                                 names=["fp", "tokens", "bits"])
+                sets = [shingle_set(hasher, text.as_py(), rule.words) for text in batch.column(1)[i:i + 200]]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:i + 200], pa.array([s.tobytes() for s in sets], pa.binary()),
+                                                  pa.array([sketch(s, rule) for s in sets], pa.binary())], names=["fp", "tokens", "bits"])
 
-    return docs.mapInArrow(fetch, "fp bigint, tokens binary, bits binary")
+    texts = docs.mapInArrow(first_met, "fp bigint, text string").groupBy("fp").agg(F.min("text").alias("text"))
+    return texts.join(wanted, "fp", "left_semi").select("fp", "text").mapInArrow(fetch, "fp bigint, tokens binary, bits binary")
 
 
 def near_pairs(names: np.ndarray, sizes: np.ndarray, labels: np.ndarray, blocks: np.ndarray, bits: list[bytes],
@@ -301,17 +322,8 @@ def _verified(pairs: DataFrame, contents: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
 
 
-def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
-    """Per document: key, n_shingles, component_id (smallest key reachable by links, or its own).
-
-    A document's set holds its distinct shingles of ``rule.words`` words (lower-cased A-Z,
-    split at white space); fewer words are one shingle.  Documents link when 100 *
-    intersection >= least * union.  Without words or text a document has no shingles and
-    links with nothing.  Repeated keys are one document for linking, with a row for each of
-    its rows; rows with a null key have no component of their own and get the smallest key
-    they are equal or linked to, if any.  Other columns are ignored.
-    """
-    narrow = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
+def _components(narrow: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """(key, n, band, fp, fp2) of every row of (key, text), and (fp, component) of the sets with links."""
     sets = fixed(_sets(narrow, rule), "shingle-sets")
     filled = sets.filter("n > 0")
     if filled.groupBy("fp").agg(F.min("fp2").alias("a"), F.max("fp2").alias("b")).filter("a != b").limit(1).count():
@@ -321,8 +333,7 @@ def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", r
 
     members = fixed(shared(_keys(narrow, rule, grids)), "shingle-members")
     meets = members.groupBy("fp").agg(F.count(F.lit(1)).alias("meets"))
-    owners = filled.filter("key IS NOT NULL").join(meets, "fp", "left_semi").groupBy("fp").agg(F.min("key").alias("key"))
-    contents = fixed(_contents(narrow.join(owners, "key").select("text", "fp"), rule), "shingle-contents")
+    contents = fixed(_contents(narrow, rule, meets.select("fp")), "shingle-contents")
 
     # First each group's best-met member with the others.
     by_meets = Window.partitionBy("k").orderBy(F.desc("meets"), "fp")
@@ -335,9 +346,44 @@ def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", r
     labels = components(links).withColumnRenamed("node", "fp")
     more = fixed(_verified(_compared(led, labels, contents, rule), contents, rule), "shingle-links")
     labels = components(links.unionAll(more)).withColumnRenamed("node", "fp")
+    return sets, labels
+
+
+def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
+    """Per document: key, n_shingles, component_id (smallest key reachable by links, or its own).
 
+    A document's set holds its distinct shingles of ``rule.words`` words (lower-cased A-Z,
+    split at white space); fewer words are one shingle.  Documents link when 100 *
+    intersection >= least * union.  Without words or text a document has no shingles and
+    links with nothing.  Repeated keys are one document for linking, with a row for each of
+    its rows; rows with a null key have no component of their own and get the smallest key
+    they are equal or linked to, if any.  Other columns are ignored.
+    """
+    narrow = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
+    sets, labels = _components(narrow, rule)
+    filled = sets.filter("n > 0")
     named = filled.join(labels, "fp", "left").withColumn("c", F.coalesce("component", "fp")).select("key", "n", "c")
     least = named.groupBy("c").agg(F.min("key").alias("least"))
     placed = salted_join(named, least, ["c"]).select("key", "n", "least")
     alone = sets.filter("n = 0").select("key", "n", F.col("key").alias("least"))
     return placed.unionAll(alone).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
+    """The documents without near duplicates: of each component of :func:`linked_documents` one row stays.
+
+    It is the row of the smallest key, a null key being the largest; of several, that of the
+    smallest values.  Rows without words or text link with nothing and all stay.  Rows are
+    told apart by their text, not by their key.
+    """
+    narrow = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
+    sets, labels = _components(narrow, rule)
+    order = F.isnull("key"), F.col("key")
+    best = (sets.filter("n > 0").join(labels, "fp", "left").groupBy(F.coalesce("component", "fp"))
+            .agg(F.min(F.struct(*order, "fp"))["fp"].alias("fp")).select("fp"))
+    whole = F.struct(F.isnull(key).alias("_null"), F.col(key).cast("bigint").alias("_key"), F.struct(*docs.columns).alias("_row"))
+    rows = _marked(docs.select(whole.alias("row"), F.col(text).cast("string").alias("text")), rule)
+    # Copies are reduced on the map side before their text is shuffled.
+    kept = rows.filter("fp IS NOT NULL").groupBy("fp").agg(F.min("row").alias("row")).join(best, "fp", "left_semi")
+    wordless = ~F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return kept.select("row._row.*").unionAll(docs.filter(wordless))

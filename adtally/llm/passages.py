@@ -391,17 +391,27 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         if parts:
             yield done(parts, owners)
 
+    def first_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, seen = Hasher(), set()
+        for batch in batches:
+            kept, marks = [], []
+            for i, value in enumerate(batch.column(1)):
+                found = hasher.text(value.as_py(), SPACED)
+                if len(found) < length or (mark := _mark(found)) in seen:
+                    continue
+                if len(seen) >= 1 << 18:
+                    seen.clear()
+                seen.add(mark)
+                kept.append(i)
+                marks.append(mark)
+            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), batch.column(1).take(pa.array(kept, pa.int64()))], names=["fp", "text"])
+
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
-                marks, tokens = [], []
-                for value, wanted in zip(batch.column(0)[i:i + 200], batch.column(1)[i:i + 200]):
-                    found = hasher.text(value.as_py(), SPACED)
-                    if _mark(found) == wanted.as_py():  # else another text of a repeated key
-                        marks.append(wanted.as_py())
-                        tokens.append(shingles(found, words).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(tokens, pa.binary())], names=["fp", "tokens"])
+                tokens = [shingles(hasher.text(value.as_py(), SPACED), words).tobytes() for value in batch.column(1)[i:i + 200]]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:i + 200], pa.array(tokens, pa.binary())], names=["fp", "tokens"])
 
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
@@ -422,9 +432,10 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     sets = fixed(narrow.mapInArrow(measure, "key bigint, n bigint, fp bigint"), "passage-documents")
     members = fixed(ranked(narrow.mapInArrow(emit, "k bigint, fp bigint")), "passage-members")
     long = sets.filter(F.col("n") >= length)
-    owners = (long.filter("key IS NOT NULL").join(members.select("fp").distinct(), "fp", "left_semi")
-              .groupBy("fp").agg(F.min("key").alias("key")))
-    contents = fixed(narrow.join(owners, "key").select("text", "fp").mapInArrow(fetch, "fp bigint, tokens binary"), "passage-contents")
+    # By fingerprint, as keys may be null or repeat.
+    met = narrow.mapInArrow(first_met, "fp bigint, text string").groupBy("fp").agg(F.min("text").alias("text"))
+    met = met.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", "text")
+    contents = fixed(met.mapInArrow(fetch, "fp bigint, tokens binary"), "passage-contents")
 
     def verified(pairs: DataFrame) -> DataFrame:
         one = contents.select(F.col("fp").alias("a"), F.col("tokens").alias("left"))

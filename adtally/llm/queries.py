@@ -154,11 +154,10 @@ CATEGORIES = ["unfit", "toxic"]
 TOXIC = 0.3  # on held-out rows no clean document reached it, and under one in a hundred toxic ones stayed below
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with the chain's probabilities: of low quality first, then of being toxic."""
+def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Documents, by any column as ``key``, with the chain's probabilities: of low quality first, then of being toxic."""
     marked = labels.select("doc_id", (1 - F.col("quality")).alias("unfit"), "toxic")
-    texts = docs.select("doc_id", "text")
-    return chains.score(texts, chains.train(texts, marked, CATEGORIES), CATEGORIES)
+    return chains.score(docs, chains.train(docs, marked, CATEGORIES), CATEGORIES, key=key)
 
 
 @_query

@@ -17,31 +17,31 @@ SHARDS = 40
 
 
 def _known(docs: DataFrame) -> DataFrame:
-    """Rows in the columns of ``documents``; null ids cannot be named by a verdict, so they are kept as they are."""
+    """Rows in the columns of ``documents``."""
     return docs.select("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """``documents`` with each row as one value besides, so that a verdict is on the row: ids may be null or repeat."""
+    known = _known(docs)
+    return known.withColumn("row", F.struct(*known.columns))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not find toxic."""
-    scored = toxicity_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, scored.filter(F.col("toxic") >= TOXIC).select("doc_id"))
+    scored = toxicity_scores(_whole(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"), key="row")
+    return scored.filter(F.col("toxic") < TOXIC).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of similar ones."""
-    linked = jaccard.linked_documents(docs)
-    return _without(docs, linked.filter(F.col("component_id") != F.col("doc_id")).select("doc_id"))
+    return jaccard.one_of_each(_known(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
-    judged = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, judged.filter("contaminated").select("doc_id"))
-
-
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose id is not among ``ids``; a null id is in none."""
-    return _known(docs).join(ids.distinct(), "doc_id", "left_anti")
+    judged = decontaminate.contamination(_whole(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="row")
+    return judged.filter(~F.col("contaminated")).select("row.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
