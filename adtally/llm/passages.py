@@ -44,6 +44,7 @@ GROUP = 1 << 17
 BLOCK = 4096  # members of a group compared by one task
 STARTS = 16  # of the windows of one signature that are compared as one
 COMMON = 128  # windows; tokens of more are counted by a matrix product
+STRETCH = 1 << 23  # tokens of one tree; places are told apart by fewer bits than a long text has
 _PLACE = np.uint64((1 << 24) - 1)
 _SPREAD, _BACK = np.uint64(0x9E3779), np.uint64(pow(0x9E3779, -1, 1 << 24))
 
@@ -62,7 +63,8 @@ def compact_windows(values: np.ndarray, first: np.ndarray, last: np.ndarray, len
     """All compact windows (l, c, r), ends included, of at least ``length``.
 
     The Cartesian trees over values[first:last + 1] are built level by level for all
-    documents at once: the minimum of each range splits it in two.
+    documents at once: the minimum of each range splits it in two.  No range may be longer
+    than ``STRETCH``.
     """
     ended = np.concatenate([values, values[-1:]])  # a range may end at the end
     ls, cs, rs = [], [], []
@@ -74,7 +76,8 @@ def compact_windows(values: np.ndarray, first: np.ndarray, last: np.ndarray, len
             break
         at = np.empty(2 * len(low), np.int64)
         at[0::2], at[1::2] = low, high + 1
-        least = ((np.minimum.reduceat(ended, at)[0::2] * _BACK) & _PLACE).astype(np.int64)
+        least = (np.minimum.reduceat(ended, at)[0::2] * _BACK) & _PLACE
+        least = low + ((least - low.astype(np.uint64)) & _PLACE).astype(np.int64)
         ls.append(low)
         cs.append(least)
         rs.append(high)
@@ -85,7 +88,14 @@ def compact_windows(values: np.ndarray, first: np.ndarray, last: np.ndarray, len
 
 
 def tiling(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length: int, function: int) -> tuple[np.ndarray, np.ndarray]:
-    """(begin, place of the min-hash) of each interval of starts of subsequences of ``length``."""
+    """(begin, place of the min-hash) of each interval of starts of subsequences of ``length``.
+
+    Trees stand over stretches that overlap by one token less than ``length``, so each start is in one.
+    """
+    step = STRETCH - length + 1
+    many = np.maximum(1, -(-(last - first + 2 - length) // step))
+    ends, first = np.repeat(last, many), np.repeat(first, many) + (np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)) * step
+    last = np.minimum(first + STRETCH - 1, ends)
     low, place, high = compact_windows(hashed(tokens, function), first, last, length)
     begin = np.maximum(low, place - length + 1)
     order = np.argsort(begin, kind="stable")

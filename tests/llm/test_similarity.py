@@ -163,6 +163,17 @@ def test_compact_windows_are_the_minima_of_their_subsequences():
     assert [at[np.searchsorted(begin, a, side="right") - 1] for a in starts] == [place[a, a + length - 1] for a in starts]
 
 
+def test_tiling_of_texts_longer_than_a_place(monkeypatch):
+    for name, value in (("STRETCH", 128), ("_PLACE", np.uint64(255)), ("_SPREAD", np.uint64(0x79)), ("_BACK", np.uint64(pow(0x79, -1, 256)))):
+        monkeypatch.setattr(ps, name, value)
+    tokens = np.random.default_rng(9).integers(0, 1 << 62, 3000).astype(np.uint64)
+    first, last, length = np.array([0, 40, 45, 1500]), np.array([39, 44, 1499, 2999]), 9
+    values = ps.hashed(tokens, 0)
+    begin, at = ps.tiling(tokens, first, last, length, 0)
+    starts = [a for f, l in zip(first, last) for a in range(f, l - length + 2)]
+    assert [at[np.searchsorted(begin, a, side="right") - 1] for a in starts] == [a + int(values[a:a + length].argmin()) for a in starts]
+
+
 def test_near_repeats_share_a_signature():
     """Planted passages of one length at a similarity of 0.80 to 0.85: brute force finds all, signatures 95 % at least."""
     random_, met, times = np.random.default_rng(8), 0, 1200
