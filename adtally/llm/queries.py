@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure, scratch_path
-from . import archives, chains, chat, decontaminate, jaccard, mixing, neighbours, passages, quality, shards
+from . import archives, chains, chat, decontaminate, jaccard, manifest, mixing, neighbours, passages, quality, shards
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -166,3 +166,63 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return scored.select("doc_id", F.col("unfit").alias("unfit_score"), F.col("toxic").alias("toxic_score"),
                          (F.col("toxic") >= TOXIC).cast("int").alias("predicted"))
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Merkle manifest of all documents, checked against rows of which a third lost their capitals."""
+    docs = _table(spark, sf_dir, "documents")
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return manifest.manifest(docs, changed={"text": F.when(hit, lowered).otherwise(F.col("text"))})
+
+
+def _level_sql(name: str, number: int) -> str:
+    """Nodes of the next level and, per node of this one, its siblings."""
+    now, after = f"{name}{number}", f"{name}{number + 1}"
+    return f"""{after} AS (
+  SELECT tree, pos // 8 pos, (max(nodes) + 7) // 8 nodes, sha256(string_agg(digest, '' ORDER BY pos)) digest FROM {now} WHERE nodes > 1 GROUP BY ALL
+  UNION ALL SELECT * FROM {now} WHERE nodes = 1),
+{now}_beside AS (
+  SELECT a.tree, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') l,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') r
+  FROM {now} a JOIN {now} b ON a.tree = b.tree AND a.pos // 8 = b.pos // 8 WHERE a.nodes > 1 GROUP BY ALL)"""
+
+
+def _folded_sql(name: str, levels: int, rows: str, place: str) -> str:
+    """``rows`` (tree, proof, digest ...) led up ``levels`` of a tree, one nested query per level."""
+    for i in range(levels):
+        rows = f"""(SELECT x.* REPLACE (proof || coalesce(l || r, '') AS proof, CASE WHEN l IS NULL THEN digest ELSE sha256(l || digest || r) END AS digest)
+ FROM {rows} x LEFT JOIN {name}{i}_beside s ON s.tree = x.{place[0]} AND s.pos = x.{place[1:]} // {8 ** i})"""
+    return rows
+
+
+_LEVELS, _UPPER = 11, 5  # 8 ^ 11 rows of a language and 8 ^ 5 languages
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE bits AS (
+  SELECT range n, range c, 0 k FROM range(256)
+  UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) t FROM bits WHERE k = 8),
+marked AS (
+  SELECT *, coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: ascii(d)::BIGINT)),
+                                     lambda a, b: xor(a // 256, t[xor(a, b) % 256 + 1])), 4294967295) % 3 = 0, FALSE) hit
+  FROM documents, crc),
+named AS (
+  SELECT doc_id, lang, concat_ws('', coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                   coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) head,
+         text, CASE WHEN hit THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END now FROM marked),
+hashed AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) leaf, sha256(head || coalesce(strlen(now) || ':' || now, '-')) seen FROM named),
+trees AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 tree, count(*) OVER () n FROM (SELECT DISTINCT lang FROM hashed)),
+placed AS (
+  SELECT tree t, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 p, count(*) OVER (PARTITION BY tree) nodes, 0 z, h.*
+  FROM hashed h JOIN trees ON h.lang IS NOT DISTINCT FROM trees.lang),
+n0 AS (SELECT t tree, p pos, nodes, leaf digest FROM placed),
+{", ".join(_level_sql("n", i) for i in range(_LEVELS))},
+m0 AS (SELECT 0 tree, n{_LEVELS}.tree pos, n nodes, digest FROM n{_LEVELS} JOIN trees ON trees.tree = n{_LEVELS}.tree),
+{", ".join(_level_sql("m", i) for i in range(_UPPER))},
+started AS (SELECT *, '' proof, seen digest FROM placed),
+lower_ AS (SELECT * FROM {_folded_sql("n", _LEVELS, "started", "tp")}),
+done AS (SELECT * FROM {_folded_sql("m", _UPPER, "lower_", "zt")})
+SELECT doc_id, leaf, s.digest subroot, r.digest root, sha256(proof) proof_sha256, d.digest folded_root, d.digest = r.digest verified
+FROM done d JOIN n{_LEVELS} s ON s.tree = d.t CROSS JOIN m{_UPPER} r"""
