@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure, scratch_path
-from . import archives, chains, chat, decontaminate, jaccard, manifest, mixing, neighbours, passages, quality, shards
+from . import archives, chains, chat, decontaminate, jaccard, manifest, mixing, negatives, neighbours, passages, quality, rules, shards
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -226,3 +226,36 @@ lower_ AS (SELECT * FROM {_folded_sql("n", _LEVELS, "started", "tp")}),
 done AS (SELECT * FROM {_folded_sql("m", _UPPER, "lower_", "zt")})
 SELECT doc_id, leaf, s.digest subroot, r.digest root, sha256(proof) proof_sha256, d.digest folded_root, d.digest = r.digest verified
 FROM done d JOIN n{_LEVELS} s ON s.tree = d.t CROSS JOIN m{_UPPER} r"""
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; the label of every seventh is moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT row_number() OVER () r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END l,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(256 * x::DOUBLE))) = 0),
+s AS (
+  SELECT a.r, a.vec_id anchor_id, b.r other, b.vec_id, a.l = b.l same,
+         list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT score
+  FROM v a JOIN v b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, p.vec_id positive_id, s.vec_id negative_id, p.score positive_score, s.score negative_score,
+         row_number() OVER (PARTITION BY p.r, p.other ORDER BY s.score DESC, s.vec_id) n
+  FROM p JOIN s ON s.r = p.r AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, n::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE n <= 5"""
+
+
+@_query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents judged by fixed rules and by trees fitted on labelled ones that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = rules.score(docs, rules.train(docs, _table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")

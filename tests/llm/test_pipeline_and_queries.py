@@ -9,8 +9,8 @@ from adtally.llm import jaccard, mixing, passages, queries
 SF = "/root/testdata/sf0.001"
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+def test_all_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries()) and set(queries.ORACLE) <= set(entry.oracle_sql())
 
 
@@ -18,7 +18,7 @@ def test_ten_queries():
 def test_query_against_sql(spark, name):
     got = queries.QUERIES[name](spark, SF).toPandas()
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     expected = con.sql(queries.ORACLE[name]).df()
     columns = sorted(expected.columns)
