@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # What a Python worker gets at a time is bounded in bytes, not only in rows, whatever the length of texts.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
@@ -74,3 +78,17 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; never reused between calls."""
     return f"{shared_dir(spark)}/adtally/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders that are no longer needed, on whatever file system they are.
+
+    Spark drops the shuffle files of finished jobs when the driver collects its garbage, which
+    may not happen for long; it is asked to here, as big steps end with a call of this.
+    """
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    gc.collect()
+    jvm.System.gc()
