@@ -61,6 +61,21 @@ def _(spark, d):
     return rd.pixel_csv(spark, _event_files(spark, d, pixel=True), IDS, until="2000-12-31").select(_EVENT_COLS)
 
 
+@report("src2_quoted_line_feeds", f"""SELECT {_EVENT_SQL.replace('sub_id,', "CASE WHEN cid = 3 THEN 'two' || chr(10) || 'lines, ' || chr(34) || pid || chr(34) ELSE sub_id END sub_id,")},
+  adv advertiser {_EVENTS_FROM}""", "ue")
+def _(spark, d):
+    """One campaign's events have a line feed, a comma and quotes in a cell, in a folder of two layouts."""
+    rows, path = spark.read.option("header", True).csv(_event_files(spark, d, pixel=True)), scratch_path(spark, "pixel-lines")
+    third = F.col("EVENT_ID").cast("bigint") % 3
+    told = F.when(F.col("CAMPAIGN_ID") == "3", F.concat(F.lit('two\nlines, "'), F.col("PUBLISHER_ID"), F.lit('"'))).otherwise(F.col("SUB_ID"))
+    rows = rows.withColumn("SUB_ID", told)
+    write = lambda df: df.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    write(rows.filter((third == 0) & (F.col("CAMPAIGN_ID") != "3")))  # files that stay divisible
+    write(rows.filter((third == 0) & (F.col("CAMPAIGN_ID") == "3")))
+    write(rows.filter(third > 0).select("TYPE", "PIXEL_TS", "SUB_ID", *[c for c in rows.columns if c not in ("TYPE", "PIXEL_TS", "SUB_ID")]))
+    return rd.pixel_csv(spark, path, IDS).select(_EVENT_COLS)
+
+
 def _spend_files(spark, d, folder, extra=None) -> str:
     """Monthly spend as one export per month, each with a preamble line and a header line.
 
@@ -162,6 +177,21 @@ def _(spark, d):
     return cm.cleaned(rd.campaign_sheets(spark, root, listed, "2024-02-01 00:00:00")).drop("total_cpa", "loaded_at")
 
 
+@report("src5_line_feeds_in_cells", _SHEETS_SQL.replace("cname campaign_name", "cname || chr(10) || 'of ' || sheet AS campaign_name"), "cp")
+def _(spark, d):
+    """Campaign names over two lines, all sheets in one scan."""
+    from ..operators import campaigns as cm
+
+    root, sheets = _sheet_files(spark, d)
+    folder = scratch_path(spark, "sheet-lines")
+    for name, sheet, _ in sheets:
+        rows = spark.read.option("header", True).csv(f"{root}/{name}")
+        rows = rows.withColumn("Campaign Name", F.concat("Campaign Name", F.lit(f"\nof {sheet}")))
+        rows.write.option("header", True).option("escape", '"').csv(f"{folder}/{name}")
+    listed = spark.createDataFrame(sheets, "file_name string, source_sheet_id string, attribution_type string")
+    return cm.cleaned(rd.campaign_sheets(spark, folder, listed, "2024-02-01 00:00:00")).drop("total_cpa", "loaded_at")
+
+
 @report("src6_observed_types", """SELECT * FROM (VALUES ('event_date', 'timestamp'), ('campaignid', 'bigint'), ('campaign_name', 'string'), ('event_type', 'string'), ('format', 'string'),
   ('views', 'bigint'), ('clicks', 'bigint'), ('postview', 'bigint'), ('postclick', 'decimal(38,10)'), ('spend', 'string'), ('cpa_pv', 'string'), ('cpa_pc', 'string'), ('total_spend', 'string'),
   ('total_cpa', 'string'), ('source_sheet_id', 'string'), ('attribution_type', 'string')) t("column", "type")""")
@@ -194,6 +224,29 @@ def _(spark, d):
     return rd.brand_csv(spark, path, spellings=frames.BRANDS)
 
 
+@report("src9_mixed_headers", """SELECT event_id link, CASE WHEN pid % 2 = 0 THEN 'brand_a' ELSE 'brand_b' END brand FROM ue""", "ue")
+def _(spark, d):
+    """Mapping files with their columns in different orders."""
+    path, label = scratch_path(spark, "brand-csv"), F.when(F.col("publisher_id") % 2 == 0, "brand_a").otherwise("Brand_B")
+    rows = frames.user_events(spark, d).select("event_id", label.alias("Advertiser"), F.col("publisher_id").alias("note"))
+    for rest, columns in enumerate((["event_id", "Advertiser"], ["Advertiser", "event_id"], ["note", "Advertiser", "event_id"])):
+        rows.filter(F.col("event_id").cast("bigint") % 3 == rest).select(columns).write.mode("append").option("header", True).csv(path)
+    return rd.brand_csv(spark, path, spellings=frames.BRANDS)
+
+
+@report("src10_mixed_headers", "SELECT count(DISTINCT o_custkey) depositors, count(*) deposits FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
+def _(spark, d):
+    """List files with the id in different places and under both names."""
+    path = scratch_path(spark, "users")
+    people = frames.table(spark, d, "customer").filter(F.col("c_acctbal") > 0)
+    rows = people.select(F.substring(F.md5(F.col("c_custkey").cast("string")), 1, 12).alias("id"), F.col("c_name").alias("name"), "c_custkey")
+    for rest, columns in enumerate(([F.col("id").alias("user_id")], ["name", F.col("id").alias("external_user_id")], [F.col("id").alias("user_id"), "name"])):
+        rows.filter(F.col("c_custkey") % 3 == rest).select(*columns).write.mode("append").option("header", True).csv(path)
+    listed = rd.user_list(spark, path=path).withColumnRenamed("user_id", "external_user_id")
+    return (frames.user_events(spark, d).join(listed, "external_user_id", "left_semi")
+            .agg(F.countDistinct("external_user_id").alias("depositors"), F.count(F.lit(1)).alias("deposits")))
+
+
 @report("src10_user_list", "SELECT count(DISTINCT o_custkey) depositors FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
 def _(spark, d):
     path = scratch_path(spark, "users")

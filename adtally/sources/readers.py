@@ -30,59 +30,112 @@ def parse_instant(text_column: Column) -> Column:
     return F.regexp_replace(text_column, " UTC$", "").try_cast("timestamp")
 
 
-def _export_lines(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> DataFrame:
-    """Lines with their file; bytes that are not UTF-8 are read as Latin-1, line by line.
+def _decoded(cell: Column) -> Column:
+    """A cell read byte by byte, as the UTF-8 it holds or, where it is none, as Latin-1; trimmed, with plain line feeds.
 
-    ``file_name`` is the decoded name, the folder's where Spark itself wrote the part files.
+    Behind a byte order mark the parser reads UTF-8 by itself; such cells show characters that bytes are not.
+    """
+    read = F.encode(cell, "ISO-8859-1").cast("string")
+    bytes_ = cell.rlike(r"[\x{80}-\x{FF}]") & ~cell.rlike(r"[^\x{00}-\x{FF}]")
+    text_ = F.when(bytes_, F.when(F.is_valid_utf8(read), read).otherwise(cell)).otherwise(cell)
+    return F.replace(F.regexp_replace(text_, r"^ +|[ \r]+$", ""), F.lit("\r\n"), F.lit("\n"))
+
+
+def _export_records(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> DataFrame:
+    """The records of CSV files as (place, cells, file_path, file_name), empty ones left out.
+
+    A first look over the lines finds the files in which a quoted cell holds line feeds.
+    These are read record by record, each file by one task; all others are cut into lines
+    and may be dealt to many tasks.  A file of the first kind whose quotes do not pair up
+    fails by name, as its records cannot be told apart.
+
+    Cells are trimmed and never NULL.  ``place`` ascends within a file and is negative for
+    all but its first part.  ``file_name`` is the decoded name, the folder's where
+    Spark itself wrote the part files.
     """
     reader = spark.read.option("recursiveFileLookup", True)
-    lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(path)
-    latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    value = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(latin)
+    reader = reader.option("pathGlobFilter", glob) if glob else reader
+    count = lambda c: F.length("value") - F.length(F.replace("value", F.lit(c), F.lit("")))
+    lines = reader.text(path).select(F.col("_metadata.file_path").alias("at"), count(",").alias("commas"), count('"').alias("quotes"))
+    widest = lines.agg(F.max("commas")).first()[0] or 0
+    # Few, and only their names.
+    broken = {r["at"]: r["quotes"] for r in lines.groupBy("at").agg(F.sum("quotes").alias("quotes"), F.max(F.col("quotes") % 2).alias("odd"))
+              .filter("odd = 1").select("at", "quotes").collect()}
+    # The columns of a line; a header record may itself go over some lines.
+    names = [f"c{i}" for i in range(4 * widest + 17 if broken else widest + 1)]
+    rows = (reader.schema(", ".join(f"{n} string" for n in names)).option("escape", '"').option("encoding", "ISO-8859-1")
+            .option("maxCharsPerColumn", -1).option("maxColumns", len(names) + 1))
+
+    cells = F.transform(F.array(*names), lambda c: F.coalesce(_decoded(c), F.lit("")))
+    # A byte order mark hides the quote behind it.
+    unmarked = lambda c: F.when(c.startswith("\ufeff"), F.regexp_replace(c, '^\ufeff"?|"$', "")).otherwise(c)
+    cells = F.transform(cells, lambda c, i: F.when(i == 0, unmarked(c)).otherwise(c))
+
+    def read(multi_line: bool) -> DataFrame:
+        own = F.col("_metadata.file_path").isin(list(broken))
+        some = rows.option("multiLine", multi_line).csv(path).filter(own if multi_line else ~own)
+        place = F.monotonically_increasing_id()
+        if not multi_line:
+            place = F.when(F.col("_metadata.file_block_start") == 0, place).otherwise(-1)
+        return some.select(place.alias("place"), cells.alias("cells"), F.col("_metadata.file_path").alias("file_path"))
+
+    records = read(False)
+    if broken:
+        unpaired = F.col("file_path").isin([at for at, quotes in broken.items() if quotes % 2])
+        torn = F.raise_error(F.concat(F.lit("quotes do not pair up in "), F.url_decode("file_path"))).cast("string")
+        whole = read(True).withColumn("_told", F.when(unpaired & F.exists("cells", lambda c: c.contains("\n")), torn))
+        records = records.unionAll(whole.filter(F.col("_told").isNull()).drop("_told"))
     # A plus sign stands for itself in a path, not for a space.
-    path_ = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path_ = F.url_decode(F.replace(F.col("file_path"), F.lit("+"), F.lit("%2B")))
     name = F.regexp_extract(F.regexp_replace(path_, r"/part-[^/]*$", ""), r"([^/]+)$", 1)
-    return lines.select(F.regexp_replace(value, "^\ufeff|\r$", "").alias("line"), path_.alias("file_path"), name.alias("file_name"))
+    return (records.filter(F.exists("cells", lambda c: c != ""))
+            .select("place", "cells", path_.alias("file_path"), name.alias("file_name")))
 
 
-def _cells(line: Column) -> Column:
-    """The cells of a CSV line; quotes may hold commas and doubled quotes."""
-    raw = F.regexp_extract_all(line, F.lit(r'("(?:[^"]|"")*"|[^,]*)(?:,|$)'), F.lit(1))
-    return F.transform(raw, lambda c: F.trim(F.when(c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c)))
+def _first_records(records: DataFrame) -> DataFrame:
+    """(file_path, _header) with the first record of every file."""
+    return records.filter("place >= 0").groupBy("file_path").agg(F.min(F.struct("place", "cells"))["cells"].alias("_header"))
 
 
-def _by_own_header(lines: DataFrame, is_header: Column, wanted: Mapping[str, str], required: Sequence[str] = (),
+def _by_own_header(records: DataFrame, is_header: Column | None, wanted: Mapping[str, str], required: Sequence[str] = (),
                    spelled: Callable[[Column], Column] = lambda name: name) -> DataFrame:
-    """Columns ``wanted`` (header -> name) as text, found by name in each file's own header line.
+    """Columns ``wanted`` (header -> name) as text, found by name in each file's own header record.
 
-    ``spelled`` normalises the header names.  A header that a file lacks gives NULL, one that is ``required`` fails, and so does a file
-    without any header line; the message names the file.  Files of any number of layouts
-    are read in one plan; a file's lines are dealt to several tasks.
+    Without ``is_header`` a file's first record is its header.  ``spelled`` normalises the
+    header names.  A header that a file lacks gives NULL, one that is ``required`` fails, and
+    so does a file without any header record; the message names the file.  Files of any
+    number of layouts are read in one plan; a file's records are dealt to several tasks.
     """
-    headers = lines.filter(is_header).groupBy("file_path").agg(F.min("line").alias("_header"))
-    headers = headers.select("file_path", F.transform(_cells(F.col("_header")), spelled).alias("_names"))
-    rows = salted_join(lines.filter(~is_header).filter(F.trim("line") != ""), headers, ["file_path"])
+    if is_header is None:
+        headers, rest = _first_records(records), records
+    else:
+        headers = records.filter(is_header).groupBy("file_path").agg(F.min("cells").alias("_header"))
+        rest = records.filter(~is_header)
+    headers = headers.select("file_path", "_header", F.transform("_header", spelled).alias("_names"))
+    rows = salted_join(rest.drop("place"), headers, ["file_path"])
+    if is_header is None:
+        rows = rows.filter(F.coalesce(F.col("cells") != F.col("_header"), F.lit(True)))
     missing = F.lit(None).cast("string")
     for name in reversed(required):
         missing = F.when(~F.array_contains("_names", name), F.lit(name)).otherwise(missing)
     told = (F.when(F.col("_names").isNull(), F.raise_error(F.concat(F.lit("no header line in "), "file_path")))
             .when(missing.isNotNull(), F.raise_error(F.concat(F.lit("no column "), missing, F.lit(" in "), F.col("file_path")))))
-    rows = rows.withColumns({"_c": _cells(F.col("line")), "_told": told.cast("string")}).filter(F.col("_told").isNull())
-    cell = lambda name: F.nullif(F.try_element_at("_c", F.nullif(F.array_position("_names", name).cast("int"), F.lit(0))), F.lit(""))
+    rows = rows.withColumn("_told", told.cast("string")).filter(F.col("_told").isNull())
+    cell = lambda name: F.nullif(F.try_element_at("cells", F.nullif(F.array_position("_names", name).cast("int"), F.lit(0))), F.lit(""))
     return rows.select(*[cell(header).alias(name) for header, name in wanted.items()], "file_path", "file_name")
 
 
-def _event_lines(spark: SparkSession, path: str | Sequence[str], columns: Mapping[str, str], glob: str | None) -> DataFrame:
+def _event_records(spark: SparkSession, path: str | Sequence[str], columns: Mapping[str, str], glob: str | None) -> DataFrame:
     """Event exports as text, under their header names."""
-    lines = _export_lines(spark, path, glob)
+    records = _export_records(spark, path, glob)
     headers = [*columns, LATE_TIME]
     time = next(h for h, name in columns.items() if name == "event_date")
-    # A header line names the time and the type as cells; a row of values does not.
+    # A header record names the time and the type as cells; one of values does not.
     kinds = [h for h, name in columns.items() if name in ("event_date", "event_type")]
     test = F.lit(True)
     for h in kinds:
-        test = test & F.array_contains(_cells(F.col("line")), h)
-    return _by_own_header(lines, F.col("line").contains(time) & test, {h: h for h in headers}, [time])
+        test = test & F.array_contains("cells", h)
+    return _by_own_header(records, test, {h: h for h in headers}, [time])
 
 
 def _typed_events(raw: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -101,17 +154,10 @@ def _typed_events(raw: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     }).filter(F.col("event_date").isNotNull())
 
 
-def _csv(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> DataFrame:
-    reader = spark.read.option("header", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.csv(path)
-
-
 def event_csv(spark: SparkSession, path: str | Sequence[str], columns: Mapping[str, str] = EVENT_COLUMNS,
               glob: str | None = None) -> DataFrame:
     """Event exports, columns by each file's own header; rows without a readable time are dropped."""
-    return schemas.conform(_typed_events(_event_lines(spark, path, columns, glob), columns), schemas.USER_EVENTS)
+    return schemas.conform(_typed_events(_event_records(spark, path, columns, glob), columns), schemas.USER_EVENTS)
 
 
 def pixel_events(raw: DataFrame, brands: Mapping[int, str], until: tm.Day | None = None,
@@ -130,7 +176,7 @@ def pixel_events(raw: DataFrame, brands: Mapping[int, str], until: tm.Day | None
 def pixel_csv(spark: SparkSession, path: str | Sequence[str], brands: Mapping[int, str],
               until: tm.Day | None = None, glob: str | None = None, columns: Mapping[str, str] = PIXEL_COLUMNS) -> DataFrame:
     """Pixel exports, columns by each file's own header; ``columns`` names other headers."""
-    return pixel_events(_event_lines(spark, path, columns, glob), brands, until, columns)
+    return pixel_events(_event_records(spark, path, columns, glob), brands, until, columns)
 
 
 # --- spend ------------------------------------------------------------------
@@ -141,11 +187,11 @@ def _spend_rows(spark: SparkSession, path, glob: str) -> DataFrame:
 
     Preamble lines carry no publisher id, so they drop out with the other rows that lack one.
     """
-    lines = _export_lines(spark, path, glob)
-    is_header = (F.col("line").contains("Publisher") & F.col("line").contains("Deposit")
-                 & F.col("line").contains("Spend") & text.publisher_id(F.regexp_replace("line", '^"', "")).isNull())
+    records = _export_records(spark, path, glob)
+    line = F.array_join("cells", ",")
+    is_header = line.contains("Publisher") & line.contains("Deposit") & line.contains("Spend") & text.publisher_id(line).isNull()
     wanted = {"Publisher": "publisher_name", "Deposit": "_deposit", "Spend": "_spend"}
-    return _by_own_header(lines, is_header, wanted, list(wanted))
+    return _by_own_header(records, is_header, wanted, list(wanted))
 
 
 def _priced(rows: DataFrame) -> DataFrame:
@@ -207,11 +253,21 @@ def daily_spend_csv(spark: SparkSession, path: str | Sequence[str], date: tm.Day
 # --- sheets -----------------------------------------------------------------
 
 
+def _spelled(name: Column) -> Column:
+    """A sheet's header as a column name, like ``functions.text.column_name``."""
+    return F.regexp_replace(F.translate(F.lower(name), " -", "__"), "[^a-z0-9_]", "")
+
+
 def campaign_sheet(spark: SparkSession, path: str | Sequence[str], sheet_id: str, attribution: str,
                    loaded_at: str | None = None, sheet_name: str | None = None) -> DataFrame:
-    """One exported sheet, all text, with normalised column names and its origin."""
-    raw = _csv(spark, path, None)
-    rows = raw.toDF(*[text.column_name(c) for c in raw.columns])
+    """One exported sheet, all text, with normalised column names and its origin.
+
+    Of several files, each has its own header in its first record, and the sheet all their columns.
+    """
+    records = _export_records(spark, path, None)
+    headers = [r["_header"] for r in _first_records(records).groupBy("_header").agg(F.min("file_path").alias("at")).orderBy("at").collect()]
+    names = [n for n in dict.fromkeys(text.column_name(c) for header in headers for c in header) if n]
+    rows = _by_own_header(records, None, {n: n for n in names}, spelled=_spelled).select(names)
     stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
     origin = {"source_sheet_id": F.lit(sheet_id), "attribution_type": F.lit(attribution), "loaded_at": stamp}
     if sheet_name:
@@ -227,13 +283,11 @@ def campaign_sheets(spark: SparkSession, path: str | Sequence[str], sheets: Data
     likes, sheet_name.  Columns are found by each file's own header, in whatever spelling; a
     file without one, or that is not listed, fails by name.
     """
-    spelled = lambda name: F.regexp_replace(F.translate(F.lower(name), " -", "__"), "[^a-z0-9_]", "")
     origin = [c for c in ("source_sheet_id", "attribution_type", "sheet_name") if c in sheets.columns]
     texts = [f.name for f in schemas.CAMPAIGNS.fields if f.name not in (*origin, "loaded_at")]
-    lines = _export_lines(spark, path, glob)
-    names = F.transform(_cells(F.col("line")), spelled)
+    names = F.transform("cells", _spelled)
     is_header = F.array_contains(names, "event_date") & F.array_contains(names, "campaignid")
-    rows = _by_own_header(lines, is_header, {c: c for c in texts}, ["event_date"], spelled)
+    rows = _by_own_header(_export_records(spark, path, glob), is_header, {c: c for c in texts}, ["event_date"], _spelled)
     listed = sheets.select("file_name", *origin, F.lit(True).alias("_listed"))
     rows = rows.join(listed, "file_name", "left")
     told = F.when(F.col("_listed").isNull(), F.raise_error(F.concat(F.lit("no sheet is listed for "), "file_path"))).cast("string")
@@ -293,24 +347,33 @@ def campaigns_from_sheets(sheets: DataFrame) -> DataFrame:
 # --- mappings, lists, databases ---------------------------------------------
 
 
-def brand_csv(spark: SparkSession, path: str, link: str = "event_id", brand: str = "Advertiser",
+def brand_csv(spark: SparkSession, path: str | Sequence[str], link: str = "event_id", brand: str = "Advertiser",
               date: str | None = None, spellings: Sequence[str] = ()) -> DataFrame:
-    """Brand mapping export, one row per link."""
-    return brand_mapping(_csv(spark, path, None), link, brand, date, spellings)
+    """Brand mapping exports, columns by each file's own header, one row per link."""
+    wanted = [link, brand, *([] if date is None else [date])]
+    is_header = F.array_contains("cells", link) & F.array_contains("cells", brand)
+    rows = _by_own_header(_export_records(spark, path, None), is_header, {c: c for c in wanted}, wanted)
+    return brand_mapping(rows, link, brand, date, spellings)
+
+
+# What the id column of a user list is called, in order of preference.
+USER_HEADERS = ("user_id", "external_user_id")
 
 
 def user_list(spark: SparkSession, users: str | Sequence[str] | None = None, path: str | Sequence[str] | None = None) -> DataFrame:
-    """User ids from a comma list or a sequence, or from CSV files (``user_id`` or ``external_user_id``) at ``path``."""
+    """User ids from a comma list or a sequence, or from CSV files at ``path``, by the header each of them has."""
     if (users is None) == (path is None):
         raise ValueError("give either users or path")
     if path is None:
         names = [u.strip() for u in users.split(",") if u.strip()] if isinstance(users, str) else users
         return spark.createDataFrame([(u,) for u in names], "user_id string")
-    raw = _csv(spark, path, None)
-    for name in ("user_id", "external_user_id"):
-        if name in raw.columns:
-            return raw.select(F.col(name).alias("user_id"))
-    raise ValueError(f"no user_id or external_user_id column, only {raw.columns}")
+    records = _export_records(spark, path, None)
+    named = lambda cells: F.coalesce(*[F.when(F.array_contains(cells, h), F.lit(h)) for h in USER_HEADERS])
+    lacking = _first_records(records).filter(named("_header").isNull()).limit(1).collect()
+    if lacking:
+        raise ValueError(f"no user_id or external_user_id column in {lacking[0]['file_path']}, only {[c for c in lacking[0]['_header'] if c]}")
+    rows = _by_own_header(records, None, {h: h for h in USER_HEADERS})
+    return rows.select(F.coalesce(*USER_HEADERS).alias("user_id"))
 
 
 def jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str | None = None,

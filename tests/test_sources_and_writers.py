@@ -128,6 +128,53 @@ def test_lists_and_mappings(spark, tmp_path):
     assert sorted((r.link, r.brand) for r in rd.brand_csv(spark, str(tmp_path / "m.csv"), spellings=["Brand_A"]).collect()) == [("1", "Brand_A"), ("3", "other")]
 
 
+def test_cells_over_several_lines(spark, tmp_path):
+    """A record is a record, wherever its line feeds are; files without any are read in lines, also beside such ones."""
+    write(tmp_path / "a.csv", HEADER, pixel_line("a"), pixel_line("b", user='"u\n2, ""x"""'), pixel_line("c", amount="7"))
+    write(tmp_path / "b.csv", HEADER, pixel_line("d", user='5" wide'), pixel_line("e"))
+    (tmp_path / "c.csv").write_bytes(("\ufeff" + '"EVENT_ID",TYPE,PIXEL_TS,CONVERTED_AMOUNT,"EXTERNAL\nUSER",EXTERNAL_USER_ID\r\nf,deposit,2025-11-01 10:00:00 UTC,3,x,"Caf\u00e9\r\n\u20ac"\r\n').encode())
+    (tmp_path / "d.csv").write_bytes('EVENT_ID,TYPE,PIXEL_TS,EXTERNAL_USER_ID\ng,deposit,2025-11-01 10:00:00 UTC,"Caf\u00e9\nx"\nh,deposit,2025-11-01 10:00:00 UTC,\u00fc\n'.encode("latin-1"))
+    got = {r.event_id: (r.external_user_id, r.converted_amount and float(r.converted_amount), r.advertiser) for r in rd.pixel_csv(spark, str(tmp_path), {1: "x"}).collect()}
+    assert got == {"a": ("u", 1.5, "x"), "b": ('u\n2, "x"', 1.5, "x"), "c": ("u", 7.0, "x"), "d": ('5" wide', 1.5, "x"), "e": ("u", 1.5, "x"),
+                   "f": ("Caf\u00e9\n\u20ac", 3.0, None), "g": ("Caf\u00e9\nx", None, None), "h": ("\u00fc", None, None)}
+
+
+def test_quotes_that_do_not_pair_up_fail_by_name(spark, tmp_path):
+    write(tmp_path / "a.csv", HEADER, pixel_line("a"))
+    write(tmp_path / "torn.csv", HEADER, pixel_line("b", user='"never closed'), pixel_line("c"))
+    with pytest.raises(Exception, match="quotes do not pair up in .*torn.csv"):
+        rd.pixel_csv(spark, str(tmp_path), {1: "x"}).collect()
+
+
+def test_only_files_with_such_cells_are_read_whole(spark, tmp_path):
+    write(tmp_path / "a.csv", "ID,TYPE,PIXEL_TS,NOTE", "1,deposit,2025-11-01 10:00:00 UTC,plain")
+    clean = rd.event_csv(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    write(tmp_path / "b.csv", "ID,TYPE,PIXEL_TS,NOTE", '2,deposit,2025-11-01 10:00:00 UTC,"two', 'lines"')
+    mixed = rd.event_csv(spark, str(tmp_path))
+    assert clean.count("Scan csv") < mixed._jdf.queryExecution().executedPlan().toString().count("Scan csv")
+    assert sorted(r.event_id for r in mixed.collect()) == ["1", "2"]
+
+
+def test_sheets_with_line_feeds_and_own_headers(spark, tmp_path):
+    write(tmp_path / "s" / "a.csv", "Event Date,CampaignID,Campaign Name", '2024-01-01,1,"one', 'two"', "2024-01-02,2,x")
+    write(tmp_path / "s" / "b.csv", "Campaign Name,Event-Date,Views", "y,2024-01-03,5")
+    got = sorted((r.event_date, r.campaignid, r.campaign_name, r.views) for r in rd.campaign_sheet(spark, str(tmp_path / "s"), "1", "1_hour").collect())
+    assert got == [("2024-01-01", "1", "one\ntwo", None), ("2024-01-02", "2", "x", None), ("2024-01-03", None, "y", "5")]
+
+
+def test_mappings_and_lists_follow_each_files_header(spark, tmp_path):
+    write(tmp_path / "m" / "1.csv", "event_id,Advertiser", "e1,brand_a")
+    write(tmp_path / "m" / "2.csv", "Advertiser,event_id", "brand_b,e2", '"brand', '_b",e3')
+    assert sorted((r.link, r.brand) for r in rd.brand_csv(spark, str(tmp_path / "m")).collect()) == [("e1", "brand_a"), ("e2", "brand_b"), ("e3", "brand\n_b")]
+    write(tmp_path / "m" / "3.csv", "Brand,event_id", "brand_b,e3")
+    with pytest.raises(Exception, match="no header line in .*3.csv"):
+        rd.brand_csv(spark, str(tmp_path / "m")).collect()
+    write(tmp_path / "u" / "1.csv", "user_id,x", "u1,7")
+    write(tmp_path / "u" / "2.csv", "x,user_id", "7,u3")
+    write(tmp_path / "u" / "3.csv", "x,external_user_id,y", "8,u4,9")
+    assert sorted(r.user_id for r in rd.user_list(spark, path=str(tmp_path / "u")).collect()) == ["u1", "u3", "u4"]
+
+
 def test_jdbc_reader_asks_for_a_driver(spark):
     with pytest.raises(Exception):
         rd.jdbc_table(spark, "jdbc:nosuchdb://x", "t", "id", "0", "10")
