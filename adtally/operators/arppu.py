@@ -98,6 +98,39 @@ def month_before(as_of: tm.Day) -> dt.date:
     return last_before.replace(day=min(day.day, last_before.day))
 
 
+# Days of a first period.
+PERIOD_DAYS = {"week": 7, "month": 30}
+
+
+def first_windows(events: DataFrame, grain: str = "week", window_days: int | None = None) -> DataFrame:
+    """Per user: first_deposit, and the deposits and revenue within the days from there on.
+
+    A user's first days touch at most two time slots of that width, so the deposits are
+    joined on (user, slot) and then compared exactly: the history of a very active user is
+    cut into slots instead of landing in one task, and later slots match nothing.
+    """
+    days = window_days or PERIOD_DAYS[grain]
+    rows = paying_deposits(events).select(USER, TS, "converted_amount")
+    slot = lambda ts: tm.slot_number(ts, days)
+    firsts = rows.groupBy(USER).agg(F.min(TS).alias("first_deposit"))
+    windows = firsts.withColumn("_slot", F.explode(F.array(slot(F.col("first_deposit")), slot(F.col("first_deposit")) + 1)))
+    inside = (rows.withColumn("_slot", slot(F.col(TS))).join(windows, [USER, "_slot"])
+              .filter(F.col(TS) < F.col("first_deposit") + F.expr(f"INTERVAL '{days}' DAY")))
+    return inside.groupBy(USER, "first_deposit").agg(F.count(F.lit(1)).alias("deposits"), F.sum("converted_amount").cast("decimal(28,4)").alias("revenue"))
+
+
+def cohort_report(windows: DataFrame, as_of: tm.Day, grain: str = "week", exclude_cohorts: Sequence[tm.Day] = ()) -> DataFrame:
+    """:func:`first_period` from the rows of :func:`first_windows`."""
+    users = (windows.filter(F.col("first_deposit") <= tm.instant(month_before(as_of)))
+             .withColumn("cohort_start", tm.period_start(F.col("first_deposit"), grain)))
+    if exclude_cohorts:
+        users = users.filter(~F.col("cohort_start").isin([tm._as_date(d) for d in exclude_cohorts]))
+    sums = users.groupBy("cohort_start").agg(F.count(F.lit(1)).alias("users_count"), F.sum("deposits").alias("total_deposits"),
+                                             F.sum("revenue").cast("decimal(38,4)").alias("total_revenue"))
+    per = lambda total: num.ratio_or_zero(F.col(total), F.col("users_count"))
+    return sums.withColumns({"arppu": per("total_revenue"), "avg_deposits": per("total_deposits")}).orderBy("cohort_start")
+
+
 def first_period(events: DataFrame, as_of: tm.Day, grain: str = "week", window_days: int | None = None,
                  exclude_cohorts: Sequence[tm.Day] = ()) -> DataFrame:
     """Deposits and revenue in the first week or month of each first-deposit cohort.
@@ -107,7 +140,7 @@ def first_period(events: DataFrame, as_of: tm.Day, grain: str = "week", window_d
     joined on (user, slot) and then compared exactly: the history of a very active user
     is cut into slots instead of landing in one task, and later slots match nothing.
     """
-    days = window_days or {"week": 7, "month": 30}[grain]
+    days = window_days or PERIOD_DAYS[grain]
     rows = paying_deposits(events).select(USER, TS, "converted_amount")
     cutoff = month_before(as_of)
     cohort = tm.period_start(F.col("_first"), grain)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -186,6 +186,80 @@ def funnel(events: DataFrame, keys: Sequence[str] = ("publisher_id",),
     return sums.withColumns({f"{a}_to_{b}_pct": step(a, b) for a, b in zip(stages, stages[1:])})
 
 
+def _last_before(rows: DataFrame, what: Column, value: Column, slot_hours: int) -> DataFrame:
+    """``rows`` with ``_last``: the largest ``value`` (a struct that begins with the time) of a user's rows ``what`` up to each row's time.
+
+    Within a slot of the clock a window follows the times; what came before the slot is one
+    value per (user, slot), carried on over the slots.  So no window sees all rows of a very
+    active user, only those of a slot, or one row per slot.
+    """
+    slot = F.floor(F.unix_micros(TS) / F.lit(slot_hours * 3_600_000_000)).alias("_slot")
+    rows = rows.withColumn("_value", F.when(what, value)).select("*", slot)
+    per_slot = rows.groupBy(USER, "_slot").agg(F.max("_value").alias("_here"))
+    earlier = Window.partitionBy(USER).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_slot.select(USER, "_slot", F.max("_here").over(earlier).alias("_carried"))
+    now = Window.partitionBy(USER, "_slot").orderBy(F.unix_micros(TS)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = rows.withColumn("_here", F.max("_value").over(now)).join(carried, [USER, "_slot"])
+    return joined.withColumn("_last", F.coalesce(F.greatest("_here", "_carried"), "_here", "_carried")).drop("_slot", "_value", "_here", "_carried")
+
+
+def ordered_funnel(events: DataFrame, stages: Sequence[str] = ("view", "click", DEPOSIT), within_hours: float = 24,
+                   slot_hours: int = 6) -> DataFrame:
+    """Events and users that went through the stages in order, and the share of users that each step keeps.
+
+    An event of the first stage counts.  One of a later stage counts if the user has a counted
+    event of the stage before it, at the same time or up to ``within_hours`` earlier.  Of
+    these the latest decides, so one pass over the user's time per stage is enough.
+    """
+    order = F.lit(None).cast("int")
+    for number, stage in enumerate(stages):
+        order = F.when(F.col("event_type") == stage, number).otherwise(order)
+    rows = (events.filter(F.col("event_type").isin(list(stages)) & F.col(USER).isNotNull())
+            .groupBy(USER, TS, order.alias("_stage")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_counts", F.col("_stage") == 0))
+    micros = F.unix_micros(TS)
+    for number in range(1, len(stages)):
+        rows = _last_before(rows, (F.col("_stage") == number - 1) & F.col("_counts"), F.struct(micros.alias("at")), slot_hours)
+        near = F.coalesce(micros - F.col("_last")["at"] <= int(within_hours * 3_600_000_000), F.lit(False))
+        rows = rows.withColumn("_counts", F.when(F.col("_stage") == number, near).otherwise(F.col("_counts"))).drop("_last")
+    per_user = rows.filter("_counts").groupBy(USER, "_stage").agg(F.sum("_n").alias("_n"))
+    counted = per_user.groupBy("_stage").agg(F.count(F.lit(1)).alias("users"), F.sum("_n").alias("events"))
+    of = lambda column, k: F.coalesce(F.max(F.when(F.col("_stage") == k, F.col(column))), F.lit(0))
+    sums = counted.agg(*[of(c, k).alias(f"{stage}_{c}") for k, stage in enumerate(stages) for c in ("events", "users")])
+    step = lambda a, b: num.half_up(num.percent(F.col(f"{b}_users"), F.col(f"{a}_users")), 2)
+    return sums.withColumns({f"{a}_to_{b}_pct": step(a, b) for a, b in zip(stages, stages[1:])})
+
+
+def attributed_deposits(events: DataFrame, windows: Mapping[str, float], click: str = "click", slot_hours: int = 6) -> DataFrame:
+    """Deposits and revenue per attribution, campaign and day of the deposit, each given to the user's last click.
+
+    ``windows`` names attributions by the hours that may lie between click and deposit.  Of
+    clicks at one time, that of the largest campaign counts; deposits without a click that
+    is near enough, or whose click names no campaign, count nowhere.
+    """
+    rows = events.filter(F.col("event_type").isin(click, DEPOSIT) & F.col(USER).isNotNull()).select(USER, TS, "event_type", "campaign_id", AMOUNT)
+    micros = F.unix_micros(TS)
+    rows = _last_before(rows, F.col("event_type") == click, F.struct(micros.alias("at"), F.col("campaign_id").alias("campaign")), slot_hours)
+    found = rows.filter((F.col("event_type") == DEPOSIT) & F.col("_last")["campaign"].isNotNull())
+    apart = micros - F.col("_last")["at"]
+    named = F.array_compact(F.array(*[F.when(apart <= int(h * 3_600_000_000), F.lit(name)) for name, h in windows.items()]))
+    return (found.select(F.explode(named).alias("attribution_type"), F.col("_last")["campaign"].alias("campaign_id"), F.to_date(TS).alias("date"), AMOUNT)
+            .groupBy("attribution_type", "campaign_id", "date").agg(F.count(F.lit(1)).alias("attributed"), F.sum(AMOUNT).alias("revenue")))
+
+
+# The attribution types of the sheets and their hours.
+ATTRIBUTIONS = {"1_hour": 1, "24_hours": 24}
+
+
+def reported_vs_attributed(campaigns: DataFrame, events: DataFrame, windows: Mapping[str, float] = ATTRIBUTIONS) -> DataFrame:
+    """Post-click conversions that the sheets report per attribution, campaign and day, beside those attributed from the events."""
+    reported = (campaigns.filter(F.col(TS).isNotNull() & F.col("campaignid").isNotNull())
+                .groupBy("attribution_type", F.col("campaignid").alias("campaign_id"), F.to_date(TS).alias("date"))
+                .agg(F.sum(F.coalesce("postclick", F.lit(0))).alias("reported")))
+    return (reported.join(attributed_deposits(events, windows), ["attribution_type", "campaign_id", "date"], "full")
+            .na.fill(0, ["reported", "attributed", "revenue"])
+            .withColumn("difference", F.col("reported") - F.col("attributed")))
+
+
 def reported_vs_observed(campaigns: DataFrame, events: DataFrame) -> DataFrame:
     """Post-click conversions reported per campaign and day beside the deposits observed."""
     reported = (campaigns.filter(F.col(TS).isNotNull() & F.col("campaignid").isNotNull())

@@ -68,7 +68,11 @@ def compare(grouped: DataFrame, exclude_top_pct: float = 0, exclude_bottom_pct:
     Users with equal revenue share a rank, so they are kept or dropped together and are
     reduced to one row per (group, revenue) before the exact ranks are taken.
     """
-    per_user = user_totals(grouped)
+    return compare_totals(user_totals(grouped), exclude_top_pct, exclude_bottom_pct)
+
+
+def compare_totals(per_user: DataFrame, exclude_top_pct: float = 0, exclude_bottom_pct: float = 0) -> DataFrame:
+    """:func:`compare` from the rows of :func:`user_totals`, such as stored ones."""
     sums = lambda users, deposits, usd: [
         users.alias("unique_users"), F.sum(deposits).alias("total_deposits"), F.sum(usd).alias("_usd"),
         F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date")]

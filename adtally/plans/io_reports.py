@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas
 from ..operators import arppu, quality as dq, reactivation as rx, split_test as st
 from ..session import scratch_path
-from ..sources import readers as rd, writers as wr
+from ..sources import event_index as ix, readers as rd, views as vw, writers as wr
 from ..streaming import ingest
 from . import frames
 from .registry import big, dbl, dec, report
@@ -192,9 +192,25 @@ def _(spark, d):
     return cm.cleaned(rd.campaign_sheets(spark, folder, listed, "2024-02-01 00:00:00")).drop("total_cpa", "loaded_at")
 
 
-@report("src6_observed_types", """SELECT * FROM (VALUES ('event_date', 'timestamp'), ('campaignid', 'bigint'), ('campaign_name', 'string'), ('event_type', 'string'), ('format', 'string'),
-  ('views', 'bigint'), ('clicks', 'bigint'), ('postview', 'bigint'), ('postclick', 'decimal(38,10)'), ('spend', 'string'), ('cpa_pv', 'string'), ('cpa_pc', 'string'), ('total_spend', 'string'),
-  ('total_cpa', 'string'), ('source_sheet_id', 'string'), ('attribution_type', 'string')) t("column", "type")""")
+_SHEET_TEXT = """raw AS (
+  SELECT CAST(ts AS VARCHAR) event_date, CAST(user_id % 11 AS VARCHAR) campaignid, 'campaign ' || (user_id % 11) campaign_name,
+         CASE WHEN event_id % 4 = 0 THEN 'rd' ELSE 'ftd' END event_type, CASE user_id % 2 WHEN 0 THEN 'banner' ELSE 'push' END "format",
+         CAST(event_id % 1000 AS VARCHAR) views, CAST(event_id % 50 AS VARCHAR) clicks, CAST(event_id % 5 AS VARCHAR) postview,
+         CASE WHEN event_id % 3 <> 0 THEN CAST(event_id % 3 AS VARCHAR) END postclick,
+         CASE WHEN event_id % 17 <> 0 THEN w END spend, CASE WHEN event_id % 19 = 0 THEN 'inf' ELSE w END cpa_pv,
+         CASE WHEN event_id % 23 <> 0 THEN '1 ' || w END cpa_pc, CASE WHEN event_id % 2 = 0 THEN w END total_spend, CASE WHEN event_id % 2 = 0 THEN w END total_cpa,
+         'sheet_x' source_sheet_id, '1_hour' attribution_type
+  FROM (SELECT *, replace(CAST(CAST(CAST(value AS DECIMAL(18,2)) + CAST(event_id % 997 AS DECIMAL(10,0)) * CAST(0.000001 AS DECIMAL(6,6)) AS DECIMAL(20,6)) AS VARCHAR), '.', ',') w FROM events)),
+cells AS (SELECT * FROM raw UNPIVOT INCLUDE NULLS (v FOR "column" IN (event_date, campaignid, campaign_name, event_type, "format", views, clicks, postview,
+  postclick, spend, cpa_pv, cpa_pc, total_spend, total_cpa, source_sheet_id, attribution_type))),
+fits AS (
+  SELECT "column", count(*) n, count(v) filled, bool_and(v IS NULL OR TRY_CAST(v AS BIGINT) IS NOT NULL AND v NOT LIKE '%.%') whole,
+         bool_and(v IS NULL OR TRY_CAST(v AS DECIMAL(38,10)) IS NOT NULL) fraction FROM cells GROUP BY 1)"""
+
+
+@report("src6_observed_types", f"""WITH {_SHEET_TEXT}
+SELECT "column", CASE WHEN filled > 0 AND whole THEN CASE WHEN filled = n THEN 'bigint' ELSE 'decimal(38,10)' END WHEN filled > 0 AND fraction THEN 'decimal(38,10)'
+  WHEN "column" LIKE '%date%' OR "column" LIKE '%time%' THEN 'timestamp' ELSE 'string' END "type" FROM fits""")
 def _(spark, d):
     types = rd.observed_types(_sheets(spark, d))
     return spark.createDataFrame([(c, t) for c, t in types.items()], "column string, type string")
@@ -213,6 +229,17 @@ def _(spark, d):
     return dq.reconcile(source, wr.copy_table(source, scratch_path(spark, "copy")))
 
 
+@report("src8_resumed_copy", "SELECT count(*) source_rows, count(*) target_rows, min(ts) min_date, max(ts) max_date, true \"matches\", count(DISTINCT strftime(ts, '%Y-%m')) AS months, 0::BIGINT left_over FROM ue", "ue")
+def _(spark, d):
+    """A copy that is cut short after ten months and resumed; then nothing is left to do."""
+    source, path = frames.user_events(spark, d), scratch_path(spark, "copy")
+    first = wr.copy_ranges(source, path, at_once=4, most=10)
+    second = wr.copy_ranges(source, path, at_once=40)
+    third = wr.copy_ranges(source, path)
+    return dq.reconcile(source, spark.read.parquet(path)).withColumns({
+        "months": F.lit(len(set(first) | set(second))), "left_over": F.lit(len(third) + len(set(first) & set(second)))})
+
+
 @report("src9_brand_csv", """SELECT event_id link, CASE WHEN pid % 2 = 0 THEN 'brand_a' ELSE 'brand_b' END brand FROM ue""", "ue")
 def _(spark, d):
     path = scratch_path(spark, "brand-csv")
@@ -278,6 +305,32 @@ def _(spark, d):
     return wr.read_table(spark, path).groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("spend").alias("spend"))
 
 
+@report("snk2_widened_column", f"SELECT strftime(date, '%Y') AS year, count(*) AS n, {dbl('sum(spend)')} spend, {dbl('sum(deps) + 0.75 * count(*)')} deposits FROM pd GROUP BY 1", "pd")
+def _(spark, d):
+    """Whole numbers of the first rows, fractions from the second on: the column becomes a decimal, and nothing is cut."""
+    path, daily = scratch_path(spark, "widened"), frames.publisher_spend_daily(spark, d)
+    half = F.col("publisher_id") % 2 == 0
+    rows = daily.select(F.date_format("date", "yyyy").alias("year"), "publisher_id", "spend", F.col("deposits_reported").alias("deposits"))
+    wr.append(rows.filter(half).withColumn("deposits", F.col("deposits").cast("int")), path, ["year"])
+    wr.append(rows.filter(~half).withColumn("deposits", F.col("deposits") + F.lit("0.75").cast("decimal(5,2)")), path, ["year"])
+    wr.append(rows.filter(half).limit(0).withColumn("deposits", F.col("deposits").cast("int")), path, ["year"])
+    back = wr.read_table(spark, path)
+    fraction = F.when(half, F.col("deposits") + F.lit("0.75").cast("decimal(5,2)")).otherwise(F.col("deposits"))
+    return back.withColumn("deposits", fraction).groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("spend").alias("spend"), F.sum("deposits").alias("deposits"))
+
+
+@report("snk2_added_column", f"SELECT sheet source_sheet_id, count(*) AS records, count(CASE WHEN sheet <> 'sheet_x' THEN 1 END) named, CASE WHEN sheet <> 'sheet_x' THEN {dbl('sum(views)')} END views FROM cp GROUP BY sheet", "cp")
+def _(spark, d):
+    """A column that only later sheets have, and one that they have as text."""
+    path, rows = scratch_path(spark, "added"), frames.campaigns(spark, d).select("source_sheet_id", "campaignid", "views")
+    first = F.col("source_sheet_id") == "sheet_x"
+    wr.replace_sheets(rows.filter(first).drop("views"), path)
+    wr.replace_sheets(rows.filter(F.col("source_sheet_id") == "sheet_y").withColumn("owner", F.lit("a")), path)
+    wr.replace_sheets(rows.filter(F.col("source_sheet_id") == "sheet_z").withColumns({"owner": F.lit("b"), "campaignid": F.col("campaignid").cast("string")}), path)
+    back = wr.read_table(spark, path)
+    return back.groupBy("source_sheet_id").agg(F.count("campaignid").alias("records"), F.count("owner").alias("named"), F.sum("views").cast("double").alias("views"))
+
+
 def _replaced(spark, d, mode):
     """All days stored, then every other day of 1998 written anew with double spend."""
     path, daily = scratch_path(spark, "spend-table"), frames.publisher_spend_daily(spark, d)
@@ -356,6 +409,20 @@ def _(spark, d):
     return _by_month(wr.read_table(spark, path))
 
 
+@report("snk5_indexed_upsert", _MERGED, "ue")
+def _(spark, d):
+    """The same upserts found by the index, which also takes up rows appended behind its back."""
+    path = scratch_path(spark, "events-table")
+    stored, batch = _batches(spark, d)
+    early = F.col("event_date") < F.lit("1998-01-01").cast("timestamp")
+    wr.append(wr.with_month(stored.filter(early)), path, [wr.MONTH])
+    ix.update(spark, path)
+    wr.append(wr.with_month(stored.filter(~early)), path, [wr.MONTH])
+    wr.upsert_events(batch, path, indexed=True)
+    wr.upsert_events(batch.filter(F.col("campaign_id") == 2), path, indexed=True)  # nothing new
+    return _by_month(wr.read_table(spark, path))
+
+
 @report("snk5_upsert_without_time", f"""SELECT CASE WHEN cid <> 4 THEN strftime(ts, '%Y-%m') END AS event_month, count(*) events,
   {dbl('sum(CASE WHEN cid IN (4, 5) AND pid % 2 = 0 THEN amt + 1 ELSE amt END)')} revenue FROM ue GROUP BY 1""", "ue")
 def _(spark, d):
@@ -389,6 +456,51 @@ def _(spark, d):
     return wr.read_table(spark, path).groupBy("month", "inactivity_period").agg(F.count(F.lit(1)).alias("reactivations_count"))
 
 
+def _late_batch(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Events stored first, and a batch of later ones and of one campaign's from all times."""
+    events = frames.user_events(spark, d)
+    late = (F.col("event_date") >= F.lit("2001-01-01").cast("timestamp")) | (F.col("campaign_id") == 5)
+    return events.filter(~late), events.filter(late)
+
+
+@report("snk7_refresh_after_late_events", f"""WITH {_gaps_sql('ue')}
+SELECT strftime(ts, '%Y-%m') AS month, {_seg('days')} inactivity_period, count(*) reactivations_count, count(DISTINCT uid) users FROM gap WHERE days >= 7 GROUP BY 1, 2""", "ue")
+def _(spark, d):
+    """Reactivations stored, then brought up to date with new and late events, twice with the same batch."""
+    path, (stored, batch) = scratch_path(spark, "reactivations"), _late_batch(spark, d)
+    vw.build_reactivations(stored, path)
+    for _ in range(2):
+        vw.refresh_reactivations(batch, stored.unionAll(batch), path)
+    return wr.read_table(spark, path).groupBy("month", "inactivity_period").agg(
+        F.count(F.lit(1)).alias("reactivations_count"), F.countDistinct("user_id").alias("users"))
+
+
+_COHORTS = f"""WITH p AS (SELECT uid, ts, amt, min(ts) OVER (PARTITION BY uid) f FROM ue)
+SELECT CAST(date_trunc('month', f) AS DATE) cohort_start, count(DISTINCT uid) users_count, {dec('sum(amt) / count(DISTINCT uid)', 2)} arppu
+FROM p WHERE f <= TIMESTAMP '2001-07-01' AND ts < f + INTERVAL 30 DAY GROUP BY 1"""
+
+
+@report("snk8_refresh", _COHORTS, "ue")
+def _(spark, d):
+    """Cohorts stored per user, then brought up to date; late first deposits move users to earlier cohorts."""
+    path, (stored, batch) = scratch_path(spark, "cohorts"), _late_batch(spark, d)
+    vw.build_cohorts(stored, path)
+    for _ in range(2):
+        vw.refresh_cohorts(batch, stored.unionAll(batch), path)
+    return vw.cohorts(spark, path, "2001-08-01").select("cohort_start", "users_count", F.round("arppu", 2).alias("arppu"))
+
+
+@report("snk8_group_layers", f"""WITH g AS (SELECT CASE WHEN right(uid, 1) SIMILAR TO '[0-7]' THEN 'Control' ELSE 'Test' END test_group, uid, amt FROM ue)
+SELECT test_group, count(DISTINCT uid) unique_users, count(*) total_deposits, {dbl('sum(amt)')} total_deposits_usd FROM g GROUP BY 1""", "ue")
+def _(spark, d):
+    """Split-test totals in layers by batch, one of them repeated, then all as one."""
+    path, (stored, batch) = scratch_path(spark, "groups"), _late_batch(spark, d)
+    for name, rows in (("1", stored), ("2", batch), ("2", batch)):
+        vw.add_group_layer(rows, path, name)
+    vw.compact_layers(spark, path)
+    return st.compare_totals(vw.group_totals(spark, path)).select("test_group", "unique_users", "total_deposits", "total_deposits_usd")
+
+
 @report("snk8_stored_groups", f"""SELECT CASE WHEN right(uid, 1) SIMILAR TO '[0-7]' THEN 'Control' ELSE 'Test' END test_group, count(*) deposits, {dbl('sum(amt)')} revenue FROM ue GROUP BY 1""", "ue")
 def _(spark, d):
     path = scratch_path(spark, "groups")
@@ -396,9 +508,7 @@ def _(spark, d):
     return wr.read_table(spark, path).groupBy("test_group").agg(F.count(F.lit(1)).alias("deposits"), F.sum("deposit_amount").alias("revenue"))
 
 
-@report("snk8_stored_cohorts", f"""WITH p AS (SELECT uid, ts, amt, min(ts) OVER (PARTITION BY uid) f FROM ue)
-SELECT CAST(date_trunc('month', f) AS DATE) cohort_start, count(DISTINCT uid) users_count, {dec('sum(amt) / count(DISTINCT uid)', 2)} arppu
-FROM p WHERE f <= TIMESTAMP '2001-07-01' AND ts < f + INTERVAL 30 DAY GROUP BY 1""", "ue")
+@report("snk8_stored_cohorts", _COHORTS, "ue")
 def _(spark, d):
     path = scratch_path(spark, "cohorts")
     wr.store_report(arppu.first_period(frames.user_events(spark, d), "2001-08-01", "month"), path)
@@ -435,6 +545,24 @@ def _(spark, d):
     return wr.read_table(spark, table).groupBy("event_month").agg(F.count(F.lit(1)).alias("events"))
 
 
+@report("str1_changing_layouts", f"SELECT strftime(ts, '%Y-%m') AS event_month, count(*) events, count(DISTINCT event_id) ids, {dbl('sum(amt)')} revenue, 2 bad_files FROM ue GROUP BY 1", "ue")
+def _(spark, d):
+    """Files of three layouts, one of them with cells over two lines, and two that cannot be read, in two drops."""
+    landing, table, bad, checkpoint = (scratch_path(spark, n) for n in ("landing", "stream-table", "quarantine", "stream-checkpoint"))
+    rows = spark.read.option("header", True).csv(_event_files(spark, d, pixel=True, name="drop-source"))
+    third, kept = F.col("EVENT_ID").cast("bigint") % 3, [c for c in rows.columns if c != "SUB_ID"]
+    drops = [rows.filter(third == 0), rows.filter(third == 1).select(F.lit("two\nlines").alias("NOTE"), *reversed(rows.columns)), rows.filter(third == 2).select(kept)]
+    for number, drop in enumerate(drops):
+        drop.write.mode("append").option("header", True).option("escape", '"').csv(landing)
+        if number:
+            torn = drop.limit(1).select(F.lit("EVENT_ID,TYPE,PIXEL_TS").alias("value") if number == 1 else F.lit("a,b,c").alias("value"))
+            torn.unionAll(drop.limit(1).select(F.lit('1,"deposit,2001-01-01' if number == 1 else "1,2,3"))).coalesce(1).write.mode("append").text(landing)
+            ingest.upsert_files(spark, landing, IDS, table, bad, checkpoint, files_per_trigger=5).awaitTermination()
+    counts = wr.read_table(spark, table).groupBy("event_month").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids"), F.sum("converted_amount").alias("revenue"))
+    return counts.withColumn("bad_files", F.lit(spark.read.parquet(bad).count()))
+
+
 @report("str2_bounded_dedup", """WITH t AS (SELECT ts FROM ue UNION ALL SELECT ts + INTERVAL 8000 DAY FROM ue UNION ALL SELECT TIMESTAMP '2012-01-01')
 SELECT strftime(ts, '%Y-%m') AS event_month, count(*) events FROM t GROUP BY 1""", "ue")
 def _(spark, d):

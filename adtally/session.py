@@ -81,14 +81,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:
-    """Delete folders that are no longer needed, on whatever file system they are.
-
-    Spark drops the shuffle files of finished jobs when the driver collects its garbage, which
-    may not happen for long; it is asked to here, as big steps end with a call of this.
-    """
+    """Delete folders that are no longer needed, on whatever file system they are."""
     jvm = spark.sparkContext._jvm
     for path in paths:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Ask the driver to collect its garbage, upon which Spark drops the shuffle files of finished jobs.
+
+    Without it they may stay for long, as a driver that only plans makes little garbage.
+    """
     gc.collect()
-    jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()

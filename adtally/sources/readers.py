@@ -41,7 +41,11 @@ def _decoded(cell: Column) -> Column:
     return F.replace(F.regexp_replace(text_, r"^ +|[ \r]+$", ""), F.lit("\r\n"), F.lit("\n"))
 
 
-def _export_records(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> DataFrame:
+def _occurrences(character: str) -> Column:
+    return F.length("value") - F.length(F.replace("value", F.lit(character), F.lit("")))
+
+
+def _export_records(spark: SparkSession, path: str | Sequence[str], glob: str | None, files: Sequence[str] | None = None) -> DataFrame:
     """The records of CSV files as (place, cells, file_path, file_name), empty ones left out.
 
     A first look over the lines finds the files in which a quoted cell holds line feeds.
@@ -51,12 +55,13 @@ def _export_records(spark: SparkSession, path: str | Sequence[str], glob: str |
 
     Cells are trimmed and never NULL.  ``place`` ascends within a file and is negative for
     all but its first part.  ``file_name`` is the decoded name, the folder's where
-    Spark itself wrote the part files.
+    Spark itself wrote the part files.  ``files`` names those to read, as Spark does.
     """
     reader = spark.read.option("recursiveFileLookup", True)
     reader = reader.option("pathGlobFilter", glob) if glob else reader
-    count = lambda c: F.length("value") - F.length(F.replace("value", F.lit(c), F.lit("")))
-    lines = reader.text(path).select(F.col("_metadata.file_path").alias("at"), count(",").alias("commas"), count('"').alias("quotes"))
+    chosen = F.lit(True) if files is None else F.col("_metadata.file_path").isin(list(files))
+    lines = reader.text(path).filter(chosen).select(
+        F.col("_metadata.file_path").alias("at"), _occurrences(",").alias("commas"), _occurrences('"').alias("quotes"))
     widest = lines.agg(F.max("commas")).first()[0] or 0
     # Few, and only their names.
     broken = {r["at"]: r["quotes"] for r in lines.groupBy("at").agg(F.sum("quotes").alias("quotes"), F.max(F.col("quotes") % 2).alias("odd"))
@@ -73,7 +78,7 @@ def _export_records(spark: SparkSession, path: str | Sequence[str], glob: str |
 
     def read(multi_line: bool) -> DataFrame:
         own = F.col("_metadata.file_path").isin(list(broken))
-        some = rows.option("multiLine", multi_line).csv(path).filter(own if multi_line else ~own)
+        some = rows.option("multiLine", multi_line).csv(path).filter(chosen & (own if multi_line else ~own))
         place = F.monotonically_increasing_id()
         if not multi_line:
             place = F.when(F.col("_metadata.file_block_start") == 0, place).otherwise(-1)
@@ -125,16 +130,42 @@ def _by_own_header(records: DataFrame, is_header: Column | None, wanted: Mapping
     return rows.select(*[cell(header).alias(name) for header, name in wanted.items()], "file_path", "file_name")
 
 
-def _event_records(spark: SparkSession, path: str | Sequence[str], columns: Mapping[str, str], glob: str | None) -> DataFrame:
+def _is_event_header(cells: Column, columns: Mapping[str, str]) -> Column:
+    """A header record names the time and the type as cells; one of values does not."""
+    test = F.lit(True)
+    for header, name in columns.items():
+        if name in ("event_date", "event_type"):
+            test = test & F.array_contains(cells, header)
+    return test
+
+
+def unreadable_event_files(spark: SparkSession, path: str | Sequence[str], files: Sequence[str],
+                           columns: Mapping[str, str] = PIXEL_COLUMNS) -> dict[str, str]:
+    """Of some files of event exports, by the names Spark gives them, those that cannot be read, and why.
+
+    They have no line that names the columns, or quotes that do not pair up, alone or over lines.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path).filter(F.col("_metadata.file_path").isin(list(files)))
+    cells = F.transform(F.split(F.regexp_replace("value", '["\ufeff\r]', ""), ","), F.trim)
+    quotes = _occurrences('"')
+    found = {r["at"]: r for r in lines.groupBy(F.col("_metadata.file_path").alias("at")).agg(
+        F.max(_is_event_header(cells, columns)).alias("header"), F.max(quotes % 2).alias("odd"), (F.sum(quotes) % 2).alias("torn")).collect()}
+    bad = {}
+    for name in files:
+        if name not in found or not found[name]["header"]:
+            bad[name] = "no header line"
+        elif found[name]["odd"] and found[name]["torn"]:
+            bad[name] = "quotes do not pair up"
+    return bad
+
+
+def _event_records(spark: SparkSession, path: str | Sequence[str], columns: Mapping[str, str], glob: str | None,
+                   files: Sequence[str] | None = None) -> DataFrame:
     """Event exports as text, under their header names."""
-    records = _export_records(spark, path, glob)
+    records = _export_records(spark, path, glob, files)
     headers = [*columns, LATE_TIME]
     time = next(h for h, name in columns.items() if name == "event_date")
-    # A header record names the time and the type as cells; one of values does not.
-    kinds = [h for h, name in columns.items() if name in ("event_date", "event_type")]
-    test = F.lit(True)
-    for h in kinds:
-        test = test & F.array_contains("cells", h)
+    test = _is_event_header(F.col("cells"), columns)
     return _by_own_header(records, test, {h: h for h in headers}, [time])
 
 
@@ -174,9 +205,10 @@ def pixel_events(raw: DataFrame, brands: Mapping[int, str], until: tm.Day | None
 
 
 def pixel_csv(spark: SparkSession, path: str | Sequence[str], brands: Mapping[int, str],
-              until: tm.Day | None = None, glob: str | None = None, columns: Mapping[str, str] = PIXEL_COLUMNS) -> DataFrame:
-    """Pixel exports, columns by each file's own header; ``columns`` names other headers."""
-    return pixel_events(_event_records(spark, path, columns, glob), brands, until, columns)
+              until: tm.Day | None = None, glob: str | None = None, columns: Mapping[str, str] = PIXEL_COLUMNS,
+              files: Sequence[str] | None = None) -> DataFrame:
+    """Pixel exports, columns by each file's own header; ``columns`` names other headers, ``files`` the files to read."""
+    return pixel_events(_event_records(spark, path, columns, glob, files), brands, until, columns)
 
 
 # --- spend ------------------------------------------------------------------

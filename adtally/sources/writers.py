@@ -23,6 +23,8 @@ from ..functions import time as tm
 from ..operators.attribution import monthly_from_daily
 from ..operators.common import first_per_key, last_per_key
 from ..operators.reactivation import gaps
+from ..session import remove
+from . import event_index, layouts
 
 MONTH = "event_month"
 
@@ -35,33 +37,26 @@ def csv_results(df: DataFrame, path: str, single_file: bool = False, byte_order_
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
-def _as_stored(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
-    """``df`` with the column types the table at ``path`` already has, so its files agree."""
-    try:
-        stored = {f.name: f.dataType for f in df.sparkSession.read.parquet(path).schema.fields}
-    except AnalysisException:
-        return df  # first write
-    return df.select([F.col(c).cast(stored[c]) if c in stored and c not in keys else F.col(c) for c in df.columns])
-
-
 def _rebalanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows gathered by partition; adaptive execution cuts a large partition into files of a sensible size."""
     return df.hint("rebalance", *keys) if keys else df
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    (_rebalanced(_as_stored(df, path, partition_by), partition_by).write.mode("append")
+    """Add rows to a table, which takes up new columns and wider types (``layouts``)."""
+    (_rebalanced(layouts.evolved(df, path, partition_by), partition_by).write.mode("append")
      .partitionBy(*partition_by).parquet(path))
 
 
 def read_table(spark: SparkSession, path: str, like: DataFrame | None = None, merge_schema: bool = False) -> DataFrame:
-    """A stored table; before its first write an empty frame shaped ``like`` another.
+    """A stored table in its noted layout; before its first write an empty frame shaped ``like`` another.
 
     The types of ``like`` also decide how partition values, such as sheet ids, are read.
-    ``merge_schema`` collects columns that only some files have, which opens every file.
+    ``merge_schema`` collects columns that only some files have, which opens every file, where no layout is noted.
     """
     try:
-        reader = spark.read if like is None else spark.read.schema(like.schema)
+        known = layouts.noted(spark, path) if like is None else like.schema
+        reader = spark.read if known is None else spark.read.schema(known)
         return reader.option("mergeSchema", merge_schema).parquet(path)
     except AnalysisException:
         if like is None:
@@ -71,7 +66,7 @@ def read_table(spark: SparkSession, path: str, like: DataFrame | None = None, me
 
 def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Overwrite the partitions that occur in ``df`` and leave the others."""
-    (_rebalanced(_as_stored(df, path, keys), keys).write.mode("overwrite")
+    (_rebalanced(layouts.evolved(df, path, keys), keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
 
 
@@ -79,16 +74,9 @@ def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _delete(spark: SparkSession, folders: Iterable[str]) -> None:
-    jvm = spark.sparkContext._jvm
-    for folder in folders:
-        target = jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def _drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable[object]) -> None:
     """Delete the folders of partition values, such as ``month=2025-11``, of a Parquet table."""
-    _delete(spark, [f"{path}/{column}={_NULL_FOLDER if v is None else v}" for v in values])
+    remove(spark, [f"{path}/{column}={_NULL_FOLDER if v is None else v}" for v in values])
 
 
 def _staging(path: str, name: str) -> str:
@@ -161,26 +149,36 @@ def merged(target: DataFrame, batch: DataFrame, order: Sequence[Column] = ()) ->
 
 
 def upsert_events(batch: DataFrame, path: str, order: Sequence[Column] = (),
-                  since_month: str | None = None) -> None:
+                  since_month: str | None = None, indexed: bool = False) -> None:
     """Merge a batch into the event table, rewriting only the months it touches.
 
     Those are the months of the new rows and of the old rows they replace; rows without a
     time are a month of their own.  Running the same batch again gives the same table.
+    Columns that only the table has are kept, and NULL in new rows.
+
     Finding the old rows reads the event ids of the whole table, unless ``since_month``
-    promises that no older month holds any.
+    promises that no older month holds any, or the table is ``indexed``: then the index
+    beside it (``event_index``), made on the first call and kept up here, names the months.
     """
     spark = batch.sparkSession
     events = schemas.conform(batch, schemas.USER_EVENTS)
     new_path, staged_path = _staging(path, "batch"), _staging(path, "months")
-    with_month(last_per_key(events.filter(F.col("event_id").isNotNull()), ["event_id"],
-                            order or [F.col("event_date")])).write.parquet(new_path)
-    new = spark.read.schema(with_month(events).schema).parquet(new_path)
+    latest = with_month(last_per_key(events.filter(F.col("event_id").isNotNull()), ["event_id"], order or [F.col("event_date")]))
+    stored = layouts.noted(spark, path)
+    if stored is not None:
+        latest = layouts.cast_to(latest, layouts.common_layout(latest.schema, stored))
+    latest.write.parquet(new_path)
+    new = spark.read.schema(latest.schema).parquet(new_path)
     target = read_table(spark, path, new)
     if since_month is not None:
         target = target.filter((F.col(MONTH) >= since_month) | F.col(MONTH).isNull())
     # Months are few; the event rows themselves stay on the executors.
-    replaced = target.select("event_id", MONTH).join(new.select("event_id"), "event_id", "left_semi")
-    months = _values(new, MONTH) | _values(replaced, MONTH)
+    if indexed:
+        event_index.update(spark, path)
+        months = _values(new, MONTH) | event_index.months_of(new, path)
+    else:
+        replaced = target.select("event_id", MONTH).join(new.select("event_id"), "event_id", "left_semi")
+        months = _values(new, MONTH) | _values(replaced, MONTH)
     if months:
         touched = F.col(MONTH).isin([m for m in months if m is not None])
         if None in months:
@@ -190,7 +188,9 @@ def upsert_events(batch: DataFrame, path: str, order: Sequence[Column] = (),
         left = _values(staged, MONTH)
         replace_partitions(staged, path, [MONTH])
         _drop_partitions(spark, path, MONTH, months - left)
-    _delete(spark, [new_path, staged_path])
+    if indexed:
+        event_index.update(spark, path, new)
+    remove(spark, [new_path, staged_path])
 
 
 # --- stored reports ---------------------------------------------------------
@@ -216,3 +216,47 @@ def copy_table(source: DataFrame, path: str) -> DataFrame:
     """Copy an event table to Parquet by month and return the copy."""
     _rebalanced(with_month(source), [MONTH]).write.mode("overwrite").partitionBy(MONTH).parquet(path)
     return source.sparkSession.read.parquet(path)
+
+
+def copied_ranges(spark: SparkSession, path: str) -> dict[str | None, tuple[int, int]]:
+    """The months that :func:`copy_ranges` has finished, with their number of rows and a sum over them."""
+    try:
+        rows = spark.read.schema(f"{MONTH} string, n bigint, total bigint, at timestamp").parquet(f"{path.rstrip('/')}-ranges").orderBy("at").collect()
+    except AnalysisException:
+        return {}
+    return {r[MONTH]: (r["n"], r["total"]) for r in rows}  # the latest of a month counts
+
+
+def copy_ranges(source: DataFrame, path: str, at_once: int = 12, most: int | None = None) -> list[str | None]:
+    """Copy an event table month by month, and go on where an earlier run ended; returns the months copied now.
+
+    Some months ``at_once`` are read by their time range, dealt by time, and written over what
+    a broken run may have left of them; then they are entered in a list beside the copy with
+    their rows and a sum over all their values.  A month counts as copied if the source
+    still has the same.  ``most`` ends the run after so many months.
+    """
+    spark = source.sparkSession
+    rows = with_month(source)
+    every = [F.col(f"`{c}`") for c in source.columns]
+    mark = F.sum(F.pmod(F.xxhash64(*every, *[F.isnull(c) for c in every]), F.lit(1 << 31))).alias("total")
+    figures = lambda df: {r[MONTH]: (r["n"], r["total"]) for r in df.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n"), mark).collect()}
+    there, done = figures(rows), copied_ranges(spark, path)
+    open_ = sorted((m for m in there if done.get(m) != there[m]), key=lambda m: (m is None, m or ""))
+    open_ = open_ if most is None else open_[:most]
+    for i in range(0, len(open_), at_once):
+        some = open_[i:i + at_once]
+        named = [m for m in some if m is not None]
+        inside = F.col("event_date").isNull() if None in some else F.lit(False)
+        if named:  # a range of the time itself reaches the source
+            span = (F.col("event_date") >= F.lit(f"{named[0]}-01").cast("timestamp")) & (
+                F.col("event_date") < F.add_months(F.lit(f"{named[-1]}-01").cast("date"), 1).cast("timestamp"))
+            inside = inside | (span & F.col(MONTH).isin(named))
+        (rows.filter(inside).repartitionByRange(MONTH, "event_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(MONTH).parquet(path))
+        written = figures(spark.read.schema(rows.schema).parquet(path).filter(F.col(MONTH).isin(named) | (F.col(MONTH).isNull() if None in some else F.lit(False))))
+        wrong = [m for m in some if written.get(m) != there[m]]
+        if wrong:
+            raise ValueError(f"the copy of {wrong} differs from its source; run again")
+        entries = spark.createDataFrame([(m, *there[m]) for m in some], f"{MONTH} string, n bigint, total bigint")
+        entries.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}-ranges")
+    return open_

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import time as tm
-from ..sources.readers import LATE_TIME, PIXEL_COLUMNS, pixel_events
+from ..sources.readers import LATE_TIME, PIXEL_COLUMNS, pixel_csv, pixel_events, unreadable_event_files
 from ..sources.writers import MONTH, upsert_events, with_month
 
 
@@ -20,9 +20,9 @@ def event_stream(spark: SparkSession, folder: str, brands: Mapping[int, str], un
                  files_per_trigger: int = 1000, columns: Mapping[str, str] = PIXEL_COLUMNS) -> DataFrame:
     """Pixel CSV files below ``folder`` as a typed stream; ``columns`` gives the headers in the order of the export.
 
-    A stream needs its layout up front: all those columns and the event's own time.  A file
-    with another header stops the stream with an error that shows it, and its rows are
-    not taken for something else.
+    A stream of rows needs its layout up front: all those columns and the event's own time.
+    A file with another header stops it with an error that shows it, and its rows are not
+    taken for something else; :func:`upsert_files` takes files of any layouts.
     """
     headers = [*columns, *([] if LATE_TIME in columns else [LATE_TIME])]
     layout = T.StructType([T.StructField(h, T.StringType()) for h in headers])
@@ -55,3 +55,32 @@ def upsert_stream(events: DataFrame, path: str, checkpoint: str, since_month: st
     """
     return (events.writeStream.foreachBatch(lambda batch, _: upsert_events(batch, path, since_month=since_month))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def upsert_files(spark: SparkSession, folder: str, brands: Mapping[int, str], table: str, quarantine: str, checkpoint: str,
+                 until: tm.Day | None = None, files_per_trigger: int = 1000, columns: Mapping[str, str] = PIXEL_COLUMNS,
+                 since_month: str | None = None, indexed: bool = False) -> StreamingQuery:
+    """Merge all pixel files not read yet into the event table, each by its own header, then stop.
+
+    The stream is of file names; each batch of them is read like any export, so layouts may
+    change from file to file and cells may go over lines.  Files that cannot be read do not
+    stop the stream: they are listed at ``quarantine`` (file_path, reason) by batch, and
+    nothing of them is stored.  A batch that is repeated after a failure gives the same
+    table and list.
+    """
+    layout = "path string, modificationTime timestamp, length bigint, content binary"  # of which only the name is read
+    names = (spark.readStream.format("binaryFile").schema(layout).option("maxFilesPerTrigger", files_per_trigger).option("recursiveFileLookup", True)
+             .load(folder).select(F.col("_metadata.file_path").alias("file_path")))
+
+    def take(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        files = sorted(r[0] for r in batch.collect())  # bounded by files_per_trigger
+        bad = unreadable_event_files(session, folder, files, columns)
+        good = [f for f in files if f not in bad]
+        if good:
+            upsert_events(pixel_csv(session, folder, brands, until, columns=columns, files=good), table, since_month=since_month, indexed=indexed)
+        if bad:
+            rows = session.createDataFrame([(f, why, number) for f, why in sorted(bad.items())], "file_path string, reason string, batch bigint")
+            rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(quarantine)
+
+    return names.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
