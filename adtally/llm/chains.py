@@ -1,7 +1,8 @@
 """Toxicity by a classifier chain: one linear model per category, each seeing the earlier ones' results.
 
 The models are logistic regressions on the presence and frequency of words and word beginnings,
-fitted in numpy on a bounded sample of labelled documents.  A later category gets the earlier
+fitted in numpy on a bounded sample of labelled documents.  Spark counts in how many of
+them, of each label, a feature stands; only the telling ones go to the driver.  A later category gets the earlier
 probabilities as inputs; while fitting, these come from models that did not see the
 document (out of fold), as they will not have seen the documents scored later.
 """
@@ -13,13 +14,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from .graph import Scratch
+from .rules import parting
 from .words import ALNUM, Hasher
 
 SAMPLE = 6_000
 FEATURES = 3_000
 FOLDS = 3
+TOLD = 4  # times FEATURES: what a category's models choose from
 BEGINNINGS = (5, 6, 7)  # bytes
 OFTEN = (2, 3, 5)
 
@@ -37,6 +42,7 @@ class Linear(NamedTuple):
     weights: np.ndarray
     earlier: np.ndarray
     bias: float
+    bound: float = 0.5  # parts the labels best in out-of-fold scores
 
     def score(self, found: np.ndarray, earlier: Sequence[float]) -> float:
         at = np.minimum(np.searchsorted(self.names, found), max(len(self.names) - 1, 0))
@@ -110,10 +116,11 @@ def fit_chain(docs: Sequence[np.ndarray], labels: np.ndarray, weight: np.ndarray
         else:
             models.append(part(known))
         out = np.zeros(len(docs))
-        for f in range(folds if c + 1 < labels.shape[1] and known.any() else 0):
+        for f in range(folds if known.any() else 0):
             model = part(known & (fold != f)) if (known & (fold != f)).any() else models[-1]
             for i in np.flatnonzero(fold == f):
                 out[i] = model.score(docs[i], earlier[i])
+        models[-1] = models[-1]._replace(bound=parting(out[known], y[known]))
         earlier = np.column_stack([earlier, log_odds(out)])
     return models
 
@@ -124,7 +131,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str], key: st
 
     Rows are chosen by a hash of their key from those with crc32(key as text) mod 5 <> 0; the
     others are held out.  Class weights undo the choice.  Repeated labels of a key count
-    once, by their smallest values; a null label is unknown.
+    once, by their smallest values, and so do repeated documents, by the smallest features;
+    a null label is unknown.
     """
     last = F.col(categories[-1])
     known = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).cast("bigint").alias("key")).agg(
@@ -138,14 +146,27 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str], key: st
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            found = [features(hasher, t.as_py()).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["key", "found"])
+            for i in range(0, batch.num_rows, 100):
+                found = [features(hasher, t.as_py()).view(np.int64) for t in batch.column(1)[i:i + 100]]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:i + 100], pa.array(found, pa.list_(pa.int64()))], names=["key", "found"])
 
     chosen = ones.unionAll(zeros)
+    steps = Scratch(docs.sparkSession)
     texts = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
     # The sample's size is bounded by the parameter, so its keys may be broadcast.
-    found = texts.join(F.broadcast(chosen.select("key")), "key", "left_semi").mapInArrow(extract, "key bigint, found binary")
-    rows = found.join(F.broadcast(chosen), "key").orderBy("key", "found").toArrow().to_pydict()
+    found = texts.join(F.broadcast(chosen.select("key")), "key", "left_semi").mapInArrow(extract, "key bigint, found array<bigint>")
+    found = steps.fixed(found.groupBy("key").agg(F.min("found").alias("found")).join(F.broadcast(chosen), "key"), "chain-sample")
+    told = np.unique(np.array([x for c in categories for x in _telling(found, c, TOLD * FEATURES)], np.int64)).tolist()
+
+    def restrict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = pa.array(told, pa.int64())
+        for batch in batches:
+            lists = [np.sort(row.values.filter(pc.is_in(row.values, kept)).to_numpy().view(np.uint64)).tobytes() for row in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.binary()), *batch.columns[2:]], names=batch.schema.names)
+
+    kinds = "".join(f", {c} double" for c in categories)
+    rows = found.mapInArrow(restrict, f"key bigint, found binary{kinds}").orderBy("key").toArrow().to_pydict()
+    steps.clear()
     data = [np.frombuffer(b, np.uint64) for b in rows["found"]]
     y = np.array([[np.nan if v is None else v for v in rows[c]] for c in categories]).T.reshape(len(data), len(categories))
     one = y[:, -1] == 1
@@ -153,26 +174,44 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str], key: st
     return fit_chain(data, y, weight) if data else fit_chain([], y, weight)
 
 
-def score(docs: DataFrame, models: Sequence[Linear], categories: Sequence[str], key: str = "doc_id", text: str = "text") -> DataFrame:
+def _telling(found: DataFrame, category: str, most: int) -> list[int]:
+    """The features of (found, labels) whose presence differs most between the labels of a category, in standard errors."""
+    known = found.filter(F.col(category).isNotNull())
+    n1, n0 = (float(x or 0) for x in known.agg(F.sum(category), F.sum(1 - F.col(category))).first())
+    if not n1 or not n0:
+        return []
+    ones, zeros = F.sum(category).alias("ones"), F.sum(1 - F.col(category)).alias("zeros")
+    counts = known.select(F.explode("found").alias("f"), category).groupBy("f").agg(ones, zeros).filter("ones + zeros >= 3")
+    p, q = (F.col("ones") + 0.5) / (n1 + 1), (F.col("zeros") + 0.5) / (n0 + 1)
+    z = F.abs(p - q) / F.sqrt(p * (1 - p) / n1 + q * (1 - q) / n0)
+    return [r[0] for r in counts.orderBy(z.desc(), "f").limit(most).select("f").collect()]
+
+
+def score(docs: DataFrame, models: Sequence[Linear], categories: Sequence[str], key: str = "doc_id", text: str = "text",
+          whole: bool = False) -> DataFrame:
     """Per document: key and the probability of each category, over the whole text.
 
     A null or empty text has no features and gets what the models say without any.
-    Repeated rows are scored one by one; other columns are ignored.
+    Repeated rows are scored one by one.  Other columns are ignored, or, if ``whole``, the
+    documents are returned with the probabilities, which replace columns of their names.
     """
+    kept = [c for c in docs.columns if c not in categories] if whole else [key]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             out = [[] for _ in models]
-            for value in batch.column(1):
+            for value in batch.column(batch.num_columns - 1 if not whole else kept.index(text)):
                 found, earlier = features(hasher, value.as_py()), []
                 for model, column in zip(models, out):
                     p = model.score(found, earlier)
                     column.append(float(p))
                     earlier.append(float(log_odds(np.array([p]))[0]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.float64()) for c in out]],
-                                             names=["key", *[f"p{i}" for i in range(len(models))]])
-
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"key {kind}, " + ", ".join(f"p{i} double" for i in range(len(models))))
-    return scored.select(F.col("key").alias(key), *[F.col(f"p{i}").alias(c) for i, c in enumerate(categories)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *[pa.array(c, pa.float64()) for c in out]],
+                                             names=[f"c{i}" for i in range(len(kept))] + [f"p{i}" for i in range(len(models))])
+
+    # A text that is returned is not sent twice.
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], *([] if whole else [F.col(f"`{text}`").cast("string").alias("text")]))
+    kinds = [f"c{i} {rows.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(kept))] + [f"p{i} double" for i in range(len(models))]
+    scored = rows.mapInArrow(run, ", ".join(kinds))
+    return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *[F.col(f"p{i}").alias(c) for i, c in enumerate(categories)])

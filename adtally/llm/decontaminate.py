@@ -140,7 +140,7 @@ def _slices(benchmark: DataFrame, item: str, text: str, width: int, slice_window
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
                   item_text: str = "text", width: int = WINDOW, share: int = 20,
-                  slice_windows: int = SLICE_WINDOWS) -> DataFrame:
+                  slice_windows: int = SLICE_WINDOWS, whole: bool = False) -> DataFrame:
     """How much of every document lies in windows of the benchmark.
 
     Returns key, n_words, n_hit (words in any occurrence of a window), items (sorted ids with
@@ -148,8 +148,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     lower-cased runs of letters and digits; an item shorter than ``width`` words is one
     window, one without words is none.  A null text has no words.  The windows of an item
     with a null id hit words but are no item; items that repeat an id are one.  Repeated
-    documents are judged one by one; other columns are ignored.
+    documents are judged one by one.  Other columns are ignored, or, if ``whole``, the
+    documents are returned with the figures, which replace columns of their names.
     """
+    figures = ("n_words", "n_hit", "items", "contaminated")
+    kept = [c for c in docs.columns if c not in figures] if whole else [key]
     tables = _slices(benchmark, item, item_text, width, slice_windows)
 
     def judged_group(texts: list[str | None]) -> tuple[list[int], list[int], list[list[str]]]:
@@ -168,23 +171,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            start = 0
+            start, column = 0, batch.column(kept.index(text) if whole else batch.num_columns - 1)
             while start < batch.num_rows:
                 texts, size = [], 0
                 while start + len(texts) < batch.num_rows and (not texts or size < GROUP_CHARS):
-                    texts.append(batch.column(1)[start + len(texts)].as_py())
+                    texts.append(column[start + len(texts)].as_py())
                     size += len(texts[-1] or "")
                 counts, hits, items = judged_group(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), pa.array(counts, pa.int64()), pa.array(hits, pa.int64()),
-                     pa.array(items, pa.list_(pa.string()))], names=["key", "n_words", "n_hit", "items"])
+                    [*[c.slice(start, len(texts)) for c in batch.columns[:len(kept)]], pa.array(counts, pa.int64()), pa.array(hits, pa.int64()),
+                     pa.array(items, pa.list_(pa.string()))], names=[*[f"c{i}" for i in range(len(kept))], "n_words", "n_hit", "items"])
                 start += len(texts)
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
-    judged = rows.mapInArrow(judge, f"key {kind}, n_words bigint, n_hit bigint, items array<string>")
+    # A text that is returned is not sent twice.
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], *([] if whole else [F.col(f"`{text}`").cast("string").alias("text")]))
+    kinds = ", ".join(f"c{i} {rows.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(kept)))
+    judged = rows.mapInArrow(judge, f"{kinds}, n_words bigint, n_hit bigint, items array<string>")
     contaminated = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
-    return judged.select(F.col("key").alias(key), "n_words", "n_hit", "items", contaminated.alias("contaminated"))
+    return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "n_words", "n_hit", "items", contaminated.alias("contaminated"))
 
 
 def items_digest(items):

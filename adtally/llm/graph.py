@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..session import scratch_path
+from ..session import forget_shuffles, remove, scratch_path
+
+
+class Scratch:
+    """Tables written to the shared folder on the way to a result, and removed when it no longer needs them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark, self._paths = spark, []
+
+    def fixed(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written and read again, which cuts its lineage."""
+        path = scratch_path(self._spark, name)
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self._spark.read.parquet(path)
+
+    def clear(self) -> None:
+        """Remove the tables; what was read from them must be written by now."""
+        remove(self._spark, self._paths)
+        forget_shuffles(self._spark)
+        self._paths = []
 
 
 def fixed(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again, which cuts its lineage."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """``df`` written to the shared folder and read again; the table stays, for a result that reads it."""
+    return Scratch(df.sparkSession).fixed(df, name)
 
 
 def _rewired(links: DataFrame, both_ways: bool) -> DataFrame:
@@ -52,27 +70,30 @@ def components(links: DataFrame) -> DataFrame:
     linked to links on; each state is written to the shared folder, so a lost executor costs
     one step.
     """
-    now = fixed(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                .filter(F.col("a") != F.col("b")).distinct(), "links")
+    steps = Scratch(links.sparkSession)
+    now = steps.fixed(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                      .filter(F.col("a") != F.col("b")).distinct(), "links")
     while _unfinished(now):
-        now = fixed(_rewired(_rewired(now, True), False), "links")
+        before, steps = steps, Scratch(links.sparkSession)
+        now = steps.fixed(_rewired(_rewired(now, True), False), "links")
+        before.clear()
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
 
 
 def shared(rows: DataFrame) -> DataFrame:
-    """The rows (k, fp, ...) of the groups k with at least two different nodes fp, each once.
+    """The rows (k, node, ...) of the groups k with at least two different nodes, each once.
 
     A group is streamed by the window, in the order of the sort that the shuffle needs anyway.
     """
     group = Window.partitionBy("k")
-    ends = rows.withColumns({"_lo": F.min("fp").over(group), "_hi": F.max("fp").over(group)})
+    ends = rows.withColumns({"_lo": F.min("node").over(group), "_hi": F.max("node").over(group)})
     return ends.filter("_lo < _hi").drop("_lo", "_hi").distinct()
 
 
-def ranked(rows: DataFrame) -> DataFrame:
+def ranked(rows: DataFrame, steps: Scratch) -> DataFrame:
     """:func:`shared` rows with their ``rank`` in the group: the node that meets others under most keys comes first."""
-    rows = fixed(shared(rows), "groups")
-    meets = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("_meets"))
-    order = Window.partitionBy("k").orderBy(F.desc("_meets"), "fp")
-    return rows.join(meets, "fp").withColumn("rank", F.row_number().over(order)).drop("_meets")
+    rows = steps.fixed(shared(rows), "groups")
+    meets = rows.groupBy("node").agg(F.count(F.lit(1)).alias("_meets"))
+    order = Window.partitionBy("k").orderBy(F.desc("_meets"), "node")
+    return rows.join(meets, "node").withColumn("rank", F.row_number().over(order)).drop("_meets")

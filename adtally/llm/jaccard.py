@@ -13,7 +13,7 @@ from how often segments are small, since small subsets are shared by chance.  A
 leaves out its small segments while enough others remain for the principle to hold; m
 is chosen such that nearly all records can.
 
-Records are sets, not documents: documents with equal sets are one record.  In a
+Records are sets, not documents: documents with equal sets, by a 128-bit fingerprint, are one record.  In a
 key group, the member that meets most others, over all its keys, is paired with the rest
 first.  Groups whose members then still lie in several components are compared in full,
 block by block, on parity sketches: each shingle flips one bit, so two sets whose sketches
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.common import salted_join
-from .graph import components, fixed, shared
+from .graph import Scratch, components, fixed, shared
 from .words import SPACED, Hasher, mixed, shingles
 
 WORDS = 4
@@ -142,50 +142,67 @@ def fingerprints(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(key, n, band, fp, fp2) of every document."""
+    """The rows (text, ...) with n, fp and fp2 (size and fingerprints of their set) in place of the text."""
+    rest = [c for c in docs.columns if c != "text"]
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            n, band, fp, fp2 = [], [], [], []
-            for text in batch.column(1):
+            n, fp, fp2 = [], [], []
+            for text in batch.column("text"):
                 s = shingle_set(hasher, text.as_py(), rule.words)
                 a, b = fingerprints(s)
                 n.append(len(s))
-                band.append(rule.band(len(s)) if len(s) else -1)
                 fp.append(a)
                 fp2.append(b)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(band, pa.int32()),
-                                              pa.array(fp, pa.int64()), pa.array(fp2, pa.int64())],
-                                             names=["key", "n", "band", "fp", "fp2"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], *[pa.array(x, pa.int64()) for x in (n, fp, fp2)]],
+                                             names=[*rest, "n", "fp", "fp2"])
 
-    return docs.mapInArrow(measure, "key bigint, n bigint, band int, fp bigint, fp2 bigint")
+    kinds = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in rest)
+    return docs.mapInArrow(measure, f"{kinds}n bigint, fp bigint, fp2 bigint")
 
 
-def _keys(docs: DataFrame, rule: Rule, grids: Mapping[int, Grid]) -> DataFrame:
-    """(k, fp, n) for every key of every set; copies that one task sees are left out."""
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _distinct(docs: DataFrame, rule: Rule) -> DataFrame:
+    """(fp, fp2, n, text) of every set that is not empty, once.  Copies that one task sees are left out before the shuffle."""
+    def first_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), set()
         for batch in batches:
-            found, marks, sizes, total = [], [], [], 0
-            for i in range(batch.num_rows):
-                s = shingle_set(hasher, batch.column(1)[i].as_py(), rule.words)
-                mark = fingerprints(s)[0]
+            kept, rows = [], []
+            for i, text in enumerate(batch.column(0)):
+                s = shingle_set(hasher, text.as_py(), rule.words)
+                mark = fingerprints(s)
                 if len(s) and mark not in seen:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(mark)
-                    band = rule.band(len(s))
-                    keys = np.concatenate([segment_keys(s, grids[g], g) for g in (band, band - 1) if g in grids])
-                    found.append(keys)
-                    marks.append(np.full(len(keys), mark, np.int64))
-                    sizes.append(np.full(len(keys), len(s), np.int64))
-                    total += len(keys)
-                if found and (total >= 1 << 19 or i == batch.num_rows - 1):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(marks)),
-                                                      pa.array(np.concatenate(sizes))], names=["k", "fp", "n"])
-                    found, marks, sizes, total = [], [], [], 0
+                    kept.append(i)
+                    rows.append((*mark, len(s)))
+            numbers = [pa.array(list(c), pa.int64()) for c in (zip(*rows) if rows else [[]] * 3)]
+            yield pa.RecordBatch.from_arrays([*numbers, batch.column(0).take(pa.array(kept, pa.int64()))], names=["fp", "fp2", "n", "text"])
 
-    return docs.mapInArrow(emit, "k bigint, fp bigint, n bigint")
+    met = docs.select("text").mapInArrow(first_met, "fp bigint, fp2 bigint, n bigint, text string")
+    return met.groupBy("fp", "fp2").agg(F.min("n").alias("n"), F.min("text").alias("text"))
+
+
+def _keys(sets: DataFrame, rule: Rule, grids: Mapping[int, Grid]) -> DataFrame:
+    """(k, node, n) for every key of every set (node, text)."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            found, sizes, rows, start = [], [], [], 0
+            for i in range(batch.num_rows):
+                s = shingle_set(hasher, batch.column(1)[i].as_py(), rule.words)
+                band = rule.band(len(s))
+                found.append(np.concatenate([segment_keys(s, grids[g], g) for g in (band, band - 1) if g in grids]))
+                sizes.append(len(s))
+                rows.append(len(found[-1]))
+                if sum(rows) >= 1 << 19 or i == batch.num_rows - 1:
+                    nodes = batch.column(0).to_numpy()[start:i + 1]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(nodes, rows)),
+                                                      pa.array(np.repeat(np.array(sizes, np.int64), rows))], names=["k", "node", "n"])
+                    found, sizes, rows, start = [], [], [], i + 1
+
+    return sets.select("node", "text").mapInArrow(emit, "k bigint, node bigint, n bigint")
 
 
 def sketch(tokens: np.ndarray, rule: Rule) -> bytes:
@@ -195,44 +212,17 @@ def sketch(tokens: np.ndarray, rule: Rule) -> bytes:
     return np.packbits(np.bincount((mixed(tokens) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).tobytes()
 
 
-def _marked(docs: DataFrame, rule: Rule) -> DataFrame:
-    """The rows (row, text) as (row, fp) without the text; those without words have no fp."""
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        for batch in batches:
-            sets = [shingle_set(hasher, t.as_py(), rule.words) for t in batch.column(1)]
-            marks = [fingerprints(s)[0] if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.int64())], names=["row", "fp"])
-
-    return docs.mapInArrow(mark, f"row {docs.schema['row'].dataType.simpleString()}, fp bigint")
-
-
-def _contents(docs: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
-    """(fp, tokens, bits) of the sets ``wanted`` (fp), each once, whatever the keys of its documents."""
-    def first_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = Hasher(), set()
-        for batch in batches:
-            kept, marks = [], []
-            for i, text in enumerate(batch.column(1)):
-                mark = fingerprints(shingle_set(hasher, text.as_py(), rule.words))[0]
-                if mark not in seen:
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(mark)
-                    kept.append(i)
-                    marks.append(mark)
-            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), batch.column(1).take(pa.array(kept, pa.int64()))], names=["fp", "text"])
-
+def _contents(sets: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
+    """(node, tokens, bits) of the sets (node, text) that are ``wanted`` (node)."""
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
-                sets = [shingle_set(hasher, text.as_py(), rule.words) for text in batch.column(1)[i:i + 200]]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:i + 200], pa.array([s.tobytes() for s in sets], pa.binary()),
-                                                  pa.array([sketch(s, rule) for s in sets], pa.binary())], names=["fp", "tokens", "bits"])
+                found = [shingle_set(hasher, text.as_py(), rule.words) for text in batch.column(1)[i:i + 200]]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:i + 200], pa.array([s.tobytes() for s in found], pa.binary()),
+                                                  pa.array([sketch(s, rule) for s in found], pa.binary())], names=["node", "tokens", "bits"])
 
-    texts = docs.mapInArrow(first_met, "fp bigint, text string").groupBy("fp").agg(F.min("text").alias("text"))
-    return texts.join(wanted, "fp", "left_semi").select("fp", "text").mapInArrow(fetch, "fp bigint, tokens binary, bits binary")
+    return sets.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(fetch, "node bigint, tokens binary, bits binary")
 
 
 def near_pairs(names: np.ndarray, sizes: np.ndarray, labels: np.ndarray, blocks: np.ndarray, bits: list[bytes],
@@ -261,17 +251,17 @@ def near_pairs(names: np.ndarray, sizes: np.ndarray, labels: np.ndarray, blocks:
 def _compared(led: DataFrame, labels: DataFrame, contents: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b), as :func:`near_pairs` allows them, of groups whose members lie in several components.
 
-    Groups are (k, fp, n, lead); the lead has been verified with all others and is left
+    Groups are (k, node, n, lead); the lead has been verified with all others and is left
     out.  A task streams sorted blocks and holds two of one group at most.
     """
-    state = led.filter("fp != lead").join(labels, "fp", "left").withColumn("c", F.coalesce("component", "fp")).select("k", "fp", "n", "c")
+    state = led.filter("node != lead").join(labels, "node", "left").withColumn("c", F.coalesce("component", "node")).select("k", "node", "n", "c")
     open_ = state.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo < hi")
     rows = state.join(open_.select("k", "size"), "k")
-    place = (F.row_number().over(Window.partitionBy("k").orderBy("fp")) - 1) / BLOCK
-    rows = rows.withColumn("block", F.floor(place)).join(contents.select("fp", "bits"), "fp")
+    place = (F.row_number().over(Window.partitionBy("k").orderBy("node")) - 1) / BLOCK
+    rows = rows.withColumn("block", F.floor(place)).join(contents.select("node", "bits"), "node")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("size") - 1) / BLOCK))))
     group = ["k", "low", "high"]
-    rows = rows.select("k", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "fp", "n", "c", "block", "bits")
+    rows = rows.select("k", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "n", "c", "block", "bits")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(parts: list[list]) -> tuple[np.ndarray, np.ndarray]:
@@ -317,36 +307,47 @@ def _verified(pairs: DataFrame, contents: DataFrame, rule: Rule) -> DataFrame:
                     kept.append(i)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
-    one = contents.select(F.col("fp").alias("a"), F.col("tokens").alias("left"))
-    two = contents.select(F.col("fp").alias("b"), F.col("tokens").alias("right"))
+    one = contents.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
+    two = contents.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
 
 
 def _components(narrow: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
-    """(key, n, band, fp, fp2) of every row of (key, text), and (fp, component) of the sets with links."""
-    sets = fixed(_sets(narrow, rule), "shingle-sets")
-    filled = sets.filter("n > 0")
-    if filled.groupBy("fp").agg(F.min("fp2").alias("a"), F.max("fp2").alias("b")).filter("a != b").limit(1).count():
-        raise RuntimeError("two different sets have one fingerprint; no result would be exact")
-    bands = {r["band"]: r["count"] for r in filled.groupBy("band").count().collect()}  # some 150 at most
+    """The rows (text, ...) as :func:`_sets` has them, and (fp, fp2, component) of the sets that are not empty.
+
+    A set goes by the number under which it was written, so no two are taken for one.
+    """
+    steps = Scratch(narrow.sparkSession)
+    rows = fixed(_sets(narrow, rule), "shingle-sets")
+    sets = steps.fixed(_distinct(narrow, rule).withColumn("node", F.monotonically_increasing_id()), "shingle-texts")
+    names = fixed(sets.select("node", "fp", "fp2"), "shingle-names")
+    band = F.expr(f"CAST({_band_sql(rule, 'n')} AS INT)").alias("band")
+    bands = {r["band"]: r["count"] for r in sets.groupBy(band).count().collect()}  # some 150 at most
     grids = {b: allocate(rule, b, bands.get(b, 0) + bands.get(b + 1, 0)) for b in {*bands, *(b - 1 for b in bands)} if b >= 0}
 
-    members = fixed(shared(_keys(narrow, rule, grids)), "shingle-members")
-    meets = members.groupBy("fp").agg(F.count(F.lit(1)).alias("meets"))
-    contents = fixed(_contents(narrow, rule, meets.select("fp")), "shingle-contents")
+    members = steps.fixed(shared(_keys(sets, rule, grids)), "shingle-members")
+    meets = members.groupBy("node").agg(F.count(F.lit(1)).alias("meets"))
+    contents = steps.fixed(_contents(sets, rule, meets.select("node")), "shingle-contents")
 
     # First each group's best-met member with the others.
-    by_meets = Window.partitionBy("k").orderBy(F.desc("meets"), "fp")
-    led = members.join(meets, "fp").select("k", "fp", "n", F.first("fp").over(by_meets).alias("lead"), F.first("n").over(by_meets).alias("lead_n"))
-    led = fixed(led, "shingle-groups")
+    by_meets = Window.partitionBy("k").orderBy(F.desc("meets"), "node")
+    led = members.join(meets, "node").select("k", "node", "n", F.first("node").over(by_meets).alias("lead"), F.first("n").over(by_meets).alias("lead_n"))
+    led = steps.fixed(led, "shingle-groups")
     near = F.greatest("n", "lead_n") * rule.least <= F.least("n", "lead_n") * 100
-    pairs = led.filter((F.col("fp") != F.col("lead")) & near).select(
-        F.least("fp", "lead").alias("a"), F.greatest("fp", "lead").alias("b")).distinct()
-    links = fixed(_verified(pairs, contents, rule), "shingle-links")
-    labels = components(links).withColumnRenamed("node", "fp")
-    more = fixed(_verified(_compared(led, labels, contents, rule), contents, rule), "shingle-links")
-    labels = components(links.unionAll(more)).withColumnRenamed("node", "fp")
-    return sets, labels
+    pairs = led.filter((F.col("node") != F.col("lead")) & near).select(
+        F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+    links = steps.fixed(_verified(pairs, contents, rule), "shingle-links")
+    labels = components(links)
+    more = steps.fixed(_verified(_compared(led, labels, contents, rule), contents, rule), "shingle-links")
+    labels = components(links.unionAll(more))
+    steps.clear()
+    return rows, names.join(labels, "node", "left").select("fp", "fp2", F.coalesce("component", "node").alias("component"))
+
+
+def _band_sql(rule: Rule, size: str) -> str:
+    """The number of the band of a size from 1 on."""
+    floors = ", ".join(f"{x}L" for x in _floors(rule.least))
+    return f"size(filter(array({floors}), x -> x <= {size})) - 1"
 
 
 def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
@@ -360,12 +361,11 @@ def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", r
     they are equal or linked to, if any.  Other columns are ignored.
     """
     narrow = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
-    sets, labels = _components(narrow, rule)
-    filled = sets.filter("n > 0")
-    named = filled.join(labels, "fp", "left").withColumn("c", F.coalesce("component", "fp")).select("key", "n", "c")
-    least = named.groupBy("c").agg(F.min("key").alias("least"))
-    placed = salted_join(named, least, ["c"]).select("key", "n", "least")
-    alone = sets.filter("n = 0").select("key", "n", F.col("key").alias("least"))
+    rows, labels = _components(narrow, rule)
+    named = rows.filter("n > 0").join(labels, ["fp", "fp2"]).select("key", "n", "component")
+    least = named.groupBy("component").agg(F.min("key").alias("least"))
+    placed = salted_join(named, least, ["component"]).select("key", "n", "least")
+    alone = rows.filter("n = 0").select("key", "n", F.col("key").alias("least"))
     return placed.unionAll(alone).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
 
 
@@ -373,17 +373,23 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", rule:
     """The documents without near duplicates: of each component of :func:`linked_documents` one row stays.
 
     It is the row of the smallest key, a null key being the largest; of several, that of the
-    smallest values.  Rows without words or text link with nothing and all stay.  Rows are
-    told apart by their text, not by their key.
+    smallest hash of all values.  Rows without words or text link with nothing and all
+    stay.  Rows are told apart by two hashes of all their columns, which alone go through the
+    search; whole rows are fetched by them in the end, and of equal rows one.
     """
-    narrow = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
-    sets, labels = _components(narrow, rule)
-    order = F.isnull("key"), F.col("key")
-    best = (sets.filter("n > 0").join(labels, "fp", "left").groupBy(F.coalesce("component", "fp"))
-            .agg(F.min(F.struct(*order, "fp"))["fp"].alias("fp")).select("fp"))
-    whole = F.struct(F.isnull(key).alias("_null"), F.col(key).cast("bigint").alias("_key"), F.struct(*docs.columns).alias("_row"))
-    rows = _marked(docs.select(whole.alias("row"), F.col(text).cast("string").alias("text")), rule)
-    # Copies are reduced on the map side before their text is shuffled.
-    kept = rows.filter("fp IS NOT NULL").groupBy("fp").agg(F.min("row").alias("row")).join(best, "fp", "left_semi")
-    wordless = ~F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return kept.select("row._row.*").unionAll(docs.filter(wordless))
+    values = [F.col(f"`{c}`") for c in docs.columns]
+    values += [F.isnull(v) for v in values]  # the hash passes over nulls
+    marks = {"_m1": F.xxhash64(*values), "_m2": F.xxhash64(F.lit("again"), *values)}
+    worded = F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    narrow = docs.filter(worded).withColumns(marks).select(
+        F.col(key).cast("bigint").alias("key"), "_m1", "_m2", F.col(text).cast("string").alias("text"))
+    rows, labels = _components(narrow, rule)
+    counted = (rows.join(labels, ["fp", "fp2"]).groupBy("component", "key", "_m1", "_m2").agg(F.count(F.lit(1)).alias("copies")))
+    best = counted.groupBy("component").agg(F.min(F.struct(F.isnull("key"), "key", "_m1", "_m2", "copies")).alias("best"))
+    best = fixed(best.select("best._m1", "best._m2", "best.copies"), "shingle-kept")
+    whole = docs.filter(worded).withColumns(marks)
+    once = whole.join(best.filter("copies = 1").drop("copies"), ["_m1", "_m2"], "left_semi").select(docs.columns)
+    again = whole.join(best.filter("copies > 1").drop("copies"), ["_m1", "_m2"], "left_semi")
+    # Equal rows are reduced where they are before one of them is shuffled.
+    again = again.groupBy(F.struct("_m1", "_m2")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row")).select("_row.*")
+    return once.unionAll(again).unionAll(docs.filter(~worded))

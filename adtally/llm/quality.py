@@ -4,8 +4,8 @@ The bytes of a whole document are cut into overlapping chunks.  Each byte has a
 vector, filters look at eight bytes at every second place, and a chunk is described by each
 filter's largest response.  A document is described by the largest and the mean of these
 over all its chunks, which one hidden layer combines into a probability.  The network is
-fitted by Adam steps on a bounded, seeded view of a bounded sample of labelled documents;
-gradients flow through the places of the largest responses only.
+fitted by Adam steps on all chunks of a bounded sample of labelled documents; gradients flow
+through the places of the largest responses only.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 SAMPLE = 4_000
-VIEW = 6  # chunks of a document seen while fitting
+LONGEST = 1 << 17  # bytes of a text that may be in the sample
 CHUNK, OVERLAP = 512, 64
 WIDTH, STRIDE = 8, 2
 VECTOR, FILTERS, HIDDEN = 6, 24, 16
@@ -76,12 +76,6 @@ def score_text(net: Network, text: str | None) -> float:
     return float(probability(net, described[None])[0])
 
 
-def view(text: str | None, most: int = VIEW) -> np.ndarray:
-    """At most ``most`` chunks spread evenly over a text, for fitting."""
-    rows = chunks((text or "").encode("utf-8", "surrogatepass"))
-    return np.ascontiguousarray(rows[np.unique(np.linspace(0, len(rows) - 1, min(most, len(rows))).round().astype(int))])
-
-
 def fit(views: list[np.ndarray], y: np.ndarray, steps: int = STEPS, seed: int = 7) -> Network:
     """A network for labels 0 and 1, each class seen equally often; scores are put right for that at the end."""
     random = np.random.default_rng(seed)
@@ -144,11 +138,13 @@ def _slopes(net: Network, views: list[np.ndarray], y: np.ndarray) -> list[np.nda
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-          sample: int = SAMPLE, seed: int = 7) -> Network:
+          sample: int = SAMPLE, longest: int = LONGEST, seed: int = 7) -> Network:
     """A network from at most ``sample`` labelled documents, half of each label where there are so many.
 
-    They are chosen by a hash of the key from those with crc32(key as text) mod 5 <> 0.  A key
-    with several labels counts once, by the smallest; null keys and labels are left out.
+    They are chosen by a hash of the key from those with crc32(key as text) mod 5 <> 0, and
+    seen whole; texts of more than ``longest`` bytes are no part of the sample.  A key with
+    several labels counts once, by the smallest, and so does one with several documents, by
+    the smallest text; null keys and labels are left out.
     """
     known = (labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).cast("bigint").alias("key"))
              .agg(F.min(F.col(label).cast("int")).alias("y")))
@@ -157,16 +153,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     chosen = part(0).unionAll(part(1))
     totals = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = [view(t.as_py()).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(seen, pa.binary())], names=["key", "seen"])
-
-    texts = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
-    # The sample's size is bounded by the parameter, so its keys may be broadcast.
-    seen = texts.join(F.broadcast(chosen.select("key")), "key", "left_semi").mapInArrow(look, "key bigint, seen binary")
-    rows = seen.join(F.broadcast(chosen), "key").orderBy("key", "seen").toArrow().to_pydict()
-    views = [np.frombuffer(b, np.uint8).reshape(-1, CHUNK) for b in rows["seen"]]
+    # The sample's size is bounded by the parameters, so its keys may be broadcast and its texts collected.
+    texts = docs.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
+    seen = texts.filter(F.octet_length("text") <= longest).join(F.broadcast(chosen.select("key")), "key", "left_semi")
+    rows = seen.groupBy("key").agg(F.min("text").alias("text")).join(F.broadcast(chosen), "key").orderBy("key").toArrow().to_pydict()
+    views = [np.ascontiguousarray(chunks(b)) for b in rows["text"]]
     y = np.array(rows["y"], np.float32)
     net = fit(views, y, seed=seed)
     if 0 < y.sum() < len(y):  # the choice of the sample is undone, too

@@ -221,21 +221,24 @@ class Judge(NamedTuple):
         return self.forest.score(features(counts))
 
 
+def parting(scores: np.ndarray, y: np.ndarray) -> float:
+    """The bound that parts scores of labels 0 and 1 best, each label counting as a half; of several, the middle one."""
+    if not len(y) or not 0 < y.sum() < len(y):
+        return 0.5
+    below = lambda some: (some[None] < BOUNDS[:, None]).mean(axis=1)
+    parted = below(scores[y == 0]) - below(scores[y == 1])
+    best = np.flatnonzero(parted >= parted.max() - 1e-9)
+    return float(BOUNDS[best[len(best) // 2]])
+
+
 def fit_judge(counts: np.ndarray, y: np.ndarray, weight: np.ndarray, folds: int = FOLDS) -> Judge:
-    """A forest, and the verdict's bound: the one that best parts the labels, each counting as a half, in scores
-    of forests that did not see the document; of several, the middle one."""
+    """A forest, and the verdict's bound, from scores of forests that did not see the document."""
     x, fold = features(counts), np.arange(len(y)) % folds
     apart = np.full(len(y), 0.5)
     for f in range(folds):
         if (fold != f).any():
             apart[fold == f] = fit(x[fold != f], y[fold != f], weight[fold != f]).score(x[fold == f])
-    share = lambda scores: (scores[None] < BOUNDS[:, None]).mean(axis=1)
-    least = 0.5
-    if len(y) and 0 < y.sum() < len(y):
-        parted = share(apart[y == 0]) - share(apart[y == 1])
-        best = np.flatnonzero(parted >= parted.max() - 1e-9)
-        least = float(BOUNDS[best[len(best) // 2]])
-    return Judge(fit(x, y, weight), least)
+    return Judge(fit(x, y, weight), parting(apart, y))
 
 
 def _measured(docs: DataFrame, key: str, text: str) -> DataFrame:
