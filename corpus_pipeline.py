@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adtally.llm import decontaminate, jaccard, mixing, shards
-from adtally.llm.queries import TOXIC, toxicity as toxicity_scores
+from adtally.llm.queries import toxicity as toxicity_scores
 from adtally.session import configure, scratch_path
 
 SHARDS = 40
@@ -21,36 +21,35 @@ def _known(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _whole(docs: DataFrame) -> DataFrame:
-    """``documents`` with each row as one value besides, so that a verdict is on the row: ids may be null or repeat."""
-    known = _known(docs)
-    return known.withColumn("row", F.struct(*known.columns))
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain does not find toxic."""
-    scored = toxicity_scores(_whole(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"), key="row")
-    return scored.filter(F.col("toxic") < TOXIC).select("row.*")
+    """Documents that the classifier chain does not find toxic.  Verdicts are on rows: ids may be null or repeat."""
+    configure(spark)
+    scored, bound = toxicity_scores(_known(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"), whole=True)
+    return _known(scored.filter(F.col("toxic") < bound))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of similar ones."""
+    configure(spark)
     return jaccard.one_of_each(_known(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
-    judged = decontaminate.contamination(_whole(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="row")
-    return judged.filter(~F.col("contaminated")).select("row.*")
+    configure(spark)
+    judged = decontaminate.contamination(_known(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), whole=True)
+    return _known(judged.filter(~F.col("contaminated")))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the mix takes: a row per document and pass, its text the blocks taken in order."""
+    configure(spark)
     return mixing.taken_texts(_known(docs))
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their shard."""
+    configure(spark)
     return shards.assign(_known(docs), "doc_id", SHARDS)
 
 
