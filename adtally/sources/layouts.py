@@ -7,7 +7,8 @@ over, so that neither reading nor writing has to open every file to know it.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -98,12 +99,14 @@ def cast_to(df: DataFrame, layout: T.StructType) -> DataFrame:
     return df.select([(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in layout.fields])
 
 
-def evolved(df: DataFrame, path: str, keys: Sequence[str] = ()) -> DataFrame:
-    """``df`` in the common layout of itself and the table at ``path``, which is noted there.
+@contextmanager
+def evolved(df: DataFrame, path: str, keys: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """``df`` in the common layout of itself and the table at ``path``, which is noted there, to be written within the context.
 
     Where a stored column must become wider, the table is first written anew in the common
     layout beside itself and takes its own place, which costs a copy of the table once per
-    change.  Partition columns ``keys`` keep the types they have in ``df`` or were noted with.
+    change; ``df``, which may come from that very table, is written aside before.
+    Partition columns ``keys`` keep the types they have in ``df`` or were noted with.
     """
     spark = df.sparkSession
     stored, known = layout_of(spark, path), noted(spark, path)
@@ -113,16 +116,20 @@ def evolved(df: DataFrame, path: str, keys: Sequence[str] = ()) -> DataFrame:
         if known is None:  # partition values are text that Spark took for something else
             stored = T.StructType([df.schema[f.name] if f.name in keys and f.name in df.columns else f for f in stored.fields])
         layout = common_layout(stored, T.StructType([f for f in df.schema.fields if f.name not in keys or f.name not in stored.names]))
-        if any(f.dataType != layout[f.name].dataType for f in stored.fields):
-            wider = f"{path.rstrip('/')}.wider"
-            rows = cast_to(spark.read.schema(stored).parquet(path), layout)
-            rows.write.mode("overwrite").partitionBy(*keys).parquet(wider)
-            note(spark, wider, layout)
-            swap(spark, wider, path)
-    result = cast_to(df, layout)
+    result, aside = cast_to(df, layout), None
+    if stored is not None and any(f.dataType != layout[f.name].dataType for f in stored.fields):
+        wider, aside = (f"{path.rstrip('/')}.{name}" for name in ("wider", "aside"))
+        result.write.mode("overwrite").parquet(aside)
+        result = spark.read.schema(layout).parquet(aside)
+        rows = cast_to(spark.read.schema(stored).parquet(path), layout)
+        rows.write.mode("overwrite").partitionBy(*keys).parquet(wider)
+        note(spark, wider, layout)
+        swap(spark, wider, path)
     if known != layout:
         note(spark, path, layout)
-    return result
+    yield result
+    if aside is not None:
+        remove(spark, [aside])
 
 
 def swap(spark: SparkSession, new: str, path: str) -> None:

@@ -44,8 +44,8 @@ def _rebalanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows to a table, which takes up new columns and wider types (``layouts``)."""
-    (_rebalanced(layouts.evolved(df, path, partition_by), partition_by).write.mode("append")
-     .partitionBy(*partition_by).parquet(path))
+    with layouts.evolved(df, path, partition_by) as rows:
+        _rebalanced(rows, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, like: DataFrame | None = None, merge_schema: bool = False) -> DataFrame:
@@ -66,8 +66,9 @@ def read_table(spark: SparkSession, path: str, like: DataFrame | None = None, me
 
 def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Overwrite the partitions that occur in ``df`` and leave the others."""
-    (_rebalanced(layouts.evolved(df, path, keys), keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+    with layouts.evolved(df, path, keys) as rows:
+        (_rebalanced(rows, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*keys).parquet(path))
 
 
 # Fixed value: the folder name that Spark gives to a NULL partition.

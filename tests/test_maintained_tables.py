@@ -54,6 +54,14 @@ def test_tables_without_a_noted_layout(spark, tmp_path):
     assert sorted(map(tuple, got.select("month", "a").collect())) == [("01", 1 << 40), ("1", 10)]
 
 
+def test_rows_made_from_the_table_itself(spark, tmp_path):
+    """A wider column moves the table while its rows are still to be read."""
+    path = str(tmp_path / "t")
+    wr.append(spark.createDataFrame([("x", 1), ("y", 2)], "k string, a int"), path, ["k"])
+    wr.append(wr.read_table(spark, path).withColumn("a", F.col("a") + F.lit("0.5").cast("decimal(3,1)")), path, ["k"])
+    assert sorted(float(r.a) for r in wr.read_table(spark, path).collect()) == [1.0, 1.5, 2.0, 2.5] and not list(tmp_path.glob("t.*"))
+
+
 def test_unchanged_layouts_rewrite_nothing(spark, tmp_path):
     path = tmp_path / "t"
     rows = spark.createDataFrame([("x", 1)], "k string, a bigint")
