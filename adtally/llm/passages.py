@@ -19,7 +19,7 @@ of the windows that have the signature: exact counts of common tokens leave few
 look at, and of those that are similar only as many are handed on as it takes to connect
 the components and to give each member a partner.
 
-Documents of equal words are one node.  A near repeat of one passage length at similarity
+Documents of equal words, by a 128-bit fingerprint, are one node.  A near repeat of one passage length at similarity
 0.8 meets its partner with a probability of 98 %; longer passages and closer similarity
 raise it (0.9: 99.9 %).
 """
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.common import salted_join
-from .graph import components, fixed, ranked
+from .graph import Scratch, components, fixed, ranked
 from .words import SPACED, Hasher, mixed, shingles
 
 WORDS = 5
@@ -337,12 +337,12 @@ def spans(marks: np.ndarray, words: int) -> list[dict[str, int]]:
     return [{"start": int(a), "stop": int(b) + words - 1} for a, b in edges.reshape(-1, 2)]
 
 
-def _mark(tokens: np.ndarray) -> int:
-    """One signed 64-bit number for a sequence of tokens."""
-    if not len(tokens):
-        return 0
+def _mark(tokens: np.ndarray) -> tuple[int, int]:
+    """Two signed 64-bit numbers for a sequence of tokens."""
+    at = mixed(np.arange(len(tokens), dtype=np.uint64))
     with np.errstate(over="ignore"):
-        return int(mixed(tokens + mixed(np.arange(len(tokens), dtype=np.uint64))).sum(dtype=np.uint64).astype(np.int64))
+        sums = [mixed(tokens + at).sum(dtype=np.uint64), mixed((tokens ^ np.uint64(0xA0761D6478BD642F)) - at).sum(dtype=np.uint64)]
+    return tuple(int(x.astype(np.int64)) for x in sums)
 
 
 _SPANS = "array<struct<start:bigint,stop:bigint>>"
@@ -369,43 +369,16 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         hasher = Hasher()
         for batch in batches:
             found = [hasher.text(t.as_py(), SPACED) for t in batch.column(1)]
+            marks = [_mark(w) for w in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(w) for w in found], pa.int64()), pa.array([_mark(w) for w in found], pa.int64())],
-                names=["key", "n", "fp"])
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = Hasher(), set()
-
-        def done(parts: list[np.ndarray], owners: list[int]) -> pa.RecordBatch:
-            last = np.cumsum([len(p) for p in parts]) - 1
-            first = np.concatenate([[0], last[:-1] + 1])
-            keys, number = signatures(np.concatenate(parts), first, last, size)
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.array(owners, np.int64)[number])],
-                                              names=["k", "fp"])
-
-        parts, owners, total = [], [], 0
-        for batch in batches:
-            for value in batch.column(1):
-                found = hasher.text(value.as_py(), SPACED)
-                if len(found) < length or (mark := _mark(found)) in seen:
-                    continue
-                if len(seen) >= 1 << 18:
-                    seen.clear()
-                seen.add(mark)
-                parts.append(shingles(found, words))
-                owners.append(mark)
-                total += len(found)
-                if total >= GROUP:
-                    yield done(parts, owners)
-                    parts, owners, total = [], [], 0
-        if parts:
-            yield done(parts, owners)
+                [batch.column(0), *[pa.array(x, pa.int64()) for x in ([len(w) for w in found], [m[0] for m in marks], [m[1] for m in marks])]],
+                names=["key", "n", "fp", "fp2"])
 
     def first_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), set()
         for batch in batches:
             kept, marks = [], []
-            for i, value in enumerate(batch.column(1)):
+            for i, value in enumerate(batch.column(0)):
                 found = hasher.text(value.as_py(), SPACED)
                 if len(found) < length or (mark := _mark(found)) in seen:
                     continue
@@ -414,23 +387,49 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 seen.add(mark)
                 kept.append(i)
                 marks.append(mark)
-            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), batch.column(1).take(pa.array(kept, pa.int64()))], names=["fp", "text"])
+            numbers = [pa.array([m[j] for m in marks], pa.int64()) for j in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*numbers, batch.column(0).take(pa.array(kept, pa.int64()))], names=["fp", "fp2", "text"])
 
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
+
+        def done(parts: list[np.ndarray], owners: list[int]) -> pa.RecordBatch:
+            last = np.cumsum([len(p) for p in parts]) - 1
+            first = np.concatenate([[0], last[:-1] + 1])
+            keys, number = signatures(np.concatenate(parts), first, last, size)
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.array(owners, np.int64)[number])],
+                                              names=["k", "node"])
+
+        parts, owners, total = [], [], 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 200):
-                tokens = [shingles(hasher.text(value.as_py(), SPACED), words).tobytes() for value in batch.column(1)[i:i + 200]]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:i + 200], pa.array(tokens, pa.binary())], names=["fp", "tokens"])
+            for node, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                parts.append(shingles(hasher.text(value.as_py(), SPACED), words))
+                owners.append(node)
+                total += len(parts[-1])
+                if total >= GROUP:
+                    yield done(parts, owners)
+                    parts, owners, total = [], [], 0
+        if parts:
+            yield done(parts, owners)
 
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, known = Hasher(), {}
+
+        def tokens(node: int, text: pa.StringScalar) -> np.ndarray:
+            """Those of the texts met last, as rows come by one of theirs and hubs come again and again."""
+            if node not in known:
+                if sum(map(len, known.values())) > GROUP:
+                    known.clear()
+                known[node] = shingles(hasher.text(text.as_py(), SPACED), words)
+            return known[node]
+
         for batch in batches:
             kept, left, right = [], [], []
+            names = [batch.column(c).to_pylist() for c in (0, 1)]
             for i in range(batch.num_rows):
-                a, b = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in (2, 3))
-                one, two = shared_passages(a, b, size, similar)
+                one, two = shared_passages(*[tokens(names[c][i], batch.column(c + 2)[i]) for c in (0, 1)], size, similar)
                 if one.any():
                     kept.append(i)
                     left.append(spans(one, words))
@@ -439,17 +438,22 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([*pairs.columns, pa.array(left, kind), pa.array(right, kind)],
                                              names=["a", "b", "left", "right"])
 
-    sets = fixed(narrow.mapInArrow(measure, "key bigint, n bigint, fp bigint"), "passage-documents")
-    members = fixed(ranked(narrow.mapInArrow(emit, "k bigint, fp bigint")), "passage-members")
+    steps = Scratch(docs.sparkSession)
+    sets = fixed(narrow.mapInArrow(measure, "key bigint, n bigint, fp bigint, fp2 bigint"), "passage-documents")
+    # Texts of equal words are one node, under the number by which they are written once.
+    met = narrow.select("text").mapInArrow(first_met, "fp bigint, fp2 bigint, text string").groupBy("fp", "fp2").agg(F.min("text").alias("text"))
+    once = Scratch(docs.sparkSession)
+    texts_ = once.fixed(met.withColumn("node", F.monotonically_increasing_id()), "passage-texts")
+    nodes = fixed(texts_.select("node", "fp", "fp2"), "passage-nodes")
+    members = steps.fixed(ranked(texts_.select("node", "text").mapInArrow(emit, "k bigint, node bigint"), once), "passage-members")
     long = sets.filter(F.col("n") >= length)
-    # By fingerprint, as keys may be null or repeat.
-    met = narrow.mapInArrow(first_met, "fp bigint, text string").groupBy("fp").agg(F.min("text").alias("text"))
-    met = met.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", "text")
-    contents = fixed(met.mapInArrow(fetch, "fp bigint, tokens binary"), "passage-contents")
+    # What travels with pairs is the text, which shrinks, unlike hashes of its words; these are made where they are needed.
+    contents = steps.fixed(texts_.join(members.select("node").distinct(), "node", "left_semi").select("node", "text"), "passage-contents")
+    once.clear()
 
     def verified(pairs: DataFrame) -> DataFrame:
-        one = contents.select(F.col("fp").alias("a"), F.col("tokens").alias("left"))
-        two = contents.select(F.col("fp").alias("b"), F.col("tokens").alias("right"))
+        one = contents.select(F.col("node").alias("a"), F.col("text").alias("left"))
+        two = contents.select(F.col("node").alias("b"), F.col("text").alias("right"))
         return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(
             check, f"a bigint, b bigint, left {_SPANS}, right {_SPANS}")
 
@@ -466,11 +470,11 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
             return pa.RecordBatch.from_arrays([*[pa.array([wanted[i][0][n] for i, _ in rows], f.type) for n, f in zip(names, group)],
                                                pa.array([x for _, x in rows], pa.binary())], names=[*names, "cover"])
 
-        group = [pa.field(n, pa.int64()) for n in ("k", "fp", "c", "alone", "block", "blocks")]
-        docs, total = [], 0
+        group = [pa.field(n, pa.int64()) for n in ("k", "node", "c", "alone", "block", "blocks")]
+        hasher, docs, total = Hasher(), [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                docs.append((np.frombuffer(batch.column(1)[i].as_buffer(), np.uint64), batch.column(0)[i].as_py()))
+                docs.append((shingles(hasher.text(batch.column(1)[i].as_py(), SPACED), words), batch.column(0)[i].as_py()))
                 total += len(docs[-1][0])
                 if total >= GROUP:
                     yield done(docs)
@@ -504,40 +508,42 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in found(parts)], names=["a", "b"])
 
     # First each group's best-met member with the others.
-    leads = members.filter("rank = 1").select("k", F.col("fp").alias("lead"))
-    ends = F.least("fp", "lead").alias("a"), F.greatest("fp", "lead").alias("b")
-    led = fixed(members.filter("rank > 1").join(leads, "k").select("k", "fp", "rank", *ends), "passage-led")
-    links = fixed(verified(led.select("a", "b").distinct()), "passage-links")
-    labels = components(links).withColumnRenamed("node", "fp")
+    leads = members.filter("rank = 1").select("k", F.col("node").alias("lead"))
+    ends = F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")
+    led = steps.fixed(members.filter("rank > 1").join(leads, "k").select("k", "node", "rank", *ends), "passage-led")
+    first = fixed(verified(led.select("a", "b").distinct()), "passage-links")
+    labels = components(first)
 
     # Then the members of groups in which some have no link with it.
-    known = links.select("a", "b", F.lit(0).cast("bigint").alias("linked"))
-    state = led.join(known, ["a", "b"], "left").select("k", "fp", "rank", F.coalesce("linked", F.lit(1)).cast("bigint").alias("alone"))
+    known = first.select("a", "b", F.lit(0).cast("bigint").alias("linked"))
+    state = led.join(known, ["a", "b"], "left").select("k", "node", "rank", F.coalesce("linked", F.lit(1)).cast("bigint").alias("alone"))
     open_ = state.groupBy("k").agg(F.max("alone").alias("any"), F.max("rank").alias("size")).filter("any > 0 AND size > 2")
     block = lambda rank: F.floor((rank - 2) / BLOCK).cast("bigint")
-    rows = state.join(open_.select("k", block(F.col("size")).alias("blocks")), "k").join(labels, "fp", "left")
-    wanted = rows.groupBy("fp").agg(F.collect_list(F.struct(
-        "k", "fp", F.coalesce("component", "fp").alias("c"), "alone", block(F.col("rank")).alias("block"), "blocks")).alias("wanted"))
-    covers = wanted.join(contents, "fp").select("wanted", "tokens").mapInArrow(
-        placed_windows, "k bigint, fp bigint, c bigint, alone bigint, block bigint, blocks bigint, cover binary")
+    rows = state.join(open_.select("k", block(F.col("size")).alias("blocks")), "k").join(labels, "node", "left")
+    wanted = rows.groupBy("node").agg(F.collect_list(F.struct(
+        "k", "node", F.coalesce("component", "node").alias("c"), "alone", block(F.col("rank")).alias("block"), "blocks")).alias("wanted"))
+    covers = wanted.join(contents, "node").select("wanted", "text").mapInArrow(
+        placed_windows, "k bigint, node bigint, c bigint, alone bigint, block bigint, blocks bigint, cover binary")
     covers = covers.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), "blocks"))).select(
-        "k", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "fp", "c", "alone", "block", "cover")
+        "k", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "c", "alone", "block", "cover")
     dealt = covers.repartition("k", "low", "high").sortWithinPartitions("k", "low", "high")
-    more = dealt.mapInArrow(compare, "a bigint, b bigint").distinct().join(known, ["a", "b"], "left_anti")
-    links = links.unionAll(fixed(verified(more), "passage-links"))
-    labels = components(links).withColumnRenamed("node", "fp")
-    sides = links.select(F.col("a").alias("fp"), F.col("left").alias("spans")).unionAll(
-        links.select(F.col("b").alias("fp"), F.col("right").alias("spans")))
+    more = steps.fixed(dealt.mapInArrow(compare, "a bigint, b bigint").distinct().join(known, ["a", "b"], "left_anti"), "passage-more")
+    links = first.unionAll(fixed(verified(more), "passage-links"))
+    labels = components(links)
+    steps.clear()
+    sides = links.select(F.col("a").alias("node"), F.col("left").alias("spans")).unionAll(
+        links.select(F.col("b").alias("node"), F.col("right").alias("spans")))
     # A text linked with very many others has as many rows of the same few spans.
-    found = sides.groupBy("fp").agg(F.count(F.lit(1)).alias("n_links"), F.flatten(F.collect_set("spans")).alias("spans"))
-    copies = long.groupBy("fp").agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"), F.min("n").alias("size"))
-    texts = copies.join(labels, "fp", "left").join(found, "fp", "left").withColumn("c", F.coalesce("component", "fp"))
+    found = sides.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"), F.flatten(F.collect_set("spans")).alias("spans"))
+    named = nodes.join(labels, "node", "left").join(found, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    copies = long.groupBy("fp", "fp2").agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"), F.min("n").alias("size"))
+    texts = copies.join(named, ["fp", "fp2"])
     least = texts.groupBy("c").agg(F.min("least").alias("class_id"))
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("size").alias("stop")))
     texts = salted_join(texts, least, ["c"]).select(
-        "fp", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "fp", "fp2", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.when(F.col("copies") > 1, whole).otherwise(merged(F.coalesce("spans", F.array().cast(_SPANS)))).alias("spans"))
-    placed = salted_join(long.select("key", "n", "fp"), texts, ["fp"]).select("key", "n", "class_id", "n_links", "spans")
+    placed = salted_join(long.select("key", "n", "fp", "fp2"), texts, ["fp", "fp2"]).select("key", "n", "class_id", "n_links", "spans")
     none = F.array().cast(_SPANS)
     short = sets.filter(F.col("n") < length).select("key", "n", F.col("key").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"),
                                                      none.alias("spans"))
