@@ -4,7 +4,7 @@ Targets in words are set per source.  Blocks of the same number of words are dea
 sources by highest quotients target / (2k + 1), and each source's blocks in the same way to
 its shards, which hold its documents in a seeded order.  In a shard of B blocks with quota
 q, block b is taken floor(((b + 1) q + o) / B) - floor((b q + o) / B) times with a seeded
-offset o: exactly q in all, evenly spread, and none more than twice while q <= 2 B.
+offset o: exactly q in all, evenly spread, and none more than c times while q <= c B.
 """
 
 from __future__ import annotations
@@ -13,10 +13,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.common import salted_join
+from .graph import fixed
+
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 256
 SHARD_WORDS = 1 << 20
 SHARD_ROWS = 1 << 18
+CAP = 2
 
 
 def word_count(text: Column) -> Column:
@@ -76,7 +80,7 @@ def sainte_lague(rows: DataFrame, within: Sequence[str], order: Sequence[str], w
             .drop("_total", "_n", "_sure", "_most", "_left", "_won"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: int = 2, key: str = "doc_id",
+def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: int = CAP, key: str = "doc_id",
         text: str = "text", source: str = "source", block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
         shard_rows: int = SHARD_ROWS, seed: int = 7, carry: bool = False) -> DataFrame:
     """What the mix takes of every document.
@@ -94,9 +98,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     if len(weights) < 1 or min(weights) <= 0 or share > cap:
         raise ValueError("weights must be positive, and share at most cap")
     name = F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("null"))  # joins null, too
-    kept = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
-    rows = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), name.alias("name"),
-                       word_count(F.col(text)).alias("size"), *kept)
+    columns = [F.col(key).alias("key"), F.col(source).alias("source"), name.alias("name"), word_count(F.col(text)).alias("size"),
+               F.xxhash64(F.col(text)).alias("print")]
+    rows = fixed(docs.select(*columns), "mix-sizes")
     sums = rows.groupBy("name", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     everything = Window.partitionBy(F.lit(0))
     smallest = F.min(F.when(F.col("target") > 0, F.col("target"))).over(everything)
@@ -106,17 +110,21 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
         "all_seats": F.round(F.sum("target").over(everything) / F.col("block")).cast("bigint"),
         "shards": F.greatest(F.ceil(F.col("source_size") / shard_words), F.ceil(F.col("n") / shard_rows)).cast("bigint")})
     plan = sainte_lague(plan, [], ["name"], "target", "all_seats", "seats")
+    # Written, so that Spark knows its size: a short list is broadcast, else a large source is dealt to several tasks.
+    plan = fixed(plan.select("name", "source_size", "target", "block", "shards", "seats"), "mix-plan")
+    spread = lambda df: salted_join(df, plan, ["name"], "inner").withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "key", "print"), "shards"))
 
-    rows = rows.join(plan.select("name", "source_size", "target", "block", "shards", "seats"), "name")
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "key"), "shards"))
+    rows = spread(rows)
     shards = (rows.groupBy("name", "shard").agg(F.sum("size").alias("words"), F.first("block").alias("block"),
                                                  F.first("seats").alias("seats")))
     shards = sainte_lague(shards, ["name"], ["shard"], "words", "seats", "quota")
     n_blocks = F.ceil(F.col("words") / F.col("block")).cast("bigint")
     shards = shards.select("name", "shard", n_blocks.alias("n_blocks"), F.least("quota", cap * n_blocks).alias("quota"),
                            F.pmod(F.xxhash64(F.lit(seed), "name", "shard"), F.greatest(n_blocks, F.lit(1))).alias("offset"))
-    inside = (Window.partitionBy("name", "shard").orderBy(F.xxhash64("key", F.lit(seed)), "key", "size")
+    inside = (Window.partitionBy("name", "shard").orderBy(F.xxhash64("key", "print", F.lit(seed)), "key", "size", "print")
               .rowsBetween(Window.unboundedPreceding, -1))
+    if carry:
+        rows = spread(docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
     # Dealt by shard: else the exchange of the join by source would do, with a large source in one task.
     rows = rows.repartition("name", "shard")
     rows = rows.withColumn("start", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(shards, ["name", "shard"])
@@ -137,12 +145,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
 def taken_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars", **settings) -> DataFrame:
     """The mix as documents: the columns of ``docs``, a row per document and pass that takes some of it.
 
-    The first pass has the blocks taken at all, the second those taken twice.  A text taken
+    The first pass has the blocks taken at all, the second those taken twice, and so on up to ``cap``.  A text taken
     whole is left as it is; else it is the taken words with the white space between them,
     blocks that do not touch being put apart by a line feed.  ``chars`` is counted anew.
     """
     rows = mix(docs, key=key, text=text, carry=True, **settings)
-    passes = rows.select("row", "size", "blocks", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("pass"))
+    passes = rows.select("row", "size", "blocks", F.explode(F.sequence(F.lit(1), F.lit(int(settings.get("cap", CAP))))).alias("pass"))
     passes = passes.withColumn("blocks", F.filter("blocks", lambda b: b["copies"] >= F.col("pass"))).filter(F.size("blocks") > 0)
     names = docs.columns
     flat = passes.select(*[F.col("row")[c].alias(c) for c in names], "size", F.col("blocks.start").alias("starts"),

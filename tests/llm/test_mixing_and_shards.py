@@ -138,3 +138,24 @@ def test_taken_texts(spark):
         assert r.n_chars == len(r.text)
         assert r.text == original[r.doc_id] or all(p in original[r.doc_id] for p in r.text.split("\n") if p.strip())
     assert {k: v for k, v in count.items()} == {k: r.taken for k, r in mixed.items() if r.taken} and mx.taken_texts(df).columns == df.columns
+
+
+def test_texts_of_any_number_of_passes(spark):
+    """What the texts hold is what the mix takes, also beyond two passes."""
+    rows = docs(spark, [(i, words(60 + i, 100 * i), "abc"[i % 3]) for i in range(30)] + [(5, words(50), "a"), (None, words(40), None)])
+    for cap, share in ((4, 3.0), (1, 0.7), (3, 2.5)):
+        taken = {}
+        for r in mx.mix(rows, cap=cap, share=share).collect():
+            taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+            assert r.taken <= cap * r.size
+        held = {}
+        for r in mx.taken_texts(rows, cap=cap, share=share).collect():
+            held[r.doc_id] = held.get(r.doc_id, 0) + len(r.text.split())
+        assert held == {k: n for k, n in taken.items() if n}
+
+
+def test_texts_that_share_a_key_are_spread(spark):
+    rows = docs(spark, [(1, words(40, 50 * i), "a") for i in range(200)])
+    mx.mix(rows, shard_rows=20).collect()
+    plan = mx.mix(rows, shard_rows=20)._jdf.queryExecution().executedPlan().toString()
+    assert "print" in plan and sum(r.taken for r in mx.mix(rows, shard_rows=20).collect()) > 8000
