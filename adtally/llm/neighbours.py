@@ -18,12 +18,12 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..operators.common import salted_join
 from .graph import fixed
 
 SAMPLE = 20_000
@@ -133,7 +133,7 @@ def exact_scores(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 
 def best(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, allowed: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(ids, scores) of the k best vectors of each query; ``allowed`` says which it may see."""
+    """(places, scores) of the k best vectors of each query, ties by id; ``allowed`` says which it may see."""
     rough = np.where(allowed, queries @ vectors.T, -np.inf)
     out = []
     for i, query in enumerate(queries):
@@ -142,10 +142,13 @@ def best(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, allowed: np.
         near = np.flatnonzero((row >= floor - 1e-9 * max(1.0, abs(floor))) & allowed[i]) if np.isfinite(floor) else np.flatnonzero(allowed[i])
         scores = exact_scores(query, vectors[near])
         order = np.lexsort((ids[near], -scores))[:k]
-        out.append((ids[near][order], scores[order]))
+        out.append((near[order], scores[order]))
     return out
 
 
+LAST = (1 << 63) - 1  # stands for a null id
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
@@ -155,44 +158,61 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, key:
                        recall: float = 0.97, sample: int = SAMPLE, leaf: int = LEAF) -> DataFrame:
     """The ``k`` rows of ``vectors`` with the largest inner product for each row of ``queries``.
 
-    Returns query_id, rank (from 1), vec_id and score, ties to the smaller id; a row is never
-    its own neighbour (by id).  Null vectors, zero ones, those with null or non-finite
-    components and those of another length than most of the sample take no part, nor do
-    null ids.  A repeated id is one row with one of its vectors.  With fewer than k others,
-    all are returned.  Other columns are ignored; without vectors there are no rows.
+    Returns query_id, rank (from 1), vec_id and score, ties to the smaller id, a null one
+    last.  Every row of ``vectors`` is a candidate, also those that repeat an id or a whole
+    row, but one with the query's own id and vector, which is the query's own.  Queries
+    that repeat are answered each.  Null vectors, zero ones, empty ones and those with null
+    or non-finite components take no part; vectors are only compared with those of their
+    length.  With fewer than k others, all are returned.  Other columns are ignored;
+    without vectors there are no rows.
     """
     usable = (F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-              & F.exists("v", lambda x: x != 0) & F.col("id").isNotNull())
+              & F.exists("v", lambda x: x != 0))
 
     def clean(df: DataFrame) -> DataFrame:
+        """Equal rows are one with a count, summed on the map side."""
         rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter(usable)
-        return rows.groupBy("id").agg(F.min("v").alias("v"))
+        return rows.groupBy("id", "v").agg(F.count(F.lit(1)).alias("n"))
 
-    rows, asked = clean(vectors), clean(queries)
-    # A bounded sample by a hash of the id.
-    taken = rows.orderBy(F.xxhash64("id"), "id").limit(sample).toArrow().column("v").combine_chunks()
     spark = vectors.sparkSession
-    schema = "query_id bigint, rank int, vec_id bigint, score double"
-    if not len(taken):
-        return spark.createDataFrame([], schema)
-    lengths, counts = np.unique(taken.value_lengths().to_numpy(zero_copy_only=False), return_counts=True)
-    size = int(lengths[counts.argmax()])
-    fitted = _matrix(taken.filter(pa.array(taken.value_lengths().to_numpy(zero_copy_only=False) == size)))
+    rows = fixed(clean(vectors), "vectors-rows")
+    asked = fixed(clean(queries).withColumn("q", F.monotonically_increasing_id()), "queries")
+    # As many searches as there are lengths, mostly one.
+    lengths = lambda df: df.select(F.size("v").alias("size")).distinct()
+    sizes = sorted(r["size"] for r in lengths(asked).join(lengths(rows), "size").collect())
+    found = [_searched(rows.filter(F.size("v") == n), asked.filter(F.size("v") == n), k, recall, sample, leaf) for n in sizes]
+    if not found:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    order = Window.partitionBy("q").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
+    top = reduce(DataFrame.unionAll, found).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    lists = top.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("place", F.col("id").alias("vec_id"), "score", "n"))).alias("found"))
+    # Copies of a row follow each other; no more than k of them can be an answer.
+    each = F.slice(F.flatten(F.transform("found", lambda x: F.array_repeat(x, F.least(x["n"], F.lit(k)).cast("int")))), 1, k)
+    again = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / PART)))
+    names = asked.select("q", F.col("id").alias("query_id"), "n", again.alias("part"))
+    names = names.select("q", "query_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(PART).cast("bigint"), F.col("n") - F.col("part") * PART))))
+    return (names.join(lists, "q").select("query_id", F.posexplode(each).alias("p", "x"))
+            .select("query_id", (F.col("p") + 1).cast("int").alias("rank"), "x.vec_id", "x.score"))
+
+
+def _searched(rows: DataFrame, asked: DataFrame, k: int, recall: float, sample: int, leaf: int) -> DataFrame:
+    """(q, id, score, n): the best k rows (id, v, n) of each region for queries (q, id, v), all of one length."""
+    spark = rows.sparkSession
+    # A bounded sample by a hash of the row.
+    taken = rows.orderBy(F.xxhash64("id", "v"), "id", "v").limit(sample).toArrow().column("v").combine_chunks()
+    fitted = _matrix(taken)
     tree = Tree(fitted, leaf)
     visits = calibrated(tree, fitted, k, recall)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array(tree.place(_matrix(batch.column(1)))), *batch.columns], names=["leaf", "id", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(tree.place(_matrix(batch.column(1)))), *batch.columns], names=["leaf", "id", "v", "n"])
 
-    # Copies beyond the k + 1 smallest ids are left out before the shuffle, where each task sees them.
-    copies = Window.partitionBy("v").orderBy("id")
-    right = F.size("v") == size
-    few = rows.filter(right).withColumn("n", F.row_number().over(copies)).filter(F.col("n") <= k + 1).drop("n")
-    index = fixed(few.mapInArrow(placed, "leaf bigint, id bigint, v array<double>"), "vectors")
-    mapping = fixed(asked.filter(right).withColumn("q", F.min("id").over(Window.partitionBy("v"))), "queries")
-    single = mapping.filter("id = q").select("q", "v")
+    # Rows of one vector beyond the k + 1 smallest ids can be no answer; they are left out where a task sees them, before the shuffle.
+    copies = Window.partitionBy("v").orderBy(F.col("id").asc_nulls_last())
+    few = rows.withColumn("place", F.row_number().over(copies)).filter(F.col("place") <= k + 1).drop("place")
+    index = fixed(few.select("id", "v", "n").mapInArrow(placed, "leaf bigint, id bigint, v array<double>, n bigint"), "vectors")
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,9 +225,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, key:
                 row += [i] * len(seen)
                 leaves += [sum(1 << x for x in xs) for xs in seen.values()]
             yield pa.RecordBatch.from_arrays([pa.array(region, pa.int64()), pa.array(leaves, pa.int64()),
-                                              *batch.take(pa.array(row, pa.int64())).columns], names=["region", "leaves", "q", "v"])
+                                              *batch.take(pa.array(row, pa.int64())).columns], names=["region", "leaves", "q", "v", "id"])
 
-    routes = fixed(single.mapInArrow(routed, "region bigint, leaves bigint, q bigint, v array<double>"), "routes")
+    routes = fixed(asked.select("q", "v", "id").mapInArrow(routed, "region bigint, leaves bigint, q bigint, v array<double>, id bigint"), "routes")
     # As many counts as there are regions, which the sample bounds.
     blocks = {r["region"]: -(-r["count"] // BLOCK) for r in index.groupBy((F.col("leaf").cast("bigint") / REGION).cast("bigint").alias("region")).count().collect()}
     parts = {r["region"]: -(-r["count"] // PART) for r in routes.groupBy("region").count().collect()}
@@ -220,30 +240,27 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, key:
     numbers = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     left = (routes.withColumn("block", numbers(of(blocks, F.col("region"))))
             .withColumn("part", F.pmod(F.xxhash64("q"), of(parts, F.col("region"))).cast("int")))
-    right_ = (index.select(region, "leaf", "id", "v").withColumn("part", numbers(of(parts, F.col("region"))))
-              .withColumn("block", F.pmod(F.xxhash64("id"), of(blocks, F.col("region"))).cast("int")))
+    right_ = (index.select(region, "leaf", "id", "v", "n").withColumn("part", numbers(of(parts, F.col("region"))))
+              .withColumn("block", F.pmod(F.xxhash64("id", "v"), of(blocks, F.col("region"))).cast("int")))
 
     def search(asked_: pa.Table, here: pa.Table) -> pa.Table:
-        q, ids, scores = [], [], []
+        out = [[], [], [], []]
         if asked_.num_rows and here.num_rows:
-            their = here.column("id").to_numpy()
+            nulls = here.column("id").is_null().to_numpy()
+            ids = np.where(nulls, LAST, here.column("id").fill_null(0).to_numpy())
+            copies, own = here.column("n").to_numpy(), asked_.column("id").fill_null(LAST).to_numpy()
             all_vectors, leaf_bit = _matrix(here.column("v")), 1 << (here.column("leaf").to_numpy() % REGION)
             names, masks, wanted = asked_.column("q").to_numpy(), asked_.column("leaves").to_numpy(), _matrix(asked_.column("v"))
             for i in range(0, len(names), 256):
                 allowed = (masks[i:i + 256, None] & leaf_bit[None, :]) != 0
-                for name, (a, b) in zip(names[i:i + 256], best(wanted[i:i + 256], their, all_vectors, allowed, k + 1)):
-                    q.append(np.full(len(a), name))
-                    ids.append(a)
-                    scores.append(b)
-        joined = lambda parts_, kind: pa.array(np.concatenate(parts_) if parts_ else [], kind)
-        return pa.table({"q": joined(q, pa.int64()), "id": joined(ids, pa.int64()), "score": joined(scores, pa.float64())})
-
-    found = (left.groupBy("region", "block", "part").cogroup(right_.groupBy("region", "block", "part"))
-             .applyInArrow(search, "q bigint, id bigint, score double"))
-    order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
-    top = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)
-    lists = top.groupBy("q").agg(F.array_sort(F.collect_list(F.struct(F.col("n"), F.col("id").alias("vec_id"), "score"))).alias("found"))
-    own = salted_join(mapping.select("id", "q"), lists, ["q"], "inner")
-    others = F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("id")), 1, k)
-    return (own.select(F.col("id").alias("query_id"), F.posexplode(others).alias("p", "x"))
-            .select("query_id", (F.col("p") + 1).cast("int").alias("rank"), "x.vec_id", "x.score"))
+                for j, (at, scores) in enumerate(best(wanted[i:i + 256], ids, all_vectors, allowed, k + 1)):
+                    mine = (ids[at] == own[i + j]) & (all_vectors[at] == wanted[i + j]).all(axis=1)
+                    left = copies[at] - mine
+                    for part, values in zip(out, (np.full(len(at), names[i + j]), ids[at], scores, left)):
+                        part.append(values[left > 0])
+        q, id_, score, n = (np.concatenate(x) if x else np.empty(0) for x in out)
+        id_ = id_.astype(np.int64)
+        return pa.table({"q": pa.array(q.astype(np.int64)), "id": pa.array(id_, mask=id_ == LAST), "score": pa.array(score.astype(np.float64)), "n": pa.array(n.astype(np.int64))})
+
+    return (left.groupBy("region", "block", "part").cogroup(right_.groupBy("region", "block", "part"))
+            .applyInArrow(search, "q bigint, id bigint, score double, n bigint"))

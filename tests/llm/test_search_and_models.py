@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -33,7 +34,7 @@ def brute(docs, items, width=13):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("slice_windows", [1 << 20, 30])
+@pytest.mark.parametrize("slice_windows", [1 << 20, 30, 1])
 def test_decontamination(spark, slice_windows):
     r = random.Random(8)
     text = lambda n: " ".join(r.choices(["a", "B", "c-d", "É", "x9", "."], k=n))
@@ -45,6 +46,9 @@ def test_decontamination(spark, slice_windows):
     got = sorted([(x.doc_id, x.n_words, x.n_hit, list(x["items"]), x.contaminated) for x in
                   dc.contamination(df, bench, slice_windows=slice_windows).collect()], key=str)
     assert got == brute(docs, items)
+    whole = dc.contamination(df, bench, slice_windows=slice_windows, whole=True)
+    assert whole.columns == [*df.columns, "n_words", "n_hit", "items", "contaminated"]
+    assert sorted([(x.doc_id, x.n_words, x.n_hit, list(x["items"]), x.contaminated) for x in whole.collect()], key=str) == got
     empty = dc.contamination(df, bench.limit(0)).collect()
     assert len(empty) == len(docs) and not any(x.n_hit or x.contaminated for x in empty) and any(x.n_words for x in empty)
     assert dc.contamination(df.limit(0), bench).count() == 0
@@ -71,7 +75,7 @@ def test_neighbours(spark):
     x[300:600] = x[7]  # a third are copies
     rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
     odd = [(1000, None, 1), (1020, [0.0] * 10, 1), (1040, [float("nan")] + [1.0] * 9, 1), (1060, [None] + [1.0] * 9, 1), (1080, [1.0], 1),
-           (1100, [float("inf")] * 10, 1), (None, x[0].tolist(), 1), (1120, [], 1)]
+           (1100, [float("inf")] * 10, 1), (None, (0.001 * x[0]).tolist(), 1), (1120, [], 1)]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>, leaf int").repartition(5)
     got = nb.nearest_neighbours(df, df.filter("vec_id % 20 = 0"), 20, sample=400, leaf=20).collect()
     hits = 0
@@ -93,6 +97,23 @@ def test_neighbours(spark):
     assert nb.nearest_neighbours(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_every_row_but_the_query_is_a_candidate(spark):
+    """Repeated ids, repeated rows, null ids and other lengths, against brute force; small enough that every leaf is visited."""
+    r = random.Random(6)
+    vector = lambda: [round(r.gauss(0, 1), 1) for _ in range(3)]
+    rows = [(r.randrange(40) if r.random() < 0.9 else None, vector()) for _ in range(150)]
+    rows += [rows[0]] * 3 + [(0, [0.9, 0.0, 0.0]), (0, [0.1, 0.5, 0.0]), (20, [1.0, 2.0]), (20, [1.0, 2.0]), (7, [3.0, 1.0]), (0, [0.9, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = nb.nearest_neighbours(df, df.filter("vec_id % 20 = 0"), 20, recall=1.0).collect()
+    expected = []
+    for i, (q, v) in enumerate(rows):
+        if q is not None and q % 20 == 0:
+            others = [(sum(a * b for a, b in zip(v, w)), k) for j, (k, w) in enumerate(rows) if j != i and len(w) == len(v)]
+            others.sort(key=lambda o: (-o[0], o[1] is None, o[1]))
+            expected += [(q, n, k, round(s, 9)) for n, (s, k) in enumerate(others[:20], 1)]
+    assert sorted([(x.query_id, x["rank"], x.vec_id, round(x.score, 9)) for x in got], key=str) == sorted(expected, key=str)
+
+
 def test_wider_visits_find_more():
     random_ = np.random.default_rng(5)
     x = random_.standard_normal((600, 16))
@@ -139,6 +160,48 @@ def test_chain(spark):
     assert chains.score(df.limit(0), models, ["unfit", "toxic"]).count() == 0
 
 
+def test_scores_of_the_chain_by_hand(spark):
+    """Every model's sum over the words of a text, worked out word by word."""
+    rows, labels = labelled(300)
+    known = spark.createDataFrame([(i, 1 - q, t) for i, q, t in labels], "doc_id long, unfit int, toxic int")
+    df = spark.createDataFrame(rows, DOCS)
+    models = chains.train(df, known, ["unfit", "toxic"])
+    hasher, got = Hasher(), {r.doc_id: r for r in chains.score(df, models, ["unfit", "toxic"]).collect()}
+    for i, text in rows[:40]:
+        found, earlier = {}, []
+        for word in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()):
+            data = word.encode()
+            for part in [data, *[data[:n] for n in chains.BEGINNINGS if len(data) > n]]:
+                name = int(hasher.text(word, chains.ALNUM)[0]) if part is data else int(hasher.with_beginnings(word, chains.ALNUM, (len(part),))[1])
+                found[name] = found.get(name, 0) + 1
+        names = set(found) | {(n + k) % (1 << 64) for n, times in found.items() for k in chains.OFTEN if times >= k}
+        for model, name in zip(models, ("unfit", "toxic")):
+            weights = dict(zip(model.names.tolist(), model.weights.tolist()))
+            value = sum(weights.get(n, 0.0) for n in names) + sum(a * b for a, b in zip(model.earlier, earlier)) + model.bias
+            p = 1 / (1 + np.exp(-np.clip(value, -30, 30)))
+            assert got[i][name] == pytest.approx(p, abs=1e-9)
+            earlier.append(float(chains.log_odds(np.array([p]))[0]))
+    assert all(0.05 <= m.bound <= 0.95 for m in models)
+
+
+def test_scores_of_the_network_by_hand(spark):
+    """Every filter at every place of every chunk, in plain loops."""
+    rows, labels = labelled(300)
+    df = spark.createDataFrame(rows + [(900, ""), (901, "word " * 300)], DOCS)
+    net = ql.train(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r.score for r in ql.score(df, net).collect()}
+    for i, text in [*rows[:3], (900, ""), (901, "word " * 300)]:
+        data, step = text.encode(), ql.CHUNK - ql.OVERLAP
+        tops = []
+        for start in range(0, max(len(data) - ql.OVERLAP, 1), step):
+            chunk = data[start:start + ql.CHUNK].ljust(ql.CHUNK, b"\0")
+            seen = [np.concatenate([net.bytes[b] for b in chunk[p:p + ql.WIDTH]]) for p in range(0, ql.CHUNK - ql.WIDTH + 1, ql.STRIDE)]
+            tops.append([max(0.0, max(float(s @ net.filters[:, f]) for s in seen) + float(net.offset[f])) for f in range(ql.FILTERS)])
+        described = np.concatenate([np.max(tops, axis=0), np.mean(tops, axis=0)])
+        inner = [max(0.0, float(described @ net.hidden[:, h]) + float(net.hidden_offset[h])) for h in range(ql.HIDDEN)]
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(np.dot(inner, net.out) + float(net.out_offset)))), abs=1e-4)
+
+
 def test_later_models_learn_from_out_of_fold_results():
     """A second category that equals the first is read off the chain, where features alone say nothing new."""
     rows, labels = labelled(300)
