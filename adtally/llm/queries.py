@@ -107,6 +107,18 @@ def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.pages_through_warc(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc")).drop("url")
 
 
+# Base32: of every five hex digits, four groups of five bits.
+ORACLE["op3_arc_to_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') x FROM pages),
+h AS (
+  SELECT page_id, strlen(x) n, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (('0x' || substr(sha1(x), (i // 4 * 5 + 1)::INTEGER, 5))::BIGINT // [32768, 1024, 32, 1][i % 4 + 1] % 32 + 1)::INTEGER, 1)), '') digest
+  FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) first FROM h)
+SELECT page_id, n payload_bytes, digest payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END record_type,
+       CASE WHEN page_id <> first THEN first END refers_to FROM f"""
+
+
 @_query
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents by shingle similarity of 0.85 and more."""
