@@ -7,21 +7,30 @@ block are found in a bucket by the hash of that suffix and compared word by word
 positions are searched side by side, one in each short lane of the text, as numpy arrays.
 
 Documents are neither shuffled nor grouped.  The tables of a slice of the benchmark, whose
-size is bounded by ``slice_windows``, go to the tasks with the function; a larger benchmark
-is searched for slice by slice in the same task.
+size is bounded by ``slice_windows``, go to the tasks with the function.  For a larger
+benchmark the documents are read once per slice; the few rows with hits are written, known
+by two hashes of their columns, and put together when all slices are done, so neither the
+driver nor a task ever holds more than a slice.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .graph import fixed
+from .passages import merged
 from .words import ALNUM, pieces
 
 WINDOW = 13
+# A word, after lower-casing A-Z.
+WORD = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SLICE_WINDOWS = 1 << 20
 LANE = 256
 GROUP_CHARS = 1 << 22
@@ -125,17 +134,41 @@ class Benchmark:
                 items[d].update(owners[k])
 
 
-def _slices(benchmark: DataFrame, item: str, text: str, width: int, slice_windows: int) -> list[Benchmark]:
-    """Search tables for at most ``slice_windows`` words each, read item by item."""
-    out, rows, size = [], [], 0
-    for r in benchmark.select(F.col(item).cast("string"), F.col(text).cast("string")).toLocalIterator():
-        words = sum(map(len, pieces(r[1] or "", ALNUM)))
-        if rows and size + words > slice_windows:
-            out.append(Benchmark(rows, width))
-            rows, size = [], 0
-        rows.append((r[0], r[1]))
-        size += words
-    return [*out, Benchmark(rows, width)] if rows else out
+def _slices(benchmark: DataFrame, item: str, text: str, width: int, slice_windows: int) -> Iterator[Benchmark]:
+    """Search tables for some ``slice_windows`` words each, one after the other; items are dealt by their hash."""
+    rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("string").alias("text")).distinct()
+    lowered = F.translate(F.coalesce("text", F.lit("")), UPPER, UPPER.lower())
+    words = F.sum(F.regexp_count(lowered, F.lit(WORD))).alias("words")
+    total = rows.agg(words).first()["words"] or 0
+    count = max(1, -(-total // slice_windows))
+    for number in range(count):
+        mine = rows if count == 1 else rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == number)
+        yield Benchmark(sorted((tuple(r) for r in mine.collect()), key=lambda r: (r[0] is None, r[0] or "", r[1] or "")), width)
+
+
+def _judged(texts: list[str | None], table: Benchmark) -> tuple[list[int], np.ndarray, np.ndarray, list[set[str]]]:
+    """(words of each text, first places, whether each place is hit, items of each text); texts lie end to end, a place apart."""
+    numbered = [table.numbered(x) for x in texts]
+    counts = np.array([len(w) for w in numbered])
+    first = np.concatenate([[0], np.cumsum(counts + 1)])
+    change, items = np.zeros(first[-1] + 1, np.int64), [set() for _ in texts]
+    table.search(np.concatenate([x for w in numbered for x in (w, np.zeros(1, np.int64))]), first[:-1], change, items)
+    return counts.tolist(), first, np.cumsum(change[:-1]) > 0, items
+
+
+def _groups(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, texts) for some texts at a time."""
+    start = 0
+    while start < len(column):
+        texts, size = [], 0
+        while start + len(texts) < len(column) and (not texts or size < GROUP_CHARS):
+            texts.append(column[start + len(texts)].as_py())
+            size += len(texts[-1] or "")
+        yield start, texts
+        start += len(texts)
+
+
+_SPANS = "array<struct<start:bigint,stop:bigint>>"
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -153,42 +186,71 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     """
     figures = ("n_words", "n_hit", "items", "contaminated")
     kept = [c for c in docs.columns if c not in figures] if whole else [key]
-    tables = _slices(benchmark, item, item_text, width, slice_windows)
-
-    def judged_group(texts: list[str | None]) -> tuple[list[int], list[int], list[list[str]]]:
-        items: list[set[str]] = [set() for _ in texts]
-        change = counts = None
-        for t in tables or [Benchmark([])]:
-            numbered = [t.numbered(x) for x in texts]
-            if change is None:
-                counts = np.array([len(w) for w in numbered])
-                first = np.concatenate([[0], np.cumsum(counts + 1)])
-                change = np.zeros(first[-1] + 1, np.int64)
-            words = np.concatenate([x for w in numbered for x in (w, np.zeros(1, np.int64))])
-            t.search(words, first[:-1], change, items)
-        covered = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1]) > 0)])
-        return counts.tolist(), (covered[first[1:]] - covered[first[:-1]]).tolist(), [sorted(x) for x in items]
+    slices = _slices(benchmark, item, item_text, width, slice_windows)
+    table, more = next(slices), next(slices, None)
+    if more is None:
+        judged = _in_one(docs, kept, text, table)
+    else:
+        judged = _in_slices(docs, kept, text, itertools.chain([table, more], slices))
+    contaminated = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
+    return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "n_words", "n_hit", "items", contaminated.alias("contaminated"))
+
+
+def _in_one(docs: DataFrame, kept: list[str], text: str, table: Benchmark) -> DataFrame:
+    """The columns ``kept`` (c0 ...) with n_words, n_hit and items."""
+    inside = text in kept
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            start, column = 0, batch.column(kept.index(text) if whole else batch.num_columns - 1)
-            while start < batch.num_rows:
-                texts, size = [], 0
-                while start + len(texts) < batch.num_rows and (not texts or size < GROUP_CHARS):
-                    texts.append(column[start + len(texts)].as_py())
-                    size += len(texts[-1] or "")
-                counts, hits, items = judged_group(texts)
+            for start, texts in _groups(batch.column(kept.index(text) if inside else batch.num_columns - 1)):
+                counts, first, hit, items = _judged(texts, table)
+                covered = np.concatenate([[0], np.cumsum(hit)])
                 yield pa.RecordBatch.from_arrays(
-                    [*[c.slice(start, len(texts)) for c in batch.columns[:len(kept)]], pa.array(counts, pa.int64()), pa.array(hits, pa.int64()),
-                     pa.array(items, pa.list_(pa.string()))], names=[*[f"c{i}" for i in range(len(kept))], "n_words", "n_hit", "items"])
-                start += len(texts)
+                    [*[c.slice(start, len(texts)) for c in batch.columns[:len(kept)]], pa.array(counts, pa.int64()),
+                     pa.array(covered[first[1:]] - covered[first[:-1]], pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
+                    names=[*[f"c{i}" for i in range(len(kept))], "n_words", "n_hit", "items"])
 
     # A text that is returned is not sent twice.
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], *([] if whole else [F.col(f"`{text}`").cast("string").alias("text")]))
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], *([] if inside else [F.col(f"`{text}`").cast("string").alias("text")]))
     kinds = ", ".join(f"c{i} {rows.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(kept)))
-    judged = rows.mapInArrow(judge, f"{kinds}, n_words bigint, n_hit bigint, items array<string>")
-    contaminated = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
-    return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "n_words", "n_hit", "items", contaminated.alias("contaminated"))
+    return rows.mapInArrow(judge, f"{kinds}, n_words bigint, n_hit bigint, items array<string>")
+
+
+def _in_slices(docs: DataFrame, kept: list[str], text: str, tables: Iterator[Benchmark]) -> DataFrame:
+    """Like :func:`_in_one`, a pass over the documents for each slice and one more for the figures."""
+    values = [F.col(f"`{c}`") for c in dict.fromkeys([*kept, text])]
+    values += [F.isnull(v) for v in values]  # the hash passes over nulls
+    marks = [F.xxhash64(*values).alias("m1"), F.xxhash64(F.lit("again"), *values).alias("m2")]
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(f"`{text}`").cast("string").alias("text"), *marks)
+
+    def hits(table: Benchmark) -> DataFrame:
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start, texts in _groups(batch.column(2)):
+                    _, first, hit, items = _judged(texts, table)
+                    found, spans = [], []
+                    for i in range(len(texts)):
+                        edges = np.flatnonzero(np.diff(np.concatenate([[0], hit[first[i]:first[i + 1]].astype(np.int8), [0]])))
+                        if len(edges):
+                            found.append(start + i)
+                            spans.append([{"start": int(a), "stop": int(b)} for a, b in edges.reshape(-1, 2)])
+                    yield pa.RecordBatch.from_arrays(
+                        [*[batch.column(c).take(pa.array(found, pa.int64())) for c in (0, 1)],
+                         pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
+                         pa.array([sorted(items[i - start]) for i in found], pa.list_(pa.string()))], names=["m1", "m2", "spans", "items"])
+
+        some = rows.select("m1", "m2", "text").mapInArrow(find, f"m1 bigint, m2 bigint, spans {_SPANS}, items array<string>")
+        # Equal rows have equal hits.
+        return fixed(some.groupBy("m1", "m2").agg(F.first("spans").alias("spans"), F.first("items").alias("items")), "benchmark-hits")
+
+    all_hits = reduce(DataFrame.unionAll, [hits(table) for table in tables])
+    one = all_hits.groupBy("m1", "m2").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    length = F.aggregate(merged("spans"), F.lit(0).cast("bigint"), lambda t, s: t + s["stop"] - s["start"])
+    one = one.select("m1", "m2", length.alias("n_hit"), "items")
+    lowered = F.translate(F.coalesce("text", F.lit("")), UPPER, UPPER.lower())
+    counted = rows.withColumn("n_words", F.regexp_count(lowered, F.lit(WORD)).cast("bigint"))
+    return counted.join(one, ["m1", "m2"], "left").withColumns(
+        {"n_hit": F.coalesce("n_hit", F.lit(0).cast("bigint")), "items": F.coalesce("items", F.array().cast("array<string>"))})
 
 
 def items_digest(items):
