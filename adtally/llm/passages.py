@@ -175,6 +175,12 @@ def _cover(mark: np.ndarray, starts: np.ndarray, length: int) -> None:
     mark |= np.cumsum(change[:-1]) > 0
 
 
+def _sums(mark: np.ndarray, length: int) -> np.ndarray:
+    """How many places are marked in each subsequence of ``length``."""
+    sums = np.concatenate([[0], np.cumsum(mark)])
+    return sums[length:] - sums[:-length]
+
+
 def _votes(left: np.ndarray, right: np.ndarray, size: tuple[int, int]) -> np.ndarray:
     """How many pairs of equal tokens stand at each distance, from -size[0] on.
 
@@ -224,9 +230,8 @@ def _common(left: np.ndarray, right: np.ndarray, shift: int, low: int, high: int
 def shared_passages(left: np.ndarray, right: np.ndarray, length: int, similar: float = SIMILAR) -> list[np.ndarray]:
     """Which tokens of both documents lie in passages they share: two boolean arrays.
 
-    Only subsequences of the left with enough tokens that the right has at all are looked
-    at.  Exact repeats of ``length`` are found by a hash of each subsequence.  Elsewhere the
-    documents are aligned at the distances that an eighth of a passage's tokens agree on,
+    Only subsequences with enough tokens that the other document has at all are looked at.
+    Exact repeats of ``length`` are found by a hash of each.  Elsewhere the documents are aligned at the distances that an eighth of a passage's tokens agree on,
     wherever and however often they stand in the right, and subsequences at the same
     distance are compared there.
     """
@@ -237,29 +242,49 @@ def shared_passages(left: np.ndarray, right: np.ndarray, length: int, similar: f
     values, number = np.unique(right, return_inverse=True)
     near = np.minimum(np.searchsorted(values, left), len(values) - 1)
     there = values[near] == left
-    sums = np.concatenate([[0], np.cumsum(there)])
-    able = np.flatnonzero(sums[length:] - sums[:-length] >= need)
-    if not len(able):
+
+    def numbered(places: np.ndarray) -> np.ndarray:
+        """Which tokens of the right are among those of the left at some places."""
+        named = np.zeros(len(values), bool)
+        named[near[places]] = True
+        return named[number]
+
+    both = [_sums(known, length) >= need for known in (there, numbered(there))]
+    able = [np.flatnonzero(x) for x in both]
+    if not min(map(len, able)):
+        return marks
+    one, two = _window_hashes(left, length)[able[0]], _window_hashes(right, length)[able[1]]
+    _cover(marks[0], able[0][np.isin(one, two)], length)
+    _cover(marks[1], able[1][np.isin(two, one)], length)
+    left_over = [_sums(~m, length) > 0 for m in marks]
+    if not any((x & y).any() for x, y in zip(both, left_over)):
         return marks
-    one, two = _window_hashes(left, length), _window_hashes(right, length)
-    _cover(marks[0], np.flatnonzero(np.isin(one, two)), length)
-    _cover(marks[1], np.flatnonzero(np.isin(two, one)), length)
     open_ = np.zeros(len(left), bool)
-    _cover(open_, able, length)
+    _cover(open_, able[0], length)
     size, votes = (len(left), len(right)), 0
     for ours, theirs in ((~marks[0], True), (marks[0], ~marks[1])):  # exact repeats need no alignment with each other
         mine, its = np.flatnonzero(open_ & there & ours), np.flatnonzero(np.ones(len(right), bool) & theirs)
         mine, its = mine[np.argsort(near[mine], kind="stable")], its[np.argsort(number[its], kind="stable")]
         votes = votes + _votes((near[mine], mine), (number[its], its), size)
     mine = np.flatnonzero(open_ & there)
-    its = np.flatnonzero(np.isin(number, near[mine]))
+    its = np.flatnonzero(numbered(mine))
+    # A pair of subsequences matters only if either has a place that is not marked yet.
     for shift in (np.flatnonzero(votes >= length // 8) - len(left)).tolist():
         low, high = max(0, -shift), min(len(left), len(right) - shift) - length
         if high < low:
             continue
-        hits = np.flatnonzero(_common((near[mine], mine), (number[its], its), shift, low, high, length) >= need) + low
-        _cover(marks[0], hits, length)
-        _cover(marks[1], hits + shift, length)
+        here, beside = slice(low, high + 1), slice(low + shift, high + shift + 1)
+        starts = np.flatnonzero(both[0][here] & both[1][beside] & (left_over[0][here] | left_over[1][beside]))
+        if not len(starts):
+            continue
+        low, high = low + int(starts[0]), low + int(starts[-1])
+        ours = mine[np.searchsorted(mine, low):np.searchsorted(mine, high + length)]
+        theirs = its[np.searchsorted(its, low + shift):np.searchsorted(its, high + shift + length)]
+        hits = np.flatnonzero(_common((near[ours], ours), (number[theirs], theirs), shift, low, high, length) >= need) + low
+        if len(hits):
+            _cover(marks[0], hits, length)
+            _cover(marks[1], hits + shift, length)
+            left_over = [_sums(~m, length) > 0 for m in marks]
     return marks
 
 
