@@ -148,6 +148,16 @@ def swap(spark: SparkSession, new: str, path: str) -> None:
     remove(spark, [before])
 
 
+def move(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new``, or nothing where there is none, in the place of ``path``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files, _ = _file(spark, path)
+    remove(spark, [path])
+    if files.exists(hadoop(new)):
+        files.mkdirs(hadoop(path).getParent())
+        _rename(files, hadoop(new), hadoop(path))
+
+
 def _rename(files, old, new) -> None:
     if not files.rename(old, new):
         raise OSError(f"cannot rename {old} to {new}")

@@ -18,7 +18,7 @@ from ..operators.common import DEPOSIT, deposits, paying_deposits
 from ..operators.reactivation import gaps
 from ..session import remove
 from . import layouts
-from .writers import _drop_partitions, _rebalanced, _staging, _values, read_table, replace_partitions, store_reactivations
+from .writers import _rebalanced, _staging, _values, read_table, store_reactivations, swap_partitions
 
 USER, TS = "external_user_id", "event_date"
 
@@ -30,23 +30,32 @@ def exchange_rows(spark: SparkSession, path: str, partition: str, keys: Sequence
     Partitions in which the same rows would stand again keep their files.  ``since`` promises
     that no partition before it holds any of these rows.
     """
-    new_path, staged_path = _staging(path, "new"), _staging(path, "partitions")
+    new_path = _staging(path, "new")
     new.write.parquet(new_path)
-    new = spark.read.schema(new.schema).parquet(new_path)
+    touched = _exchange_written(spark, path, partition, keys, gone, spark.read.schema(new.schema).parquet(new_path), since)
+    remove(spark, [new_path])
+    return touched
+
+
+def _exchange_written(spark: SparkSession, path: str, partition: str, keys: Sequence[str], gone: DataFrame, new: DataFrame,
+                      since: str | None = None) -> set[str | None]:
+    """:func:`exchange_rows` with rows ``new`` that are read from files beside the table: they are asked for several times."""
+    gone_path = _staging(path, "gone")
+    keyed = gone.select(*keys)
+    keyed.write.parquet(gone_path)
+    gone = spark.read.schema(keyed.schema).parquet(gone_path)
     stored = read_table(spark, path, new)
     if since is not None:
         stored = stored.filter((F.col(partition) >= since) | F.col(partition).isNull())
-    old = stored.join(gone.select(*keys), list(keys), "left_semi").select(new.columns)
-    touched = _values(old.exceptAll(new).unionAll(new.exceptAll(old)), partition)
+    old = stored.join(gone, list(keys), "left_semi").select(new.columns)
+    # Every row of both, as often as it is new more often than old.
+    counted = old.withColumn("_n", F.lit(-1)).unionByName(new.withColumn("_n", F.lit(1))).groupBy(*new.columns).agg(F.sum("_n").alias("_n"))
+    touched = _values(counted.filter("_n <> 0"), partition)
     if touched:
         among = lambda df: df.filter(F.col(partition).isin([p for p in touched if p is not None]) | (F.col(partition).isNull() if None in touched else F.lit(False)))
-        kept = among(stored).join(gone.select(*keys), list(keys), "left_anti").select(new.columns)
-        kept.unionByName(among(new)).write.parquet(staged_path)
-        staged = spark.read.schema(new.schema).parquet(staged_path)
-        left = _values(staged, partition)
-        replace_partitions(staged, path, [partition])
-        _drop_partitions(spark, path, partition, touched - left)
-    remove(spark, [new_path, staged_path])
+        kept = among(stored).join(gone, list(keys), "left_anti").select(new.columns)
+        swap_partitions(kept.unionByName(among(new)), path, partition, touched)
+    remove(spark, [gone_path])
     return touched
 
 
@@ -98,6 +107,9 @@ def refresh_reactivations(batch: DataFrame, events: DataFrame, path: str, min_ga
     if since is not None:
         late_users = late.withColumn("_l", F.lit(True))
         rows = rows.join(late_users, "user_id", "left").filter(F.col("_l").isNull() | (F.col("month") >= since)).drop("_l")
+    rows_path = _staging(path, "new")
+    rows.write.parquet(rows_path)
+    rows = spark.read.schema(rows.schema).parquet(rows_path)
 
     stored = read_table(spark, path, rows)
     old = stored.filter(F.col("month") >= since) if since is not None else stored
@@ -105,7 +117,7 @@ def refresh_reactivations(batch: DataFrame, events: DataFrame, path: str, min_ga
     gone = old.join(late, "user_id", "left_semi").select(key).unionByName(rows.select(key)).distinct()
     low = rows.agg(F.min("month")).first()[0] if changed_users is None else None
     low = None if changed_users is not None else min((m for m in (low, since) if m is not None), default=None)
-    written = exchange_rows(spark, path, "month", key, gone, rows, low)
+    written = _exchange_written(spark, path, "month", key, gone, rows, low)
 
     # The state last: a refresh that dies before it starts from the same state again.
     ends = known.select("user_id", F.col("_to").alias("last_deposit"))
@@ -117,7 +129,7 @@ def refresh_reactivations(batch: DataFrame, events: DataFrame, path: str, min_ga
     newer = _staging(path, "users")
     last.unionByName(ends).groupBy("user_id").agg(F.max("last_deposit").alias("last_deposit")).write.parquet(newer)
     layouts.swap(spark, newer, _users_of(path))
-    remove(spark, [known_path])
+    remove(spark, [known_path, rows_path])
     return written
 
 

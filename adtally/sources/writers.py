@@ -80,6 +80,20 @@ def _drop_partitions(spark: SparkSession, path: str, column: str, values: Iterab
     remove(spark, [f"{path}/{column}={_NULL_FOLDER if v is None else v}" for v in values])
 
 
+def swap_partitions(df: DataFrame, path: str, column: str, touched: Iterable[str | None]) -> None:
+    """Put the rows ``df``, which may be made from the table itself, in the place of its partitions ``touched``.
+
+    They are written once, to a staging folder beside the table, whose partitions then take
+    their places by renaming, one after the other.  ``df`` has rows of these partitions only.
+    """
+    spark, staged = df.sparkSession, _staging(path, "partitions")
+    with layouts.evolved(df, path, [column]) as rows:
+        _rebalanced(rows, [column]).write.partitionBy(column).parquet(staged)
+    for folder in (f"{column}={_NULL_FOLDER if v is None else v}" for v in touched):
+        layouts.move(spark, f"{staged}/{folder}", f"{path.rstrip('/')}/{folder}")
+    remove(spark, [staged])
+
+
 def _staging(path: str, name: str) -> str:
     """A fresh folder beside the table, on the same file system; readers of the parent pass it over."""
     parent, _, table = path.rstrip("/").rpartition("/")

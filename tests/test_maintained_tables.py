@@ -99,6 +99,35 @@ def test_reactivations_are_refreshed(spark, events, tmp_path):
     assert rows_of(wr.read_table(spark, str(path)).select(rx.gaps(whole).columns)) == rows_of(rx.gaps(events(left)))
 
 
+def test_a_refresh_computes_its_rows_once(spark, events, tmp_path):
+    path, stored, batch = str(tmp_path / "r"), random_events(1, 150), random_events(2, 30, "2025-06-01", 200)
+    vw.build_reactivations(events(stored), path)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("timestamp")
+    def counted(at):
+        seen.add(1)
+        return at
+
+    history = events(stored + batch).withColumn("event_date", counted("event_date"))
+    vw.refresh_reactivations(events(batch), history, path)
+    assert 0 < seen.value <= len(stored + batch)
+    assert rows_of(wr.read_table(spark, path).select(rx.gaps(history).columns)) == rows_of(rx.gaps(events(stored + batch)))
+
+
+def test_exchanged_rows_are_counted(spark, tmp_path):
+    """A partition with the same rows in other numbers is written, one with the same rows is not."""
+    path, shape = tmp_path / "t", "k string, n int, month string"
+    wr.append(spark.createDataFrame([("a", 1, "1"), ("a", 1, "1"), ("b", None, "2"), ("c", 3, "3"), ("d", 4, "4")], shape), str(path), ["month"])
+    new = spark.createDataFrame([("a", 1, "1"), ("b", None, "2"), ("c", 5, None)], shape)
+    gone = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    before = files_of(path)
+    assert vw.exchange_rows(spark, str(path), "month", ["k"], gone, new) == {"1", "3", None}
+    assert {f for f in before if f.startswith(("month=2/", "month=4/"))} <= files_of(path)
+    got = sorted(map(str, map(tuple, wr.read_table(spark, str(path)).select("k", "n", "month").collect())))
+    assert got == sorted(map(str, [("a", 1, "1"), ("b", None, "2"), ("c", 5, None), ("d", 4, "4")])) and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 def test_in_order_batches_touch_only_new_months(spark, events, tmp_path):
     path = tmp_path / "r"
     stored = random_events(1, 150)
