@@ -151,33 +151,35 @@ def insert_or_ignore(target: DataFrame, batch: DataFrame, order: Sequence[Column
             .unionByName(batch.filter(F.col("event_id").isNull())))
 
 
-def merged(target: DataFrame, batch: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
+def merged(target: DataFrame, batch: DataFrame, order: Sequence[Column] = (), unique: bool = False) -> DataFrame:
     """``target`` with the rows of ``batch`` put in by event id; the last of a batch wins.
 
     All old rows with a matching id are replaced by the one new row.  Batch rows without
-    an id are left out.
+    an id are left out.  ``unique`` promises that the batch has an id once at most.
     """
-    new = last_per_key(batch.filter(F.col("event_id").isNotNull()), ["event_id"],
-                       order or [F.col("event_date")])
+    new = batch.filter(F.col("event_id").isNotNull())
+    if not unique:
+        new = last_per_key(new, ["event_id"], order or [F.col("event_date")])
     kept = target.join(new.select("event_id"), "event_id", "left_anti")  # ids are all but unique
     return kept.select(target.columns).unionByName(new.select(target.columns))
 
 
 def upsert_events(batch: DataFrame, path: str, order: Sequence[Column] = (),
                   since_month: str | None = None, indexed: bool = False) -> None:
-    """Merge a batch into the event table, rewriting only the months it touches.
+    """Merge a batch into the event table, rewriting only the months whose stored rows change.
 
-    Those are the months of the new rows and of the old rows they replace; rows without a
-    time are a month of their own.  Running the same batch again gives the same table.
-    Columns that only the table has are kept, and NULL in new rows.
+    Rows that the table has as they are, once each, are left alone, and rows that replace
+    nothing are added to months that need not be rewritten.  Rows without a time are a month
+    of their own.  Running the same batch again gives the same table.  Columns that only the
+    table has are kept, and NULL in new rows.
 
-    Finding the old rows reads the event ids of the whole table, unless ``since_month``
-    promises that no older month holds any, or the table is ``indexed``: then the index
-    beside it (``event_index``), made on the first call and kept up here, names the months.
+    Finding the old rows reads the whole table, unless ``since_month`` promises that no
+    older month holds any, or the table is ``indexed``: then the index beside it
+    (``event_index``), made on the first call and kept up here, names the months to read.
     """
     spark = batch.sparkSession
     events = schemas.conform(batch, schemas.USER_EVENTS)
-    new_path, staged_path = _staging(path, "batch"), _staging(path, "months")
+    new_path, met_path, changed_path = (_staging(path, name) for name in ("batch", "met", "changed"))
     latest = with_month(last_per_key(events.filter(F.col("event_id").isNotNull()), ["event_id"], order or [F.col("event_date")]))
     stored = layouts.noted(spark, path)
     if stored is not None:
@@ -187,25 +189,42 @@ def upsert_events(batch: DataFrame, path: str, order: Sequence[Column] = (),
     target = read_table(spark, path, new)
     if since_month is not None:
         target = target.filter((F.col(MONTH) >= since_month) | F.col(MONTH).isNull())
-    # Months are few; the event rows themselves stay on the executors.
     if indexed:
         event_index.update(spark, path)
-        months = _values(new, MONTH) | event_index.months_of(new, path)
-    else:
-        replaced = target.select("event_id", MONTH).join(new.select("event_id"), "event_id", "left_semi")
-        months = _values(new, MONTH) | _values(replaced, MONTH)
-    if months:
-        touched = F.col(MONTH).isin([m for m in months if m is not None])
-        if None in months:
-            touched = touched | F.col(MONTH).isNull()
-        merged(target.filter(touched).select(new.columns), new).write.parquet(staged_path)
-        staged = spark.read.schema(new.schema).parquet(staged_path)
-        left = _values(staged, MONTH)
-        replace_partitions(staged, path, [MONTH])
-        _drop_partitions(spark, path, MONTH, months - left)
+        target = target.filter(_in_months(event_index.months_of(new, path)))
+    # Only ids and marks of the stored rows are shuffled.  A table that must become wider is written in any case.
+    settled = stored is not None and all(f.name in stored.names and f.dataType == stored[f.name].dataType for f in new.schema.fields)
+    marked = _marked(target).join(_marked(new).select("event_id", F.col("_mark").alias("_new")), "event_id")
+    marked.select("event_id", MONTH, (F.lit(settled) & (F.col("_mark") == F.col("_new"))).alias("same")).write.parquet(met_path)
+    met = spark.read.schema(f"event_id string, {MONTH} string, same boolean").parquet(met_path)
+    # Months are few; the event rows themselves stay on the executors.
+    changed, stale = new, set()
+    if not met.isEmpty():
+        there = met.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n"), F.min("same").alias("_same")).filter("_n = 1 AND _same").select("event_id")
+        new.join(there, "event_id", "left_anti").select(new.columns).write.parquet(changed_path)
+        changed, stale = spark.read.schema(new.schema).parquet(changed_path), _values(met.join(there, "event_id", "left_anti"), MONTH)
+    added = changed.filter(~_in_months(stale))
+    if _values(added, MONTH):
+        append(added, path, [MONTH])
+    if stale:
+        rows = read_table(spark, path, new).filter(_in_months(stale)).select(new.columns)
+        swap_partitions(merged(rows, changed, unique=True).filter(_in_months(stale)), path, MONTH, stale)
     if indexed:
-        event_index.update(spark, path, new)
-    remove(spark, [new_path, staged_path])
+        event_index.update(spark, path, changed)
+    remove(spark, [new_path, met_path, changed_path])
+
+
+def _in_months(months: Iterable[str | None]) -> Column:
+    named = F.col(MONTH).isNotNull() & F.col(MONTH).isin([m for m in months if m is not None])
+    return named | F.col(MONTH).isNull() if None in months else named
+
+
+def _marked(events: DataFrame) -> DataFrame:
+    """(event_id, event_month) with a 128-bit mark of all values; columns that are no event's own count as NULL or not."""
+    own = [F.col(c) for c in [*schemas.USER_EVENTS.names, MONTH]]
+    flags = [F.col(f"`{c}`").isNull() for c in events.columns]
+    marks = [F.xxhash64(F.lit(seed), *own, *flags) for seed in (1, 2)]
+    return events.select("event_id", MONTH, F.struct(*marks).alias("_mark"))
 
 
 # --- stored reports ---------------------------------------------------------

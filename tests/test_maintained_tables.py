@@ -206,6 +206,41 @@ def test_upsert_keeps_columns_of_the_table(spark, events, tmp_path):
     assert len(got) == 6 and got.pop("x") is None and set(got.values()) == {"n"}
 
 
+def test_upserts_leave_alone_what_does_not_change(spark, events, tmp_path):
+    path = tmp_path / "e"
+    stored = random_events(1, 60, days=120)
+    wr.upsert_events(events(stored), str(path))
+    before = files_of(path)
+    wr.upsert_events(events(stored), str(path))
+    assert files_of(path) == before  # the same rows again: no file is written
+    march = next(e for e in stored if e["event_date"].startswith("2025-03"))
+    batch = [{**march, "converted_amount": 7}, {"event_id": "new", "event_date": "2025-01-05", "converted_amount": 1}, stored[0]]
+    wr.upsert_events(events(batch), str(path))
+    after = files_of(path)
+    assert {f.split("/")[0] for f in before - after} == {"event_month=2025-03"}  # the one month with a row replaced
+    assert {f.split("/")[0] for f in after - before} == {"event_month=2025-01", "event_month=2025-03"}
+    expected = {e["event_id"]: e for e in [*stored, *batch]}
+    table = lambda: rows_of(wr.read_table(spark, str(path)).select(wr.with_month(events([])).columns))
+    assert table() == rows_of(wr.with_month(events(list(expected.values()))))
+    # Rows equal to the new one but stored twice, and equal but for a value that is missing, do change.
+    wr.append(wr.with_month(events([march | {"converted_amount": 7}])), str(path), [wr.MONTH])
+    lost = next(e for e in stored if e["event_date"].startswith("2025-02"))
+    wr.upsert_events(events([march | {"converted_amount": 7}, lost | {"external_user_id": None}]), str(path))
+    expected[lost["event_id"]] = lost | {"external_user_id": None}
+    assert table() == rows_of(wr.with_month(events(list(expected.values())))) and [p.name for p in tmp_path.iterdir()] == ["e"]
+
+
+def test_upsert_into_a_narrower_table(spark, events, tmp_path):
+    path = str(tmp_path / "e")
+    stored = random_events(1, 20, days=60)
+    wr.append(wr.with_month(events(stored)).withColumn("publisher_id", F.lit(1).cast("int")), path, [wr.MONTH])
+    moved = {**stored[0], "event_date": "2026-01-01", "publisher_id": 1 << 40}
+    wr.upsert_events(events([moved, {"event_id": "x", "event_date": "2025-01-01", "publisher_id": 5}]), path)
+    got = {r.event_id: (r.publisher_id, r.event_month) for r in wr.read_table(spark, path).collect()}
+    assert len(got) == 21 and got[stored[0]["event_id"]] == (1 << 40, "2026-01") and got["x"] == (5, "2025-01")
+    assert dict(wr.read_table(spark, path).dtypes)["publisher_id"] == "bigint" and [p.name for p in tmp_path.iterdir()] == ["e"]
+
+
 # --- resumed copies ---------------------------------------------------------
 
 
