@@ -92,8 +92,12 @@ def shared(rows: DataFrame) -> DataFrame:
 
 
 def ranked(rows: DataFrame, steps: Scratch) -> DataFrame:
-    """:func:`shared` rows with their ``rank`` in the group: the node that meets others under most keys comes first."""
-    rows = steps.fixed(shared(rows), "groups")
+    """The rows (k, node), each given once, of groups of two and more, with their ``rank`` in the group and its first node, ``lead``.
+
+    The node that meets others under most keys comes first.
+    """
+    size = F.count(F.lit(1)).over(Window.partitionBy("k"))
+    rows = steps.fixed(rows.withColumn("_size", size).filter("_size > 1").select("k", "node"), "groups")
     meets = rows.groupBy("node").agg(F.count(F.lit(1)).alias("_meets"))
     order = Window.partitionBy("k").orderBy(F.desc("_meets"), "node")
-    return rows.join(meets, "node").withColumn("rank", F.row_number().over(order)).drop("_meets")
+    return rows.join(meets, "node").select("k", "node", F.row_number().over(order).alias("rank"), F.first("node").over(order).alias("lead"))

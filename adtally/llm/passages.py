@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.common import salted_join
@@ -41,9 +42,12 @@ LENGTH = 50
 BANDS = ((0, 1, 2, 3, 4, 5), (0, 1), (2, 3), (4, 5), (6, 7))  # the functions of each; the first finds exact repeats
 SIMILAR = 0.8
 GROUP = 1 << 17
+KNOWN = 1 << 21  # tokens of texts kept by one task that verifies
 BLOCK = 4096  # members of a group compared by one task
 STARTS = 16  # of the windows of one signature that are compared as one
 COMMON = 128  # windows; tokens of more are counted by a matrix product
+EXPANDED = 1 << 18  # pairs of places, each at the distances near its own, that are counted at once
+LOOKED = 1 << 14  # tokens and starts of the distances that are counted at once
 STRETCH = 1 << 23  # tokens of one tree; places are told apart by fewer bits than a long text has
 _PLACE = np.uint64((1 << 24) - 1)
 _SPREAD, _BACK = np.uint64(0x9E3779), np.uint64(pow(0x9E3779, -1, 1 << 24))
@@ -98,7 +102,7 @@ def tiling(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length: int,
     last = np.minimum(first + STRETCH - 1, ends)
     low, place, high = compact_windows(hashed(tokens, function), first, last, length)
     begin = np.maximum(low, place - length + 1)
-    order = np.argsort(begin, kind="stable")
+    order = np.argsort(begin)
     return begin[order], place[order]
 
 
@@ -106,16 +110,19 @@ def _signed(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length: int
             bands: tuple[tuple[int, ...], ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(key, begin) of the intervals of starts that have one signature, for each band; those of the first band are even."""
     tiles = {f: tiling(tokens, first, last, length, f) for f in sorted({f for band in bands for f in band})}
-    for number, band in enumerate(bands):
-        cuts = np.unique(np.concatenate([tiles[f][0] for f in band]))
+    begins = {f: np.zeros(len(tokens), bool) for f in tiles}
+    for f, (begin, _) in tiles.items():
+        begins[f][begin] = True
+    number = {f: np.cumsum(x, dtype=np.int32) for f, x in begins.items()}
+    for band_, band in enumerate(bands):
+        cuts = np.flatnonzero(np.logical_or.reduce([begins[f] for f in band]))
         if not len(cuts):
             continue
-        key = np.full(len(cuts), number + 1, np.uint64)
+        key = np.full(len(cuts), band_ + 1, np.uint64)
         for f in band:
-            begin, place = tiles[f]
-            token = tokens[place[np.searchsorted(begin, cuts, side="right") - 1]]
+            token = tokens[tiles[f][1][number[f][cuts] - 1]]
             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + token)
-        yield key & ~np.uint64(1) | np.uint64(number > 0), cuts
+        yield key & ~np.uint64(1) | np.uint64(band_ > 0), cuts
 
 
 def signatures(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length: int,
@@ -129,10 +136,10 @@ def signatures(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     key = np.concatenate([k for k, _ in found])
     owner = np.concatenate([np.searchsorted(first, cuts, side="right") - 1 for _, cuts in found])
-    order = np.lexsort((key, owner))
-    key, owner = key[order], owner[order]
-    new = np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])])
-    return key[new], owner[new]
+    name = key + mixed(owner.astype(np.uint64))
+    order = np.argsort(name)
+    order = order[np.append(True, np.diff(name[order]) != 0)]
+    return key[order], owner[order]
 
 
 def windows(tokens: np.ndarray, first: np.ndarray, last: np.ndarray, length: int, keys: np.ndarray, owners: np.ndarray,
@@ -169,9 +176,8 @@ def _window_hashes(tokens: np.ndarray, length: int) -> np.ndarray:
 
 
 def _cover(mark: np.ndarray, starts: np.ndarray, length: int) -> None:
-    change = np.zeros(len(mark) + 1, np.int64)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + length, -1)
+    change = np.bincount(starts, minlength=len(mark) + 1)
+    change -= np.bincount(starts + length, minlength=len(mark) + 1)
     mark |= np.cumsum(change[:-1]) > 0
 
 
@@ -211,80 +217,168 @@ def _votes(left: np.ndarray, right: np.ndarray, size: tuple[int, int]) -> np.nda
     return votes
 
 
-def _common(left: np.ndarray, right: np.ndarray, shift: int, low: int, high: int, length: int) -> np.ndarray:
+def _commons(looks: list[tuple], length: int) -> Iterator[np.ndarray]:
     """Tokens that left[s:s + length] and right[s + shift:s + shift + length] have in common, each as often as in both.
 
-    For the starts s from ``low`` to ``high``; ``left`` and ``right`` are (token number, place).
+    For each look (left, right, shift, low, high), over the starts s from ``low`` to ``high``; ``left`` and ``right``
+    are (token number, place), the numbers below those of all places.
     """
-    name = np.concatenate([left[0], left[0], right[0], right[0]])
-    start = np.concatenate([left[1] - length + 1, left[1] + 1, right[1] - shift - length + 1, right[1] - shift + 1])
-    n, m = len(left[0]), len(right[0])
-    order = np.lexsort((start, name))
+    lefts, rights, shifts, lows, highs = zip(*looks)
+    n, m = [len(x[0]) for x in lefts], [len(x[0]) for x in rights]
+    width = np.array(highs) - np.array(lows) + 1
+    left = np.concatenate([x[1] for x in lefts]) - np.repeat(lows, n)  # places from each look's first start on
+    right = np.concatenate([x[1] for x in rights]) - np.repeat(np.add(lows, shifts), m)
+    own, other = (np.repeat(np.arange(len(looks)), x) for x in (n, m))
+    name, its = np.concatenate([x[0] for x in lefts]), np.concatenate([x[0] for x in rights])
+    kinds = int(max(name.max(initial=0), its.max(initial=0))) + 1
+    name, its = own * kinds + name, other * kinds + its
+    name = np.concatenate([name, name, its, its])
+    owner = np.concatenate([own, own, other, other])
+    start = np.clip(np.concatenate([left - length + 1, left + 1, right - length + 1, right + 1]), 0, width[owner])
+    n, m, span = len(left), len(right), int(width.max()) + 1
+    order = np.argsort(name * span + start) if len(looks) * kinds * span < 1 << 62 else np.lexsort((start, name))
     one = np.cumsum(np.repeat([1, -1, 0], [n, n, 2 * m])[order])  # every token's changes add up to nothing
     two = np.cumsum(np.repeat([0, 1, -1], [2 * n, m, m])[order])
     both = np.diff(np.minimum(one, two), prepend=0)
-    change = np.bincount(np.clip(start[order], low, high + 1) - low, weights=both, minlength=high - low + 2)
-    return np.cumsum(change)[:-1]
+    ends = np.cumsum(width + 1)
+    base = ends - width - 1
+    # Changes at one start come in any order; their sum is what counts.
+    change = np.bincount((base[owner] + start)[order], weights=both, minlength=int(ends[-1]))
+    counts = np.cumsum(change)
+    return (counts[i:j - 1] for i, j in zip(base.tolist(), ends.tolist()))
+
+
+def _common(left: np.ndarray, right: np.ndarray, shift: int, low: int, high: int, length: int) -> np.ndarray:
+    """:func:`_commons` of one look."""
+    return next(_commons([(left, right, shift, low, high)], length))
+
+
+def _exact_runs(left: np.ndarray, right: np.ndarray, length: int) -> np.ndarray:
+    """Which pairs of places, each token once in either and by the left, lie in an exact repeat of ``length`` and more."""
+    edges = np.flatnonzero(np.concatenate([[True], (np.diff(left) != 1) | (np.diff(right) != 1), [True]]))
+    run = np.diff(edges)
+    return np.repeat(run >= length, run)
+
+
+def _close_starts(left: np.ndarray, right: np.ndarray, shifts: np.ndarray, size: tuple[int, int], length: int,
+                  need: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(index into ``shifts``, first start, start behind the last) where :func:`_common` reaches ``need``, some shifts at a time.
+
+    ``left`` and ``right`` are the pairs of places with equal tokens, of which none stands twice.  A pair lies in
+    the subsequences of one run of starts at each distance, so the counts of all distances are one sum over the
+    ends of these runs.
+    """
+    distance = right - left
+    order = np.argsort(distance)
+    left, distance = left[order], distance[order]
+    first, behind = np.searchsorted(distance, shifts - length, side="right"), np.searchsorted(distance, shifts + length)
+    width, ends, done = size[0] + 2, np.cumsum(behind - first), 0
+    while done < len(shifts):
+        stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + EXPANDED, side="right")))
+        some, each = shifts[done:stop], (behind - first)[done:stop]
+        row = np.repeat(np.arange(len(some)), each)
+        pair = np.arange(len(row)) + np.repeat(first[done:stop] - (np.cumsum(each) - each), each)
+        gap, place = distance[pair] - some[row], left[pair]
+        low, high = np.maximum(0, -some)[row], (np.minimum(size[0], size[1] - some) - length + 1)[row]
+        begins = row * width + np.clip(place + np.maximum(gap, 0) - length + 1, low, high)
+        closes = row * width + np.clip(place + np.minimum(gap, 0) + 1, low, high)
+        at, change = np.concatenate([begins, closes]), np.repeat([1, -1], len(row))
+        order = np.argsort(at)
+        at, many = at[order], np.cumsum(change[order])
+        found = np.flatnonzero((many[:-1] >= need) & (at[1:] > at[:-1]))  # a shift's changes add up to nothing
+        yield at[found] // width + done, at[found] % width, at[found + 1] - at[found] // width * width
+        done = stop
+
+
+def _maybe(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which tokens of the left are in the right, or have the low bits of one that is."""
+    bits = np.int64((1 << min(22, max(12, (16 * len(right)).bit_length()))) - 1)
+    table = np.zeros(int(bits) + 1, bool)
+    table[right.view(np.int64) & bits] = True
+    return table[left.view(np.int64) & bits]
 
 
 def shared_passages(left: np.ndarray, right: np.ndarray, length: int, similar: float = SIMILAR) -> list[np.ndarray]:
     """Which tokens of both documents lie in passages they share: two boolean arrays.
 
     Only subsequences with enough tokens that the other document has at all are looked at.
-    Exact repeats of ``length`` are found by a hash of each.  Elsewhere the documents are aligned at the distances that an eighth of a passage's tokens agree on,
+    Exact repeats of ``length`` are found first, by their runs or by a hash of each.  Elsewhere the documents are
+    aligned at the distances that an eighth of a passage's tokens agree on,
     wherever and however often they stand in the right, and subsequences at the same
-    distance are compared there.
+    distance are compared there, in one sum if no common token stands twice.
     """
     marks = [np.zeros(len(left), bool), np.zeros(len(right), bool)]
     if min(len(left), len(right)) < length:
         return marks
-    need = 2 * length * similar / (1 + similar) - 1e-9
-    values, number = np.unique(right, return_inverse=True)
-    near = np.minimum(np.searchsorted(values, left), len(values) - 1)
-    there = values[near] == left
-
-    def numbered(places: np.ndarray) -> np.ndarray:
-        """Which tokens of the right are among those of the left at some places."""
-        named = np.zeros(len(values), bool)
-        named[near[places]] = True
-        return named[number]
-
-    both = [_sums(known, length) >= need for known in (there, numbered(there))]
-    able = [np.flatnonzero(x) for x in both]
-    if not min(map(len, able)):
+    need, size = 2 * length * similar / (1 + similar) - 1e-9, (len(left), len(right))
+    maybe = _maybe(left, right)
+    starts = np.flatnonzero(_sums(maybe, length) >= need)
+    if not len(starts):
         return marks
-    one, two = _window_hashes(left, length)[able[0]], _window_hashes(right, length)[able[1]]
-    _cover(marks[0], able[0][np.isin(one, two)], length)
-    _cover(marks[1], able[1][np.isin(two, one)], length)
-    left_over = [_sums(~m, length) > 0 for m in marks]
-    if not any((x & y).any() for x, y in zip(both, left_over)):
+    open_ = np.zeros(len(left), bool)
+    _cover(open_, starts, length)
+    maybe = np.flatnonzero(open_ & maybe)
+    order = np.argsort(right)
+    sorted_ = right[order]
+    near, there = np.zeros(len(left), np.int64), np.zeros(len(left), bool)  # a token's number is its first place in this order
+    near[maybe] = np.searchsorted(sorted_, left[maybe])
+    there[maybe] = sorted_.take(near[maybe], mode="clip") == left[maybe]
+    able = _sums(there, length) >= need
+    starts = np.flatnonzero(able)
+    if not len(starts):
         return marks
     open_ = np.zeros(len(left), bool)
-    _cover(open_, able[0], length)
-    size, votes = (len(left), len(right)), 0
-    for ours, theirs in ((~marks[0], True), (marks[0], ~marks[1])):  # exact repeats need no alignment with each other
-        mine, its = np.flatnonzero(open_ & there & ours), np.flatnonzero(np.ones(len(right), bool) & theirs)
-        mine, its = mine[np.argsort(near[mine], kind="stable")], its[np.argsort(number[its], kind="stable")]
-        votes = votes + _votes((near[mine], mine), (number[its], its), size)
+    _cover(open_, starts, length)
     mine = np.flatnonzero(open_ & there)
-    its = np.flatnonzero(numbered(mine))
+    token = near[mine]
+    times = np.searchsorted(sorted_, left[mine], side="right") - token
+    once = times.max() == 1 and np.bincount(token).max() == 1
+    if once:
+        theirs = order[token]
+        exact = _exact_runs(mine, theirs, length)
+        marks[0][mine[exact]] = marks[1][theirs[exact]] = True
+        votes = np.bincount((theirs - mine)[~exact] + size[0], minlength=sum(size) + 1)  # exact repeats need no alignment with each other
+    else:
+        number = np.searchsorted(sorted_, right)
+        one, two = _window_hashes(left, length), _window_hashes(right, length)
+        _cover(marks[0], np.flatnonzero(np.isin(one, two)), length)
+        _cover(marks[1], np.flatnonzero(np.isin(two, one)), length)
+        votes = 0
+        for some, its in ((~marks[0][mine], np.arange(size[1])), (marks[0][mine], np.flatnonzero(~marks[1]))):
+            some = mine[some]
+            some, its = some[np.argsort(near[some], kind="stable")], its[np.argsort(number[its], kind="stable")]
+            votes = votes + _votes((near[some], some), (number[its], its), size)
+    shifts = np.flatnonzero(votes >= length // 8) - size[0]
+    shifts = shifts[np.minimum(size[0], size[1] - shifts) - np.maximum(0, -shifts) >= length]
+    if not len(shifts):
+        return marks
+    if once:
+        for row, low, high in _close_starts(mine, theirs, shifts, size, length, need):
+            for mark, by in zip(marks, (0, shifts[row])):
+                change = np.bincount(low + by, minlength=len(mark) + 1) - np.bincount(high + by + length - 1, minlength=len(mark) + 1)
+                mark |= np.cumsum(change)[:-1] > 0
+        return marks
+    its = np.flatnonzero(np.isin(right, left[mine]))
+    able = [able, _sums(np.isin(right, left), length) >= need]
+    left_over, looks, total = [_sums(~m, length) > 0 for m in marks], [], 0
     # A pair of subsequences matters only if either has a place that is not marked yet.
-    for shift in (np.flatnonzero(votes >= length // 8) - len(left)).tolist():
-        low, high = max(0, -shift), min(len(left), len(right) - shift) - length
-        if high < low:
-            continue
+    for shift in shifts.tolist():
+        low, high = max(0, -shift), min(size[0], size[1] - shift) - length
         here, beside = slice(low, high + 1), slice(low + shift, high + shift + 1)
-        starts = np.flatnonzero(both[0][here] & both[1][beside] & (left_over[0][here] | left_over[1][beside]))
-        if not len(starts):
-            continue
-        low, high = low + int(starts[0]), low + int(starts[-1])
-        ours = mine[np.searchsorted(mine, low):np.searchsorted(mine, high + length)]
-        theirs = its[np.searchsorted(its, low + shift):np.searchsorted(its, high + shift + length)]
-        hits = np.flatnonzero(_common((near[ours], ours), (number[theirs], theirs), shift, low, high, length) >= need) + low
-        if len(hits):
-            _cover(marks[0], hits, length)
-            _cover(marks[1], hits + shift, length)
-            left_over = [_sums(~m, length) > 0 for m in marks]
+        starts = np.flatnonzero(able[0][here] & able[1][beside] & (left_over[0][here] | left_over[1][beside]))
+        if len(starts):
+            low, high = low + int(starts[0]), low + int(starts[-1])
+            ours = mine[slice(*np.searchsorted(mine, (low, high + length)))]
+            theirs = its[slice(*np.searchsorted(its, (low + shift, high + shift + length)))]
+            looks.append(((near[ours], ours), (number[theirs], theirs), shift, low, high))
+            total += len(ours) + len(theirs) + high - low
+        if looks and (total >= LOOKED or shift == shifts[-1]):
+            hits = [(np.flatnonzero(counts >= need) + look[3], look[2]) for look, counts in zip(looks, _commons(looks, length))]
+            looks, total = [], 0
+            if any(len(x) for x, _ in hits):
+                _cover(marks[0], np.concatenate([x for x, _ in hits]), length)
+                _cover(marks[1], np.concatenate([x + by for x, by in hits]), length)
+                left_over = [_sums(~m, length) > 0 for m in marks]
     return marks
 
 
@@ -300,8 +394,9 @@ def _counted(covers: list[np.ndarray], first: np.ndarray, second: np.ndarray) ->
     place = np.arange(len(token))
     begins = np.append(True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1]))
     again = place - np.maximum.accumulate(np.where(begins, place, 0))  # its second occurrence is a token of its own
-    order = np.lexsort((owner, again, token))
-    owner, token, again = owner[order], token[order], again[order]
+    if again.any():
+        order = np.lexsort((owner, again, token))
+        owner, token, again = owner[order], token[order], again[order]
     name = np.cumsum(np.append(True, (token[1:] != token[:-1]) | (again[1:] != again[:-1]))) - 1
     many = np.bincount(name)
     start = np.cumsum(many) - many
@@ -391,29 +486,20 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     narrow = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        for batch in batches:
-            found = [hasher.text(t.as_py(), SPACED) for t in batch.column(1)]
-            marks = [_mark(w) for w in found]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(x, pa.int64()) for x in ([len(w) for w in found], [m[0] for m in marks], [m[1] for m in marks])]],
-                names=["key", "n", "fp", "fp2"])
-
-    def first_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Numbers of all texts; of those long enough, with the text where its words are first met."""
         hasher, seen = Hasher(), set()
         for batch in batches:
-            kept, marks = [], []
-            for i, value in enumerate(batch.column(0)):
-                found = hasher.text(value.as_py(), SPACED)
-                if len(found) < length or (mark := _mark(found)) in seen:
-                    continue
-                if len(seen) >= 1 << 18:
-                    seen.clear()
-                seen.add(mark)
-                kept.append(i)
-                marks.append(mark)
-            numbers = [pa.array([m[j] for m in marks], pa.int64()) for j in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*numbers, batch.column(0).take(pa.array(kept, pa.int64()))], names=["fp", "fp2", "text"])
+            found = [hasher.text(t.as_py(), SPACED) for t in batch.column(1)]
+            marks, kept = [_mark(w) for w in found], []
+            for words_, mark in zip(found, marks):
+                kept.append(len(words_) >= length and mark not in seen)
+                if kept[-1]:
+                    if len(seen) >= 1 << 18:
+                        seen.clear()
+                    seen.add(mark)
+            numbers = [pa.array(x, pa.int64()) for x in ([len(w) for w in found], [m[0] for m in marks], [m[1] for m in marks])]
+            texts = pc.if_else(pa.array(kept, pa.bool_()), batch.column(1), pa.scalar(None, batch.column(1).type))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, texts], names=["key", "n", "fp", "fp2", "text"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -440,14 +526,17 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, known = Hasher(), {}
+        hasher, known, total = Hasher(), {}, 0
 
         def tokens(node: int, text: pa.StringScalar) -> np.ndarray:
             """Those of the texts met last, as rows come by one of theirs and hubs come again and again."""
+            nonlocal total
             if node not in known:
-                if sum(map(len, known.values())) > GROUP:
+                if total > KNOWN:
                     known.clear()
+                    total = 0
                 known[node] = shingles(hasher.text(text.as_py(), SPACED), words)
+                total += len(known[node])
             return known[node]
 
         for batch in batches:
@@ -464,11 +553,14 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
                                              names=["a", "b", "left", "right"])
 
     steps = Scratch(docs.sparkSession)
-    sets = fixed(narrow.mapInArrow(measure, "key bigint, n bigint, fp bigint, fp2 bigint"), "passage-documents")
+    # Words are hashed once for both the numbers and the texts.
+    read, once = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
+    measured = read.fixed(narrow.mapInArrow(measure, "key bigint, n bigint, fp bigint, fp2 bigint, text string"), "passage-measured")
+    sets = fixed(measured.select("key", "n", "fp", "fp2"), "passage-documents")
     # Texts of equal words are one node, under the number by which they are written once.
-    met = narrow.select("text").mapInArrow(first_met, "fp bigint, fp2 bigint, text string").groupBy("fp", "fp2").agg(F.min("text").alias("text"))
-    once = Scratch(docs.sparkSession)
+    met = measured.filter("text IS NOT NULL").groupBy("fp", "fp2").agg(F.min("text").alias("text"))
     texts_ = once.fixed(met.withColumn("node", F.monotonically_increasing_id()), "passage-texts")
+    read.clear()
     nodes = fixed(texts_.select("node", "fp", "fp2"), "passage-nodes")
     members = steps.fixed(ranked(texts_.select("node", "text").mapInArrow(emit, "k bigint, node bigint"), once), "passage-members")
     long = sets.filter(F.col("n") >= length)
@@ -533,9 +625,8 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in found(parts)], names=["a", "b"])
 
     # First each group's best-met member with the others.
-    leads = members.filter("rank = 1").select("k", F.col("node").alias("lead"))
     ends = F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")
-    led = steps.fixed(members.filter("rank > 1").join(leads, "k").select("k", "node", "rank", *ends), "passage-led")
+    led = steps.fixed(members.filter("rank > 1").select("k", "node", "rank", *ends), "passage-led")
     first = fixed(verified(led.select("a", "b").distinct()), "passage-links")
     labels = components(first)
 

@@ -295,6 +295,48 @@ def test_shared_passages_that_stand_twice_in_one_text():
     assert not ps.shared_passages(np.full(200, 5, np.uint64), np.concatenate([new(100), np.full(1, 5, np.uint64), new(100)]), 46)[0].any()
 
 
+def test_distances_are_compared_together(monkeypatch):
+    """A pair that agrees at very many distances: one sum, or a few, not one for each distance."""
+    random_, calls = np.random.default_rng(17), []
+    new = lambda n: random_.integers(1, 1 << 62, n).astype(np.uint64)
+    for name in ("_commons", "_close_starts"):
+        real = getattr(ps, name)
+        monkeypatch.setattr(ps, name, lambda *a, real=real, **k: calls.append(1) or real(*a, **k))
+    passage = new(60)
+    bits = [passage[i:i + 6] for i in range(0, 60, 6)]
+    moved = np.concatenate([x for i in range(40) for x in (bits[(7 * i) % 10] if i < 10 else new(6), new(2))])
+    near = np.concatenate([passage[:30], new(3), passage[33:]])
+    for left, right, times in ((np.concatenate([new(50), passage, new(50)]), np.concatenate([moved, near, moved[80:]]), 1),
+                               (np.concatenate([passage, new(9), passage[:46], new(9), passage]), np.concatenate([moved, near]), 3)):
+        calls.clear()
+        one, two = ps.shared_passages(left, right, 46)
+        assert len(calls) <= times and two[len(moved):len(moved) + 60].all() and not two[:len(moved) - 46].any()
+        assert one[50:110].all() if times == 1 else one[:60].all() and one[-60:].all()
+
+
+def test_close_starts_against_brute_force(monkeypatch):
+    random_ = np.random.default_rng(6)
+    for expanded in (1 << 18, 50):  # all distances at once, or some at a time
+        monkeypatch.setattr(ps, "EXPANDED", expanded)
+        for _ in range(30):
+            n, m, length, need = 80, 70, 12, 5
+            left = np.sort(random_.permutation(n)[:50])
+            right = random_.permutation(m)[:50]
+            right[10:30] = right[10] + np.arange(20) if right[10] < 50 and len(set(right[10] + np.arange(20)) & set(np.delete(right, range(10, 30)))) == 0 else right[10:30]
+            shifts = np.arange(length - n, m - length + 1)
+            got = {(int(shifts[i]), s) for rows in ps._close_starts(left, right, shifts, (n, m), length, need)
+                   for i, low, high in zip(*rows) for s in range(low, high)}
+            want = {(int(d), s) for d in shifts for s in range(max(0, -d), min(n, m - d) - length + 1)
+                    if sum(s <= x < s + length and s + d <= y < s + d + length for x, y in zip(left, right)) >= need}
+            assert got == want
+
+
+def test_groups_of_two_and_more_are_ranked(spark, tmp_path):
+    rows = [(1, 5), (1, 6), (2, 6), (2, 7), (2, 5), (3, 8), (4, 7), (4, 6)]
+    got = graph.ranked(spark.createDataFrame(rows, "k long, node long").repartition(3), graph.Scratch(spark)).collect()
+    assert {(r.k, r.node, r["rank"], r.lead) for r in got} == {(1, 6, 1, 6), (1, 5, 2, 6), (2, 6, 1, 6), (2, 5, 2, 6), (2, 7, 3, 6), (4, 6, 1, 6), (4, 7, 2, 6)}
+
+
 def test_votes_and_common_tokens_against_brute_force():
     random_ = np.random.default_rng(5)
     for n, m, kinds in ((60, 50, 12), (3000, 2500, 9), (40, 40, 1)):
