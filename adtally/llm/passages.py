@@ -361,6 +361,11 @@ def shared_passages(left: np.ndarray, right: np.ndarray, length: int, similar: f
     its = np.flatnonzero(np.isin(right, left[mine]))
     able = [able, _sums(np.isin(right, left), length) >= need]
     left_over, looks, total = [_sums(~m, length) > 0 for m in marks], [], 0
+    rare = [np.flatnonzero(x) for x in able]
+    if len(rare[0]) * len(rare[1]) <= EXPANDED:
+        fresh = left_over[0][rare[0]][:, None] | left_over[1][rare[1]][None]
+        apart = (rare[1][None] - rare[0][:, None])[fresh] + size[0]
+        shifts = shifts[np.bincount(apart, minlength=sum(size) + 1)[shifts + size[0]] > 0]
     # A pair of subsequences matters only if either has a place that is not marked yet.
     for shift in shifts.tolist():
         low, high = max(0, -shift), min(size[0], size[1] - shift) - length
